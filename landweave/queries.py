@@ -1,0 +1,6 @@
+"""All registered queries of the land-change operators, with the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
