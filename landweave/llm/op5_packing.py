@@ -66,6 +66,7 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
     def take(items: tuple[int, ...]) -> None:
         need = {s: items.count(s) for s in set(items)}
         n = min(left[s] // k for s, k in need.items())
+        assert n > 0
         fixed.append((items, n))
         for s, k in need.items():
             left[s] -= n * k
@@ -76,7 +77,7 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
     def others(j: int, most: int) -> list[int]:
         """Sizes up to most that are there besides one item of size j."""
         found = order[: bisect.bisect_right(order, most)]
-        return found[:-1] if found and found[-1] == j and left[j] == 1 else found
+        return [s for s in found if s != j] if left[j] == 1 else found
 
     j = order[-1] if order else 0
     while j:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from landweave.llm import op5_packing, op7_token_files
+from landweave.llm import op1_url_filter, op3_mixing, op4_quality, op5_packing, op7_token_files
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter.op1_url_filter,
+    "op3_mixing": op3_mixing.op3_mixing,
+    "op4_quality": op4_quality.op4_quality,
     "op5_packing": op5_packing.op5_packing,
     "op7_token_files": op7_token_files.op7_token_files,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op4_quality": op4_quality.SQL}
