@@ -37,3 +37,20 @@ def flat(uri: str, dtype: str) -> np.ndarray:
     where, path = fs.FileSystem.from_uri(uri)
     with where.open_input_file(path) as f:
         return np.frombuffer(f.read(), dtype)
+
+
+def read_folder(uri: str, columns: list[str]) -> dict[str, list]:
+    """Columns of the Parquet files in a folder of the shared storage; no folder: no rows."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    path = local(uri)
+    where, path = (fs.LocalFileSystem(), path) if path is not None else fs.FileSystem.from_uri(uri)
+    out: dict[str, list] = {c: [] for c in columns}
+    for f in where.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+        if f.is_file and f.base_name.endswith(".parquet"):
+            with where.open_input_file(f.path) as stream:
+                got = pq.ParquetFile(stream).read(columns).to_pydict()
+            for c in columns:
+                out[c] += got[c]
+    return out

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from landweave.llm import op1_url_filter, op3_mixing, op4_quality, op5_packing, op7_token_files
+from landweave.llm import op1_url_filter, op10_substrings, op3_mixing, op4_quality, op5_packing, op7_token_files
 
 QUERIES = {
+    "op10_substrings": op10_substrings.op10_substrings,
     "op1_url_filter": op1_url_filter.op1_url_filter,
     "op3_mixing": op3_mixing.op3_mixing,
     "op4_quality": op4_quality.op4_quality,
     "op5_packing": op5_packing.op5_packing,
     "op7_token_files": op7_token_files.op7_token_files,
 }
-ORACLES = {"op4_quality": op4_quality.SQL}
+ORACLES = {"op10_substrings": op10_substrings.SQL, "op4_quality": op4_quality.SQL}
