@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from landweave.llm import op1_url_filter, op10_substrings, op3_mixing, op4_quality, op5_packing, op7_token_files
+from landweave.llm import op1_url_filter, op10_substrings, op3_mixing, op4_quality, op5_packing, op7_token_files, op9_jaccard
 
 QUERIES = {
+    "op9_jaccard": op9_jaccard.op9_jaccard,
     "op10_substrings": op10_substrings.op10_substrings,
     "op1_url_filter": op1_url_filter.op1_url_filter,
     "op3_mixing": op3_mixing.op3_mixing,
@@ -12,4 +13,4 @@ QUERIES = {
     "op5_packing": op5_packing.op5_packing,
     "op7_token_files": op7_token_files.op7_token_files,
 }
-ORACLES = {"op10_substrings": op10_substrings.SQL, "op4_quality": op4_quality.SQL}
+ORACLES = {"op9_jaccard": op9_jaccard.SQL, "op10_substrings": op10_substrings.SQL, "op4_quality": op4_quality.SQL}
