@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from landweave.llm import op1_url_filter, op10_substrings, op3_mixing, op4_quality, op5_packing, op7_token_files, op9_jaccard
+from landweave.llm import op1_url_filter, op3_mixing, op4_quality, op5_packing, op6_secrets, op7_token_files, op9_jaccard, op10_substrings
 
 QUERIES = {
+    "op6_secrets": op6_secrets.op6_secrets,
     "op9_jaccard": op9_jaccard.op9_jaccard,
     "op10_substrings": op10_substrings.op10_substrings,
     "op1_url_filter": op1_url_filter.op1_url_filter,
