@@ -42,8 +42,9 @@ def water_fill(sources: DataFrame, total: float, epochs: float, max_rounds: int
 
 
 def mix(sized: DataFrame, sources: DataFrame, seed: int = 17) -> DataFrame:
-    """sized (doc_id, source, size) with source_size, target and times (how often the mix takes the document).
+    """sized (doc_id, source, size and any others) with source_size, target and times (how often the mix takes the document).
 
+    sized is read twice.
     sources: source, source_size, target. The window runs over at most BINS sums for each source.
     """
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -55,7 +56,8 @@ def mix(sized: DataFrame, sources: DataFrame, seed: int = 17) -> DataFrame:
     edge = edge.filter((F.col("__below") < F.col("__more")) & (F.col("__below") + F.col("__mass") >= F.col("__more")))
     share = (F.col("__more") - F.col("__below")) / F.col("__mass")
     edge = edge.select("__s", F.col("__bin").alias("__edge"), F.when(F.col("__docs") == 1, F.round(share)).otherwise(share).alias("__share"))
-    rates = rates.join(edge.withColumnRenamed("__s", "__e"), F.col("__s").eqNullSafe(F.col("__e")), "left")
+    # written, so that Spark knows how small it is before it plans the join with the documents
+    rates = saved(rates.join(edge.withColumnRenamed("__s", "__e"), F.col("__s").eqNullSafe(F.col("__e")), "left").drop("__e"), "rates")
     coin = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     extra = (F.col("__bin") < F.col("__edge")) | ((F.col("__bin") == F.col("__edge")) & (coin < F.col("__share")))
     times = F.col("__whole") + F.coalesce(extra, F.lit(False)).cast("int")
@@ -81,6 +83,15 @@ def mixed_sizes(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share:
     return mix(sized, source_targets(sized, weights, share, epochs), seed)
 
 
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, epochs: float = 2.0, seed: int = 17) -> DataFrame:
+    """docs with every row as often as the mix takes it, and the columns they had."""
+    sized = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    targets = saved(source_targets(sized, weights, share, epochs), "targets")
+    own = docs.select(*(F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(docs.columns)), "doc_id", "source", word_count(F.col("text")).alias("size"))
+    taken = mix(own, targets, seed).filter("times > 0").withColumn("times", F.explode(F.sequence(F.lit(1), "times")))
+    return taken.select(*(F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixed_sizes(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "source", "times")

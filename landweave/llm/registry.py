@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from landweave.llm import op1_url_filter, op2_topk, op3_mixing, op4_quality, op5_packing, op6_secrets, op7_token_files, op9_jaccard, op10_substrings
+from landweave.llm import op1_url_filter, op2_topk, op3_mixing, op4_quality, op5_packing, op6_secrets, op7_token_files, op8_licenses, op9_jaccard, op10_substrings
 
 QUERIES = {
+    "op8_licenses": op8_licenses.op8_licenses,
     "op2_topk": op2_topk.op2_topk,
     "op6_secrets": op6_secrets.op6_secrets,
     "op9_jaccard": op9_jaccard.op9_jaccard,
@@ -15,4 +16,4 @@ QUERIES = {
     "op5_packing": op5_packing.op5_packing,
     "op7_token_files": op7_token_files.op7_token_files,
 }
-ORACLES = {"op2_topk": op2_topk.SQL, "op9_jaccard": op9_jaccard.SQL, "op10_substrings": op10_substrings.SQL, "op4_quality": op4_quality.SQL}
+ORACLES = {"op8_licenses": op8_licenses.SQL, "op2_topk": op2_topk.SQL, "op9_jaccard": op9_jaccard.SQL, "op10_substrings": op10_substrings.SQL, "op4_quality": op4_quality.SQL}
