@@ -89,7 +89,7 @@ def _(t):
     return G.normalize(t.predictors.select("cell_id", "x2", "x5"), ["x2", "x5"])
 
 
-@query("p14_normalize_probs", "WITH s AS (SELECT cell_id, SUM(p) AS s FROM probs GROUP BY cell_id) SELECT q.cell_id, to_v, round(CASE WHEN s > 1 THEN p / s ELSE p END, 9) AS p FROM probs AS q JOIN s ON s.cell_id = q.cell_id", digits=9)
+@query("p14_normalize_probs", "WITH s AS (SELECT cell_id, SUM(p) AS s FROM probs GROUP BY cell_id) SELECT q.cell_id, to_v, round(CASE WHEN s > 1 THEN p / s ELSE p END, 12) AS p FROM probs AS q JOIN s ON s.cell_id = q.cell_id", digits=12)
 def _(t):
     from landweave.operators.potential import normalize_long
 
