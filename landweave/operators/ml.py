@@ -1,8 +1,247 @@
-"""Placeholder for modelling operators filled below."""
-from pyspark.sql import DataFrame
+"""Samples, feature selection, models and metrics of transitions."""
+
+from __future__ import annotations
+
+import itertools
+
+import pandas as pd
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MODELS = {"glm": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
+#: Settings by their names in a model specification and in MLlib.
+SETTINGS = {"penalty": "regParam", "mixture": "elasticNetParam", "trees": {"rf": "numTrees", "gbt": "maxIter"}, "min_n": "minInstancesPerNode", "mtry": "featureSubsetStrategy", "tree_depth": "maxDepth", "learn_rate": "stepSize", "loss_reduction": "minInfoGain"}
+
+
+def load_response(long: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a task and cell with a response; of several the greatest response stays."""
+    return long.filter("response IS NOT NULL").groupBy(*keys, "cell_id").agg(F.max("response").alias("response"))
+
+
+def thin_majority(df: DataFrame, keys: list[str], ratio: float = 1.5) -> DataFrame:
+    """Where zeros exceed ratio times the ones, every k-th zero in cell order stays, k = ceil(zeros / ceil(ratio * ones))."""
+    task, own = Window.partitionBy(*keys), Window.partitionBy(*keys, "response")
+    n1, n0 = (F.sum((F.col("response") == v).cast("long")).over(task) for v in (1, 0))
+    rows = df.withColumns({"__n1": n1, "__n0": n0, "__rn": F.row_number().over(own.orderBy("cell_id"))})
+    k = F.ceil(F.col("__n0") / F.greatest(F.ceil(F.col("__n1") * ratio), F.lit(1)))
+    keep = (F.col("response") == 1) | (F.col("__n0") <= F.col("__n1") * ratio) | ((F.col("__rn") - 1) % k == 0)
+    return rows.filter(keep).drop("__n1", "__n0", "__rn")
+
+
+def class_weights(df: DataFrame, keys: list[str]) -> DataFrame:
+    n = df.groupBy(*keys, "response").agg(F.count("*").alias("n"))
+    return n.withColumn("weight", F.max("n").over(Window.partitionBy(*keys)) / F.col("n"))
+
+
+def task_status(df: DataFrame, keys: list[str], least: int = 100, least_ones: int = 10) -> DataFrame:
+    n = df.groupBy(*keys).agg(F.count("*").alias("n_observations"), F.sum("response").alias("n_transitions"))
+    s = F.when(F.col("n_transitions") == 0, "no_transition_data").when(F.col("n_observations") < least, "insufficient_observations").when(F.col("n_transitions") < least_ones, "insufficient_transitions").otherwise("eligible")
+    return n.withColumn("status", s)
+
+
+def needs_downsampling(df: DataFrame, keys: list[str], low: float = 0.05, high: float = 60.0) -> DataFrame:
+    """Tasks whose ratio of ones to zeros is at most low or at least high."""
+    n = df.groupBy(*keys).agg(F.sum("response").alias("n1"), F.sum(1 - F.col("response")).alias("n0"))
+    r = F.try_divide(F.col("n1").cast("double"), F.col("n0"))
+    return n.withColumns({"ratio": r, "downsample": F.coalesce((r <= low) | (r >= high), F.lit(False))})
+
+
+def univariate_pvalues(long: DataFrame, rounds: int = 12, least: int = 10) -> DataFrame:
+    """(task, predictor, n, p_value): weighted logistic fits of y on x (and x^2 with more than five values), all at once.
+
+    long: task, predictor, x, y, w. Every Newton round is one grouped sum of eight moments; the 3 x 3 systems
+    are solved on the sums. p is the least favourable (greatest) two-sided one of the slopes.
+    """
+    stats = long.filter("x IS NOT NULL").groupBy("task", "predictor").agg(F.count("*").alias("n"), F.countDistinct("x").alias("d"), F.avg("x").alias("m"), F.stddev_pop("x").alias("s"))
+    stats = stats.filter((F.col("n") >= least) & (F.col("d") >= 3) & (F.col("s") > 0))
+    beta = stats.select("task", "predictor", "n", "m", "s", (F.col("d") > 5).alias("quad"), F.array(*[F.lit(0.0)] * 3).alias("b"))
+    rows = long.filter("x IS NOT NULL")
+    moments = [f"h{k}" for k in range(5)] + [f"g{k}" for k in range(3)]
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
+        out = []
+        for r in pdf.itertuples(index=False):
+            k = 3 if r.quad else 2
+            h = np.array([[getattr(r, f"h{i + j}") for j in range(k)] for i in range(k)]) + 1e-10 * np.eye(k)
+            g = np.array([getattr(r, f"g{i}") for i in range(k)])
+            b = np.zeros(3)
+            b[:k] = np.array(r.b)[:k] + np.clip(np.linalg.solve(h, g), -5, 5)
+            se = np.zeros(3)
+            se[:k] = np.sqrt(np.maximum(np.diag(np.linalg.inv(h)), 0))
+            out.append((r.task, r.predictor, r.n, r.m, r.s, r.quad, b.tolist(), se.tolist()))
+        return pd.DataFrame(out, columns=["task", "predictor", "n", "m", "s", "quad", "b", "se"])
+
+    schema = "task string, predictor string, n long, m double, s double, quad boolean, b array<double>, se array<double>"
+    for _ in range(rounds):
+        z = (F.col("x") - F.col("m")) / F.col("s")
+        both = rows.join(F.broadcast(beta.select("task", "predictor", "m", "s", "b")), ["task", "predictor"]).withColumn("z", z)
+        eta = F.col("b")[0] + F.col("b")[1] * F.col("z") + F.col("b")[2] * F.col("z") * F.col("z")
+        both = both.withColumn("mu", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), eta)))))
+        v, d = F.col("w") * F.col("mu") * (1 - F.col("mu")), F.col("w") * (F.col("y") - F.col("mu"))
+        sums = both.groupBy("task", "predictor").agg(*(F.sum(v * F.pow("z", F.lit(k))).alias(f"h{k}") for k in range(5)), *(F.sum(d * F.pow("z", F.lit(k))).alias(f"g{k}") for k in range(3)))
+        step = beta.select("task", "predictor", "n", "m", "s", "quad", "b").join(sums, ["task", "predictor"])
+        beta = step.select("task", "predictor", "n", "m", "s", "quad", "b", *moments).mapInPandas(lambda it: map(solve, it), schema).cache()
+    t = lambda k: F.abs(F.try_divide(F.col("b")[k], F.col("se")[k]))
+    p = lambda x: F.least(F.lit(1.0), 2 / (1 + F.exp(F.least(F.lit(700.0), 1.5976 * x + 0.07056 * x * x * x))))
+    return beta.select("task", "predictor", "n", F.when(F.col("quad"), F.greatest(p(t(1)), p(t(2)))).otherwise(p(t(1))).alias("p_value"), "b")
+
+
+def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(a, b, r) of all pairs on rows where both are known; one pass."""
+    pairs = list(itertools.combinations(cols, 2))
+    one = df.agg(*(F.corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))).alias(f"{a}|{b}") for a, b in pairs))
+    rows = one.select(F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.nanvl(F.col(f"`{a}|{b}`"), F.lit(None).cast("double")).alias("r")) for a, b in pairs))).alias("x"))
+    return rows.select("x.*")
+
+
+def collinearity_filter(df: DataFrame, order: list[str], cut: float = 0.7) -> list[str]:
+    """Predictors in order of p-value, each kept unless it correlates above cut with one kept before; unknown correlations are 0."""
+    r = {frozenset((x["a"], x["b"])): abs(x["r"] or 0.0) for x in correlations(df, order).collect()} if len(order) > 1 else {}
+    kept: list[str] = []
+    for c in order:
+        if all(r[frozenset((c, k))] <= cut for k in kept):
+            kept.append(c)
+    return kept
+
+
+def assemble(df: DataFrame, cols: list[str]) -> DataFrame:
+    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip").transform(df)
+
+
+def guided_selection(df: DataFrame, cols: list[str], gamma: float = 0.5, penalty: float = 0.01, trees: int = 100, seed: int = 7) -> list[tuple[str, float]]:
+    """Forest importances guide a lasso: column j counts (1 - gamma) + gamma * imp_j / max(imp); kept are non-zero coefficients, most important first."""
+    data = assemble(df, cols)
+    weight = {"weightCol": "weight"} if "weight" in df.columns else {}
+    forest = RandomForestClassifier(labelCol="response", numTrees=trees, minInstancesPerNode=10, featureSubsetStrategy="sqrt", seed=seed, **weight).fit(data)
+    imp = forest.featureImportances.toArray()
+    guide = (1 - gamma) + gamma * imp / (imp.max() or 1.0)
+    ends = df.agg(*(f(c).alias(f"{n}{k}") for k, c in enumerate(cols) for n, f in (("m", F.avg), ("s", F.stddev_samp)))).first()
+    scaled = df.select("response", *weight.values(), *(((F.col(c) - ends[f"m{k}"]) / (ends[f"s{k}"] or 1.0) * float(guide[k])).alias(c) for k, c in enumerate(cols)))
+    lasso = LogisticRegression(labelCol="response", elasticNetParam=1.0, regParam=penalty, standardization=False, **weight).fit(assemble(scaled, cols))
+    found = [(c, float(imp[k])) for k, c in enumerate(cols) if lasso.coefficients[k] != 0]
+    return sorted(found, key=lambda x: (-x[1], x[0]))
+
+
+def _order(seed: int) -> Column:
+    return F.xxhash64("cell_id", F.lit(seed))
+
+
+def balance(df: DataFrame, keys: list[str], multiplier: float = 1.0, seed: int = 1, most: int | None = None) -> DataFrame:
+    """All of the smaller class and a seeded choice of multiplier times as many of the larger; most: at most so many rows in all."""
+    own, task = Window.partitionBy(*keys, "response"), Window.partitionBy(*keys)
+    rows = df.withColumns({"__n": F.count("*").over(own), "__rn": F.row_number().over(own.orderBy(_order(seed), "cell_id"))})
+    rows = rows.withColumn("__least", F.min("__n").over(task))
+    room = F.floor(F.col("__least") * multiplier)
+    if most is not None:
+        room = F.least(room, F.lit(most) - F.col("__least"))
+    return rows.filter((F.col("__n") == F.col("__least")) | (F.col("__rn") <= room)).drop("__n", "__rn", "__least")
+
+
+def final_sample(df: DataFrame, keys: list[str], most: int, seed: int = 1) -> DataFrame:
+    return balance(df, keys, multiplier=1e12, seed=seed, most=most)
+
+
+def stratified_split(df: DataFrame, keys: list[str], share: float = 0.75, seed: int = 1) -> DataFrame:
+    """part: train for the first share of each class in seeded order, else test."""
+    own = Window.partitionBy(*keys, "response")
+    rn, n = F.row_number().over(own.orderBy(_order(seed), "cell_id")), F.count("*").over(own)
+    return df.withColumn("part", F.when(rn <= F.round(n * share), "train").otherwise("test"))
+
+
+def stratified_folds(df: DataFrame, keys: list[str], k: int = 5, seed: int = 1) -> DataFrame:
+    own = Window.partitionBy(*keys, "response")
+    return df.withColumn("fold", (F.row_number().over(own.orderBy(_order(seed), "cell_id")) % k).cast("int"))
+
+
+def model_spec(name: str, cols: list[str], **params):
+    """A pipeline: columns, z-scores, and a model (glm, rf, gbt) with settings by their specification names."""
+    own = {}
+    for key, value in params.items():
+        to = SETTINGS.get(key, key)
+        to = to[name] if isinstance(to, dict) else to
+        own[to] = str(min(int(value), len(cols))) if to == "featureSubsetStrategy" else value
+    if name in ("rf", "gbt"):
+        own.setdefault("seed", 7)
+    model = MODELS[name](labelCol="response", featuresCol="scaled", **own)
+    return Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"), StandardScaler(inputCol="features", outputCol="scaled", withMean=True), model])
+
+
+def score(df: DataFrame, model) -> DataFrame:
+    """df with p (of class 1) and predicted (at 0.5)."""
+    out = model.transform(df).withColumn("p", vector_to_array("probability")[1])
+    return out.withColumn("predicted", (F.col("p") >= 0.5).cast("int")).select(*df.columns, "p", "predicted")
+
+
+def tune(df: DataFrame, name: str, cols: list[str], grid: dict[str, list], folds: int = 3, seed: int = 1) -> list[dict]:
+    """All settings of the grid by cross-validation: mean AUC over folds, best first. mtry above the number of columns is dropped."""
+    rows = stratified_folds(df, [], folds, seed).cache()
+    names, out = list(grid), []
+    for values in itertools.product(*grid.values()):
+        params = dict(zip(names, values, strict=True))
+        if params.get("mtry", 0) > len(cols):
+            continue
+        got = []
+        for k in range(folds):
+            model = model_spec(name, cols, **params).fit(rows.filter(F.col("fold") != k))
+            got.append(classification_metrics(score(rows.filter(F.col("fold") == k), model), []).first()["roc_auc"])
+        known = [x for x in got if x is not None]
+        out.append({**params, "roc_auc": sum(known) / len(known) if known else None})
+    rows.unpersist()
+    return sorted(out, key=lambda x: -(x["roc_auc"] or 0))
+
+
+def classification_metrics(pred: DataFrame, keys: list[str]) -> DataFrame:
+    """AUC by rank sums (ties half), accuracy, precision, recall, F, kappa, MCC, specificity; positive class 1.
+
+    Ranks come from counts by probability, so what a window orders is different values, not rows.
+    """
+    n = pred.groupBy(*keys, "p").agg(F.sum(F.col("response").cast("double")).alias("one"), F.sum(1.0 - F.col("response")).alias("zero"))
+    below = F.sum("zero").over(Window.partitionBy(*keys).orderBy("p")) - F.col("zero") / 2
+    auc = n.withColumn("won", F.col("one") * below).groupBy(*keys).agg(F.try_divide(F.sum("won"), F.sum("one") * F.sum("zero")).alias("roc_auc"))
+    c = lambda y, q: F.sum(((F.col("response") == y) & (F.col("predicted") == q)).cast("double"))
+    m = pred.groupBy(*keys).agg(c(1, 1).alias("tp"), c(0, 0).alias("tn"), c(0, 1).alias("fp"), c(1, 0).alias("fn"))
+    tp, tn, fp, fn = (F.col(x) for x in ("tp", "tn", "fp", "fn"))
+    total = tp + tn + fp + fn
+    chance = ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / (total * total)
+    acc = (tp + tn) / total
+    out = m.select(*keys, acc.alias("accuracy"), F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, tp + fn).alias("recall"), F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f_meas"), F.try_divide(acc - chance, 1 - chance).alias("kap"), F.try_divide(tp * tn - fp * fn, F.sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn))).alias("mcc"), F.try_divide(tn, tn + fp).alias("specificity"))
+    return auc.join(out, keys) if keys else auc.crossJoin(out)
+
 
 def aggregate_metrics(rows: DataFrame) -> DataFrame:
     """Mean, sd, min and max of each metric over replicates."""
     return rows.groupBy("model", "metric").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"), F.min("value").alias("min"), F.max("value").alias("max"))
+
+
+def select_best(metrics: DataFrame, keys: list[str], metric: str = "roc_auc") -> DataFrame:
+    """By task the model of greatest mean metric, and its best replicate; ties by name, then number."""
+    rows = metrics.filter(F.col("metric") == metric)
+    mean = rows.groupBy(*keys, "model").agg(F.avg("value").alias("mean"))
+    best = mean.groupBy(*keys).agg(F.min_by("model", F.struct(-F.col("mean"), F.col("model"))).alias("model"), F.max("mean").alias("mean"))
+    return rows.join(best, [*keys, "model"]).groupBy(*keys, "model", "mean").agg(F.min_by("replicate", F.struct(-F.col("value"), F.col("replicate"))).alias("replicate"))
+
+
+def focal_lookup(selected: DataFrame, details: DataFrame) -> DataFrame:
+    """Selected neighbourhood predictors of a period with the layers they name."""
+    own = selected.filter(F.contains("predictor", F.lit("nhood")))
+    return own.join(details, (F.contains("predictor", F.col("layer"))) & (own["period"] == details["layer_period"])).select("period", "predictor", "layer", "matrix_id").distinct()
+
+
+def model_lookup(files: DataFrame, transitions: DataFrame) -> DataFrame:
+    """(file, region, from_v, to_v, transition_id) of model files named region.from-to.ext, without persistence."""
+    t = F.split_part("file", F.lit("."), F.lit(2))
+    rows = files.select("file", F.split_part("file", F.lit("."), F.lit(1)).alias("region_name"), F.split_part(t, F.lit("-"), F.lit(1)).try_cast("int").alias("from_v"), F.split_part(t, F.lit("-"), F.lit(2)).try_cast("int").alias("to_v"))
+    return rows.filter("from_v <> to_v").join(transitions, ["from_v", "to_v"], "left")
+
+
+def load_predictors(static: DataFrame, dynamic: DataFrame, names: list[str], region: int, scenario: str, period: str) -> DataFrame:
+    """Static and dynamic predictors of a region, scenario and period by cell; columns come from whichever table has them."""
+    s = static.filter(F.col("region") == region).select("cell_id", *(c for c in names if c in static.columns))
+    d = dynamic.filter((F.col("region") == region) & (F.col("scenario") == scenario) & (F.col("period") == period)).select("cell_id", *(c for c in names if c in dynamic.columns and c not in static.columns))
+    return s.join(d, "cell_id", "full")

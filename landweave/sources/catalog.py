@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 CLASS_SCHEMA = T.ArrayType(T.StructType([T.StructField("clean_name", T.StringType()), T.StructField("class_name", T.StringType()), T.StructField("colour", T.StringType()), T.StructField("value", T.IntegerType()), T.StructField("nhood_class", T.BooleanType()), T.StructField("original_classes", T.ArrayType(T.StructType([T.StructField("value", T.IntegerType()), T.StructField("name", T.StringType())])))]))
 
 
-def read_class_schema(spark: SparkSession, path: str) -> DataFrame:
-    """(old, new, class_name): a row for each source class of a class file, and 0 to NULL."""
-    rows = spark.read.option("multiLine", True).schema(CLASS_SCHEMA.elementType).json(path)
+def read_class_schema(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """(old, new, class_name): a row for each source class of a class file (one object a line, or with multi_line one array), and 0 to NULL."""
+    rows = spark.read.schema(CLASS_SCHEMA.elementType).option("multiLine", multi_line).json(path)
     out = rows.select(F.explode("original_classes").alias("o"), F.col("value").alias("new"), "class_name").select(F.col("o.value").alias("old"), "new", "class_name")
     return out.unionByName(spark.createDataFrame([(0, None, None)], "old int, new int, class_name string"))
 
