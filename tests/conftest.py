@@ -6,9 +6,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
@@ -32,26 +29,9 @@ def spark():
 @pytest.fixture(scope="session")
 def oracle():
     import duckdb
+    from helpers import SF
 
     c = duckdb.connect()
     for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return c
-
-
-def rows_of(pdf):
-    """Rows as sorted tuples of text, numbers to nine digits."""
-    import numpy as np
-    import pandas as pd
-
-    def text(x):
-        if x is None or x is pd.NA or x is pd.NaT or (isinstance(x, float) and np.isnan(x)):
-            return ""
-        if isinstance(x, (bool, np.bool_)):
-            return str(bool(x))
-        if isinstance(x, (int, float, np.integer, np.floating)):
-            return "%.9g" % float(x)
-        return str(list(x)) if isinstance(x, (list, np.ndarray)) else str(x)
-
-    cols = sorted(pdf.columns)
-    return cols, sorted(tuple(text(x) for x in r) for r in pdf[cols].itertuples(index=False, name=None))
