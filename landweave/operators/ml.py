@@ -86,12 +86,22 @@ def univariate_pvalues(long: DataFrame, rounds: int = 12, least: int = 10) -> Da
         v, d = F.col("w") * F.col("mu") * (1 - F.col("mu")), F.col("w") * (F.col("y") - F.col("mu"))
         sums = both.groupBy("task", "predictor").agg(*(F.sum(v * F.pow("z", F.lit(k))).alias(f"h{k}") for k in range(5)), *(F.sum(d * F.pow("z", F.lit(k))).alias(f"g{k}") for k in range(3)))
         step = beta.select("task", "predictor", "n", "m", "s", "quad", "b").join(sums, ["task", "predictor"])
-        beta = step.select("task", "predictor", "n", "m", "s", "quad", "b", *moments).mapInPandas(lambda it: map(solve, it), schema).cache()
+        beta = step.select("task", "predictor", "n", "m", "s", "quad", "b", *moments).mapInPandas(lambda it: map(solve, it), schema)
+        beta = _kept(beta)
     t = lambda k: F.abs(F.try_divide(F.col("b")[k], F.col("se")[k]))
     p = lambda x: F.least(F.lit(1.0), 2 / (1 + F.exp(F.least(F.lit(700.0), 1.5976 * x + 0.07056 * x * x * x))))
     return beta.select("task", "predictor", "n", F.when(F.col("quad"), F.greatest(p(t(1)), p(t(2)))).otherwise(p(t(1))).alias("p_value"), "b")
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A round's result computed once, so that plans don't grow: a checkpoint where a folder is set up, else cached."""
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint()
+    df = df.cache()
+    df.count()
+    return df
+
+
 def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
     """(a, b, r) of all pairs on rows where both are known; one pass."""
     pairs = list(itertools.combinations(cols, 2))

@@ -167,8 +167,8 @@ def change_quantities(cells: DataFrame, col: str, rates: DataFrame, pct: DataFra
 
 
 def shortlist(probs: DataFrame, quantities: DataFrame, prune: float = 10.0) -> DataFrame:
-    """The best prune * n cells of each transition, by probability and then cell."""
-    best = F.row_number().over(Window.partitionBy("from_v", "to_v").orderBy(F.col("p").desc(), "cell_id"))
+    """The best prune * n cells of each transition, by probability (to twelve digits) and then cell."""
+    best = F.row_number().over(Window.partitionBy("from_v", "to_v").orderBy(F.round("p", 12).desc(), "cell_id"))
     rows = probs.filter("p > 0").join(quantities.select("from_v", "to_v", "n"), ["from_v", "to_v"])
     return rows.withColumn("rank", best).filter(F.col("rank") <= F.col("n") * prune).drop("n")
 
