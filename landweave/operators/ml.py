@@ -105,7 +105,8 @@ def _kept(df: DataFrame) -> DataFrame:
 def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
     """(a, b, r) of all pairs on rows where both are known; one pass."""
     pairs = list(itertools.combinations(cols, 2))
-    one = df.agg(*(F.corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))).alias(f"{a}|{b}") for a, b in pairs))
+    both = lambda a, b: F.when(F.col(b).isNotNull(), F.col(a))
+    one = df.agg(*(F.try_divide(F.covar_pop(both(a, b), both(b, a)), F.stddev_pop(both(a, b)) * F.stddev_pop(both(b, a))).alias(f"{a}|{b}") for a, b in pairs))
     rows = one.select(F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.nanvl(F.col(f"`{a}|{b}`"), F.lit(None).cast("double")).alias("r")) for a, b in pairs))).alias("x"))
     return rows.select("x.*")
 

@@ -213,7 +213,7 @@ def _(t):
 _FULL = "(SELECT * FROM climate WHERE (cell_id, ssp) IN (SELECT (cell_id, ssp) FROM climate GROUP BY cell_id, ssp HAVING COUNT(DISTINCT gcm) = 5))"
 
 
-@query("c1_ensemble_yearly", f"WITH g AS (SELECT cell_id, ssp, gcm, AVG(tasmin) AS a, AVG(tasmax) AS b, SUM(pr) AS c, AVG(rsds) AS d FROM {_FULL} GROUP BY 1, 2, 3) SELECT cell_id, ssp, round(AVG(a), 6) AS tasmin, round(AVG(b), 6) AS tasmax, round(AVG(c), 6) AS pr, round(AVG(d), 6) AS rsds FROM g GROUP BY 1, 2")
+@query("c1_ensemble_yearly", f"WITH g AS (SELECT cell_id, ssp, gcm, AVG(tasmin) AS a, AVG(tasmax) AS b, SUM(pr) AS c, AVG(rsds) AS d FROM {_FULL} GROUP BY 1, 2, 3) SELECT cell_id, ssp, round(AVG(a), 9) AS tasmin, round(AVG(b), 9) AS tasmax, round(AVG(c), 9) AS pr, round(AVG(d), 9) AS rsds FROM g GROUP BY 1, 2", digits=9)
 def _(t):
     return C.ensemble_yearly(t.climate, GCMS)
 
@@ -224,7 +224,7 @@ def _(t):
     return C.ensemble_monthly(t.climate, GCMS)
 
 
-@query("c3_historic_layers", "SELECT cell_id, variable, round(CASE WHEN variable = 'pr' THEN SUM(value) ELSE AVG(value) END, 6) AS value FROM (SELECT cell_id, month, unnest(['tasmin', 'tasmax', 'pr', 'rsds']) AS variable, unnest([tasmin, tasmax, pr, rsds]) AS value FROM climate WHERE gcm = 'gcm1' AND ssp = 'R') GROUP BY 1, 2")
+@query("c3_historic_layers", "SELECT cell_id, variable, round(CASE WHEN variable = 'pr' THEN SUM(value) ELSE AVG(value) END, 9) AS value FROM (SELECT cell_id, month, unnest(['tasmin', 'tasmax', 'pr', 'rsds']) AS variable, unnest([tasmin, tasmax, pr, rsds]) AS value FROM climate WHERE gcm = 'gcm1' AND ssp = 'R') GROUP BY 1, 2", digits=9)
 def _(t):
     return C.historic_layers(t.climate.filter("gcm = 'gcm1' AND ssp = 'R'"))
 
@@ -235,19 +235,19 @@ def _(t):
     return C.missing_gcms(t.climate.filter("tasmax > 28"), ["cell_id", "ssp", "month"], GCMS)
 
 
-@query("c5_monthly_climatology", "SELECT cell_id, month, round(AVG(rsds), 6) AS rsds, COUNT(rsds) AS n_files FROM climate GROUP BY 1, 2 HAVING COUNT(rsds) >= 2")
+@query("c5_monthly_climatology", "SELECT cell_id, month, round(AVG(rsds), 9) AS rsds, COUNT(rsds) AS n_files FROM climate GROUP BY 1, 2 HAVING COUNT(rsds) >= 2", digits=9)
 def _(t):
     return C.monthly_climatology(t.climate, "rsds")
 
 
 @query("c6_et0_turc", """WITH m AS (SELECT cell_id, month, AVG(tasmin) AS a, AVG(tasmax) AS b, AVG(rsds) AS r FROM climate GROUP BY 1, 2), e AS (SELECT cell_id, month, CASE WHEN (a + b) / 2 > 0 THEN ((a + b) / 2) / ((a + b) / 2 + 15) ELSE 0 END * (0.3107::DOUBLE * r + 0.65::DOUBLE) * day(last_day(make_date(2001, month, 1))) AS e FROM m)
- SELECT cell_id, round(SUM(e), 6) AS et0 FROM e GROUP BY 1 HAVING COUNT(*) = 12""")
+ SELECT cell_id, round(SUM(e), 9) AS et0 FROM e GROUP BY 1 HAVING COUNT(*) = 12""", digits=9)
 def _(t):
     m = t.climate.groupBy("cell_id", "month").agg(*(F.avg(c).alias(c) for c in ("tasmin", "tasmax", "rsds")))
     return C.et0_turc(m)
 
 
-@query("c7_quick_stats", "SELECT ssp, month, round(MIN(pr), 6) AS min, round(AVG(pr), 6) AS mean, round(MAX(pr), 6) AS max FROM climate GROUP BY 1, 2")
+@query("c7_quick_stats", "SELECT ssp, month, round(MIN(pr), 9) AS min, round(AVG(pr), 9) AS mean, round(MAX(pr), 9) AS max FROM climate GROUP BY 1, 2", digits=9)
 def _(t):
     return C.quick_stats(t.climate, ["ssp", "month"], "pr")
 
