@@ -21,7 +21,7 @@ KINDS = {"byte_bpe_50k.json": "prefix", "word_bpe_49k.json": "dropped"}
 _CONTROL = r"[\x1c-\x1f]"
 #: White space right before a space would make the two one token with "prefix".
 _RUN = _CONTROL + r"|[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
-_SLICE_BYTES = 4 << 20
+_SLICE_BYTES = 2 << 20
 
 
 def vocabulary(name: str) -> str:
@@ -33,7 +33,7 @@ def vocabulary(name: str) -> str:
 class Codec:
     """Ids of texts. path: a tokenizers JSON file; kind: see KINDS; memo: pieces held at most."""
 
-    def __init__(self, path: str, kind: str | None = None, memo: int = 1_200_000):
+    def __init__(self, path: str, kind: str | None = None, memo: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
