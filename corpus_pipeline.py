@@ -25,7 +25,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by five-word shingles at 0.8, the document with the least doc_id stays."""
+    """Of each group linked by five-word shingles at 0.8, the document with the least doc_id stays.
+
+    Rows that share a doc_id are one document: they stay or go together.
+    """
     found = jaccard_components(docs, k=5, threshold="0.8")
     stays = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("__stays")).distinct()
     return docs.join(stays, docs["doc_id"].eqNullSafe(stays["__stays"]), "left_semi")
