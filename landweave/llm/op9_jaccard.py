@@ -242,8 +242,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: str = "0.8", id_c
     pairs = saved(pairs.select("token", "n", "at", "n2", "at2"), "sum-pairs")
     left = pairs.join(at.select("token", "n", "at", F.col("grp").alias("g1"), F.col("low").alias("l1"), F.col("high").alias("h1")), ["token", "n", "at"])
     right = at.select("token", F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("grp").alias("g2"), F.col("low").alias("l2"), F.col("high").alias("h2"))
-    found = left.join(right, ["token", "n2", "at2"]).filter((F.least("l1", "l2") != F.greatest("h1", "h2")) & (F.col("g1") <= F.col("g2")))
-    found = saved(found.select("g1", "g2").distinct(), "group-pairs")
+    found = left.join(right, ["token", "n2", "at2"]).filter(F.least("l1", "l2") != F.greatest("h1", "h2"))
+    # of different sums only one order is there, whichever of the two groups has the larger id
+    found = saved(found.select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct(), "group-pairs")
     m = lambda x: label.select(F.col("grp").alias(f"g{x}"), F.col("rep").alias("ab"[x - 1]), F.col("c").alias(f"c{x}"))
     inner = label.join(span.filter("low <> high"), "grp").select(F.col("grp").alias("g1"), F.col("grp").alias("g2")).distinct()
     second = found.union(inner).distinct().join(m(1), "g1").join(m(2), "g2").filter("c1 <> c2 and a <> b")

@@ -246,6 +246,29 @@ def test_jaccard_components(odd, odd_rows, empty, k, t):
         assert op9.jaccard_components(empty).count() == 0
 
 
+@pytest.mark.parametrize("ids", [(1, 2, 3, 4), (2, 1, 3, 4), (4, 3, 2, 1), (3, 4, 1, 2)])
+def test_jaccard_links_past_shorter_hubs(spark, ids):
+    w = [f"w{k}" for k in range(1, 15)]
+    rows = [(d, " ".join(x)) for d, x in zip(ids, (w, w[:13], w[:8], w[5:13]), strict=True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(map(tuple, op9.jaccard_components(docs, 4, "0.85").collect()))
+    assert got == linked(rows, 4, Fraction("0.85"))
+
+
+def test_jaccard_random_excerpts(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = []
+    for _ in range(60):
+        whole = [f"w{rnd.randint(0, 400)}" for _ in range(rnd.randint(12, 40))]
+        rows += [whole, whole[: -rnd.randint(1, 2)], whole[: len(whole) // 2], whole[len(whole) // 3 :], whole[rnd.randint(1, 2) :]]
+    rnd.shuffle(rows)
+    rows = [(i, " ".join(x)) for i, x in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, op9.jaccard_components(docs, 4, "0.85").collect())) == linked(rows, 4, Fraction("0.85"))
+
+
 @pytest.mark.parametrize("size", [13, 5, 2])
 def test_substrings(odd, odd_rows, empty, size):
     first = {}
