@@ -69,6 +69,13 @@ def _(t):
     return t.cells.filter(F.col("cell_id").between(100, 5000)).join(t.mask.select("cell_id"), "cell_id", "left_semi").select("cell_id", "region")
 
 
+@query("p9_range_and_list_whole")
+def _(t):
+    ends = t.cells.agg(F.min("cell_id").alias("first"), F.max("cell_id").alias("last"))
+    inside = t.cells.crossJoin(F.broadcast(ends)).filter("cell_id BETWEEN first AND last")
+    return inside.join(t.mask.select("cell_id"), "cell_id", "left_semi").select("cell_id", "region")
+
+
 @query("p10_complete_cases", "SELECT region, COUNT(*) AS n_before, CAST(SUM(CASE WHEN x5 IS NOT NULL AND x1 IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_after FROM predictors GROUP BY region")
 def _(t):
     return G.complete_cases(t.predictors, ["x1", "x5"], ["region"])
@@ -200,6 +207,14 @@ def _(t):
     return G.extend(t.cells, inside, ["lulc_2022"])
 
 
+@query("g3_extend_trim_whole")
+def _(t):
+    box = G.bounding_box(t.mask)
+    height = box.first()["row_max"] or 0
+    inside = G.full_grid(t.spark, height, 100).crossJoin(F.broadcast(box)).filter("row BETWEEN row_min AND row_max AND col BETWEEN col_min AND col_max").select("cell_id", "row", "col")
+    return G.extend(t.cells, inside, ["lulc_2022"])
+
+
 _UP = "(SELECT CAST(floor((row - 1) / 3.0) AS INT) + 1 AS r, CAST(floor((col - 1) / 3.0) AS INT) + 1 AS c, * FROM cells)"
 
 
@@ -229,6 +244,11 @@ def _(t):
     return G.finer(t.cells, 2, "elevation", "bilinear").filter("row <= 40")
 
 
+@query("g4_resample_bilinear_whole")
+def _(t):
+    return G.finer(t.cells, 2, "elevation", "bilinear")
+
+
 @query("g5_extract", "SELECT m.cell_id, c.lulc_2022 AS lulc, round(x1, 6) AS x1 FROM mask AS m LEFT JOIN cells AS c ON c.cell_id = m.cell_id LEFT JOIN predictors AS p ON p.cell_id = m.cell_id")
 def _(t):
     return G.extract(t.mask.select("cell_id"), {"lulc": (t.cells, "lulc_2022"), "x1": (t.predictors, "x1")})

@@ -70,6 +70,11 @@ def _(t):
     return D.distance_to(t.cells.filter("cell_id % 3 = 0"), t.cells.filter("lulc_2022 = 106 AND cell_id % 11 = 0"), 30.0)
 
 
+@query("g14_distance_whole")
+def _(t):
+    return D.distance_to(t.cells, t.cells.filter("lulc_2022 = 106"), 30.0)
+
+
 @query("g15_fill_nearest", """WITH gap AS (SELECT o_orderkey + 1 AS cell_id, CAST(FLOOR(o_orderkey / 100.0) AS INT) + 1 AS row, CAST(o_orderkey % 100 AS INT) + 1 AS col FROM orders WHERE o_custkey % 10 = 0 AND o_orderkey % 5 = 0),
  z AS (SELECT row, col, lulc_2022 AS zone FROM cells WHERE cell_id % 13 = 0),
  d AS (SELECT g.cell_id, zone, MIN(pow(g.row - z.row, 2) + pow(g.col - z.col, 2)) AS sq FROM gap AS g, z GROUP BY 1, 2)
@@ -80,11 +85,23 @@ def _(t):
     return D.fill_nearest(gaps, t.cells.filter("cell_id % 13 = 0").select("row", "col", F.col("lulc_2022").alias("zone")), "zone")
 
 
+@query("g15_fill_nearest_whole")
+def _(t):
+    key = F.col("o_orderkey")
+    gaps = t.orders.filter("o_custkey % 10 = 0").select((key + 1).alias("cell_id"), (F.floor(key / 100) + 1).cast("int").alias("row"), (key % 100 + 1).cast("int").alias("col"))
+    return D.fill_nearest(gaps, t.cells.select("row", "col", F.col("lulc_2022").alias("zone")), "zone")
+
+
 @query("g16_within_buffer", f"SELECT DISTINCT c.cell_id FROM cells AS c JOIN {_FEAT} AS f ON pow(c.row - f.row, 2) + pow(c.col - f.col, 2) <= 9 WHERE c.cell_id % 2 = 0")
 def _(t):
     return D.within_buffer(t.cells.filter("cell_id % 2 = 0"), t.cells.filter("lulc_2022 = 106 AND cell_id % 11 = 0"), 3.0)
 
 
+@query("g16_within_buffer_whole")
+def _(t):
+    return D.within_buffer(t.cells, t.cells.filter("lulc_2022 = 106"), 3.0)
+
+
 _RAST = """e AS (SELECT poly_id, x AS x1, y AS y1, COALESCE(lead(x) OVER w, first(x) OVER w) AS x2, COALESCE(lead(y) OVER w, first(y) OVER w) AS y2 FROM polygons WINDOW w AS (PARTITION BY poly_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
  cov AS (SELECT c.cell_id, e.poly_id FROM cells AS c JOIN e ON (y1 > c.row - 0.5) <> (y2 > c.row - 0.5) AND c.col - 0.5 < x1 + (c.row - 0.5 - y1) * (x2 - x1) / (y2 - y1) GROUP BY 1, 2 HAVING COUNT(*) % 2 = 1)"""
 
