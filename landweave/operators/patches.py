@@ -161,17 +161,47 @@ def landscape_level(labelled: DataFrame, res: float = 1.0) -> DataFrame:
     return total.crossJoin(F.broadcast(con)).select("np", (F.col("np") / (t * res * res)).alias("pd"), (1 - F.col("sq") / (t * t.cast("double"))).alias("division"), (F.col("sq") / t * res * res).alias("mesh"), (t * t.cast("double") / F.col("sq")).alias("split"), (F.col("like") * 100.0 / (4 * t)).alias("pladj"), F.when(F.col("m") > 1, (1 + F.col("h") / (2 * F.ln(F.col("m").cast("double")))) * 100).alias("contag"))
 
 
-def enn_metrics(labelled: DataFrame, radius: float) -> DataFrame:
-    """Mean, SD and CV of the distance between the nearest cells of patches of a class, for neighbours up to radius cells."""
+def enn_metrics(labelled: DataFrame, radius: float, whole: bool = False) -> DataFrame:
+    """Mean, SD and CV of the distance between the nearest cells of patches of a class, for neighbours up to radius cells.
+
+    whole: patches that found none, of classes with two patches or more, look again up to twice the radius until
+    all have a neighbour.
+    """
     k = float(radius)
     b = lambda c: F.floor(F.col(c) / k)
     four = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(c).alias("dc")) for a, c in ((0, 1), (1, 0), (0, -1), (-1, 0))))
     around = labelled.select("class", "patch", (F.col("row")).alias("r"), F.col("col").alias("c"), F.explode(four).alias("o")).select("patch", (F.col("r") + F.col("o.dr")).alias("row"), (F.col("c") + F.col("o.dc")).alias("col"))
     inside = labelled.join(around, ["patch", "row", "col"]).groupBy("cell_id").agg(F.count("*").alias("n")).filter("n = 4")
     rim = labelled.join(inside, "cell_id", "left_anti")
+    if whole:
+        rim = _kept(rim)
     nine = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     here = rim.select("class", "patch", F.col("row").alias("r1"), F.col("col").alias("c1"), b("row").alias("br"), b("col").alias("bc"))
     there = rim.select("class", F.col("patch").alias("p2"), F.col("row").alias("r2"), F.col("col").alias("c2"), F.explode(nine).alias("o"), b("row").alias("b1"), b("col").alias("b2")).select("class", "p2", "r2", "c2", (F.col("b1") + F.col("o.i")).alias("br"), (F.col("b2") + F.col("o.j")).alias("bc"))
     sq = (F.col("r1") - F.col("r2")) ** 2 + (F.col("c1") - F.col("c2")) ** 2
     near = here.join(there, ["class", "br", "bc"]).filter((F.col("patch") != F.col("p2")) & (sq <= k * k)).groupBy("class", "patch").agg(F.sqrt(F.min(sq)).alias("enn"))
+    if whole:
+        ids = rim.select("class", "patch").distinct()
+        several = ids.groupBy("class").count().filter("count > 1").select("class")
+        near = _kept(near)
+        left = _kept(ids.join(several, "class").join(near, ["class", "patch"], "left_anti"))
+        while not left.isEmpty():
+            k *= 2
+            more = _kept(_near_blocks(rim, left, k, nine))
+            near = near.unionByName(more)
+            left = _kept(left.join(more, ["class", "patch"], "left_anti"))
     return near.groupBy("class").agg(F.count("*").alias("n"), F.avg("enn").alias("enn_mn"), F.stddev_pop("enn").alias("enn_sd"), (F.stddev_pop("enn") / F.avg("enn") * 100).alias("enn_cv"))
+
+
+def _near_blocks(rim: DataFrame, left: DataFrame, k: float, nine) -> DataFrame:
+    """(class, patch, enn) of the patches of left that have another within k; cells meet only where blocks of two patches do, so a patch's cells never meet their own."""
+    cells = rim.withColumns({"br": F.floor(F.col("row") / k), "bc": F.floor(F.col("col") / k)})
+    mine = cells.join(left, ["class", "patch"], "left_semi")
+    blocks = cells.select("class", F.col("patch").alias("p2"), F.col("br").alias("b1"), F.col("bc").alias("b2")).distinct()
+    asks = mine.select("class", "patch", "br", "bc").distinct().select("*", F.explode(nine).alias("o")).select("class", "patch", "br", "bc", (F.col("br") + F.col("o.i")).alias("b1"), (F.col("bc") + F.col("o.j")).alias("b2"))
+    pairs = asks.join(blocks, ["class", "b1", "b2"]).filter(F.col("patch") != F.col("p2"))
+    own = mine.select("patch", "br", "bc", F.col("row").alias("r1"), F.col("col").alias("c1"))
+    other = cells.select(F.col("patch").alias("p2"), F.col("br").alias("b1"), F.col("bc").alias("b2"), F.col("row").alias("r2"), F.col("col").alias("c2"))
+    sq = (F.col("r1") - F.col("r2")) ** 2 + (F.col("c1") - F.col("c2")) ** 2
+    met = pairs.join(own, ["patch", "br", "bc"]).join(other, ["p2", "b1", "b2"])
+    return met.filter(sq <= k * k).groupBy("class", "patch").agg(F.sqrt(F.min(sq)).alias("enn"))

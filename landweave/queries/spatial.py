@@ -205,7 +205,7 @@ def _(t):
 @query("a24_enn", f"""WITH {_patch_sql("lulc_2022")}, d AS (SELECT c.class, c.patch, sqrt(MIN(pow(c.row - n.row, 2) + pow(c.col - n.col, 2))) AS enn FROM lab AS c JOIN lab AS n ON n.class = c.class AND n.patch <> c.patch AND n.row BETWEEN c.row - 12 AND c.row + 12 AND pow(c.row - n.row, 2) + pow(c.col - n.col, 2) <= 144 GROUP BY 1, 2)
  SELECT class, COUNT(*) AS n, round(AVG(enn), 6) AS enn_mn, round(stddev_pop(enn), 6) AS enn_sd, round(stddev_pop(enn) / AVG(enn) * 100, 6) AS enn_cv FROM d GROUP BY 1""")
 def _(t):
-    return P.enn_metrics(P.patches(t.cells, "lulc_2022", 8), 12)
+    return P.enn_metrics(P.patches(t.cells, "lulc_2022", 8), 12, whole=True)
 
 
 _PRIO = "(SELECT c.cell_id, elevation FROM cells AS c WHERE cell_id NOT IN (SELECT cell_id FROM mask) AND lulc_2022 <> 105)"

@@ -86,3 +86,23 @@ def test_bilinear_past_row_40(spark, small, maps):
     want = pd.DataFrame(rows, columns=["row", "col", "value"])
     assert want["row"].max() > 40
     same(spark, small, "g4_resample_bilinear_whole", want)
+
+
+def test_nearest_patches_at_any_distance(spark):
+    from landweave.operators import patches
+
+    spots = {1: [(1, 1), (1, 4), (1, 200), (90, 7), (91, 7)], 2: [(5, 5), (400, 5)], 3: [(9, 9)], 4: [(20, c) for c in range(1, 80)] + [(20, 150), (70, 40)]}
+    rows = [(r * 1000 + c, r, c, v) for v, own in spots.items() for r, c in own]
+    labelled = patches.patches(spark.createDataFrame(rows, "cell_id long, row int, col int, v int"), "v", 8)
+    cells, want = labelled.toPandas(), []
+    for v, own in cells.groupby("class"):
+        near = []
+        for p in own["patch"].unique():
+            rest = own[own["patch"] != p]
+            if len(rest):
+                near.append(math.sqrt(squares(own[own["patch"] == p], rest).min()))
+        if near:
+            want.append((v, len(near), np.mean(near), np.std(near), np.std(near) / np.mean(near) * 100))
+    assert {w[0] for w in want} == {1, 2, 4}
+    got = patches.enn_metrics(labelled, 12, whole=True).toPandas()
+    assert rows_of(got.round(6)) == rows_of(pd.DataFrame(want, columns=got.columns).round(6))
