@@ -15,9 +15,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests, local mode)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; in local mode one of our own where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="landweave-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -36,6 +38,37 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts_for(df: DataFrame, col: str, each: int) -> int:
+    """How many parts of about so many bytes col has; spark.sql.shuffle.partitions at least."""
+    total = df.agg(F.sum(F.octet_length(col))).first()[0] or 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // each))
+
+
+class Scratch:
+    """Tables and folders of one job in the shared folder, each deleted once what was made of it is written itself.
+
+    Lineages end at written tables, so no task that is run again needs a deleted one.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def path(self, name: str) -> str:
+        self.paths[name] = scratch(self.spark, name)
+        return self.paths[name]
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        context = self.spark.sparkContext
+        for name in names:
+            path = context._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

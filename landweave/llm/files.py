@@ -27,16 +27,29 @@ def out_stream(uri: str):
     return where.open_output_stream(path)
 
 
-def flat(uri: str, dtype: str) -> np.ndarray:
-    """The flat array in a file; on a local or mounted path its pages are mapped, not read."""
-    path = local(uri)
-    if path is not None:
-        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
-    from pyarrow import fs
+class Flat:
+    """The flat array in a file, read by ranges; on a local or mounted path its pages are mapped, not read."""
 
-    where, path = fs.FileSystem.from_uri(uri)
-    with where.open_input_file(path) as f:
-        return np.frombuffer(f.read(), dtype)
+    def __init__(self, uri: str, dtype: str):
+        self.dtype, self.stream, path = np.dtype(dtype), None, local(uri)
+        if path is not None:
+            self.mapped = np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
+            self.size = len(self.mapped)
+        else:
+            from pyarrow import fs
+
+            where, path = fs.FileSystem.from_uri(uri)
+            self.stream = where.open_input_file(path)
+            self.size = self.stream.size() // self.dtype.itemsize
+
+    def __len__(self) -> int:
+        return self.size
+
+    def part(self, a: int, b: int) -> np.ndarray:
+        if self.stream is None:
+            return np.asarray(self.mapped[a:b])
+        wide = self.dtype.itemsize
+        return np.frombuffer(self.stream.read_at((b - a) * wide, a * wide), self.dtype)
 
 
 def read_folder(uri: str, columns: list[str]) -> dict[str, list]:

@@ -6,8 +6,9 @@ three flat little-endian files: `.ids` (unsigned, 16 bits if the vocabulary allo
 it) comes from a prefix sum over the parts' totals; `manifest.json` lists parts and bases.
 
 Defined results: a null text is an empty document (its end id alone); a null doc_id sorts first and is
-written as the smallest int64, read back as null; equal doc_ids stay as separate documents in any order;
-an empty table gives no parts. Other columns are not read. A task that is run again writes files of new
+written as the smallest int64, read back as null; equal doc_ids stay as separate documents in any order (and
+may lie in several parts); very long texts are encoded whole; an empty table gives no parts. Other columns
+are not read, whatever their names. A task that is run again writes files of new
 names, and only the files named by the run that Spark counts are listed in the manifest.
 """
 
@@ -24,11 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landweave.llm.common import scratch, table
-from landweave.llm.files import flat, out_stream
+from landweave.llm.common import parts_for, scratch, table
+from landweave.llm.files import Flat, out_stream
 from landweave.llm.tokens import codec, vocabulary
 
 NULL_ID = -(1 << 63)
+#: Bytes of text for a part, and ids that are read at once.
+PART_BYTES = 256 << 20
+READ_IDS = 4 << 20
 _PARTS = "part int, name string, dtype string, n_docs long, n_ids long"
 _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -46,12 +50,13 @@ class Part:
 def write_token_files(docs: DataFrame, out: str, tokenizer: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> list[Part]:
     """Write docs as token files under out, a folder that driver and executors share; returns the parts in order.
 
-    What the driver gets is one row for each part; texts are ranged by doc_id in one shuffle.
+    What the driver gets is one row for each part; texts are ranged by doc_id in one shuffle, rows of one
+    doc_id also by their text's hash, so that none of them need to meet in one task. The number of parts
+    grows with the bytes of text.
     """
-    spark = docs.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ranged = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    n = parts or parts_for(rows, "text", PART_BYTES)
+    ranged = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -98,14 +103,18 @@ def token_file_stats(spark: SparkSession, out: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for p in batch.to_pylist():
-                ids, off, doc = (flat(f"{out}/{p['name']}.{kind}", t) for kind, t in (("ids", p["dtype"]), ("off", "<i8"), ("doc", "<i8")))
-                for a in range(0, len(doc), 4096):
-                    b = min(a + 4096, len(doc))
-                    some, at = ids[off[a] : off[b]].astype("<u4"), (off[a : b + 1] - off[a]).tolist()
+                ids, off, doc = (Flat(f"{out}/{p['name']}.{kind}", t) for kind, t in (("ids", p["dtype"]), ("off", "<i8"), ("doc", "<i8")))
+                a = 0
+                while a < len(doc):
+                    some_off = off.part(a, min(a + 4096, len(doc)) + 1)
+                    n = max(1, int(np.searchsorted(some_off, some_off[0] + READ_IDS, "right")) - 1)
+                    some_off = some_off[: n + 1]
+                    some, at = ids.part(int(some_off[0]), int(some_off[-1])).astype("<u4"), (some_off - some_off[0]).tolist()
                     view = memoryview(some).cast("B") if len(some) else b""
                     crc = [zlib.crc32(view[4 * x : 4 * y]) for x, y in zip(at, at[1:], strict=False)]
-                    d = np.asarray(doc[a:b])
-                    yield pa.RecordBatch.from_arrays([pa.array(d, mask=d == NULL_ID), pa.array(p["base"] + np.asarray(off[a:b])), pa.array(np.diff(off[a : b + 1])), pa.array(crc, pa.int64())], schema=_READ)
+                    d = doc.part(a, a + n)
+                    yield pa.RecordBatch.from_arrays([pa.array(d, mask=d == NULL_ID), pa.array(p["base"] + some_off[:-1]), pa.array(np.diff(some_off)), pa.array(crc, pa.int64())], schema=_READ)
+                    a += n
 
     return rows.repartition(max(1, len(parts))).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -8,7 +8,9 @@ each place. Documents where a split could change ids are encoded whole.
 from __future__ import annotations
 
 import os
+import re
 from array import array
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +21,12 @@ import pyarrow.compute as pc
 KINDS = {"byte_bpe_50k.json": "prefix", "word_bpe_49k.json": "dropped"}
 #: Control characters that Python and the vocabularies may class differently as white space.
 _CONTROL = r"[\x1c-\x1f]"
+_BLANK = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: White space right before a space would make the two one token with "prefix".
-_RUN = _CONTROL + r"|[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
-_SLICE_BYTES = 2 << 20
+_RUN = _CONTROL + "|" + _BLANK + " "
+#: A line break beside white space or at an end isn't a token of its own with "prefix".
+_BREAKS = rf"{_BLANK}\n|\n{_BLANK}|^\n|\n$"
+_SLICE_BYTES = 4 << 20
 
 
 def vocabulary(name: str) -> str:
@@ -31,65 +36,72 @@ def vocabulary(name: str) -> str:
 
 
 class Codec:
-    """Ids of texts. path: a tokenizers JSON file; kind: see KINDS; memo: pieces held at most."""
+    """Ids of texts. path: a tokenizers JSON file; kind: see KINDS; memo: pieces in each of two generations.
 
-    def __init__(self, path: str, kind: str | None = None, memo: int = 400_000):
+    When the younger generation is full it becomes the older one, and what was in the older one goes, but
+    for pieces that came back meanwhile.
+    """
+
+    def __init__(self, path: str, kind: str | None = None, memo: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.kind = kind or KINDS.get(os.path.basename(path), "whole")
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.model = self.tok.model
+        # a token's name in a text (in any case: some are looked for after lower-casing) makes it go whole
+        names = "|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values())
+        self.named = f"(?i:{names})|" if names else ""
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(32, 256)}
         self.limit = memo
-        self.clear()
+        self.memo: dict[str, int] = {}
+        self.ids, self.ends = array("I"), array("q", [0])
+        self._age()
 
     @property
     def size(self) -> int:
         return self.tok.get_vocab_size(with_added_tokens=True)
 
-    def clear(self) -> None:
-        self.memo: dict[str, int] = {}
-        self.ids, self.ends = array("I"), array("q", [0])
+    def _age(self) -> None:
+        self.old, self.old_ids, self.old_ends = self.memo, self.ids, self.ends
+        self.memo, self.ids, self.ends = {}, array("I"), array("q", [0])
 
-    def _word(self, w: str, first: bool) -> list[int]:
-        """Ids of a word of letters below U+0100, through the model alone."""
-        w = w.lower() if self.kind == "dropped" else w if first else " " + w
-        return [t.id for t in self.model.tokenize(w.translate(self.bytes))]
+    def _made(self, key: str) -> list[int]:
+        """Ids of a piece; with "prefix", one that follows no space has a \\x01 before it.
 
-    def _piece(self, w: str, first: bool) -> list[int]:
-        """Ids of a piece: white space, runs of letters and the marks after them are tokens of their own."""
+        White space, runs of letters and the marks after them are tokens of their own. Words of letters
+        below U+0100 need the model alone. Marks part only from such a letter: others may end in a
+        combining sign once lower-cased, which belongs to the marks.
+        """
+        bare = key[:1] == "\x01"
+        w = key[1:] if bare else key
+        spaced = self.kind == "prefix" and not bare
         if w.isalpha():
             if max(w) < "Ā":
-                return self._word(w, first)
-        elif w[-1:] in (".", ",") and w[:-1].isalpha():
-            return [*self._get(self._entry(w[:-1], first)), *self._get(self._entry(w[-1], True))]
-        elif "\n" in w:
-            a, _, b = w.partition("\n")
-            if len(w.split()) == 2 and len(a.split()) == 1 and len(a) + len(b) + 1 == len("".join(w.split())) + 1:
-                mark = self._get(self._entry("\n", True)) if self.kind == "prefix" else []
-                return [*self._get(self._entry(a, first)), *mark, *self._get(self._entry(b, True))]
-        text = " " + w if self.kind == "prefix" and not first else w
-        return self.tok.encode(text, add_special_tokens=False).ids
+                w = w if self.kind == "prefix" else w.lower()
+                w = w if w.isascii() else w.translate(self.bytes)
+                return [t.id for t in self.model.tokenize(self.bytes[32] + w if spaced else w)]
+        elif (n := len(w.rstrip(punctuation))) and n < len(w) and w[n - 1].isalpha() and w[n - 1] < "Ā":
+            return [*self._get(self._entry(key[: n - len(w)])), *self._get(self._entry("\x01" * (self.kind == "prefix") + w[n:]))]
+        return self.tok.encode(" " + w if spaced else w, add_special_tokens=False).ids
 
     def _get(self, k: int) -> array:
         return self.ids[self.ends[k] : self.ends[k + 1]]
 
-    def _entry(self, w: str, first: bool = False) -> int:
-        key = "\x01" + w if first and self.kind == "prefix" else w
-        k = self.memo.get(key)
-        if k is None:
-            got = self._piece(w, first)
-            k = len(self.ends) - 1
-            self.ids.extend(got)
-            self.ends.append(len(self.ids))
-            if "\n" not in w:  # such pairs of words seldom come back
-                self.memo[key] = k
+    def _new(self, key: str) -> int:
+        k = self.old.get(key)
+        got = self._made(key) if k is None else self.old_ids[self.old_ends[k] : self.old_ends[k + 1]]
+        self.ids.extend(got)
+        self.ends.append(len(self.ids))
+        self.memo[key] = k = len(self.ends) - 2
         return k
 
+    def _entry(self, key: str) -> int:
+        k = self.memo.get(key)
+        return self._new(key) if k is None else k
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (uint32), and how many each text has; null: none."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -104,22 +116,28 @@ class Codec:
         return np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got])
 
     def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        n = len(texts)
-        # the memo's own keys begin with a control character, so such texts go whole as well
-        odd = np.ones(n, bool) if self.kind == "whole" else pc.match_substring_regex(texts, (_RUN if self.kind == "prefix" else _CONTROL) + r"|[\x00\x01]").to_numpy(zero_copy_only=False)
+        n, prefix = len(texts), self.kind == "prefix"
+        # keys of pieces may begin with a control character, so such texts go whole as well
+        odd = np.ones(n, bool) if self.kind == "whole" else pc.match_substring_regex(texts, self.named + (_RUN if prefix else _CONTROL) + r"|[\x00\x01]").to_numpy(zero_copy_only=False)
         if odd.all():
             return self._whole(texts)
         plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
+        if prefix:
+            parted = pc.replace_substring(plain, "\n", " \x01\n \x01")
+            plain = pc.if_else(pc.match_substring_regex(plain, _BREAKS), plain, parted)
+        else:
+            plain = pc.replace_substring(plain, "\n", " ")
         parts = pc.split_pattern(plain, " ")
         starts = np.asarray(parts.offsets)[: n + 1].astype(np.int64)
         starts -= starts[0]
         coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False)
-        if len(self.ends) + len(words) > 2 * self.limit or len(self.memo) + len(words) > self.limit:
-            self.clear()
-        entry = np.fromiter(map(self._entry, words), np.int64, len(words))[coded.indices.to_numpy()]
-        if self.kind == "prefix":
-            entry[starts[:-1]] = [self._entry(words[k], True) for k in coded.indices.to_numpy()[starts[:-1]]]
+        words, index = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+        if len(self.ends) + len(words) > self.limit:
+            self._age()
+        found = list(map(self.memo.get, words))
+        entry = np.array([self._entry(w) if k is None else k for w, k in zip(words, found, strict=True)], np.int64)[index]
+        if prefix:
+            entry[starts[:-1]] = [self._entry("\x01" + words[k]) for k in index[starts[:-1]]]
         ids, ends = np.frombuffer(self.ids, np.uint32), np.frombuffer(self.ends, np.int64)
         begin = ends[entry]
         count = ends[entry + 1] - begin
