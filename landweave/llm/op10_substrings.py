@@ -1,21 +1,24 @@
 """Substring dedup: word windows repeated across documents, found level by level.
 
-The first level looks at windows of half the asked length (rounded up). Of the short windows inside a long
-one only the one of the least hash counts, so equal long windows meet at the same short one, and about a
-quarter of all places are looked at. Only where a short window occurs in several documents is it extended
-to (about) twice its length, which is the asked one; longer windows would cover no other words, so there
-are no candidates beyond.
+Lengths double from level to level up to the asked one (7 and 13 words; 7, 13, 25 and 50). At each level
+only windows are looked at whose parts were found in several documents at the level before; of the windows
+inside one of the next length only the one of the least hash counts, so equal longer windows meet at the same
+shorter one, and about a quarter of all places are looked at. Levels end at the asked length, since longer
+windows would cover no other words, or as soon as no window is found in several documents.
 
 Documents are handled in chunks that have a fixed place in their files, so that each level reads the
-documents where they lie, without a shuffle of texts: a chunk sends each of its different hashes once (one
-that all documents share costs a row for each chunk, not for each document) to the bucket of the hash, and
-a bucket answers with the hashes that other documents have as well. Answers are a table in the shared
-folder with one folder for each chunk, from which a task reads its own chunk's part.
+documents where they lie, without a shuffle of texts: a chunk sends its different hashes (one that all
+documents share costs a row for each chunk, not for each document) to the bucket of the hash, and a bucket
+answers with the hashes that other documents have as well. Answers are a table in the shared folder with one
+folder for each chunk, from which a task reads its own chunk's part. A chunk holds about CHUNK_BYTES of
+text by the average length, a task sends whenever it holds SEND_HASHES, and the number of buckets grows with the
+bytes of text, so what a task holds doesn't grow with the input.
 
 Defined results: null or empty text has no words; a text shorter than the window keeps all words; a window
 that repeats only inside its document stays; rows of one doc_id count as one document; a null doc_id
-counts as smallest; an empty table gives no rows; other columns are not read. Hashes have 64 bits: two
-different windows would have to share one for a wrong removal.
+counts as smallest; very long texts are handled whole; an empty table gives no rows; other columns are not
+read, whatever their names. Hashes have 64 bits: two different windows would have to share one for a wrong
+removal.
 """
 
 from __future__ import annotations
@@ -30,35 +33,62 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landweave.llm.common import saved, scratch, table
+from landweave.llm.common import Scratch, saved, table
 from landweave.llm.files import read_folder
 from landweave.llm.words import Words, hashed, slices
 
 NULL_ID = -(1 << 63)
-#: Rows of a file that form a chunk.
-CHUNK_ROWS = 8192
+#: Bytes of text in a chunk of a file (by the average length), at most so many rows; hashes that are sent
+#: together; bytes of text whose hashes meet in one bucket; words of the first level at most.
+CHUNK_BYTES, CHUNK_ROWS = 24 << 20, 8192
+SEND_HASHES = 4 << 20
+BUCKET_BYTES = 32 << 20
+FIRST = 8
 _SENT = "bucket int, chunk long, h binary, doc binary"
+_FOUND = "chunk long, h binary, doc binary"
 _OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text and chunk; documents that don't come straight from files are written first."""
+def placed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
+    """doc_id, text and chunk; rows and bytes of text in all. Documents that don't come straight from files are written first."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    where = F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / CHUNK_ROWS)).alias("chunk")
     try:
-        return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), where)
+        docs.select(F.col("_metadata.row_index"))
     except AnalysisException:
-        return saved(rows, "substring-docs").select("doc_id", "text", where)
+        docs = saved(rows, "placed-docs")
+        id_col, text_col = "doc_id", "text"
+    n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()
+    some = max(16, min(CHUNK_ROWS, CHUNK_BYTES * n // max(size, 1)))
+    where = F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / some))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), where.alias("chunk")), n, size
 
 
-def anchors(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of size words: whether it lies in one text, and the least hash of the half-size windows in it."""
-    half = -(-size // 2)
-    short, inside = w.windows(half), w.inside(size)
-    least = short[: len(inside)].copy()
-    for j in range(1, size - half + 1):
-        np.minimum(least, short[j : j + len(inside)], out=least)
-    return inside, least
+def buckets_for(spark: SparkSession, size: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
+
+
+def lengths(size: int) -> list[int]:
+    """Window lengths by level, about double from each to the next, up to size."""
+    out = [size]
+    while out[0] > FIRST or len(out) == 1:
+        out.insert(0, -(-out[0] // 2))
+    return out
+
+
+def least_inside(short: np.ndarray, more: int) -> np.ndarray:
+    """From each place on, the least of more + 1 values."""
+    n = max(0, len(short) - more)
+    least = short[:n].copy()
+    for j in range(1, more + 1):
+        np.minimum(least, short[j : j + n], out=least)
+    return least
+
+
+def all_inside(ok: np.ndarray, more: int) -> np.ndarray:
+    """From each place on, whether all of more + 1 hold."""
+    total = np.append(0, np.cumsum(~ok))
+    n = max(0, len(ok) - more)
+    return total[more + 1 : more + 1 + n] == total[:n]
 
 
 def summed(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,53 +133,62 @@ def chunks_of(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
             yield int(chunk[a]), batch.slice(a, b - a)
 
 
-def send(rows: DataFrame, size: int, answers: str | None, buckets: int) -> DataFrame:
-    """Each chunk's different hashes by bucket: anchors, or the whole windows of anchors that answers has."""
+class Outbox:
+    """Different hashes of a chunk with their documents, by bucket."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back, own, held, docs_held = Answers(answers), None, [], []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if held:
-                h, low, high = summed(np.concatenate(held), np.concatenate(docs_held))
-                more = low != high  # sent with both documents: its bucket sees that it repeats
-                h, doc = np.concatenate([h, h[more]]), np.concatenate([low, high[more]])
-                to = (h >> np.uint64(33)).astype(np.int64) % buckets
-                order = np.argsort(to, kind="stable")
-                cut = np.searchsorted(to[order], np.arange(buckets + 1))
-                full = np.flatnonzero(np.diff(cut))
-                parts = [order[cut[b] : cut[b + 1]] for b in full]
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([own] * len(full), pa.int64()), pa.array([h[p].tobytes() for p in parts], pa.binary()), pa.array([doc[p].tobytes() for p in parts], pa.binary())], names=["bucket", "chunk", "h", "doc"])
-            held.clear()
-            docs_held.clear()
+    def __init__(self, buckets: int):
+        self.buckets, self.chunk, self.held, self.n = buckets, None, [], 0
+
+    def add(self, chunk: int, h: np.ndarray, doc: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if chunk != self.chunk or self.n > SEND_HASHES:
+            yield from self.flush()
+            self.chunk = chunk
+        h, low, high = summed(h, doc)
+        more = low != high  # sent with both documents: its bucket sees that it repeats
+        self.held.append((np.concatenate([h, h[more]]), np.concatenate([low, high[more]])))
+        self.n += len(h)
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.n:
+            h, low, high = summed(*(np.concatenate(x) for x in zip(*self.held, strict=True)))
+            more = low != high
+            h, doc = np.concatenate([h, h[more]]), np.concatenate([low, high[more]])
+            to = (h >> np.uint64(33)).astype(np.int64) % self.buckets
+            order = np.argsort(to, kind="stable")
+            cut = np.flatnonzero(np.append(True, np.diff(to[order]) != 0))
+            parts = np.split(order, cut[1:])
+            yield pa.RecordBatch.from_arrays([pa.array(to[order][cut], pa.int32()), pa.array([self.chunk] * len(cut), pa.int64()), pa.array([h[p].tobytes() for p in parts], pa.binary()), pa.array([doc[p].tobytes() for p in parts], pa.binary())], names=["bucket", "chunk", "h", "doc"])
+        self.held, self.n = [], 0
 
+
+def send(rows: DataFrame, sizes: list[int], level: int, answers: str | None, buckets: int) -> DataFrame:
+    """Each chunk's different hashes by bucket: of the windows of this level that stand for one of the next (of the last: all) and whose parts were found."""
+    size, before = sizes[level], sizes[level - 1] if level else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        back, out = Answers(answers), Outbox(buckets)
         for batch in batches:
             for chunk, part in chunks_of(batch):
-                if chunk != own:
-                    yield from flush()
-                    own = chunk
                 ids = part.column("doc_id").fill_null(NULL_ID).to_numpy()
                 for first, texts in slices(part.column("text")):
                     w = hashed(texts)
-                    inside, least = anchors(w, size)
-                    doc = ids[first + w.doc[: len(inside)]]
-                    if answers is None:
-                        inside[1:] &= (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | ~inside[:-1]
-                        h = least[inside]
-                    else:
-                        inside[inside] = among(least[inside], back.of(chunk)[0])[0]
-                        h = w.windows(size)[inside]
-                    h, low, high = summed(h, doc[inside])
-                    more = low != high
-                    held.append(np.concatenate([h, h[more]]))
-                    docs_held.append(np.concatenate([low, high[more]]))
-        yield from flush()
+                    ok, h = w.inside(size), w.windows(size)
+                    if level:
+                        ok[ok] = among(least_inside(w.windows(before), size - before)[ok], back.of(chunk)[0])[0]
+                    doc = ids[first + w.doc[: len(h)]]
+                    if level < len(sizes) - 1:
+                        more = sizes[level + 1] - size
+                        ok, h = all_inside(ok, more) & w.inside(size + more), least_inside(h, more)
+                        doc = doc[: len(h)]
+                        ok[1:] &= (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | ~ok[:-1]
+                    yield from out.add(chunk, h[ok], doc[ok])
+        yield from out.flush()
 
     return rows.mapInArrow(run, _SENT)
 
 
-def answer(sent: DataFrame, name: str) -> str:
-    """Path of the answers: for each chunk the hashes it sent that several documents have, with the least of them."""
+def answer(sent: DataFrame, path: str) -> None:
+    """Write to path, for each chunk, the hashes it sent that several documents have, with the least of them."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["h"]])
@@ -165,10 +204,8 @@ def answer(sent: DataFrame, name: str) -> str:
         found = {c: np.unique(np.concatenate(x)) for c, x in out.items()}
         return pd.DataFrame({"chunk": list(found), "h": [known[x].tobytes() for x in found.values()], "doc": [low[x].tobytes() for x in found.values()]})
 
-    path = scratch(sent.sparkSession, name)
-    found = sent.groupBy("bucket").applyInPandas(run, "chunk long, h binary, doc binary")
+    found = sent.groupBy("bucket").applyInPandas(run, _FOUND)
     found.repartition("chunk").write.partitionBy("chunk").parquet(path)
-    return path
 
 
 def repeated(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
@@ -176,10 +213,16 @@ def repeated(docs: DataFrame, size: int = 13, id_col: str = "doc_id", text_col:
     if size < 2:
         raise ValueError("windows have two words at least")
     spark = docs.sparkSession
-    rows = placed(docs, id_col, text_col)
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    short = answer(send(rows, size, None, buckets), "anchors")
-    return rows, answer(send(rows, size, short, buckets), "windows")
+    rows, _, total = placed(docs, id_col, text_col)
+    work, sizes, path = Scratch(spark), lengths(size), None
+    for level, n in enumerate(sizes):
+        before, path = path, work.path(f"windows-{n}")
+        answer(send(rows, sizes, level, before, buckets_for(spark, total)), path)
+        if before:
+            work.drop(f"windows-{sizes[level - 1]}")
+        if level < len(sizes) - 1 and spark.read.schema(_FOUND).parquet(path).isEmpty():
+            break
+    return rows, path
 
 
 def removed(w: Words, ids: np.ndarray, size: int, answers: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
