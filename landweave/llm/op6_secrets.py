@@ -1,19 +1,21 @@
 """Secret scans with DataFrame operations only: fixed kinds by pattern, and random-looking strings by a test battery.
 
-Candidates are runs of 24 and more characters of an encoding's alphabet that mix digits and letters. For
-each, under the hypothesis that it is random over the alphabet of its inferred encoding, three tests give
-p-values: chi-squared uniformity of its characters, runs above and below the middle of the alphabet, and
-the lag-one serial correlation of alphabet places. Three times the least of them is the battery's p-value.
-False-discovery control (Benjamini-Hochberg) over all candidates, apart for each class of encoding and
-length, tells which strings are certainly not random: at most a share q of those dismissed would be random
-ones. The others are reported as kind `random`, unless a fixed kind's span already covers a part of them.
+Candidates are runs of 24 and more characters of an encoding's alphabet that mix two of digits, small and
+capital letters. For each, under the hypothesis that it is random over the alphabet of its inferred encoding,
+three tests give p-values: chi-squared uniformity of its characters, runs above and below the middle of the
+alphabet, and the lag-one serial correlation of alphabet places. Three times the least of them is the
+battery's p-value. False-discovery control (Benjamini-Hochberg) over all candidates, apart for each class of
+encoding and length, tells which strings are certainly not random: at most a share q of those dismissed would
+be random ones. So the control bounds what is missed; how many of the reported are secrets is measured on
+planted strings (README). The others are reported as kind `random`; of one that a fixed kind's span covers
+in part, the rest is.
 
 P-values are rounded up to 512 levels, so that the control needs counts by class and level alone (at most
 3 x 8 x 512 of them), never a sort of all candidates.
 
-Defined results: null or empty text has no spans; spans are in code points, end exclusive; the same string
-in several documents is a candidate each time; equal rows give equal spans; an empty table gives no rows;
-columns of the input other than text pass through where documents are asked for.
+Defined results: null or empty text has no spans; spans are in code points, end exclusive; very long texts are
+scanned whole; the same string in several documents is a candidate each time; equal rows give equal spans;
+an empty table gives no rows; columns of the input pass through, but for one named spans, which is replaced.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 MIN_VALUE = 6
+SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{24,}"
 #: Encodings by the characters of a candidate: alphabet in order, and the pattern that infers it, first match first.
@@ -41,23 +44,52 @@ ENCODINGS = (
 LEVELS = 512
 
 
+#: Matches whose places are summed up together.
+BLOCK = 256
+
+
+def sums_before(gaps: Column) -> Column:
+    """Places of matches from (gap before it, own length) of each: running sums within blocks, and over the blocks."""
+    none = F.array().cast("array<int>")
+
+    def within(rows: Column, step) -> Column:
+        return F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda s, x: F.struct((s["at"] + step(x)[0]).alias("at"), F.concat(s["out"], F.array(s["at"] + step(x)[1])).alias("out")))
+
+    inner = lambda rows: within(rows, lambda x: (x["gap"] + x["own"], x["gap"]))
+
+    def blocked(rows: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / BLOCK).cast("int")), lambda k: inner(F.slice(rows, k * BLOCK + 1, BLOCK)))
+        return bound(parts, lambda p: F.flatten(F.zip_with(p, within(p, lambda x: (x["at"], F.lit(0)))["out"], lambda one, before: F.transform(one["out"], lambda at: at + before))))
+
+    return bound(gaps, lambda rows: F.when(F.size(rows) <= BLOCK, inner(rows)["out"]).otherwise(blocked(rows)))
+
+
 def spans_of(text: Column, pattern: str, kind: str) -> Column:
     """Leftmost non-overlapping matches as an array of (start, kind, end, value): texts between matches give their places."""
     order = KINDS.index(kind)
     found, between = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
     value = F.regexp_extract_all(text, F.lit(pattern), 2) if kind == "assign" else found
     size = F.zip_with(F.transform(between, F.char_length), F.transform(found, F.char_length), lambda gap, own: F.struct(gap.alias("gap"), F.coalesce(own, F.lit(0)).alias("own")))
+    return bound(sums_before(size), lambda start: F.zip_with(F.slice(start, 1, F.size(found)), F.arrays_zip(found.alias("m"), value.alias("v")), lambda a, m: F.struct(a.alias("start"), F.lit(order).alias("kind"), (a + F.char_length(m["m"])).alias("end"), m["v"].alias("value"))))
 
-    def located(rows: Column) -> Column:
-        # ends of all gaps and matches so far, by a running sum that keeps one array
-        start = F.aggregate(rows, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda s, x: F.struct((s["at"] + x["gap"] + x["own"]).alias("at"), F.concat(s["out"], F.array(s["at"] + x["gap"])).alias("out")))["out"]
-        return F.zip_with(F.slice(start, 1, F.size(found)), F.arrays_zip(found.alias("m"), value.alias("v")), lambda a, m: F.struct(a.alias("start"), F.lit(order).alias("kind"), (a + F.char_length(m["m"])).alias("end"), m["v"].alias("value")))
 
-    return bound(size, located)
+def outside(c: Column, spans: Column) -> Column:
+    """The parts of span c that no span of spans (by start) covers."""
+    met = F.filter(spans, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
+    piece = lambda a, b: F.struct(a.alias("start"), c["kind"].alias("kind"), b.alias("end"), F.substring(c["value"], a - c["start"] + 1, b - a).alias("value"))
+    none = F.array().cast(SPANS)
+
+    def step(s: Column, x: Column) -> Column:
+        more = F.when(x["start"] > s["at"], F.array(piece(s["at"], x["start"]))).otherwise(none)
+        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], more).alias("out"))
+
+    done = F.aggregate(met, F.struct(c["start"].alias("at"), none.alias("out")), step)
+    rest = bound(done, lambda d: F.concat(d["out"], F.when(d["at"] < c["end"], F.array(piece(d["at"], c["end"]))).otherwise(none)))
+    return F.when(F.size(met) == 0, F.array(c)).otherwise(rest)
 
 
 def or_none(cond: Column, spans: Column) -> Column:
-    return F.when(cond, spans).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>"))
+    return F.when(cond, spans).otherwise(F.array().cast(SPANS))
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -127,15 +159,15 @@ def level(p: Column) -> Column:
 
 
 def scored(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with spans (fixed kinds, in order) and candidates (span, encoding, class, level), row by row."""
+    """docs with __spans (fixed kinds, in order) and __candidates (span, encoding, class, level), row by row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = base_spans(text)
     spans = F.array_sort(F.concat(*base.values()))
-    mixes = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")
-    raw = or_none(text.rlike(CANDIDATE), F.filter(spans_of(text, CANDIDATE, "random"), mixes))
-    free = F.filter("__raw", lambda c: ~F.exists("spans", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
-    judged = F.transform("__free", lambda c: bound(battery(c["value"]), lambda b: F.struct(c.alias("span"), b["encoding"].alias("encoding"), length_class(c["end"] - c["start"]).alias("size"), level(b["p"]).alias("level"))))
-    return docs.withColumns({"spans": spans, "__raw": raw}).withColumn("__free", free).withColumn("candidates", judged).drop("__raw", "__free")
+    classes = lambda v: sum((v.rlike(p).cast("int") for p in ("[a-z]", "[A-Z]")), v.rlike("[0-9]").cast("int"))
+    raw = or_none(text.rlike(CANDIDATE), F.filter(spans_of(text, CANDIDATE, "random"), lambda s: classes(s["value"]) >= 2))
+    open_ = F.filter("__raw", lambda c: ~F.exists("__spans", lambda s: (s["start"] <= c["start"]) & (c["end"] <= s["end"])))
+    judged = F.transform("__open", lambda c: bound(battery(c["value"]), lambda b: F.struct(c.alias("span"), b["encoding"].alias("encoding"), length_class(c["end"] - c["start"]).alias("size"), level(b["p"]).alias("level"))))
+    return docs.withColumns({"__spans": spans, "__raw": raw}).withColumn("__open", open_).withColumn("__candidates", judged).drop("__raw", "__open")
 
 
 def dismissed_levels(candidates: DataFrame, q: float) -> list[tuple[int, int, int]]:
@@ -148,15 +180,15 @@ def dismissed_levels(candidates: DataFrame, q: float) -> list[tuple[int, int, in
     return [tuple(r) for r in found.collect()]
 
 
-def find_secrets(docs: DataFrame, q: float = 0.05, text_col: str = "text") -> DataFrame:
+def find_secrets(docs: DataFrame, q: float = 0.05, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """docs with spans: an array of (start, kind, end, value), kind a number in KINDS, by start and kind.
 
-    The driver gets one level for each class of encoding and length, 24 at most.
+    What is found is written once, with the columns of docs (or those in keep alone: without the text that is
+    little). The driver gets one level for each class of encoding and length, 24 at most.
     """
-    clash = [c for c in ("spans", "candidates") if c in docs.columns]
-    rows = docs.drop(*clash)
-    rows = saved(scored(rows, text_col).withColumn("__no", F.lit(0)), "secret-spans")
-    bounds = dismissed_levels(rows.select(F.explode("candidates").alias("c")).select("c.encoding", "c.size", "c.level"), q)
+    keep = [c for c in (docs.columns if keep is None else keep) if c != "spans"]
+    rows = saved(scored(docs, text_col).select(*(F.col(f"`{c}`") for c in keep), "__spans", "__candidates", F.lit(0).alias("__no")), "secret-spans")
+    bounds = dismissed_levels(rows.select(F.explode("__candidates").alias("c")).select("c.encoding", "c.size", "c.level"), q)
 
     def random(c: Column) -> Column:
         out = F.lit(True)
@@ -164,8 +196,8 @@ def find_secrets(docs: DataFrame, q: float = 0.05, text_col: str = "text") -> Da
             out = out & ~((c["encoding"] == e) & (c["size"] == size) & (c["level"] >= least))
         return out
 
-    more = F.transform(F.filter("candidates", random), lambda c: c["span"])
-    return rows.withColumn("spans", F.array_sort(F.concat("spans", more))).drop("candidates", "__no")
+    more = F.flatten(F.transform(F.filter("__candidates", random), lambda c: outside(c["span"], F.col("__spans"))))
+    return rows.withColumn("spans", F.array_sort(F.concat("__spans", more))).drop("__spans", "__candidates", "__no")
 
 
 def joined(spans: Column) -> Column:
@@ -174,17 +206,28 @@ def joined(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """text with every span replaced by a mark; spans that overlap get one mark together."""
+    """text with every span replaced by a mark; spans that overlap or touch get one mark together.
+
+    Spans become the stretches they cover, and the kept pieces between these are joined by the mark.
+    """
+    none = F.array().cast("array<struct<a:int,b:int>>")
+
     def step(s: Column, x: Column) -> Column:
-        gap = F.when(x["start"] >= s["at"], F.concat(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit("<secret>"))).otherwise("")
+        gap = F.when((x["start"] > s["at"]) | (F.size(s["out"]) == 0), F.array(F.struct(s["at"].alias("a"), x["start"].alias("b")))).otherwise(none)
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], gap).alias("out"))
 
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    return F.when(F.size(spans) == 0, text).otherwise(bound(done, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.char_length(text)))))
+    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), none.alias("out")), step)
+    kept = bound(done, lambda d: F.concat(d["out"], F.array(F.struct(d["at"].alias("a"), F.char_length(text).alias("b")))))
+    return F.when(F.size(spans) == 0, text).otherwise(F.array_join(F.transform(kept, lambda p: F.substring(text, p["a"] + 1, p["b"] - p["a"])), "<secret>"))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return digest(find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"]))
+
+
+def digest(found: DataFrame) -> DataFrame:
+    """doc_id, counts by kind, a hash of the fixed kinds' spans, and all spans as text."""
+    found = saved(found.select("doc_id", "spans"), "spans")
     base = F.filter("spans", lambda s: s["kind"] < 3)
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count(3).alias("n_random"))
