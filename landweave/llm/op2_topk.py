@@ -6,23 +6,26 @@ norms known, the inner product at most the sum of m * (a * b + s * t). Within a
 of candidates this bound is taken coarse to fine (4, then 16 segments); exact integer products are
 made only for pairs whose bounds reach the query's k-th best score so far.
 
-Blocks of queries meet blocks of candidates in pairs, each pair a row group of its own; a pair gives at
-most k rows for each query, and the last step keeps the k best of them. Block sizes are fixed, so a task's memory
-is; work is queries times candidates, as an exact search of a stated query set is.
+Blocks of queries meet blocks of candidates in pairs. Blocks are bounded in bytes, whatever the vectors'
+length, and hold the narrowest integers that fit; candidates are also dealt finely enough for all cores. A
+task takes several blocks of candidates for one block of queries and hands the k best scores from one to the
+next, so later blocks are pruned more; it gives at most k rows for each query, and the last step keeps the k
+best of these. A block of candidates is moved once for each block of queries: with a set of queries that
+grows with the table that grows as its square over QUERY_BYTES, as the work of an exact search does anyway.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no part; vectors
 of another length than the query's are no candidates; ties go to the smaller id; a row of the query's own
 id is no candidate, nor is a null id; rows of one id each count; scores are exact while products fit in 64
-bits; an empty table gives no rows. Only the two named columns are read.
+bits; very long vectors are blocks of their own; an empty table gives no rows. Only the two named columns
+are read, whatever others there are.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +33,10 @@ from pyspark.sql import functions as F
 from landweave.llm.common import saved, table
 
 LEVELS = (4, 16)
+#: Bytes of a block of candidates and of queries, blocks of candidates that a task takes for one of queries, and queries at once.
+BLOCK_BYTES, QUERY_BYTES = 16 << 20, 4 << 20
+CHAIN = 8
+AT_ONCE = 128
 
 
 def scaled(vector: Column, scale: float) -> Column:
@@ -42,8 +49,14 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & ~bad, F.lit(False))
 
 
-def blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """(block, dim, ids, vectors) with at most rows vectors of one length each; blocks are numbered within a partition."""
+def narrow(x: np.ndarray) -> np.ndarray:
+    """x in the narrowest integers that hold it."""
+    most = int(max(x.max(initial=0), -x.min(initial=0)))
+    return x.astype(next(t for t in (np.int16, np.int32, np.int64) if most <= np.iinfo(t).max))
+
+
+def blocks(vectors: DataFrame, most_bytes: int, rows: int | None = None) -> DataFrame:
+    """(block, dim, wide, ids, vectors) of one length each, most_bytes at most (or one vector), and at most rows vectors; numbered within a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -55,21 +68,24 @@ def blocks(vectors: DataFrame, rows: int) -> DataFrame:
             nonlocal no
             ids, own = held.pop(dim)
             no += 1
-            return pa.RecordBatch.from_pydict({"block": pa.array([part * 65536 + no], pa.int64()), "dim": pa.array([dim], pa.int32()), "ids": pa.array([np.array(ids, np.int64).tobytes()], pa.large_binary()).cast(pa.binary()), "vectors": pa.array([np.concatenate(own).tobytes()], pa.binary())})
+            x = narrow(np.concatenate(own))
+            return pa.RecordBatch.from_pydict({"block": pa.array([(part << 32) + no], pa.int64()), "dim": pa.array([dim], pa.int32()), "wide": pa.array([x.itemsize], pa.int32()), "ids": pa.array([np.array(ids, np.int64).tobytes()], pa.binary()), "vectors": pa.array([x.tobytes()], pa.binary())})
 
         for batch in batches:
             lists = batch.column("v")
             flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
-            for i, (vec_id, end, dim) in enumerate(zip(batch.column("id").to_pylist(), ends.tolist(), lists.value_lengths().to_pylist(), strict=True)):
+            for vec_id, end, dim in zip(batch.column("id").to_pylist(), ends.tolist(), lists.value_lengths().to_pylist(), strict=True):
                 ids, own = held.setdefault(dim, ([], []))
                 ids.append(vec_id)
-                own.append(flat[end - dim : end])
-                if len(ids) >= rows:
+                own.append(flat[end - dim : end].copy())
+                if len(ids) * dim * 8 >= most_bytes or (rows and len(ids) >= rows):
                     yield out(dim)
+            while sum(len(i) * d * 8 for d, (i, _) in held.items()) > 2 * most_bytes:  # many lengths side by side
+                yield out(max(held, key=lambda d: len(held[d][0]) * d))
         for dim in list(held):
             yield out(dim)
 
-    return vectors.mapInArrow(run, "block long, dim int, ids binary, vectors binary")
+    return vectors.mapInArrow(run, "block long, dim int, wide int, ids binary, vectors binary")
 
 
 def segment_stats(x: np.ndarray, segments: int) -> np.ndarray:
@@ -88,52 +104,83 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return q @ x.T
 
 
-def block_topk(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[np.ndarray]:
-    """For each query the positions of its k best candidates in this block, and their scores."""
-    fq, fx = q.astype(np.float64), x.astype(np.float64)
-    slack = 1e-9 * np.outer(np.linalg.norm(fq, axis=1), np.linalg.norm(fx, axis=1).max(initial=0)) + 1e-6
-    coarse = segment_stats(fq, LEVELS[0]) @ segment_stats(fx, LEVELS[0]).T + slack
-    fine_q, fine_x = segment_stats(fq, LEVELS[1]), segment_stats(fx, LEVELS[1])
+@dataclass
+class Block:
+    """Vectors with their ids and segment statistics, made once."""
+
+    ids: np.ndarray
+    x: np.ndarray
+
+    def __post_init__(self) -> None:
+        f = self.x.astype(np.float64)
+        self.norms = np.linalg.norm(f, axis=1)
+        self.coarse, self.fine = segment_stats(f, LEVELS[0]), segment_stats(f, LEVELS[1])
+
+
+def block_topk(q: Block, at: slice, c: Block, k: int, known: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query of q[at] the positions of its k best candidates in c, and their scores; known: scores that others reached already (least allowed)."""
+    slack = 1e-9 * q.norms[at] * c.norms.max(initial=0) + 1e-6
+    coarse = q.coarse[at] @ c.coarse.T + slack[:, None]
     out = []
-    for i in range(len(q)):
-        other = ids != q_ids[i]
-        first = np.argpartition(-coarse[i], min(4 * k, len(ids) - 1))[: 4 * k]
+    for i, j in enumerate(range(*at.indices(len(q.ids)))):
+        own, other = q.x[j : j + 1], c.ids != q.ids[j]
+        first = np.argpartition(-coarse[i], min(4 * k, len(c.ids) - 1))[: 4 * k]
         first = first[other[first]]
-        done = exact(q[i : i + 1], x[first])[0]
-        at_least = np.sort(done)[-k] if len(done) >= k else None
-        left = np.flatnonzero(other) if at_least is None else np.flatnonzero(other & (coarse[i] >= at_least))
-        if at_least is not None and len(left) > k:
-            left = left[fine_x[left] @ fine_q[i] + slack[i, 0] >= at_least]
-        scores = exact(q[i : i + 1], x[left])[0]
-        best = np.lexsort((ids[left], -scores))[:k]
+        done = exact(own, c.x[first])[0]
+        least = max(known[j], np.sort(done)[-k] if len(done) >= k else known[j])
+        left = np.flatnonzero(other & (coarse[i] >= least))
+        if len(left) > k:
+            left = left[c.fine[left] @ q.fine[j] + slack[i] >= least]
+        scores = exact(own, c.x[left])[0]
+        best = np.lexsort((c.ids[left], -scores))[:k]
         out.append((left[best], scores[best]))
     return out
 
 
-def topk(vectors: DataFrame, queries: Column, k: int = 10, scale: float = 1024.0, id_col: str = "vec_id", vector_col: str = "embedding", query_rows: int = 1024, rows: int = 16384) -> DataFrame:
+def topk(vectors: DataFrame, queries: Column, k: int = 10, scale: float = 1024.0, id_col: str = "vec_id", vector_col: str = "embedding", block_bytes: int = BLOCK_BYTES, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all vectors for each row where queries holds."""
+    spark = vectors.sparkSession
     good = vectors.filter(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
     made = good.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col), scale).alias("v"), queries.alias("asked"))
-    all_blocks = saved(blocks(made.select("id", "v"), rows), "vector-blocks")
+    n, asked_size = made.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("asked"), F.size("v") * 8)), F.lit(0))).first()
+    all_blocks = saved(blocks(made.select("id", "v"), block_bytes, max(1024, n // spark.sparkContext.defaultParallelism)), "vector-blocks")
     asked = made.filter("asked").select("id", "v")
-    n = asked.count()
-    asked_blocks = saved(blocks(asked.coalesce(max(1, math.ceil(n / query_rows))), query_rows), "query-blocks")
-    left = asked_blocks.select(F.col("block").alias("q"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    right = all_blocks.select(F.col("block").alias("x"), "ids", "vectors")
-    pair = saved(asked_blocks.select(F.col("block").alias("q"), "dim").join(all_blocks.select(F.col("block").alias("x"), "dim"), "dim"), "block-pairs")
-    both = pair.join(left, "q").join(right, "x").select("dim", "q_ids", "q_vectors", "ids", "vectors")
-    both = both.repartition(max(1, pair.count()))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    asked_blocks = saved(blocks(asked.coalesce(max(1, asked_size // query_bytes)), query_bytes), "query-blocks")
+    own = lambda df, x: df.select(F.col("block").alias(x), "dim", *(F.col(c).alias(f"{x}_{c}") for c in ("wide", "ids", "vectors")))
+    pair = asked_blocks.select(F.col("block").alias("q"), "dim").join(all_blocks.select(F.col("block").alias("x"), "dim"), "dim")
+    pair = saved(pair.withColumn("chain", F.pmod(F.xxhash64("x"), F.lit(max(1, all_blocks.count() // CHAIN)))), "block-pairs")
+    both = pair.join(own(asked_blocks, "q").drop("dim"), "q").join(own(all_blocks, "x").drop("dim"), "x")
+    chains = max(1, pair.select("q", "chain").distinct().count())
+    both = both.repartition(chains, "q", "chain").sortWithinPartitions("q", "chain")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, q, best = None, None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if best:
+                size = [len(i) for i, _ in best]
+                yield pa.RecordBatch.from_pydict({"query_id": np.repeat(q.ids, size), "vec_id": np.concatenate([i for i, _ in best]), "score": np.concatenate([s for _, s in best])})
+
+        def block(r: dict, x: str) -> Block:
+            return Block(np.frombuffer(r[f"{x}_ids"], np.int64), np.frombuffer(r[f"{x}_vectors"], f"i{r[f'{x}_wide']}").reshape(-1, r["dim"]).astype(np.int64))
+
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                q_ids, ids = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.ids, np.int64)
-                q, x = np.frombuffer(r.q_vectors, np.int64).reshape(-1, r.dim), np.frombuffer(r.vectors, np.int64).reshape(-1, r.dim)
-                for a in range(0, len(q), 128):
-                    got = block_topk(q_ids[a : a + 128], q[a : a + 128], ids, x, k)
-                    yield pd.DataFrame({"query_id": np.repeat(q_ids[a : a + 128], [len(p) for p, _ in got]), "vec_id": ids[np.concatenate([p for p, _ in got])], "score": np.concatenate([s for _, s in got])})
-
-    found = both.mapInPandas(run, "query_id long, vec_id long, score long")
+            for i in range(batch.num_rows):
+                r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                if now != (r["q"], r["chain"]):
+                    yield from out()
+                    now, q = (r["q"], r["chain"]), block(r, "q")
+                    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q.ids)
+                c = block(r, "x")
+                known = np.array([s[-1] if len(s) >= k else np.iinfo(np.int64).min for _, s in best])
+                for a in range(0, len(q.ids), AT_ONCE):
+                    for j, (at, scores) in enumerate(block_topk(q, slice(a, a + AT_ONCE), c, k, known), a):
+                        ids, s = np.concatenate([best[j][0], c.ids[at]]), np.concatenate([best[j][1], scores])
+                        top = np.lexsort((ids, -s))[:k]
+                        best[j] = ids[top], s[top]
+        yield from out()
+
+    found = both.mapInArrow(run, "query_id long, vec_id long, score long")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
