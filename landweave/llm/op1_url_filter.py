@@ -3,11 +3,13 @@
 Labelled outcomes of pages are shrunk from the top down: a suffix's rate towards the rate of all outcomes,
 a registered domain's towards its suffix's, a host's towards its domain's. Each level is a beta-binomial
 whose prior strength comes from the spread of its rates (method of moments). A host is blocked when the
-upper bound of its posterior good rate lies below a threshold, so little evidence never blocks.
+upper bound of its posterior good rate lies below a threshold, so little evidence never blocks; the bound
+is the normal approximation of the beta posterior's tail. Levels are taken without user and port.
 
-Defined results: a null URL or one without `://` has empty host and path; hosts without outcomes take
-their parents' prior; outcome rows that repeat count as often as they occur, null outcomes not at all;
-empty tables give no rows. Only the named columns are read.
+Defined results: a null URL or one without `://` has empty host and path, and all of these share the empty
+host's reputation; hosts without outcomes take their parents' prior; outcome rows that repeat count as often
+as they occur, null outcomes not at all; repeated pages are judged each; very long URLs are handled whole;
+empty tables give no rows. Only the named columns are read, whatever others there are.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 
 from landweave.llm.common import lower_ascii, saved, table
 
-#: Suffixes of two labels below which names are registered; others are the last label.
-TWO_LABELS = ("ac.uk", "co.jp", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
+#: Some public suffixes of two labels, below which names are registered; others are the last label. A whole table can be given.
+SUFFIXES = ("ac.uk", "co.jp", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
 
 
 @dataclass(frozen=True)
@@ -46,15 +48,28 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABELS), two).otherwise(F.substring_index(host, ".", -1))
+def bare_host(host: Column) -> Column:
+    """Host without user and port."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
 
 
-def domain_of(host: Column) -> Column:
-    """The suffix and one label more; an IPv4 address is its own domain."""
-    three, two = F.substring_index(host, ".", -3), F.substring_index(host, ".", -2)
-    return F.when(host.rlike(r"^[0-9.]+(:[0-9]+)?$"), host).when(two.isin(*TWO_LABELS), three).otherwise(two)
+def with_levels(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """hosts (host) with suffix and domain: the suffix and one label more; an IPv4 address is its own domain.
+
+    suffixes: a table of public suffixes (suffix) of several labels; of those that fit a host the longest counts.
+    """
+    labels = F.split(F.col("__name"), r"\.")
+    tail = lambda k: F.array_join(F.slice(labels, F.greatest(F.size(labels) - k + 1, F.lit(1)), k), ".")
+    rows = hosts.withColumn("__name", bare_host(F.col("host")))
+    if suffixes is None:
+        rows = rows.withColumn("suffix", F.when(tail(F.lit(2)).isin(*SUFFIXES), tail(F.lit(2))).otherwise(tail(F.lit(1))))
+    else:
+        known = suffixes.select(F.col("suffix").alias("__suffix")).distinct()
+        tails = rows.select("host", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), tail)).alias("__suffix"))
+        best = tails.join(known, "__suffix").groupBy("host").agg(F.max_by("__suffix", F.char_length("__suffix")).alias("__best"))
+        rows = rows.join(best, "host", "left").withColumn("suffix", F.coalesce("__best", tail(F.lit(1)))).drop("__best")
+    domain = F.when(F.col("__name").rlike(r"^[0-9.]+$"), F.col("__name")).otherwise(tail(F.size(F.split("suffix", r"\.")) + 1))
+    return rows.withColumn("domain", domain).drop("__name")
 
 
 def rule_for(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column, Column]:
@@ -66,14 +81,14 @@ def rule_for(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Colum
     return text, verdict
 
 
-def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
-    """Posterior of every host in outcomes (host, good: 1, 0 or null): host, n, good, rate, bound (upper).
+def host_reputation(outcomes: DataFrame, z: float = 1.645, suffixes: DataFrame | None = None) -> DataFrame:
+    """Posterior of every host in outcomes (host, good: 1, 0 or null): host, pages, n, good, rate, bound (upper).
 
     Driver: three numbers for each of three levels. Rows are added up on their own partitions before any
     shuffle, so a host with a third of all rows costs no more than another.
     """
-    hosts = outcomes.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good"))
-    hosts = saved(hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "hosts")
+    hosts = outcomes.groupBy("host").agg(F.count("*").alias("pages"), F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good"))
+    hosts = saved(with_levels(hosts, suffixes), "hosts")
     total = hosts.agg(F.sum("n"), F.sum("good")).first()
     root = (total[1] + 1) / (total[0] + 2) if total[0] else 0.5
 
@@ -99,20 +114,25 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     own = hosts.join(domains.select("domain", "suffix", F.col("rate").alias("prior")), ["domain", "suffix"])
     k = strength(own, "prior")
     rate, n = F.col("rate"), F.col("n") + k
-    return shrunk(own, k).select("host", "n", "good", "rate", F.least(F.lit(1.0), rate + z * F.sqrt(rate * (1 - rate) / (n + 1))).alias("bound"))
+    return shrunk(own, k).select("host", "pages", "n", "good", "rate", F.least(F.lit(1.0), rate + z * F.sqrt(rate * (1 - rate) / (n + 1))).alias("bound"))
 
 
-def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
+def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5, suffixes: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, rate and bound of every page (page_id, url).
 
-    outcomes: page_id, good (1, 0). A rule decides alone; else the host's bound does.
+    outcomes: page_id, good (1, 0). A rule decides alone; else the host's bound does. Hosts with over a
+    thousandth of all pages are under a thousand, so their bounds are broadcast; the others meet in a join.
     """
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     labelled = urls.select("page_id", "host").join(outcomes.select("page_id", "good"), "page_id", "left")
-    known = host_reputation(labelled)
+    known = saved(host_reputation(labelled, suffixes=suffixes).select("host", "pages", "rate", "bound"), "reputation")
+    hot = F.col("pages") * 1000 > (known.agg(F.sum("pages")).first()[0] or 0)
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     by_bound = F.when(F.col("bound") < threshold, "block").otherwise("allow")
-    return urls.join(known.select("host", "rate", "bound"), "host", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_bound).alias("verdict"), "rate", "bound")
+    near = urls.join(F.broadcast(known.filter(hot).select("host", F.col("rate").alias("r"), F.col("bound").alias("b"))), "host", "left")
+    out = near.filter("b IS NOT NULL").withColumnsRenamed({"r": "rate", "b": "bound"})
+    out = out.unionByName(near.filter("b IS NULL").drop("r", "b").join(known.filter(~hot).drop("pages"), "host", "left"))
+    return out.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_bound).alias("verdict"), "rate", "bound")
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

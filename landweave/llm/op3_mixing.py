@@ -7,8 +7,8 @@ Documents are ordered by a seeded hash in bins, bins below the rate's remainder
 bin that straddles it a seeded share.
 
 Defined results: null text has size 0; a null source is a source of its own; sources without words get
-target 0; equal documents share their hash, so they are taken alike; an empty table gives no rows; other
-columns pass through untouched where documents are asked for.
+target 0; rows of one doc_id share their hash, so they are taken alike; very long texts count whole; an empty
+table gives no rows; other columns pass through untouched where documents are asked for, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,20 +25,21 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def water_fill(sources: DataFrame, total: float, epochs: float, max_rounds: int = 10_000) -> DataFrame:
-    """sources (source, source_size, weight) with target. Every round is one sum over the sources; the level only rises."""
+def water_fill(sources: DataFrame, total: float, epochs: float) -> DataFrame:
+    """sources (source, source_size, weight) with target. Every round is one sum over the sources; the level only rises.
+
+    Every round but the last clamps a source more, so there are at most as many rounds as sources, and one.
+    """
     cap = F.col("source_size") * F.lit(float(epochs))
     level = 0.0
-    for _ in range(max_rounds):
+    for _ in range(sources.count() + 2):
         full = cap <= F.col("weight") * F.lit(level)
         capped, open_weight = sources.agg(F.sum(F.when(full, cap)), F.sum(F.when(~full, F.col("weight")))).first()
-        if not open_weight:
-            break
-        now = (total - (capped or 0.0)) / open_weight
+        now = (total - (capped or 0.0)) / open_weight if open_weight else level
         if now <= level:
-            break
+            return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
         level = now
-    return sources.withColumn("target", F.least(cap, F.col("weight") * F.lit(level)))
+    raise RuntimeError("water level did not settle")
 
 
 def mix(sized: DataFrame, sources: DataFrame, seed: int = 17) -> DataFrame:

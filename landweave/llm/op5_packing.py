@@ -164,20 +164,20 @@ def pack(items: DataFrame, capacity: int, length_col: str = "length") -> DataFra
     inside each, both of which spread over the cluster; the driver gets one number for each size.
     """
     clash = [c for c in ("sequence_id", "offset") if c in items.columns]
-    rows = saved(items.drop(*clash).withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}), "pack-items")
-    size = F.col(length_col).cast("int")
-    per = rows.groupBy(size.alias("__size"), F.col("__part").alias("__p")).agg(F.count("*").alias("__n"))
+    rows = saved(items.drop(*clash).withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id(), "__size": F.col(length_col).cast("int")}), "pack-items")
+    per = rows.groupBy("__size", "__part").agg(F.count("*").alias("__n"))
     per = saved(per, "pack-sizes")
     counts = {r[0]: r[1] for r in per.groupBy("__size").agg(F.sum("__n")).collect()}
     if None in counts:
         raise ValueError("a length is null")
     slots = plan_packing(counts, capacity).slots()
     shared = items.sparkSession.sparkContext.broadcast(slots)
-    base = per.withColumn("__base", F.sum("__n").over(Window.partitionBy("__size").orderBy("__p")) - F.col("__n")).drop("__n")
-    rank = F.row_number().over(Window.partitionBy("__part", length_col).orderBy("__at")) - 1
-    ranked = rows.withColumn("__rank", rank).join(base, (F.col("__part") == F.col("__p")) & (size == F.col("__size")))
-    ranked = ranked.withColumn("__rank", F.col("__rank") + F.col("__base")).drop("__part", "__at", "__p", "__base")
-    keep = [c for c in rows.columns if c not in ("__part", "__at")]
+    base = per.withColumn("__base", F.sum("__n").over(Window.partitionBy("__size").orderBy("__part")) - F.col("__n")).drop("__n")
+    rank = F.row_number().over(Window.partitionBy("__part", "__size").orderBy("__at")) - 1
+    # the bases grow with the partitions, so they are merged, never broadcast; items stay dealt as for their rank
+    ranked = rows.withColumn("__rank", rank).join(base.hint("merge"), ["__part", "__size"])
+    ranked = ranked.withColumn("__rank", F.col("__rank") + F.col("__base")).drop("__part", "__at", "__base")
+    keep = [c for c in rows.columns if c not in ("__part", "__at", "__size")]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_of = shared.value
