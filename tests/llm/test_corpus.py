@@ -36,9 +36,7 @@ def test_same_rows_as_sql(spark, oracle, name):
 def tokenizer(name):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(vocabulary(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(vocabulary(name))
 
 
 def crc(ids):
@@ -60,7 +58,7 @@ def test_url_rules_and_reputation(spark):
 
 def test_topk_ties_bad_vectors_and_lengths(spark):
     vs = [(i, [float((i * 7 + j) % 5) / 4 for j in range(6)]) for i in range(60)] + [(200, None), (201, [1.0, None] * 3), (202, [float("nan")] * 6), (203, []), (300, [0.5] * 4), (400, [0.5] * 4)]
-    got = op2.topk(spark.createDataFrame(vs, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, k=5, rows=16, query_rows=2).collect()
+    got = op2.topk(spark.createDataFrame(vs, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, k=5, block_bytes=16 * 48, query_bytes=2 * 48).collect()
     good = {i: [math.floor(1024 * x) for x in v] for i, v in vs if v and all(x is not None and x == x for x in v)}
     want = []
     for q in (i for i in good if i % 20 == 0):
@@ -76,7 +74,8 @@ def test_topk_does_not_prune_near_ties():
     x = rnd.integers(-2000, 2000, (500, 33))
     x[100:200] = x[0]
     ids = np.arange(500)
-    for (at, score), q in zip(op2.block_topk(ids[:9], x[:9], ids, x, 10), range(9), strict=True):
+    known = np.full(9, np.iinfo(np.int64).min)
+    for (at, score), q in zip(op2.block_topk(op2.Block(ids[:9], x[:9]), slice(0, 9), op2.Block(ids, x), 10, known), range(9), strict=True):
         s = x @ x[q]
         want = sorted((-int(s[i]), int(i)) for i in ids if i != q)[:10]
         assert list(zip((-score).tolist(), ids[at].tolist(), strict=True)) == want
@@ -197,6 +196,28 @@ def test_random_strings_are_found_and_structured_ones_are_not(spark):
     assert sum(got[i] for i in range(60)) >= 54 and sum(got[100 + i] for i in range(60)) == 0
 
 
+PIECES = ["a", "B", "é", "İ", "ABİ", "TARİHİ", "ß", "Σ", "The", "It's", "don't", "12", "½", "ά", "日本", "한", "J\u030c", "\u0301", "🙂", "_", "--", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "|", "&&&", "\u00a0", "\u2003", "\u0085", "\x0b", "\x1c", "\x01", "\x00", "\t", "\r\n", "ª", "Ÿ"]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_codec_gives_the_ids_of_the_library(name):
+    import random
+
+    import pyarrow as pa
+
+    from landweave.llm.tokens import Codec
+
+    rnd, whole = random.Random(3), tokenizer(name)
+    coded = Codec(vocabulary(name), memo=300)
+    marks, gaps = [".", ",", "!", "...", ".,", "'", "'s", ")"], [" ", " ", " ", "", "\n", "\n", "  ", "\n\n", " \n", "\n ", "\t"]
+    texts = ["".join(rnd.choice(PIECES) + (rnd.choice(marks) if rnd.random() < 0.3 else "") + rnd.choice(gaps) for _ in range(rnd.randint(0, 8))) for _ in range(4000)]
+    texts += ["".join(rnd.choice(["word", "The", "été", "ABİ", "x"]) + rnd.choice(["", "", ".", ","]) + rnd.choice([" ", "\n"]) for _ in range(rnd.randint(0, 9))) + "end" for _ in range(4000)]
+    for a in range(0, len(texts), 400):
+        ids, counts = coded.encode(pa.array([*texts[a : a + 400], None]))
+        assert ids.tolist() == [i for t in texts[a : a + 400] for i in whole.encode(t, add_special_tokens=False).ids]
+        assert counts.tolist() == [len(whole.encode(t, add_special_tokens=False).ids) for t in texts[a : a + 400]] + [0]
+
+
 def test_token_files_round_trip(spark, odd, odd_rows, empty):
     t, out = tokenizer("word_bpe_49k.json"), scratch(spark, "files")
     op7.write_token_files(odd, out, vocabulary("word_bpe_49k.json"), end_id=2, parts=3)
@@ -222,6 +243,18 @@ def shingles(text, k):
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
 
+FIRST_SHORT = [f"w{k}" for k in range(24)]
+
+
+@pytest.mark.parametrize("ids", [(1, 2), (2, 1), (500, 600), (600, 500)])
+def test_jaccard_links_where_single_shingles_are_hubs(spark, ids):
+    """Nearly all shingles of two long documents also stand alone in short ones."""
+    rows = [(ids[0], " ".join(FIRST_SHORT)), (ids[1], " ".join(FIRST_SHORT[:-1]))]
+    rows += [(100 + i, " ".join(FIRST_SHORT[i : i + 4])) for i in range(21)]
+    got = Counter(map(tuple, op9.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, "0.85").collect()))
+    assert got == linked(rows, 4, Fraction("0.85"))
+
+
 def linked(rows, k, t):
     sets = [(r[0], shingles(r[1], k)) for r in rows]
     parent = {d: d for d, _ in sets}
@@ -269,7 +302,7 @@ def test_jaccard_random_excerpts(spark):
     assert Counter(map(tuple, op9.jaccard_components(docs, 4, "0.85").collect())) == linked(rows, 4, Fraction("0.85"))
 
 
-@pytest.mark.parametrize("size", [13, 5, 2])
+@pytest.mark.parametrize("size", [50, 13, 5, 2])
 def test_substrings(odd, odd_rows, empty, size):
     first = {}
     for r in odd_rows:
