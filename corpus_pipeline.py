@@ -2,7 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before kept; each result is
 written as Parquet to the shared folder and read back. All stages but the last return the columns of
-documents. A null text is empty: the quality rules reject it.
+documents, and further columns of any names with them.
+
+Defined results, for every stage: an empty table gives no rows; repeated rows stay repeated rows (unless a
+stage drops documents, then they go together); very long texts are handled whole. A null or empty text is
+rejected by the quality rules; later stages, on their own input, keep it: as a document without links,
+without secrets, of size 0 (never repeated) and of an end id alone. A null source is a source of its own.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from landweave.llm.tokens import vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail a rule go."""
+    """Documents that fail a rule go; equal texts are judged alike."""
     return keep_good(docs)
 
 
@@ -35,22 +40,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in texts give way to a mark; every document stays."""
-    found = find_secrets(docs)
-    text = redacted(F.col("text"), F.col("spans"))
-    changed = found.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.size("spans") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+    """Secrets in texts give way to a mark, and n_chars follows; every document stays, and so does a null text."""
+    other = {c: f"__c{i}" for i, c in enumerate(docs.columns) if c != "text"}
+    found, marked = find_secrets(docs.select("text", *(F.col(f"`{c}`").alias(x) for c, x in other.items()))), F.size("spans") > 0
+    # made once and kept apart: one projection must not hold the same long expression twice
+    made = found.select(*other.values(), marked.alias("__marked"), redacted(F.col("text"), F.col("spans")).alias("__text"))
+    new = {c: F.col(x) for c, x in other.items()} | {"text": F.col("__text")}
+    if "n_chars" in other:
+        new["n_chars"] = F.when(F.col("__marked"), F.char_length("__text").cast("long")).otherwise(new["n_chars"])
+    return made.select(*(new[c].alias(c) for c in docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its source's target asks for."""
+    """Every document as often as its source's target asks for; rows of one doc_id are taken alike."""
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their places in sequences of 2048."""
+    """Token pieces with their places in sequences of 2048; equal documents are packed each."""
     return pack(token_pieces(docs, vocabulary("byte_bpe_50k.json")), 2048)
 
 
