@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landweave.operators.distance import distance_to
+
 
 def steps_by_rank(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
     """step 1 to k by rank: groups of ceil(n / k) rows, so the last may be smaller."""
@@ -53,32 +58,54 @@ def candidate_patches(cells: DataFrame, labels: DataFrame, value: str, least: in
     return labels.join(cells.select("cell_id", value), "cell_id").groupBy("patch").agg(F.count("*").alias("n"), F.median(value).alias("priority")).filter(F.col("n") >= least)
 
 
-#: Orders for choosing patches: fixed values.
-PREFERENCES = {"priority": ("priority", "n"), "large": ("n", "priority"), "small": ("-n", "priority")}
+#: Orders for choosing patches: fixed values. Connectivity takes patches by their gap to what is protected already.
+PREFERENCES = {"priority": ("priority", "n"), "large": ("n", "priority"), "small": ("-n", "priority"), "connectivity": ("-gap", "priority")}
+
+
+def patch_gaps(labels: DataFrame, existing: DataFrame) -> DataFrame:
+    """(patch, gap): cells from each labelled patch to the nearest existing area; NULL without any."""
+    near = distance_to(labels, existing)
+    return labels.join(near, "cell_id", "left").groupBy("patch").agg(F.min("distance").alias("gap"))
 
 
 def select_to_budget(patches: DataFrame, target: int, prefer: str = "priority") -> DataFrame:
-    """Patches in order of preference while their cells stay within target; then, of the others, those that fit what is left one by one.
+    """First fit: patches in order of preference, each chosen if its cells fit what is left of target.
 
-    The running sum goes over candidate patches, of which there are few beside cells.
+    A choice depends on all choices before it, so the patches pass one task in order; they stream through it
+    with one number as the state, whatever their count. Ties go to the smaller patch.
     """
-    keys = [F.col(c.lstrip("-")).asc() if c[0] == "-" else F.col(c).desc() for c in PREFERENCES[prefer]]
-    w = Window.orderBy(*keys, F.col("patch"))
-    ranked = patches.withColumns({"run": F.sum("n").over(w), "rank": F.row_number().over(w)})
-    first = F.coalesce(F.min(F.when(F.col("run") > target, F.col("rank"))).over(Window.partitionBy()), F.lit(1 << 60))
-    head = ranked.withColumn("head", F.col("rank") < first)
-    room = F.lit(target) - F.coalesce(F.sum(F.when(F.col("head"), F.col("n"))).over(Window.partitionBy()), F.lit(0))
-    # the rest: a patch that alone fits the room, taken while the running sum of such patches does
-    rest = head.withColumns({"room": room}).withColumn("fits", ~F.col("head") & (F.col("n") <= F.col("room")))
-    run = F.sum(F.when(F.col("fits"), F.col("n")).otherwise(0)).over(w)
-    return rest.withColumn("chosen", F.col("head") | (F.col("fits") & (run <= F.col("room")))).select("patch", "n", "priority", "rank", "chosen")
+    keys = [F.col(c.lstrip("-")).asc_nulls_last() if c[0] == "-" else F.col(c).desc() for c in PREFERENCES[prefer]]
+    rows = patches.select("patch", "n", F.col("priority").cast("double").alias("priority"), *(["gap"] if prefer == "connectivity" else []))
+
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        room, rank = target, 0
+        for pdf in batches:
+            chosen = []
+            for n in pdf["n"].tolist():
+                chosen.append(n <= room)
+                room -= n * chosen[-1]
+            yield pdf[["patch", "n", "priority"]].assign(rank=range(rank + 1, rank + len(pdf) + 1), chosen=chosen)
+            rank += len(pdf)
+
+    schema = f"patch {patches.schema['patch'].dataType.simpleString()}, n long, priority double, rank int, chosen boolean"
+    return rows.orderBy(*keys, "patch").coalesce(1).sortWithinPartitions(*keys, "patch").mapInPandas(choose, schema)
 
 
 def phase_in(chosen: DataFrame, years: list[int], pace: str = "Steady", end: int | None = None) -> DataFrame:
-    """(patch, year) cumulative over time steps: Steady by equal groups, Rapid in the first half of the steps, Lagged in the second."""
-    years = [y for y in sorted(years) if end is None or y <= end]
-    half = max(1, len(years) // 2)
-    own = {"Steady": years, "Rapid": years[:half], "Lagged": years[-half:]}[pace]
+    """(patch, year) cumulative over time steps: Steady by equal groups, Rapid in the first half of the steps, Lagged in the second.
+
+    Patches start at end at the latest and stay for the years after it.
+    """
+    years = sorted(years)
+    until = [y for y in years if end is None or y <= end]
+    half = max(1, len(until) // 2)
+    own = {"Steady": until, "Rapid": until[:half], "Lagged": until[-half:]}[pace]
     steps = steps_by_rank(chosen, [], [F.col("rank")], len(own))
     start = F.element_at(F.array(*map(F.lit, own)), F.col("step"))
     return steps.withColumn("start", start).select("patch", F.explode(F.filter(F.array(*map(F.lit, years)), lambda y: y >= F.col("start"))).alias("year"))
+
+
+def protected_cells(phased: DataFrame, labels: DataFrame, existing: DataFrame, years: list[int]) -> DataFrame:
+    """(cell_id, year): cells of existing areas in every year, and those of patches from their start on."""
+    old = existing.select("cell_id", F.explode(F.array(*map(F.lit, years))).alias("year"))
+    return old.unionByName(phased.join(labels.select("patch", "cell_id"), "patch").select("cell_id", "year")).distinct()

@@ -2,60 +2,87 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Map rows that a task handles together.
+BAND = 64
+
+
+def _rows_to_feature(own: pd.DataFrame, first: int, cols: np.ndarray, low: int, width: int) -> np.ndarray:
+    """For each row of a band and each map column, how many rows the nearest feature of that column is away (inf: none)."""
+    above, below = np.full((BAND + 2, width), -np.inf), np.full((BAND + 2, width), np.inf)
+    c = cols - low
+    for side, name, put in ((above, "above", 0), (below, "below", BAND + 1)):
+        has = own[name].notna().to_numpy()
+        side[put, c[has]] = own[name].to_numpy()[has]
+    inside = own["rows"].notna().to_numpy()
+    if inside.any():
+        rows = own["rows"].to_numpy()[inside]
+        r, k = np.concatenate(rows).astype(np.int64), np.repeat(c[inside], [len(x) for x in rows])
+        above[r - first + 1, k] = r
+        below[r - first + 1, k] = r
+    at = np.arange(first, first + BAND)[:, None]
+    return np.minimum(at - np.maximum.accumulate(above)[1:-1], np.minimum.accumulate(below[::-1])[::-1][1:-1] - at)
+
+
+def _squared(g: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """Least (col - c) ** 2 + g(c) ** 2 of each cell, columns one by one outwards, for as long as a cell can gain."""
+    sq = g * g
+    best = sq[row, col]
+    left, k = np.flatnonzero(best > 1), 1
+    while len(left):
+        for to in (col[left] - k, col[left] + k):
+            ok = (to >= 0) & (to < g.shape[1])
+            best[left[ok]] = np.minimum(best[left[ok]], sq[row[left[ok]], to[ok]] + k * k)
+        k += 1
+        left = left[best[left] > k * k] if k < g.shape[1] else left[:0]
+    return best
+
 
 def distance_to(cells: DataFrame, features: DataFrame, res: float = 1.0, by: list[str] | None = None) -> DataFrame:
     """(by, cell_id, distance) to the nearest feature cell of each layer (keys by), times the cell size.
 
-    First along columns; then along rows: a row's candidate is the least (c - c')^2 + g(c')^2. A row's own
-    columns are all that matter, so each row is solved from its columns' g alone in one linear scan (the
-    lower envelope of parabolas), which bounds a task by the grid's width. g is needed for every column
-    that has features, also where the cell itself is absent, so it is asked for on the full row.
+    Bands of map rows are solved apart. A band needs the feature rows inside it and, for each column, the
+    nearest one above and below it: columns hand these on over the bands between two features. Down the
+    columns and then along the rows both passes are numpy over a whole band, so a task is bounded by the
+    map's width. Cells of a layer without features don't appear.
     """
-    import pandas as pd
-
     by = by or []
-    rows = cells.select("row").distinct()
-    cols = features.select(*by, "col").distinct()
-    ask = rows.crossJoin(cols)
-    marks = features.select(*by, "row", "col", F.col("row").alias("f"))
-    both = ask.select(*by, "row", "col", F.lit(None).cast("int").alias("f"), F.lit(True).alias("q")).unionByName(marks.withColumn("q", F.lit(False)))
-    w = Window.partitionBy(*by, "col").orderBy("row")
-    up = F.last("f", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
-    down = F.first("f", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
-    g = both.withColumn("g", F.least(F.col("row") - up, down - F.col("row"))).filter("q").select(*by, "row", "col", "g")
-    want = cells.select(F.col("cell_id").alias("cell_id"), F.col("row").alias("at_row"), F.col("col").alias("at_col"))
-    schema = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in by), "cell_id long, sq long"])
+    band = F.floor(F.col("row") / BAND).cast("long")
+    want = cells.select("cell_id", F.col("row").cast("long").alias("at_row"), F.col("col").cast("long").alias("at_col"), band.alias("at_band"))
+    low, high = want.agg(F.min("at_band"), F.max("at_band")).first()
+    low, high = (0, -1) if low is None else (low, high)
+    own = features.select(*by, F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), band.alias("band"))
+    own = own.groupBy(*by, "col", "band").agg(F.min("row").alias("top"), F.max("row").alias("end"), F.collect_set("row").alias("rows"))
+    w = Window.partitionBy(*by, "col").orderBy("band")
+    own = own.withColumns({"prev": F.lag("band").over(w), "next": F.lead("band").over(w)})
+    none = F.lit(None).cast("long")
 
-    def solve(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
+    def handed(first, last, above, below) -> DataFrame:
+        ends = own.withColumns({"a": F.greatest(first, F.lit(low)), "b": F.least(last, F.lit(high))}).filter("a <= b")
+        return ends.select(*by, "col", F.explode(F.sequence("a", "b")).alias("band"), above.alias("above"), below.alias("below"), F.lit(None).cast("array<bigint>").alias("rows"))
 
+    inside = own.filter(F.col("band").between(low, high)).select(*by, "col", "band", none.alias("above"), none.alias("below"), "rows")
+    down = handed(F.col("band") + 1, F.coalesce("next", F.lit(high)), F.col("end"), none)
+    up = handed(F.coalesce("prev", F.lit(low)), F.col("band") - 1, none, F.col("top"))
+    schema = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in by), "cell_id long, sq double"])
+
+    def solve(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for k, own in left.groupby(by) if by else [((), left)]:
-            c, h = own["col"].to_numpy(np.int64), own["g"].to_numpy(np.int64)
-            order = np.argsort(c)
-            c, h = c[order], h[order]
-            v, z = [0], [-np.inf]
-            for q in range(1, len(c)):
-                while True:
-                    s = ((h[q] ** 2 + c[q] ** 2) - (h[v[-1]] ** 2 + c[v[-1]] ** 2)) / (2 * (c[q] - c[v[-1]]))
-                    if s > z[-1]:
-                        break
-                    v.pop()
-                    z.pop()
-                v.append(q)
-                z.append(s)
-            x = right["at_col"].to_numpy(np.int64)
-            at = np.searchsorted(z, x, "left") - 1
-            best = np.array(v)[np.maximum(at, 0)]
-            sq = (x - c[best]) ** 2 + h[best] ** 2
-            out.append(pd.DataFrame({**dict(zip(by, k if isinstance(k, tuple) else (k,), strict=False)), "cell_id": right["cell_id"].to_numpy(), "sq": sq}))
+        if len(left) and len(right):
+            row, col = right["at_row"].to_numpy() - key[0] * BAND, right["at_col"].to_numpy()
+            start = min(left["col"].min(), col.min())
+            width = int(max(left["col"].max(), col.max()) - start + 1)
+            for k, part in left.groupby(by) if by else [((), left)]:
+                g = _rows_to_feature(part, key[0] * BAND, part["col"].to_numpy(), start, width)
+                out.append(pd.DataFrame({**dict(zip(by, k, strict=True)), "cell_id": right["cell_id"].to_numpy(), "sq": _squared(g, row, col - start)}))
         cols = [*by, "cell_id", "sq"]
         return pd.concat(out)[cols] if out else pd.DataFrame(columns=cols)
 
-    done = g.groupBy("row").cogroup(want.groupBy("at_row")).applyInPandas(solve, schema)
+    done = inside.unionByName(down).unionByName(up).groupBy("band").cogroup(want.groupBy("at_band")).applyInPandas(solve, schema)
     return done.select(*by, "cell_id", (F.sqrt("sq") * res).alias("distance"))
 
 

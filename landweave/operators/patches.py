@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TILE = 256
@@ -12,13 +12,12 @@ def _tile_labels(directions: int, tile: int):
     def run(pdf):
         import numpy as np
 
-        r, c = pdf["row"].to_numpy(), pdf["col"].to_numpy()
+        pdf = pdf.sort_values("cell_id")
+        r, c, k = pdf["row"].to_numpy(), pdf["col"].to_numpy(), pdf["k"].to_numpy()
         grid = np.full((tile + 2, tile + 2), -1, np.int64)
         at = np.arange(len(pdf))
         rr, cc = (r - 1) % tile + 1, (c - 1) % tile + 1
         grid[rr, cc] = at
-        k = pdf["k"].to_numpy()
-        label = pdf["cell_id"].to_numpy().copy()
         steps = [(0, 1), (1, 0), *([(1, 1), (1, -1)] if directions == 8 else [])]
         pairs = []
         for dr, dc in steps:
@@ -27,16 +26,14 @@ def _tile_labels(directions: int, tile: int):
             ok[ok] = k[at[ok]] == k[to[ok]]
             pairs.append((at[ok], to[ok]))
         a, b = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
-        while True:  # least label over neighbours, then over label owners
-            low = label.copy()
-            np.minimum.at(low, a, label[b])
-            np.minimum.at(low, b, label[a])
-            if (low == label).all():
-                break
-            label = low
-        pdf = pdf[["cell_id", "row", "col", "k"]].copy()
-        pdf["part"] = label
-        return pdf
+        owner = at.copy()
+        while (owner[a] != owner[b]).any():  # owners of neighbours join, then every path goes straight to its end
+            low = np.minimum(owner[a], owner[b])
+            np.minimum.at(owner, owner[a], low)
+            np.minimum.at(owner, owner[b], low)
+            while (owner[owner] != owner).any():
+                owner = owner[owner]
+        return pdf[["cell_id", "row", "col", "k"]].assign(part=pdf["cell_id"].to_numpy()[owner])
 
     return run
 
@@ -99,98 +96,134 @@ def class_stats(labelled: DataFrame, cell_area: float = 1.0, by: list[str] | Non
     return stats.join(like, [*by, "class"], "left").withColumn("like", F.coalesce("like", F.lit(0.0))).withColumn("aggregation_index", ai)
 
 
-def allocation_params(cells: DataFrame, a: str, b: str, directions: int = 8) -> DataFrame:
-    """By transition: mean and SD of patch size of new cells, isometry (aggregation index / 70), percent expander and patcher.
+def allocation_params(cells: DataFrame, a: str, b: str, region: str = "region", directions: int = 8) -> DataFrame:
+    """By region and transition: mean and SD of patch size of new cells, isometry (aggregation index / 70), percent expander and patcher.
 
-    A new cell is an expander if the class was already next to it before.
+    Regions are maps of their own. A new cell is an expander if another cell of its class is next to it afterwards.
     """
     from landweave.operators.focal import neighbour_count
 
-    new = cells.filter(F.col(a) != F.col(b)).withColumn("t", F.col(a) * 1000 + F.col(b))
-    stats = class_stats(patches(new, "t", directions))
-    near = neighbour_count(cells, a).select("cell_id", F.col("class").alias(b), "n")
-    grown = new.select("cell_id", "t", b).join(near, ["cell_id", b], "left").groupBy("t").agg((F.avg(F.when(F.col("n") >= 1, 100.0).otherwise(0.0))).alias("perc_expander"))
-    out = stats.join(grown, stats["class"] == grown["t"])
-    return out.select((F.floor(F.col("t") / 1000)).cast("int").alias("from_v"), (F.col("t") % 1000).cast("int").alias("to_v"), "mean_patch_area", "sd_patch_area", (F.col("aggregation_index") / 70).alias("isometry"), "perc_expander", (100 - F.col("perc_expander")).alias("perc_patcher"))
+    keys = cells.select(region, F.col(a).alias("from_v"), F.col(b).alias("to_v")).distinct()
+    # one number for each region and transition, and each region and class: tables of the classes' size
+    keys = keys.withColumns({"t": F.dense_rank().over(Window.orderBy(region, "from_v", "to_v")), "c": F.dense_rank().over(Window.orderBy(region, "to_v"))})
+    own = cells.select("cell_id", "row", "col", region, F.col(a).alias("from_v"), F.col(b).alias("to_v")).join(F.broadcast(keys), [region, "from_v", "to_v"])
+    new = own.filter("from_v <> to_v")
+    stats = class_stats(patches(new, "t", directions)).withColumnRenamed("class", "t")
+    near = neighbour_count(own, "c").select("cell_id", F.col("class").alias("c"), "n")
+    grown = new.select("cell_id", "t", "c").join(near, ["cell_id", "c"], "left").groupBy("t").agg(F.avg(F.when(F.col("n") >= 1, 100.0).otherwise(0.0)).alias("perc_expander"))
+    out = stats.join(grown, "t").join(keys.drop("c"), "t")
+    return out.select(region, "from_v", "to_v", "mean_patch_area", "sd_patch_area", (F.col("aggregation_index") / 70).alias("isometry"), "perc_expander", (100 - F.col("perc_expander")).alias("perc_patcher"))
+
+
+#: Square metres of a hectare, and hectares for which patch density counts: fixed values.
+HECTARE, PER = 10_000.0, 100.0
+
+
+def _perimeters(labelled: DataFrame, by: list[str]) -> DataFrame:
+    """(by, class, patch, n, perim): cells and outer sides of each patch."""
+    own = labelled.select(*by, "class", "patch", "row", "col")
+    four = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0))))
+    moved = own.select(*by, "patch", "class", (F.col("row")).alias("r"), F.col("col").alias("c"), F.explode(four).alias("o")).select(*by, "class", (F.col("r") + F.col("o.dr")).alias("row"), (F.col("c") + F.col("o.dc")).alias("col"))
+    inner = own.join(moved, [*by, "class", "row", "col"]).groupBy(*by, "class", "patch").agg(F.count("*").alias("inner"))
+    sizes = labelled.groupBy(*by, "class", "patch").agg(F.count("*").alias("n"))
+    return sizes.join(inner, [*by, "class", "patch"], "left").withColumn("perim", 4 * F.col("n") - F.coalesce("inner", F.lit(0))).drop("inner")
+
+
+def _map_rim(labelled: DataFrame, by: list[str]) -> DataFrame:
+    """(by, rim_cells, rim_sides): cells of the map with a side to its outside, and those sides."""
+    four = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0))))
+    sent = labelled.select(*by, "row", "col", F.explode(four).alias("o")).select(*by, (F.col("row") + F.col("o.dr")).alias("row"), (F.col("col") + F.col("o.dc")).alias("col"))
+    near = sent.groupBy(*by, "row", "col").agg(F.count("*").alias("near"))
+    own = labelled.select(*by, "row", "col").join(near, [*by, "row", "col"], "left").withColumn("open", 4 - F.coalesce("near", F.lit(0)))
+    return own.groupBy(*by).agg(F.sum((F.col("open") > 0).cast("long")).alias("rim_cells"), F.sum("open").alias("rim_sides"))
+
+
+def least_perimeter(a):
+    """Least outer sides of a cells."""
+    n = F.floor(F.sqrt(a.cast("double")))
+    return F.when(a == n * n, 4 * n).when(a <= n * (n + 1), 4 * n + 2).otherwise(4 * n + 4)
+
+
+def greatest_perimeter(a, total, rim_cells, rim_sides):
+    """Most sides that a class of a cells can have on a map of total cells, rim_cells of them with rim_sides to its outside."""
+    even = total % 2 == 0
+    middle = F.when(even, 0.5 * total + 0.5 * rim_cells).otherwise(0.5 * total + 0.5 * rim_cells + 0.5)
+    return F.when(2 * a <= total, 4 * a).when(a <= middle, 3 * total - 2 * a + F.when(even, 0).otherwise(3)).otherwise(rim_sides + 4 * (total - a))
 
 
 def landscape_metrics(labelled: DataFrame, res: float = 1.0, by: list[str] | None = None) -> DataFrame:
-    """Class-level metrics after the FRAGSTATS definitions: ai, clumpy, cohesion, division, iji, lsi, mesh, nlsi, np, pd, pladj, split; enn by enn_metrics."""
+    """Class-level metrics after the FRAGSTATS definitions: ai, clumpy, cohesion, division, iji, lsi, mesh (hectares), nlsi,
+    np, pd (patches per 100 hectares), pladj, split; enn by enn_metrics. res: side of a cell in metres."""
     by = by or []
     area = res * res
-    sizes = labelled.groupBy(*by, "class", "patch").agg(F.count("*").alias("n"))
     edges = like_edges(labelled, "class", by)
     like = edges.groupBy(*by, "class").agg(F.sum(F.when(F.col("class") == F.col("other"), F.col("n")).otherwise(0)).alias("like"), F.sum(F.when(F.col("class") != F.col("other"), F.col("n")).otherwise(0)).alias("unlike"))
     mix = edges.filter("class <> other").join(like.select(*by, "class", "unlike"), [*by, "class"])
     p = F.col("n") / F.col("unlike")
     iji = mix.groupBy(*by, "class").agg((-F.sum(p * F.ln(p))).alias("entropy"))
-    own = labelled.select(*by, "class", "patch", "row", "col")
-    # a patch's perimeter: four sides a cell without those shared inside
-    four = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0))))
-    moved = own.select(*by, "patch", "class", (F.col("row")).alias("r"), F.col("col").alias("c"), F.explode(four).alias("o")).select(*by, "class", (F.col("r") + F.col("o.dr")).alias("row"), (F.col("c") + F.col("o.dc")).alias("col"))
-    inner = own.join(moved, [*by, "class", "row", "col"]).groupBy(*by, "class", "patch").agg(F.count("*").alias("inner"))
-    per = sizes.join(inner, [*by, "class", "patch"], "left").withColumn("perim", 4 * F.col("n") - F.coalesce("inner", F.lit(0)))
+    per = _perimeters(labelled, by)
     total = labelled.groupBy(*by).agg(F.count("*").alias("total"), F.countDistinct("class").alias("m"))
+    rim = _map_rim(labelled, by)
+    total = total.join(rim, by) if by else total.crossJoin(F.broadcast(rim))
     base = per.groupBy(*by, "class").agg(F.count("*").alias("np"), F.sum("n").alias("a"), F.sum(F.col("n") * F.col("n")).cast("double").alias("sq"), F.sum("perim").alias("p"), F.sum(F.col("perim") * F.sqrt(F.col("n").cast("double"))).alias("ps"))
     out = base.join(total, by) if by else base.crossJoin(F.broadcast(total))
     out = out.join(like, [*by, "class"], "left").join(iji, [*by, "class"], "left").na.fill(0, ["like", "unlike"])
     a, t = F.col("a"), F.col("total")
     g = F.try_divide(F.col("like") / 2.0, max_like_edges(a))
     share = a / t
-    pladj = F.try_divide(F.col("like") * 100.0, 4.0 * a)
-    fold = F.try_divide(F.col("like") * 1.0, 4.0 * a)
+    least, most = least_perimeter(a), greatest_perimeter(a, t, F.col("rim_cells"), F.col("rim_sides"))
+    # like sides count from both cells; a class as compact as can be has all but its least perimeter
+    fold = F.try_divide(F.col("like") * 1.0, 4.0 * a - least)
     clumpy = F.when((fold < share) & (share < 0.5), F.try_divide(fold - share, share)).otherwise(F.try_divide(fold - share, 1 - share))
-    n = F.floor(F.sqrt(a.cast("double")))
-    least = F.when(a == n * n, 4 * n).when(a <= n * (n + 1), 4 * n + 2).otherwise(4 * n + 4)
-    # the greatest perimeter of a cells among total: all apart, or as far as the map allows
-    most = 4 * a
-    return out.select(*by, "class", F.coalesce(g * 100, F.lit(0.0)).alias("ai"), clumpy.alias("clumpy"), ((1 - F.try_divide(F.col("p"), F.col("ps"))) * F.try_divide(F.lit(100.0), 1 - 1 / F.sqrt(t.cast("double")))).alias("cohesion"), (1 - F.col("sq") / (t * t.cast("double"))).alias("division"), F.when(F.col("m") > 2, F.col("entropy") / F.ln((F.col("m") - 1).cast("double")) * 100).alias("iji"), (F.col("p") / least).alias("lsi"), (F.col("sq") / t * area).alias("mesh"), F.try_divide((F.col("p") - least) * 1.0, most - least).alias("nlsi"), "np", (F.col("np") / (t * area)).alias("pd"), pladj.alias("pladj"), (t * t.cast("double") / F.col("sq")).alias("split"))
+    return out.select(*by, "class", F.coalesce(g * 100, F.lit(0.0)).alias("ai"), clumpy.alias("clumpy"), _cohesion(t).alias("cohesion"), (1 - F.col("sq") / (t * t.cast("double"))).alias("division"), F.when(F.col("m") > 2, F.col("entropy") / F.ln((F.col("m") - 1).cast("double")) * 100).alias("iji"), (F.col("p") / least).alias("lsi"), (F.col("sq") / t * area / HECTARE).alias("mesh"), F.try_divide((F.col("p") - least) * 1.0, most - least).alias("nlsi"), "np", (F.col("np") / (t * area) * HECTARE * PER).alias("pd"), (F.col("like") * 100.0 / (4.0 * a)).alias("pladj"), (t * t.cast("double") / F.col("sq")).alias("split"))
+
+
+def _cohesion(total):
+    return (1 - F.try_divide(F.col("p"), F.col("ps"))) * F.try_divide(F.lit(100.0), 1 - 1 / F.sqrt(total.cast("double")))
 
 
 def landscape_level(labelled: DataFrame, res: float = 1.0) -> DataFrame:
-    """Whole-map np, pd, division, mesh, split, pladj and contag."""
-    sizes = labelled.groupBy("class", "patch").agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n").alias("t"), F.count("*").alias("np"), F.sum(F.col("n") * F.col("n")).cast("double").alias("sq"), F.countDistinct("class").alias("m"))
-    cls = sizes.groupBy("class").agg(F.sum("n").alias("a"))
+    """Whole-map ai, cohesion, contag, division, iji, lsi, mesh (hectares), np, pd (per 100 hectares), pladj and split."""
+    per = _perimeters(labelled, [])
+    total = per.agg(F.sum("n").alias("t"), F.count("*").alias("np"), F.sum(F.col("n") * F.col("n")).cast("double").alias("sq"), F.countDistinct("class").alias("m"), F.sum("perim").alias("p"), F.sum(F.col("perim") * F.sqrt(F.col("n").cast("double"))).alias("ps"))
+    cls = per.groupBy("class").agg(F.sum("n").alias("a"))
     e = like_edges(labelled, "class").join(cls, "class").crossJoin(F.broadcast(total.select("t")))
-    from pyspark.sql import Window
-
+    own = F.col("class") == F.col("other")
     q = F.col("a") / F.col("t") * F.col("n") / F.sum("n").over(Window.partitionBy("class"))
-    con = e.select(q.alias("q"), "n", (F.col("class") == F.col("other")).alias("like")).agg(F.sum(F.col("q") * F.ln("q")).alias("h"), F.sum(F.when(F.col("like"), F.col("n")).otherwise(0)).alias("like"))
-    t = F.col("t")
-    return total.crossJoin(F.broadcast(con)).select("np", (F.col("np") / (t * res * res)).alias("pd"), (1 - F.col("sq") / (t * t.cast("double"))).alias("division"), (F.col("sq") / t * res * res).alias("mesh"), (t * t.cast("double") / F.col("sq")).alias("split"), (F.col("like") * 100.0 / (4 * t)).alias("pladj"), F.when(F.col("m") > 1, (1 + F.col("h") / (2 * F.ln(F.col("m").cast("double")))) * 100).alias("contag"))
-
-
-def enn_metrics(labelled: DataFrame, radius: float, whole: bool = False) -> DataFrame:
-    """Mean, SD and CV of the distance between the nearest cells of patches of a class, for neighbours up to radius cells.
-
-    whole: patches that found none, of classes with two patches or more, look again up to twice the radius until
-    all have a neighbour.
+    ai = F.when(own, F.coalesce(F.try_divide(F.col("n") / 2.0, max_like_edges(F.col("a"))), F.lit(0.0)) * F.col("a") / F.col("t"))
+    x = F.when(~own, F.col("n"))
+    con = e.select(q.alias("q"), "n", own.alias("like"), ai.alias("ai"), x.alias("x")).agg(F.sum(F.col("q") * F.ln("q")).alias("h"), F.sum(F.when(F.col("like"), F.col("n")).otherwise(0)).alias("like"), F.sum("ai").alias("ai"), F.sum("x").alias("x"), F.sum(F.col("x") * F.ln(F.col("x").cast("double"))).alias("xlnx"))
+    t, m = F.col("t"), F.col("m").cast("double")
+    # both directions are in x, so a pair's share of all unlike sides is 2 n / x and counts half each time
+    iji = F.when((F.col("m") > 2) & (F.col("x") > 0), (F.ln(F.col("x").cast("double")) - F.ln(F.lit(2.0)) - F.col("xlnx") / F.col("x")) / F.ln(0.5 * m * (m - 1)) * 100)
+    rim = _map_rim(labelled, [])
+    edge = F.coalesce("x", F.lit(0)) / 2 + F.col("rim_sides")
+    return total.crossJoin(F.broadcast(con)).crossJoin(F.broadcast(rim)).select((F.col("ai") * 100).alias("ai"), _cohesion(t).alias("cohesion"), F.when(F.col("m") > 1, (1 + F.col("h") / (2 * F.ln(m))) * 100).alias("contag"), (1 - F.col("sq") / (t * t.cast("double"))).alias("division"), iji.alias("iji"), (edge / least_perimeter(t)).alias("lsi"), (F.col("sq") / t * res * res / HECTARE).alias("mesh"), "np", (F.col("np") / (t * res * res) * HECTARE * PER).alias("pd"), (F.col("like") * 100.0 / (4 * t)).alias("pladj"), (t * t.cast("double") / F.col("sq")).alias("split"))
+
+
+def enn_metrics(labelled: DataFrame, res: float = 1.0, radius: int = 12, level: str = "class") -> DataFrame:
+    """Mean, SD and CV of the distance (times res) between the nearest cells of patches of a class, by class or over all patches.
+
+    Neighbours are looked for up to radius cells away first; patches that found none, of classes with two or
+    more, look again up to twice as far until all have one.
     """
     k = float(radius)
-    b = lambda c: F.floor(F.col(c) / k)
     four = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(c).alias("dc")) for a, c in ((0, 1), (1, 0), (0, -1), (-1, 0))))
     around = labelled.select("class", "patch", (F.col("row")).alias("r"), F.col("col").alias("c"), F.explode(four).alias("o")).select("patch", (F.col("r") + F.col("o.dr")).alias("row"), (F.col("c") + F.col("o.dc")).alias("col"))
     inside = labelled.join(around, ["patch", "row", "col"]).groupBy("cell_id").agg(F.count("*").alias("n")).filter("n = 4")
-    rim = labelled.join(inside, "cell_id", "left_anti")
-    if whole:
-        rim = _kept(rim)
+    rim = _kept(labelled.join(inside, "cell_id", "left_anti"))
     nine = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    here = rim.select("class", "patch", F.col("row").alias("r1"), F.col("col").alias("c1"), b("row").alias("br"), b("col").alias("bc"))
-    there = rim.select("class", F.col("patch").alias("p2"), F.col("row").alias("r2"), F.col("col").alias("c2"), F.explode(nine).alias("o"), b("row").alias("b1"), b("col").alias("b2")).select("class", "p2", "r2", "c2", (F.col("b1") + F.col("o.i")).alias("br"), (F.col("b2") + F.col("o.j")).alias("bc"))
-    sq = (F.col("r1") - F.col("r2")) ** 2 + (F.col("c1") - F.col("c2")) ** 2
-    near = here.join(there, ["class", "br", "bc"]).filter((F.col("patch") != F.col("p2")) & (sq <= k * k)).groupBy("class", "patch").agg(F.sqrt(F.min(sq)).alias("enn"))
-    if whole:
-        ids = rim.select("class", "patch").distinct()
-        several = ids.groupBy("class").count().filter("count > 1").select("class")
-        near = _kept(near)
-        left = _kept(ids.join(several, "class").join(near, ["class", "patch"], "left_anti"))
-        while not left.isEmpty():
-            k *= 2
-            more = _kept(_near_blocks(rim, left, k, nine))
-            near = near.unionByName(more)
-            left = _kept(left.join(more, ["class", "patch"], "left_anti"))
-    return near.groupBy("class").agg(F.count("*").alias("n"), F.avg("enn").alias("enn_mn"), F.stddev_pop("enn").alias("enn_sd"), (F.stddev_pop("enn") / F.avg("enn") * 100).alias("enn_cv"))
+    ids = rim.select("class", "patch").distinct()
+    left = _kept(ids.join(ids.groupBy("class").count().filter("count > 1").select("class"), "class", "left_semi"))
+    near = None
+    while not left.isEmpty():
+        more = _kept(_near_blocks(rim, left, k, nine))
+        near = more if near is None else near.unionByName(more)
+        left = _kept(left.join(more, ["class", "patch"], "left_anti"))
+        k *= 2
+    near = left.withColumn("enn", F.lit(0.0)) if near is None else near.withColumn("enn", F.col("enn") * res)
+    stats = [F.count("*").alias("n"), F.avg("enn").alias("enn_mn"), F.stddev_pop("enn").alias("enn_sd"), (F.stddev_pop("enn") / F.avg("enn") * 100).alias("enn_cv")]
+    return near.groupBy("class").agg(*stats) if level == "class" else near.agg(*stats)
 
 
 def _near_blocks(rim: DataFrame, left: DataFrame, k: float, nine) -> DataFrame:

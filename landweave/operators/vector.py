@@ -13,11 +13,11 @@ def edges(vertices: DataFrame) -> DataFrame:
     return vertices.select("poly_id", F.col("x").alias("x1"), F.col("y").alias("y1"), nxt("x").alias("x2"), nxt("y").alias("y2"))
 
 
-def rasterize(vertices: DataFrame, cells: DataFrame, touches: bool = False, samples: int = 8) -> DataFrame:
+def rasterize(vertices: DataFrame, cells: DataFrame, touches: bool = False) -> DataFrame:
     """(poly_id, cell_id): cells whose centre (col - 0.5, row - 0.5) lies inside; touches adds those an edge runs through.
 
     Scanlines: each edge meets the centre rows it spans, crossings of a row pair up by x, and pairs become
-    runs of columns. Edge cells come from samples points for each cell length of an edge.
+    runs of columns. Edges are cut where they cross lines of the grid; each piece lies in the cell of its middle.
     """
     e = edges(vertices)
     low, high = F.ceil(F.least("y1", "y2") + 0.5), F.ceil(F.greatest("y1", "y2") + 0.5) - 1
@@ -28,10 +28,15 @@ def rasterize(vertices: DataFrame, cells: DataFrame, touches: bool = False, samp
     first, last = F.ceil(F.col("x") + 0.5), F.ceil(F.col("x_to") + 0.5) - 1
     runs = pairs.withColumns({"a": first, "b": last}).filter("b >= a").select("poly_id", F.col("row").cast("int").alias("row"), F.explode(F.sequence(F.col("a").cast("int"), F.col("b").cast("int"))).alias("col"))
     if touches:
-        n = F.ceil(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))) * samples).cast("int") + 1
-        along = e.withColumn("t", F.explode(F.sequence(F.lit(0), n))).withColumn("t", F.col("t") / n)
-        at = lambda c: (F.floor(F.col(f"{c}1") + F.col("t") * (F.col(f"{c}2") - F.col(f"{c}1"))) + 1).cast("int")
-        runs = runs.unionByName(along.select("poly_id", at("y").alias("row"), at("x").alias("col"))).distinct()
+        def cuts(c: str):
+            a, b = F.col(f"{c}1"), F.col(f"{c}2")
+            low, high = F.ceil(F.least(a, b)).cast("int"), F.floor(F.greatest(a, b)).cast("int")
+            return F.when((a != b) & (low <= high), F.transform(F.sequence(low, high), lambda v: (v - a) / (b - a))).otherwise(F.array().cast("array<double>"))
+
+        t = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts("x"), cuts("y")))
+        pieces = e.withColumn("t", t).withColumn("piece", F.explode(F.zip_with(F.slice("t", 1, F.size("t") - 1), F.slice("t", 2, F.size("t") - 1), lambda a, b: F.struct(((a + b) / 2).alias("mid"), (b - a).alias("size")))))
+        at = lambda c: (F.floor(F.col(f"{c}1") + F.col("piece.mid") * (F.col(f"{c}2") - F.col(f"{c}1"))) + 1).cast("int")
+        runs = runs.unionByName(pieces.filter("piece.size > 1e-9").select("poly_id", at("y").alias("row"), at("x").alias("col"))).distinct()
     return runs.join(cells.select("cell_id", "row", "col"), ["row", "col"]).select("poly_id", "cell_id")
 
 

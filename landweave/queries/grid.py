@@ -64,14 +64,9 @@ def _(t):
     return G.select_predictors(t.predictors.withColumn("x1", F.col("x1").cast("string")), ["cell_id"], ["x1", "x4"])
 
 
-@query("p9_range_and_list", "SELECT cell_id, region FROM cells WHERE cell_id BETWEEN 100 AND 5000 AND cell_id IN (SELECT cell_id FROM mask)")
+@query("p9_range_and_list", "SELECT cell_id, region FROM cells WHERE cell_id BETWEEN (SELECT min(cell_id) FROM mask) AND (SELECT max(cell_id) FROM mask) AND cell_id IN (SELECT cell_id FROM mask)")
 def _(t):
-    return t.cells.filter(F.col("cell_id").between(100, 5000)).join(t.mask.select("cell_id"), "cell_id", "left_semi").select("cell_id", "region")
-
-
-@query("p9_range_and_list_whole")
-def _(t):
-    ends = t.cells.agg(F.min("cell_id").alias("first"), F.max("cell_id").alias("last"))
+    ends = t.mask.agg(F.min("cell_id").alias("first"), F.max("cell_id").alias("last"))
     inside = t.cells.crossJoin(F.broadcast(ends)).filter("cell_id BETWEEN first AND last")
     return inside.join(t.mask.select("cell_id"), "cell_id", "left_semi").select("cell_id", "region")
 
@@ -96,7 +91,7 @@ def _(t):
     return G.normalize(t.predictors.select("cell_id", "x2", "x5"), ["x2", "x5"])
 
 
-@query("p14_normalize_probs", "WITH s AS (SELECT cell_id, SUM(p) AS s FROM probs GROUP BY cell_id) SELECT q.cell_id, to_v, round(CASE WHEN s > 1 THEN p / s ELSE p END, 12) AS p FROM probs AS q JOIN s ON s.cell_id = q.cell_id", digits=12)
+@query("p14_normalize_probs", "WITH s AS (SELECT cell_id, round(SUM(p), 12) AS s FROM probs GROUP BY cell_id) SELECT q.cell_id, to_v, round(CASE WHEN s > 1 THEN p / s ELSE p END, 12) AS p FROM probs AS q JOIN s ON s.cell_id = q.cell_id", digits=12)
 def _(t):
     from landweave.operators.potential import normalize_long
 
@@ -199,15 +194,7 @@ def _(t):
 
 
 @query("g3_extend_trim", """WITH b AS (SELECT min(row) AS r0, max(row) AS r1, min(col) AS c0, max(col) AS c1 FROM mask)
- SELECT CAST((r - 1) * 100 + c AS BIGINT) AS cell_id, CAST(r AS INT) AS row, CAST(c AS INT) AS col, lulc_2022 FROM b, range(1, 101) AS x(r), range(1, 101) AS y(c) LEFT JOIN cells ON cell_id = (r - 1) * 100 + c WHERE r BETWEEN r0 AND r1 AND c BETWEEN c0 AND c1 AND r <= 100""")
-def _(t):
-    grid = G.full_grid(t.spark, 100, 100)
-    box = G.bounding_box(t.mask)
-    inside = grid.crossJoin(F.broadcast(box)).filter("row BETWEEN row_min AND row_max AND col BETWEEN col_min AND col_max").select("cell_id", "row", "col")
-    return G.extend(t.cells, inside, ["lulc_2022"])
-
-
-@query("g3_extend_trim_whole")
+ SELECT CAST((r - 1) * 100 + c AS BIGINT) AS cell_id, CAST(r AS INT) AS row, CAST(c AS INT) AS col, lulc_2022 FROM b, (SELECT unnest(range(1, (SELECT max(row) FROM mask) + 1))) AS x(r), range(1, 101) AS y(c) LEFT JOIN cells ON cell_id = (r - 1) * 100 + c WHERE r BETWEEN r0 AND r1 AND c BETWEEN c0 AND c1""")
 def _(t):
     box = G.bounding_box(t.mask)
     height = box.first()["row_max"] or 0
@@ -237,14 +224,10 @@ def _(t):
     return G.coarser(t.cells, 3, "lulc_2022", "near")
 
 
-@query("g4_resample_bilinear", """WITH f AS (SELECT CAST(R AS INT) AS row, CAST(C AS INT) AS col, (R - 0.5::DOUBLE) / 2 + 0.5 AS y, (C - 0.5::DOUBLE) / 2 + 0.5 AS x FROM range(1, 2001) AS a(R), range(1, 201) AS b(C) WHERE R <= 2 * (SELECT max(row) FROM cells)),
- w AS (SELECT f.row, f.col, elevation, (1 - abs(y - c.row)) * (1 - abs(x - c.col)) AS w FROM f JOIN cells AS c ON c.row IN (CAST(floor(y) AS INT), CAST(floor(y) AS INT) + 1) AND c.col IN (CAST(floor(x) AS INT), CAST(floor(x) AS INT) + 1))
- SELECT row, col, round(SUM(w * elevation), 6) AS value FROM w WHERE row <= 40 GROUP BY ALL HAVING SUM(w) > 1 - 1e-9""")
-def _(t):
-    return G.finer(t.cells, 2, "elevation", "bilinear").filter("row <= 40")
-
-
-@query("g4_resample_bilinear_whole")
+@query("g4_resample_bilinear", """WITH f AS (SELECT CAST(R AS INT) AS row, CAST(C AS INT) AS col, (R - 0.5::DOUBLE) / 2 + 0.5 AS y, (C - 0.5::DOUBLE) / 2 + 0.5 AS x FROM (SELECT unnest(range(1, 2 * (SELECT max(row) FROM cells) + 1))) AS a(R), range(1, 201) AS b(C)),
+ q AS (SELECT f.*, CAST(floor(y) AS INT) + i AS r, CAST(floor(x) AS INT) + j AS k FROM f, (VALUES (0), (1)) AS di(i), (VALUES (0), (1)) AS dj(j)),
+ w AS (SELECT q.row, q.col, elevation, (1 - abs(y - c.row)) * (1 - abs(x - c.col)) AS w FROM q JOIN cells AS c ON c.row = r AND c.col = k)
+ SELECT row, col, round(SUM(w * elevation), 6) AS value FROM w GROUP BY ALL HAVING SUM(w) > 1 - 1e-9""")
 def _(t):
     return G.finer(t.cells, 2, "elevation", "bilinear")
 

@@ -11,6 +11,7 @@ from landweave.operators import patches as P
 from landweave.operators import vector as V
 from landweave.queries.base import query
 
+_FEAT = "(SELECT row, col FROM cells WHERE lulc_2022 = 106)"
 _NINE = ", ".join(f"MAX(n.elevation) FILTER (n.row = c.row + {r - 2} AND n.col = c.col + {k - 2}) AS z{r}{k}" for r in (1, 2, 3) for k in (1, 2, 3))
 _Z = [f"z{r}{k}" for r in (1, 2, 3) for k in (1, 2, 3)]
 _RIM = [z for z in _Z if z != "z22"]
@@ -27,23 +28,31 @@ def _(t):
 _KERNEL = "(SELECT CAST(r - {h} AS INT) AS dr, CAST(c - {h} AS INT) AS dc, pow(1 / 2.0::DOUBLE, sqrt(pow(r - {h}, 2) + pow(c - {h}, 2))) * 10 AS w FROM range({n}) AS a(r), range({n}) AS b(c))"
 
 
-@query("g8_kernel", " UNION ALL ".join(f"SELECT 'k{n}' AS matrix_id, dr, dc, round(w, 6) AS w, (SELECT COUNT(*) FROM cells) AS n_cells FROM {_KERNEL.format(h=n // 2, n=n)}" for n in (3, 5, 7, 9, 11)))
+def _summed(kernel: str, classes: str) -> str:
+    """Oracle: focal sums of classes by every matrix of kernel (matrix_id, dr, dc, w)."""
+    return f"""k AS ({kernel}), s AS (SELECT matrix_id, c.row - dr AS row, c.col - dc AS col, lulc_2022 AS class, SUM(w) AS value FROM cells AS c, k WHERE lulc_2022 IN ({classes}) GROUP BY ALL)
+ SELECT c.cell_id, c.row, c.col, v AS class, m AS matrix_id, round(COALESCE(value, 0), 6) AS value FROM cells AS c CROSS JOIN (SELECT unnest([{classes}]) AS v) CROSS JOIN (SELECT DISTINCT matrix_id AS m FROM k) LEFT JOIN s ON s.row = c.row AND s.col = c.col AND s.class = v AND s.matrix_id = m"""
+
+
+@query("g8_kernel", "WITH " + _summed(" UNION ALL ".join(f"SELECT 'k{n}' AS matrix_id, dr, dc, w FROM {_KERNEL.format(h=n // 2, n=n)}" for n in (3, 5, 7, 9, 11)), "105"))
 def _(t):
     out = None
     for n in (3, 5, 7, 9, 11):
-        k = N.kernel(t.spark, n, 10.0, 2.0, matrix_id=f"k{n}")
-        out = k if out is None else out.unionByName(k)
-    return out.crossJoin(t.cells.agg(F.count("*").alias("n_cells")))
+        one = N.focal_sum(t.cells, "lulc_2022", [105], N.kernel(t.spark, n, 10.0, 2.0, matrix_id=f"k{n}"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("g9_kernel_family")
 def _(t):
-    return N.kernel_family(t.spark, [3, 5], 2, seed=68).crossJoin(t.cells.agg(F.count("*").alias("n_cells")))
+    return N.focal_sum(t.cells, "lulc_2022", [105], N.kernel_family(t.spark, [3, 5], 2, seed=68))
 
 
-@query("g10_decay_profile", "SELECT round(k / 10.0::DOUBLE, 6) AS radius, round(10 * (pow(0.1::DOUBLE, floor(k / 10.0)) * (1 - (k / 10.0::DOUBLE - floor(k / 10.0))) + pow(0.1::DOUBLE, floor(k / 10.0) + 1) * (k / 10.0::DOUBLE - floor(k / 10.0))), 6) AS w, (SELECT COUNT(*) FROM cells) AS n_cells FROM range(101) AS r(k)")
+@query("g10_decay_profile", f"SELECT cell_id, round(10 * pow(0.5::DOUBLE, k / 10), 6) AS w FROM (SELECT c.cell_id, round(sqrt(MIN(pow(c.row - f.row, 2) + pow(c.col - f.col, 2))) * 10) AS k FROM cells AS c, {_FEAT} AS f GROUP BY 1) WHERE k <= 100")
 def _(t):
-    return N.decay_profile(t.spark, 10.0, 2.0, interp=True).crossJoin(t.cells.agg(F.count("*").alias("n_cells")))
+    step = lambda c: F.round(F.col(c) * 10).cast("int").alias("step")
+    near = D.distance_to(t.cells, t.cells.filter("lulc_2022 = 106")).select("cell_id", step("distance"))
+    return near.join(F.broadcast(N.decay_profile(t.spark, 10.0, 2.0).select(step("radius"), "w")), "step").select("cell_id", "w")
 
 
 @query("g11_focal_sum", f"""WITH k AS {_KERNEL.format(h=2, n=5)}, s AS (SELECT c.row - dr AS row, c.col - dc AS col, lulc_2022 AS class, SUM(w) AS value FROM cells AS c, k WHERE lulc_2022 IN (103, 105) GROUP BY ALL)
@@ -62,42 +71,21 @@ def _(t):
     return N.neighbours_within(t.points, 2.0)
 
 
-_FEAT = "(SELECT row, col FROM cells WHERE lulc_2022 = 106 AND cell_id % 11 = 0)"
-
-
-@query("g14_distance", f"SELECT c.cell_id, round(sqrt(MIN(pow(c.row - f.row, 2) + pow(c.col - f.col, 2))) * 30, 6) AS distance FROM cells AS c, {_FEAT} AS f WHERE c.cell_id % 3 = 0 GROUP BY 1")
-def _(t):
-    return D.distance_to(t.cells.filter("cell_id % 3 = 0"), t.cells.filter("lulc_2022 = 106 AND cell_id % 11 = 0"), 30.0)
-
-
-@query("g14_distance_whole")
+@query("g14_distance", f"SELECT c.cell_id, round(sqrt(MIN(pow(c.row - f.row, 2) + pow(c.col - f.col, 2))) * 30, 6) AS distance FROM cells AS c, {_FEAT} AS f GROUP BY 1")
 def _(t):
     return D.distance_to(t.cells, t.cells.filter("lulc_2022 = 106"), 30.0)
 
 
-@query("g15_fill_nearest", """WITH gap AS (SELECT o_orderkey + 1 AS cell_id, CAST(FLOOR(o_orderkey / 100.0) AS INT) + 1 AS row, CAST(o_orderkey % 100 AS INT) + 1 AS col FROM orders WHERE o_custkey % 10 = 0 AND o_orderkey % 5 = 0),
- z AS (SELECT row, col, lulc_2022 AS zone FROM cells WHERE cell_id % 13 = 0),
- d AS (SELECT g.cell_id, zone, MIN(pow(g.row - z.row, 2) + pow(g.col - z.col, 2)) AS sq FROM gap AS g, z GROUP BY 1, 2)
+@query("g15_fill_nearest", """WITH gap AS (SELECT o_orderkey + 1 AS cell_id, CAST(FLOOR(o_orderkey / 100.0) AS INT) + 1 AS row, CAST(o_orderkey % 100 AS INT) + 1 AS col FROM orders WHERE o_custkey % 10 = 0),
+ d AS (SELECT g.cell_id, lulc_2022 AS zone, MIN(pow(g.row - z.row, 2) + pow(g.col - z.col, 2)) AS sq FROM gap AS g CROSS JOIN cells AS z GROUP BY 1, 2)
  SELECT cell_id, zone, round(sqrt(sq), 6) AS distance FROM d QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY sq, zone) = 1""")
-def _(t):
-    key = F.col("o_orderkey")
-    gaps = t.orders.filter("o_custkey % 10 = 0 AND o_orderkey % 5 = 0").select((key + 1).alias("cell_id"), (F.floor(key / 100) + 1).cast("int").alias("row"), (key % 100 + 1).cast("int").alias("col"))
-    return D.fill_nearest(gaps, t.cells.filter("cell_id % 13 = 0").select("row", "col", F.col("lulc_2022").alias("zone")), "zone")
-
-
-@query("g15_fill_nearest_whole")
 def _(t):
     key = F.col("o_orderkey")
     gaps = t.orders.filter("o_custkey % 10 = 0").select((key + 1).alias("cell_id"), (F.floor(key / 100) + 1).cast("int").alias("row"), (key % 100 + 1).cast("int").alias("col"))
     return D.fill_nearest(gaps, t.cells.select("row", "col", F.col("lulc_2022").alias("zone")), "zone")
 
 
-@query("g16_within_buffer", f"SELECT DISTINCT c.cell_id FROM cells AS c JOIN {_FEAT} AS f ON pow(c.row - f.row, 2) + pow(c.col - f.col, 2) <= 9 WHERE c.cell_id % 2 = 0")
-def _(t):
-    return D.within_buffer(t.cells.filter("cell_id % 2 = 0"), t.cells.filter("lulc_2022 = 106 AND cell_id % 11 = 0"), 3.0)
-
-
-@query("g16_within_buffer_whole")
+@query("g16_within_buffer", f"SELECT DISTINCT c.cell_id FROM cells AS c JOIN {_FEAT} AS f ON f.row BETWEEN c.row - 3 AND c.row + 3 AND f.col BETWEEN c.col - 3 AND c.col + 3 AND pow(c.row - f.row, 2) + pow(c.col - f.col, 2) <= 9")
 def _(t):
     return D.within_buffer(t.cells, t.cells.filter("lulc_2022 = 106"), 3.0)
 
@@ -111,7 +99,9 @@ def _(t):
     return V.rasterize(t.polygons, t.cells)
 
 
-@query("g17_rasterize_touches")
+@query("g17_rasterize_touches", f"""WITH {_RAST}, d AS (SELECT *, 1 / (x2 - x1) AS ix, 1 / (y2 - y1) AS iy FROM e),
+ h AS (SELECT cell_id, poly_id, greatest(least((col - 1 - x1) * ix, (col - x1) * ix), least((row - 1 - y1) * iy, (row - y1) * iy), 0) AS t0, least(greatest((col - 1 - x1) * ix, (col - x1) * ix), greatest((row - 1 - y1) * iy, (row - y1) * iy), 1) AS t1 FROM cells, d)
+ SELECT poly_id, cell_id FROM cov UNION SELECT poly_id, cell_id FROM h WHERE t1 - t0 > 1e-9""")
 def _(t):
     return V.rasterize(t.polygons, t.cells, touches=True)
 
@@ -166,24 +156,34 @@ def _(t):
     return P.class_stats(P.patches(t.cells, "lulc_2022", 8))
 
 
-@query("a18_allocation_params", f"""WITH {_patch_sql("lulc_2018 * 1000 + lulc_2022", where="lulc_2018 <> lulc_2022")}, {_STATS},
- ex AS (SELECT c.lulc_2018 * 1000 + c.lulc_2022 AS t, AVG(CASE WHEN EXISTS (SELECT 1 FROM cells AS n WHERE n.row BETWEEN c.row - 1 AND c.row + 1 AND n.col BETWEEN c.col - 1 AND c.col + 1 AND n.cell_id <> c.cell_id AND n.lulc_2018 = c.lulc_2022) THEN 100.0::DOUBLE ELSE 0 END) AS pe FROM cells AS c WHERE c.lulc_2018 <> c.lulc_2022 GROUP BY 1)
- SELECT CAST(floor(t / 1000) AS INT) AS from_v, CAST(t % 1000 AS INT) AS to_v, round(mean_patch_area, 6) AS mean_patch_area, round(sd_patch_area, 6) AS sd_patch_area, round(aggregation_index / 70, 6) AS isometry, round(pe, 6) AS perc_expander, round(100 - pe, 6) AS perc_patcher FROM cs JOIN ex ON class = t""")
+@query("a18_allocation_params", f"""WITH {_patch_sql("region * 1000000 + lulc_2018 * 1000 + lulc_2022", where="lulc_2018 <> lulc_2022")}, {_STATS},
+ ex AS (SELECT c.region * 1000000 + c.lulc_2018 * 1000 + c.lulc_2022 AS t, AVG(CASE WHEN EXISTS (SELECT 1 FROM cells AS n WHERE n.row BETWEEN c.row - 1 AND c.row + 1 AND n.col BETWEEN c.col - 1 AND c.col + 1 AND n.cell_id <> c.cell_id AND n.lulc_2022 = c.lulc_2022 AND n.region = c.region) THEN 100.0::DOUBLE ELSE 0 END) AS pe FROM cells AS c WHERE c.lulc_2018 <> c.lulc_2022 GROUP BY 1)
+ SELECT CAST(floor(t / 1000000) AS INT) AS region, CAST(floor(t / 1000) % 1000 AS INT) AS from_v, CAST(t % 1000 AS INT) AS to_v, round(mean_patch_area, 6) AS mean_patch_area, round(sd_patch_area, 6) AS sd_patch_area, round(aggregation_index / 70, 6) AS isometry, round(pe, 6) AS perc_expander, round(100 - pe, 6) AS perc_patcher FROM cs JOIN ex ON class = t""")
 def _(t):
     return P.allocation_params(t.cells, "lulc_2018", "lulc_2022")
 
 
-@query("a24_landscape_metrics", f"""WITH {_patch_sql("lulc_2022")}, {_STATS},
- sd AS (SELECT c.class, n.class AS other, COUNT(*) AS n FROM lab AS c JOIN lab AS n ON abs(n.row - c.row) + abs(n.col - c.col) = 1 GROUP BY 1, 2),
+_SIDES = "sd AS (SELECT c.class, n.class AS other, COUNT(*) AS n FROM lab AS c JOIN lab AS n ON abs(n.row - c.row) + abs(n.col - c.col) = 1 GROUP BY 1, 2)"
+_PERIM = """inn AS (SELECT c.class, c.patch, COUNT(*) AS i FROM lab AS c JOIN lab AS n ON n.patch = c.patch AND abs(n.row - c.row) + abs(n.col - c.col) = 1 GROUP BY 1, 2),
+ pp AS (SELECT sz.class, sz.patch, n, 4 * n - COALESCE(i, 0) AS perim FROM sz LEFT JOIN inn ON inn.patch = sz.patch AND inn.class = sz.class)"""
+_RIMS = "rm AS (SELECT SUM(CAST(4 - k > 0 AS INT)) AS b, SUM(4 - k) AS z FROM (SELECT c.cell_id, COUNT(n.cell_id) AS k FROM lab AS c LEFT JOIN lab AS n ON n.row BETWEEN c.row - 1 AND c.row + 1 AND n.col BETWEEN c.col - 1 AND c.col + 1 AND abs(n.row - c.row) + abs(n.col - c.col) = 1 GROUP BY 1))"
+_LEAST = "(CASE WHEN {a} = pow(floor(sqrt({a})), 2) THEN 4 * floor(sqrt({a})) WHEN {a} <= floor(sqrt({a})) * (floor(sqrt({a})) + 1) THEN 4 * floor(sqrt({a})) + 2 ELSE 4 * floor(sqrt({a})) + 4 END)"
+
+
+@query("a24_landscape_metrics", f"""WITH {_patch_sql("lulc_2022")}, {_STATS}, {_SIDES},
  un AS (SELECT class, SUM(n) AS u FROM sd WHERE class <> other GROUP BY 1), en AS (SELECT sd.class, -SUM(n / u * ln(n / u)) AS h FROM sd JOIN un ON un.class = sd.class WHERE sd.class <> other GROUP BY 1),
  sq AS (SELECT class, SUM(n * n)::DOUBLE AS sq FROM sz GROUP BY 1), tt AS (SELECT SUM(n)::DOUBLE AS t, COUNT(DISTINCT class) AS m FROM sz)
- SELECT cs.class, round(aggregation_index, 6) AS ai, round(1 - sq / (t * t), 6) AS division, round(h / ln(m - 1) * 100, 6) AS iji, round(sq / t * 900, 6) AS mesh, n_patches AS np, round("like" * 200 / (4 * n_cells), 6) AS pladj, round(t * t / sq, 6) AS split FROM cs JOIN sq ON sq.class = cs.class JOIN en ON en.class = cs.class, tt""")
+ SELECT cs.class, round(aggregation_index, 6) AS ai, round(1 - sq / (t * t), 6) AS division, round(h / ln(m - 1) * 100, 6) AS iji, round(sq / t * 0.09::DOUBLE, 6) AS mesh, n_patches AS np, round("like" * 200 / (4 * n_cells), 6) AS pladj, round(t * t / sq, 6) AS split FROM cs JOIN sq ON sq.class = cs.class JOIN en ON en.class = cs.class, tt""")
 def _(t):
     out = P.landscape_metrics(P.patches(t.cells, "lulc_2022", 8), 30.0)
     return out.select("class", "ai", "division", "iji", "mesh", "np", "pladj", "split")
 
 
-@query("a24_shape_metrics")
+@query("a24_shape_metrics", f"""WITH {_patch_sql("lulc_2022")}, {_STATS}, {_PERIM}, {_RIMS}, tt AS (SELECT SUM(n)::DOUBLE AS t FROM sz),
+ b AS (SELECT class, COUNT(*) AS np, SUM(n)::DOUBLE AS a, SUM(perim)::DOUBLE AS p, SUM(perim * sqrt(n)) AS ps FROM pp GROUP BY 1),
+ x AS (SELECT b.*, t, rm.b AS rim, z, {_LEAST.format(a="a")} AS lo, "like" * 2 AS lk FROM b JOIN cs ON cs.class = b.class, tt, rm),
+ y AS (SELECT *, lk / (4 * a - lo) AS g, a / t AS s, CASE WHEN 2 * a <= t THEN 4 * a WHEN a <= 0.5 * (t + rim + t % 2) THEN 3 * t - 2 * a + 3 * (t % 2) ELSE z + 4 * (t - a) END AS hi FROM x)
+ SELECT class, round(CASE WHEN g < s AND s < 0.5 THEN (g - s) / s ELSE (g - s) / (1 - s) END, 6) AS clumpy, round((1 - p / ps) * 100 / (1 - 1 / sqrt(t)), 6) AS cohesion, round(p / lo, 6) AS lsi, round((p - lo) / (hi - lo), 6) AS nlsi, round(np / (t * 900) * 1000000, 6) AS pd FROM y""")
 def _(t):
     return P.landscape_metrics(P.patches(t.cells, "lulc_2022", 8), 30.0).select("class", "clumpy", "cohesion", "lsi", "nlsi", "pd")
 
@@ -194,18 +194,26 @@ def _(t):
     return P.landscape_metrics(P.patches(inside, "lulc_2022", 8), 30.0).select("class", "ai", "np")
 
 
-@query("a24_landscape_level", f"""WITH {_patch_sql("lulc_2022")}, {_STATS}, tt AS (SELECT SUM(n)::DOUBLE AS t, COUNT(*) AS np, SUM(n * n)::DOUBLE AS sq, COUNT(DISTINCT class) AS m FROM sz),
- sd AS (SELECT c.class, n.class AS other, COUNT(*) AS n FROM lab AS c JOIN lab AS n ON abs(n.row - c.row) + abs(n.col - c.col) = 1 GROUP BY 1, 2),
- q AS (SELECT sd.class, other, n, n_cells / (SELECT t FROM tt) * n / SUM(n) OVER (PARTITION BY sd.class) AS q FROM sd JOIN st ON st.class = sd.class)
- SELECT np, round(np / (t * 900), 6) AS pd, round(1 - sq / (t * t), 6) AS division, round(sq / t * 900, 6) AS mesh, round(t * t / sq, 6) AS split, round((SELECT SUM(n) FROM q WHERE class = other) * 100.0::DOUBLE / (4 * t), 6) AS pladj, round((1 + (SELECT SUM(q * ln(q)) FROM q) / (2 * ln(m))) * 100, 6) AS contag FROM tt""")
+@query("a24_landscape_level", f"""WITH {_patch_sql("lulc_2022")}, {_STATS}, {_SIDES}, {_PERIM}, {_RIMS}, tt AS (SELECT SUM(n)::DOUBLE AS t, COUNT(*) AS np, SUM(n * n)::DOUBLE AS sq, COUNT(DISTINCT class) AS m, SUM(perim) AS p, SUM(perim * sqrt(n)) AS ps FROM pp),
+ q AS (SELECT sd.class, other, n, n_cells / (SELECT t FROM tt) * n / SUM(n) OVER (PARTITION BY sd.class) AS q FROM sd JOIN st ON st.class = sd.class),
+ ux AS (SELECT SUM(n)::DOUBLE AS e FROM sd WHERE class < other), ij AS (SELECT -SUM(n / e * ln(n / e)) AS h FROM sd, ux WHERE class < other), ag AS (SELECT SUM(aggregation_index * n_cells) AS s FROM cs)
+ SELECT round(s / t, 6) AS ai, round((1 - p / ps) * 100 / (1 - 1 / sqrt(t)), 6) AS cohesion, round((1 + (SELECT SUM(q * ln(q)) FROM q) / (2 * ln(m))) * 100, 6) AS contag, round(1 - sq / (t * t), 6) AS division, round(h / ln(0.5 * m * (m - 1)) * 100, 6) AS iji, round((e + z) / {_LEAST.format(a="t")}, 6) AS lsi, round(sq / t * 0.09::DOUBLE, 6) AS mesh, np, round(np / (t * 900) * 1000000, 6) AS pd, round((SELECT SUM(n) FROM q WHERE class = other) * 100.0::DOUBLE / (4 * t), 6) AS pladj, round(t * t / sq, 6) AS split FROM tt, ux, ij, ag, rm""")
 def _(t):
     return P.landscape_level(P.patches(t.cells, "lulc_2022", 8), 30.0)
 
 
-@query("a24_enn", f"""WITH {_patch_sql("lulc_2022")}, d AS (SELECT c.class, c.patch, sqrt(MIN(pow(c.row - n.row, 2) + pow(c.col - n.col, 2))) AS enn FROM lab AS c JOIN lab AS n ON n.class = c.class AND n.patch <> c.patch AND n.row BETWEEN c.row - 12 AND c.row + 12 AND pow(c.row - n.row, 2) + pow(c.col - n.col, 2) <= 144 GROUP BY 1, 2)
- SELECT class, COUNT(*) AS n, round(AVG(enn), 6) AS enn_mn, round(stddev_pop(enn), 6) AS enn_sd, round(stddev_pop(enn) / AVG(enn) * 100, 6) AS enn_cv FROM d GROUP BY 1""")
+_ENN = f"{_patch_sql('lulc_2022')}, d AS (SELECT c.class, c.patch, 30 * sqrt(MIN(pow(c.row - n.row, 2) + pow(c.col - n.col, 2))) AS enn FROM lab AS c JOIN lab AS n ON n.class = c.class AND n.patch <> c.patch GROUP BY 1, 2)"
+_SPREAD = "COUNT(*) AS n, round(AVG(enn), 6) AS enn_mn, round(stddev_pop(enn), 6) AS enn_sd, round(stddev_pop(enn) / AVG(enn) * 100, 6) AS enn_cv FROM d"
+
+
+@query("a24_enn", f"WITH {_ENN} SELECT class, {_SPREAD} GROUP BY 1")
+def _(t):
+    return P.enn_metrics(P.patches(t.cells, "lulc_2022", 8), 30.0)
+
+
+@query("a24_enn_landscape", f"WITH {_ENN} SELECT {_SPREAD}")
 def _(t):
-    return P.enn_metrics(P.patches(t.cells, "lulc_2022", 8), 12, whole=True)
+    return P.enn_metrics(P.patches(t.cells, "lulc_2022", 8), 30.0, level="landscape")
 
 
 _PRIO = "(SELECT c.cell_id, elevation FROM cells AS c WHERE cell_id NOT IN (SELECT cell_id FROM mask) AND lulc_2022 <> 105)"
@@ -250,9 +258,14 @@ def _(t):
     return _candidates(t)
 
 
-_PICK = """rk AS (SELECT *, CAST(SUM(n) OVER (ORDER BY priority DESC, n DESC, patch) AS BIGINT) AS run, CAST(row_number() OVER (ORDER BY priority DESC, n DESC, patch) AS INT) AS rank FROM pt),
- hd AS (SELECT *, rank < COALESCE((SELECT MIN(rank) FROM rk WHERE run > 60), 1 << 40) AS head FROM rk), rm AS (SELECT *, 60 - COALESCE((SELECT SUM(n) FROM hd WHERE head), 0) AS room FROM hd), ft AS (SELECT *, NOT head AND n <= room AS fits FROM rm),
- ch AS (SELECT patch, n, priority, rank, head OR (fits AND SUM(CASE WHEN fits THEN n ELSE 0 END) OVER (ORDER BY rank) <= room) AS chosen FROM ft)"""
+def _pick(order: str = "priority DESC, n DESC, patch", target: int = 60) -> str:
+    """First fit, a patch after the other."""
+    return f"""rk AS (SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM pt),
+ ff(rank, patch, n, priority, chosen, room) AS (SELECT 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::DOUBLE, FALSE, {target}::BIGINT UNION ALL SELECT rk.rank, rk.patch, rk.n, rk.priority, rk.n <= room, room - CASE WHEN rk.n <= room THEN rk.n ELSE 0 END FROM ff JOIN rk ON rk.rank = ff.rank + 1),
+ ch AS (SELECT patch, n, priority, CAST(rank AS INT) AS rank, chosen FROM ff WHERE rank > 0)"""
+
+
+_PICK = _pick()
 
 
 @query("t18_select_to_budget", f"WITH {_CAND}, {_PICK} SELECT patch, n, round(priority, 6) AS priority, rank, chosen FROM ch")
@@ -260,7 +273,42 @@ def _(t):
     return K.select_to_budget(_candidates(t), 60)
 
 
-@query("t19_phase_in", f"""WITH {_CAND}, {_PICK}, s AS (SELECT patch, floor((row_number() OVER (ORDER BY rank) - 1) / ceil(COUNT(*) OVER () / 4.0)) + 1 AS step FROM ch WHERE chosen)
- SELECT patch, y AS year FROM s, (VALUES (2030), (2040), (2050), (2060)) AS v(y) WHERE y >= 2020 + 10 * step""")
+@query("t18_small_patches", f"WITH {_CAND}, {_pick('n, priority DESC, patch', 500)} SELECT patch, n, round(priority, 6) AS priority, rank, chosen FROM ch")
+def _(t):
+    return K.select_to_budget(_candidates(t), 500, "small")
+
+
+@query("t18_connectivity", f"WITH {_CAND.replace(', pt AS', ', p0 AS')}, gp AS (SELECT patch, MIN(pow(l.row - m.row, 2) + pow(l.col - m.col, 2)) AS gap FROM lab AS l CROSS JOIN mask AS m GROUP BY 1), pt AS (SELECT p0.*, gap FROM p0 JOIN gp ON gp.patch = p0.patch), {_pick('gap, priority DESC, patch', 200)} SELECT patch, n, round(priority, 6) AS priority, rank, chosen FROM ch")
+def _(t):
+    high = P.patches(t.cells.filter("elevation > 250000").withColumn("one", F.lit(1)), "one", 8)
+    own = K.candidate_patches(t.cells, high, "elevation").join(K.patch_gaps(high, t.mask), "patch")
+    return K.select_to_budget(own, 200, "connectivity")
+
+
+_PHASED = "s AS (SELECT patch, floor((row_number() OVER (ORDER BY rank) - 1) / ceil(COUNT(*) OVER () / {k}.0)) + 1 AS step FROM ch WHERE chosen)"
+_TEN_YEARS = [2030, 2040, 2050, 2060]
+
+
+def _phased(t, *pace):
+    return K.phase_in(K.select_to_budget(_candidates(t), 60).filter("chosen"), _TEN_YEARS, *pace)
+
+
+@query("t19_phase_in", f"WITH {_CAND}, {_PICK}, {_PHASED.format(k=4)} SELECT patch, y AS year FROM s, (VALUES (2030), (2040), (2050), (2060)) AS v(y) WHERE y >= 2020 + 10 * step")
+def _(t):
+    return _phased(t)
+
+
+@query("t19_phase_rapid", f"WITH {_CAND}, {_PICK}, {_PHASED.format(k=2)} SELECT patch, y AS year FROM s, (VALUES (2030), (2040), (2050), (2060)) AS v(y) WHERE y >= 2020 + 10 * step")
+def _(t):
+    return _phased(t, "Rapid")
+
+
+@query("t19_phase_lagged", f"WITH {_CAND}, {_PICK}, {_PHASED.format(k=1)} SELECT patch, y AS year FROM s, (VALUES (2030), (2040), (2050), (2060)) AS v(y) WHERE y >= 2050")
+def _(t):
+    return _phased(t, "Lagged", 2050)
+
+
+@query("t19_protected_cells", f"WITH {_CAND}, {_PICK}, {_PHASED.format(k=4)} SELECT cell_id, y AS year FROM mask, (VALUES (2030), (2040), (2050), (2060)) AS v(y) UNION SELECT cell_id, y FROM s JOIN lab ON lab.patch = s.patch, (VALUES (2030), (2040), (2050), (2060)) AS v(y) WHERE y >= 2020 + 10 * step")
 def _(t):
-    return K.phase_in(K.select_to_budget(_candidates(t), 60).filter("chosen"), [2030, 2040, 2050, 2060])
+    labels = P.patches(t.cells.filter("elevation > 250000").withColumn("one", F.lit(1)), "one", 8)
+    return K.protected_cells(_phased(t), labels, t.mask, _TEN_YEARS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from landweave.queries import QUERIES
 
-#: Map rows of the fixture: more than the 100 of g3_extend_trim.
+#: Map rows of the fixture: some bands of distances, most of them empty.
 HEIGHT = 130
 
 
@@ -51,15 +51,15 @@ def same(spark, small, name, want):
 def test_distance_and_buffer(spark, small, maps):
     cells = maps[0]
     sq = squares(cells, cells[cells["lulc_2022"] == 106]).min(1)
-    same(spark, small, "g14_distance_whole", pd.DataFrame({"cell_id": cells["cell_id"], "distance": np.round(np.sqrt(sq) * 30, 6)}))
-    same(spark, small, "g16_within_buffer_whole", cells[sq <= 9][["cell_id"]])
+    same(spark, small, "g14_distance", pd.DataFrame({"cell_id": cells["cell_id"], "distance": np.round(np.sqrt(sq) * 30, 6)}))
+    same(spark, small, "g16_within_buffer", cells[sq <= 9][["cell_id"]])
 
 
 def test_fill_nearest(spark, small, maps):
     cells, _, gaps = maps
     sq, zone = squares(gaps, cells), cells["lulc_2022"].to_numpy()
     best = [min(zip(s.tolist(), zone.tolist(), strict=True)) for s in sq]
-    same(spark, small, "g15_fill_nearest_whole", pd.DataFrame({"cell_id": gaps["cell_id"], "zone": [z for _, z in best], "distance": [round(math.sqrt(s), 6) for s, _ in best]}))
+    same(spark, small, "g15_fill_nearest", pd.DataFrame({"cell_id": gaps["cell_id"], "zone": [z for _, z in best], "distance": [round(math.sqrt(s), 6) for s, _ in best]}))
 
 
 def test_extend_trim_and_range(spark, small, maps):
@@ -69,8 +69,8 @@ def test_extend_trim_and_range(spark, small, maps):
     rows = [((r - 1) * 100 + c, r, c) for r in range(mask["row"].min(), mask["row"].max() + 1) for c in range(mask["col"].min(), mask["col"].max() + 1)]
     want = pd.DataFrame(rows, columns=["cell_id", "row", "col"])
     want["lulc_2022"] = [value.get(i) for i in want["cell_id"]]
-    same(spark, small, "g3_extend_trim_whole", want)
-    same(spark, small, "p9_range_and_list_whole", cells[cells["cell_id"].isin(mask["cell_id"])][["cell_id", "region"]])
+    same(spark, small, "g3_extend_trim", want)
+    same(spark, small, "p9_range_and_list", cells[cells["cell_id"].isin(mask["cell_id"])][["cell_id", "region"]])
 
 
 def test_bilinear_past_row_40(spark, small, maps):
@@ -85,7 +85,7 @@ def test_bilinear_past_row_40(spark, small, maps):
                 rows.append((r, c, round(sum((1 - abs(y - a)) * (1 - abs(x - b)) * float(value[a, b]) for a, b in corners), 6)))
     want = pd.DataFrame(rows, columns=["row", "col", "value"])
     assert want["row"].max() > 40
-    same(spark, small, "g4_resample_bilinear_whole", want)
+    same(spark, small, "g4_resample_bilinear", want)
 
 
 def test_nearest_patches_at_any_distance(spark):
@@ -104,5 +104,5 @@ def test_nearest_patches_at_any_distance(spark):
         if near:
             want.append((v, len(near), np.mean(near), np.std(near), np.std(near) / np.mean(near) * 100))
     assert {w[0] for w in want} == {1, 2, 4}
-    got = patches.enn_metrics(labelled, 12, whole=True).toPandas()
+    got = patches.enn_metrics(labelled, 1.0, 12).toPandas()
     assert rows_of(got.round(6)) == rows_of(pd.DataFrame(want, columns=got.columns).round(6))
