@@ -43,12 +43,6 @@ def combine(cols: list[Column], how: str) -> Column:
     return F.when(known, value)
 
 
-def normalize_probs(cols: list[str]) -> dict[str, Column]:
-    """Probabilities divided by their sum where that exceeds 1."""
-    total = reduce(lambda a, b: a + b, (F.coalesce(F.col(c), F.lit(0.0)) for c in cols))
-    return {c: F.when(total > 1, F.col(c) / total).otherwise(F.col(c)) for c in cols}
-
-
 def parse_layer_name(c: Column) -> dict[str, Column]:
     """Variable, GCM, SSP, window, middle year (from + 15) and month of names like gcm_var_ssp_2011-01-01_2040-12-31_month."""
     low = F.lower(c)

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import itertools
+from multiprocessing.pool import ThreadPool
 
 import pandas as pd
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landweave.operators.ranks import BINS, hash_bin, ranked, unit_bin
+
 MODELS = {"glm": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
 #: Settings by their names in a model specification and in MLlib.
 SETTINGS = {"penalty": "regParam", "mixture": "elasticNetParam", "trees": {"rf": "numTrees", "gbt": "maxIter"}, "min_n": "minInstancesPerNode", "mtry": "featureSubsetStrategy", "tree_depth": "maxDepth", "learn_rate": "stepSize", "loss_reduction": "minInfoGain"}
@@ -24,12 +27,14 @@ def load_response(long: DataFrame, keys: list[str]) -> DataFrame:
 
 def thin_majority(df: DataFrame, keys: list[str], ratio: float = 1.5) -> DataFrame:
     """Where zeros exceed ratio times the ones, every k-th zero in cell order stays, k = ceil(zeros / ceil(ratio * ones))."""
-    task, own = Window.partitionBy(*keys), Window.partitionBy(*keys, "response")
-    n1, n0 = (F.sum((F.col("response") == v).cast("long")).over(task) for v in (1, 0))
-    rows = df.withColumns({"__n1": n1, "__n0": n0, "__rn": F.row_number().over(own.orderBy("cell_id"))})
+    n = df.groupBy(*keys).agg(F.sum(F.col("response").cast("long")).alias("__n1"), F.sum((1 - F.col("response")).cast("long")).alias("__n0"))
+    ends = df.agg(F.min("cell_id").alias("a"), F.max("cell_id").alias("b")).first()
+    first, wide = ends["a"] or 0, ((ends["b"] or 0) - (ends["a"] or 0)) // BINS + 1
+    place = F.floor((F.col("cell_id") - first) / wide).cast("long")
+    rows = ranked(df, [*keys, "response"], place, [F.col("cell_id")]).drop("__n").join(n, keys)
     k = F.ceil(F.col("__n0") / F.greatest(F.ceil(F.col("__n1") * ratio), F.lit(1)))
     keep = (F.col("response") == 1) | (F.col("__n0") <= F.col("__n1") * ratio) | ((F.col("__rn") - 1) % k == 0)
-    return rows.filter(keep).drop("__n1", "__n0", "__rn")
+    return rows.filter(keep).select(*df.columns)
 
 
 def class_weights(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -60,6 +65,8 @@ def univariate_pvalues(long: DataFrame, rounds: int = 12, least: int = 10) -> Da
     stats = stats.filter((F.col("n") >= least) & (F.col("d") >= 3) & (F.col("s") > 0))
     beta = stats.select("task", "predictor", "n", "m", "s", (F.col("d") > 5).alias("quad"), F.array(*[F.lit(0.0)] * 3).alias("b"))
     rows = long.filter("x IS NOT NULL")
+    # a row for each task and predictor: broadcast while these are few, else merged by them
+    small = F.broadcast if stats.count() <= 100_000 else (lambda df: df)
     moments = [f"h{k}" for k in range(5)] + [f"g{k}" for k in range(3)]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -80,7 +87,7 @@ def univariate_pvalues(long: DataFrame, rounds: int = 12, least: int = 10) -> Da
     schema = "task string, predictor string, n long, m double, s double, quad boolean, b array<double>, se array<double>"
     for _ in range(rounds):
         z = (F.col("x") - F.col("m")) / F.col("s")
-        both = rows.join(F.broadcast(beta.select("task", "predictor", "m", "s", "b")), ["task", "predictor"]).withColumn("z", z)
+        both = rows.join(small(beta.select("task", "predictor", "m", "s", "b")), ["task", "predictor"]).withColumn("z", z)
         eta = F.col("b")[0] + F.col("b")[1] * F.col("z") + F.col("b")[2] * F.col("z") * F.col("z")
         both = both.withColumn("mu", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), eta)))))
         v, d = F.col("w") * F.col("mu") * (1 - F.col("mu")), F.col("w") * (F.col("y") - F.col("mu"))
@@ -111,13 +118,19 @@ def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
     return rows.select("x.*")
 
 
-def collinearity_filter(df: DataFrame, order: list[str], cut: float = 0.7) -> list[str]:
-    """Predictors in order of p-value, each kept unless it correlates above cut with one kept before; unknown correlations are 0."""
-    r = {frozenset((x["a"], x["b"])): abs(x["r"] or 0.0) for x in correlations(df, order).collect()} if len(order) > 1 else {}
+def collinearity_filter(df: DataFrame, order: list[str] | dict[str, list[str]], cut: float = 0.7) -> list[str]:
+    """Predictors in order of p-value, each kept unless it correlates above cut with one kept before; unknown correlations are 0.
+
+    order: one list, or a list for each category, which are filtered apart.
+    """
     kept: list[str] = []
-    for c in order:
-        if all(r[frozenset((c, k))] <= cut for k in kept):
-            kept.append(c)
+    for own in order.values() if isinstance(order, dict) else [order]:
+        r = {frozenset((x["a"], x["b"])): abs(x["r"] or 0.0) for x in correlations(df, own).collect()} if len(own) > 1 else {}
+        good: list[str] = []
+        for c in own:
+            if all(r[frozenset((c, k))] <= cut for k in good):
+                good.append(c)
+        kept += good
     return kept
 
 
@@ -143,15 +156,22 @@ def _order(seed: int) -> Column:
     return F.xxhash64("cell_id", F.lit(seed))
 
 
-def balance(df: DataFrame, keys: list[str], multiplier: float = 1.0, seed: int = 1, most: int | None = None) -> DataFrame:
-    """All of the smaller class and a seeded choice of multiplier times as many of the larger; most: at most so many rows in all."""
-    own, task = Window.partitionBy(*keys, "response"), Window.partitionBy(*keys)
-    rows = df.withColumns({"__n": F.count("*").over(own), "__rn": F.row_number().over(own.orderBy(_order(seed), "cell_id"))})
-    rows = rows.withColumn("__least", F.min("__n").over(task))
-    room = F.floor(F.col("__least") * multiplier)
+def _shuffled(df: DataFrame, keys: list[str], seed: int) -> DataFrame:
+    """df with __rn and __n: the place among the rows of its task and class in seeded order, and their number."""
+    return ranked(df, [*keys, "response"], hash_bin(_order(seed)), [_order(seed), F.col("cell_id")])
+
+
+def balance(df: DataFrame, keys: list[str], multiplier: float = 1.0, seed: int = 1, most: int | None = None, proportion: float | None = None) -> DataFrame:
+    """All of the smaller class and a seeded choice of multiplier times as many of the larger.
+
+    proportion: instead, so many of the larger that the smaller is this share of all; most: at most so many rows in all.
+    """
+    least = df.groupBy(*keys, "response").agg(F.count("*").alias("__c")).groupBy(*keys).agg(F.min("__c").alias("__least"))
+    rows = _shuffled(df, keys, seed).join(least, keys)
+    room = F.floor(F.col("__least") * (multiplier if proportion is None else (1 - proportion) / proportion) + 1e-9)
     if most is not None:
         room = F.least(room, F.lit(most) - F.col("__least"))
-    return rows.filter((F.col("__n") == F.col("__least")) | (F.col("__rn") <= room)).drop("__n", "__rn", "__least")
+    return rows.filter((F.col("__n") == F.col("__least")) | (F.col("__rn") <= room)).select(*df.columns)
 
 
 def final_sample(df: DataFrame, keys: list[str], most: int, seed: int = 1) -> DataFrame:
@@ -160,14 +180,12 @@ def final_sample(df: DataFrame, keys: list[str], most: int, seed: int = 1) -> Da
 
 def stratified_split(df: DataFrame, keys: list[str], share: float = 0.75, seed: int = 1) -> DataFrame:
     """part: train for the first share of each class in seeded order, else test."""
-    own = Window.partitionBy(*keys, "response")
-    rn, n = F.row_number().over(own.orderBy(_order(seed), "cell_id")), F.count("*").over(own)
-    return df.withColumn("part", F.when(rn <= F.round(n * share), "train").otherwise("test"))
+    part = F.when(F.col("__rn") <= F.round(F.col("__n") * share), "train").otherwise("test")
+    return _shuffled(df, keys, seed).select(*df.columns, part.alias("part"))
 
 
 def stratified_folds(df: DataFrame, keys: list[str], k: int = 5, seed: int = 1) -> DataFrame:
-    own = Window.partitionBy(*keys, "response")
-    return df.withColumn("fold", (F.row_number().over(own.orderBy(_order(seed), "cell_id")) % k).cast("int"))
+    return _shuffled(df, keys, seed).select(*df.columns, (F.col("__rn") % k).cast("int").alias("fold"))
 
 
 def model_spec(name: str, cols: list[str], **params):
@@ -189,31 +207,89 @@ def score(df: DataFrame, model) -> DataFrame:
     return out.withColumn("predicted", (F.col("p") >= 0.5).cast("int")).select(*df.columns, "p", "predicted")
 
 
-def tune(df: DataFrame, name: str, cols: list[str], grid: dict[str, list], folds: int = 3, seed: int = 1) -> list[dict]:
-    """All settings of the grid by cross-validation: mean AUC over folds, best first. mtry above the number of columns is dropped."""
+def tune(df: DataFrame, name: str, cols: list[str], grid: dict[str, list], folds: int = 3, seed: int = 1, at_once: int = 4) -> list[dict]:
+    """All settings of the grid by cross-validation: mean AUC over folds, best first. mtry above the number of columns is dropped.
+
+    at_once: fits that Spark runs side by side.
+    """
     rows = stratified_folds(df, [], folds, seed).cache()
-    names, out = list(grid), []
-    for values in itertools.product(*grid.values()):
-        params = dict(zip(names, values, strict=True))
-        if params.get("mtry", 0) > len(cols):
-            continue
-        got = []
-        for k in range(folds):
-            model = model_spec(name, cols, **params).fit(rows.filter(F.col("fold") != k))
-            got.append(classification_metrics(score(rows.filter(F.col("fold") == k), model), []).first()["roc_auc"])
-        known = [x for x in got if x is not None]
-        out.append({**params, "roc_auc": sum(known) / len(known) if known else None})
+    grid_of = [dict(zip(grid, values, strict=True)) for values in itertools.product(*grid.values())]
+    grid_of = [p for p in grid_of if p.get("mtry", 0) <= len(cols)]
+
+    def one(job: tuple[dict, int]) -> float | None:
+        params, k = job
+        model = model_spec(name, cols, **params).fit(rows.filter(F.col("fold") != k))
+        return classification_metrics(score(rows.filter(F.col("fold") == k), model), []).first()["roc_auc"]
+
+    with ThreadPool(at_once) as pool:
+        got = pool.map(one, [(p, k) for p in grid_of for k in range(folds)], 1)
     rows.unpersist()
+    out = []
+    for i, params in enumerate(grid_of):
+        known = [x for x in got[i * folds : (i + 1) * folds] if x is not None]
+        out.append({**params, "roc_auc": sum(known) / len(known) if known else None})
     return sorted(out, key=lambda x: -(x["roc_auc"] or 0))
 
 
+def fit_tasks(rows: DataFrame, keys: list[str], specs: dict[str, dict], cols: list[str], path: str, at_once: int = 4) -> DataFrame:
+    """(keys, model, roc_auc): every family of specs fitted on the train part of each task, scored on the test part, the
+    best one (ties by name) fitted again on all rows and saved under path, a folder for each task.
+
+    Tasks come from configuration (transition and region), so the driver lists them; MLlib fits one at a time, so
+    several run side by side. A task with one class only has no model.
+    """
+    data = stratified_split(rows, keys).cache()
+    tasks = data.groupBy(*keys).agg(F.countDistinct("response").alias("n")).filter("n = 2").orderBy(*keys).collect()
+
+    def own(t) -> DataFrame:
+        out = data
+        for k in keys:
+            out = out.filter(F.col(k) == t[k])
+        return out
+
+    def one(t) -> tuple:
+        found = []
+        for name in sorted(specs):
+            fit = model_spec(name, cols, **specs[name]).fit(own(t).filter("part = 'train'"))
+            found.append((classification_metrics(score(own(t).filter("part = 'test'"), fit), []).first()["roc_auc"], name))
+        auc, name = min(found, key=lambda x: (-(x[0] if x[0] is not None else -1), x[1]))
+        model_spec(name, cols, **specs[name]).fit(own(t)).write().overwrite().save(f"{path}/{task_folder([t[k] for k in keys])}")
+        return (*(t[k] for k in keys), name, auc)
+
+    with ThreadPool(at_once) as pool:
+        got = pool.map(one, tasks, 1)
+    data.unpersist()
+    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+    return rows.sparkSession.createDataFrame(got, f"{schema}, model string, roc_auc double")
+
+
+def task_folder(values: list) -> str:
+    return ".".join(str(v) for v in values)
+
+
+def score_tasks(rows: DataFrame, keys: list[str], fitted: DataFrame, path: str) -> DataFrame:
+    """rows of the tasks in fitted with p and predicted by each task's saved model; tasks are a table of configuration's size."""
+    out = None
+    for t in fitted.select(*keys).collect():
+        own = rows
+        for k in keys:
+            own = own.filter(F.col(k) == t[k])
+        one = score(own, PipelineModel.load(f"{path}/{task_folder(list(t))}"))
+        out = one if out is None else out.unionByName(one)
+    return out if out is not None else rows.limit(0).withColumns({"p": F.lit(None).cast("double"), "predicted": F.lit(None).cast("int")})
+
+
 def classification_metrics(pred: DataFrame, keys: list[str]) -> DataFrame:
     """AUC by rank sums (ties half), accuracy, precision, recall, F, kappa, MCC, specificity; positive class 1.
 
-    Ranks come from counts by probability, so what a window orders is different values, not rows.
+    Ranks come from counts by probability, and by bins of it: only different values of one bin are ordered together.
     """
     n = pred.groupBy(*keys, "p").agg(F.sum(F.col("response").cast("double")).alias("one"), F.sum(1.0 - F.col("response")).alias("zero"))
-    below = F.sum("zero").over(Window.partitionBy(*keys).orderBy("p")) - F.col("zero") / 2
+    n = n.withColumn("bin", unit_bin(F.col("p")))
+    bins = n.groupBy(*keys, "bin").agg(F.sum("zero").alias("z"))
+    bins = bins.select(*keys, "bin", (F.sum("z").over(Window.partitionBy(*keys).orderBy("bin")) - F.col("z")).alias("before"))
+    n = n.join(bins, [*keys, "bin"])
+    below = F.col("before") + F.sum("zero").over(Window.partitionBy(*keys, "bin").orderBy("p")) - F.col("zero") / 2
     auc = n.withColumn("won", F.col("one") * below).groupBy(*keys).agg(F.try_divide(F.sum("won"), F.sum("one") * F.sum("zero")).alias("roc_auc"))
     c = lambda y, q: F.sum(((F.col("response") == y) & (F.col("predicted") == q)).cast("double"))
     m = pred.groupBy(*keys).agg(c(1, 1).alias("tp"), c(0, 0).alias("tn"), c(0, 1).alias("fp"), c(1, 0).alias("fn"))

@@ -8,10 +8,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landweave.operators.ranks import percentiles, unit_bin
+
+
+def at_digits(c: str | Column) -> Column:
+    """A value as cuts compare it: to nine digits, so that sums in another order fall on the same side."""
+    return F.round(c, 9)
+
 
 def normalize_long(probs: DataFrame) -> DataFrame:
-    """A cell's probabilities over their sum where it exceeds 1."""
-    total = F.sum("p").over(Window.partitionBy("cell_id"))
+    """A cell's probabilities over their sum (to twelve digits, so that its order makes no difference) where it exceeds 1."""
+    total = F.round(F.sum("p").over(Window.partitionBy("cell_id")), 12)
     return probs.withColumn("p", F.when(total > 1, F.col("p") / total).otherwise(F.col("p")))
 
 
@@ -44,6 +51,7 @@ PRESETS = {
     "rural_migration": Intervention("relative", order="out-in", when_negative="lower_outside", when_positive="raise_inside", targets=(105,)),
     "cultural_protection": Intervention("relative", order="out-in", when_negative="lower_inside", when_positive="raise_outside", targets=(105,), guard=True),
     "agri_expansion": Intervention("relative", order="out-in", when_positive="raise_inside", when_negative="lower_outside", targets=(103,), from_filter=(102, 104)),
+    "ineffective_conservation": Intervention("relative", order="out-in", when_positive="raise_inside", when_negative="lower_outside", targets=(103, 104, 105)),
     "conservation": Intervention("absolute", "inside", 0.0, targets=(103, 105), from_filter=(102,)),
 }
 
@@ -75,18 +83,21 @@ def adjust_relative(probs: DataFrame, zone: DataFrame, i: Intervention) -> DataF
     rows = _flag(probs, zone)
     own = rows.filter(_applies(i) & (F.col("p") > 0))
     side = lambda inside, x: F.when(F.col("__in") == inside, x)
-    q = own.groupBy("to_v").agg(F.percentile(side(True, F.col("p")), F.lit(i.q_in)).alias("q_in"), F.percentile(side(False, F.col("p")), F.lit(i.q_out)).alias("q_out"), F.countDistinct(side(True, F.col("p"))).alias("d_in"), F.countDistinct(side(False, F.col("p"))).alias("d_out"))
-    means = own.join(F.broadcast(q), "to_v").groupBy("to_v", "q_in", "q_out", "d_in", "d_out").agg(F.avg(side(True, F.when(F.col("p") >= F.col("q_in"), F.col("p")))).alias("m_in"), F.avg(side(False, F.when(F.col("p") >= F.col("q_out"), F.col("p")))).alias("m_out"))
+    differ = lambda inside: F.coalesce(F.min(side(inside, F.col("p"))) < F.max(side(inside, F.col("p"))), F.lit(False))
+    q = own.groupBy("to_v").agg(differ(True).alias("d_in"), differ(False).alias("d_out"))
+    for inside, share, name in ((True, i.q_in, "q_in"), (False, i.q_out, "q_out")):
+        q = q.join(percentiles(own.filter(F.col("__in") == inside), ["to_v"], "p", share).withColumnRenamed("q", name), "to_v", "left")
+    means = own.join(F.broadcast(q), "to_v").groupBy("to_v", "q_in", "q_out", "d_in", "d_out").agg(F.avg(side(True, F.when(at_digits("p") >= at_digits("q_in"), F.col("p")))).alias("m_in"), F.avg(side(False, F.when(at_digits("p") >= at_digits("q_out"), F.col("p")))).alias("m_out"))
     gap = F.try_divide(F.col("m_in") - F.col("m_out") if i.order == "in-out" else F.col("m_out") - F.col("m_in"), (F.col("m_in") + F.col("m_out")) / 2)
     gap = F.when(F.abs(gap) < i.threshold, F.when(gap < 0, -i.threshold).otherwise(i.threshold)).otherwise(gap)
     if i.guard:
-        gap = F.when((F.col("d_in") > 1) & (F.col("d_out") > 1), gap)
+        gap = F.when(F.col("d_in") & F.col("d_out"), gap)
     stats = means.select(F.col("to_v").alias("__to"), "q_in", "q_out", gap.alias("gap"))
 
     def scaled(rule: str) -> Column:
         move, where = rule.split("_")
         factor = 1 + F.abs("gap") if move == "raise" else 1 - F.abs("gap")
-        hit = (F.col("__in") & (F.col("p") > F.col("q_in"))) if where == "inside" else (~F.col("__in") & (F.col("p") > F.col("q_out")))
+        hit = (F.col("__in") & (at_digits("p") > at_digits("q_in"))) if where == "inside" else (~F.col("__in") & (at_digits("p") > at_digits("q_out")))
         return F.when(hit, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("p") * factor))).otherwise(F.col("p"))
 
     out = rows.join(F.broadcast(stats), F.col("to_v") == F.col("__to"), "left")
@@ -115,22 +126,22 @@ def marginality(df: DataFrame) -> DataFrame:
 def abandonment(probs: DataFrame, index: DataFrame, threshold: float, agri: tuple[int, ...] = (103, 104)) -> DataFrame:
     """Agricultural cells: raise the upper tenth where marginal (index above its 75th percentile), lower it elsewhere, by threshold."""
     rows = probs.filter(F.col("from_v").isin(*agri)).join(index, "cell_id")
-    cut = rows.select("cell_id", "marginality").distinct().agg(F.percentile("marginality", F.lit(0.75)).alias("cut"))
-    rows = rows.crossJoin(F.broadcast(cut)).withColumn("marginal", F.col("marginality") > F.col("cut"))
-    q = rows.filter("p > 0").groupBy("marginal").agg(F.percentile("p", F.lit(0.9)).alias("q"))
+    cut = percentiles(rows.select("cell_id", "marginality").distinct(), [], "marginality", 0.75).withColumnRenamed("q", "cut")
+    rows = rows.crossJoin(F.broadcast(cut)).withColumn("marginal", at_digits("marginality") > at_digits("cut"))
+    q = percentiles(rows.filter("p > 0"), ["marginal"], "p", 0.9)
     out = rows.join(F.broadcast(q), "marginal", "left")
     factor = F.when(F.col("marginal"), 1 + threshold).otherwise(1 - threshold)
-    return out.withColumn("p", F.when(F.col("p") > F.col("q"), F.least(F.lit(1.0), F.col("p") * factor)).otherwise(F.col("p"))).select(*probs.columns, "marginal")
+    return out.withColumn("p", F.when(at_digits("p") > at_digits("q"), F.least(F.lit(1.0), F.col("p") * factor)).otherwise(F.col("p"))).select(*probs.columns, "marginal")
 
 
 def maintenance(probs: DataFrame, index: DataFrame, threshold: float, agri: tuple[int, ...] = (103, 104)) -> DataFrame:
     """Marginal agricultural probabilities above the 95th percentile of the non-marginal positive ones, lowered by threshold."""
     rows = probs.filter(F.col("from_v").isin(*agri)).join(index, "cell_id")
-    cut = rows.select("cell_id", "marginality").distinct().agg(F.percentile("marginality", F.lit(0.75)).alias("cut"))
-    rows = rows.crossJoin(F.broadcast(cut)).withColumn("marginal", F.col("marginality") > F.col("cut"))
-    q = rows.filter("p > 0 AND NOT marginal").agg(F.percentile("p", F.lit(0.95)).alias("q"))
+    cut = percentiles(rows.select("cell_id", "marginality").distinct(), [], "marginality", 0.75).withColumnRenamed("q", "cut")
+    rows = rows.crossJoin(F.broadcast(cut)).withColumn("marginal", at_digits("marginality") > at_digits("cut"))
+    q = percentiles(rows.filter("p > 0 AND NOT marginal"), [], "p", 0.95)
     out = rows.crossJoin(F.broadcast(q))
-    return out.withColumn("p", F.when(F.col("marginal") & (F.col("p") > F.col("q")), F.col("p") * (1 - threshold)).otherwise(F.col("p"))).select(*probs.columns, "marginal")
+    return out.withColumn("p", F.when(F.col("marginal") & (at_digits("p") > at_digits("q")), F.col("p") * (1 - threshold)).otherwise(F.col("p"))).select(*probs.columns, "marginal")
 
 
 def adjust_params(params: DataFrame, ints: DataFrame) -> DataFrame:
@@ -167,10 +178,17 @@ def change_quantities(cells: DataFrame, col: str, rates: DataFrame, pct: DataFra
 
 
 def shortlist(probs: DataFrame, quantities: DataFrame, prune: float = 10.0) -> DataFrame:
-    """The best prune * n cells of each transition, by probability (to twelve digits) and then cell."""
-    best = F.row_number().over(Window.partitionBy("from_v", "to_v").orderBy(F.round("p", 12).desc(), "cell_id"))
-    rows = probs.filter("p > 0").join(quantities.select("from_v", "to_v", "n"), ["from_v", "to_v"])
-    return rows.withColumn("rank", best).filter(F.col("rank") <= F.col("n") * prune).drop("n")
+    """The best prune * n cells of each transition, by probability (to twelve digits) and then cell.
+
+    Counts by bins of probability tell which bins the cut can't reach; those rows go before anything is ordered.
+    """
+    rows = probs.filter("p > 0").join(F.broadcast(quantities.select("from_v", "to_v", "n")), ["from_v", "to_v"]).withColumn("__bin", unit_bin(F.round("p", 12)))
+    own = Window.partitionBy("from_v", "to_v").orderBy(F.col("__bin").desc())
+    above = rows.groupBy("from_v", "to_v", "__bin").agg(F.count("*").alias("__c"), F.max("n").alias("__n")).withColumn("__above", F.sum("__c").over(own) - F.col("__c"))
+    above = above.filter(F.col("__above") < F.col("__n") * prune).select("from_v", "to_v", "__bin", "__above")
+    best = F.col("__above") + F.row_number().over(Window.partitionBy("from_v", "to_v", "__bin").orderBy(F.round("p", 12).desc(), "cell_id"))
+    out = rows.join(above, ["from_v", "to_v", "__bin"]).withColumn("rank", best.cast("int"))
+    return out.filter(F.col("rank") <= F.col("n") * prune).select(*probs.columns, "rank")
 
 
 def transition_potential(scored: DataFrame, background: DataFrame, zones: list[tuple[DataFrame, Intervention]], between: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

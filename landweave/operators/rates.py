@@ -150,6 +150,22 @@ def pick_shape(rows: DataFrame, keys: list[str], label: str, constant: str = "Co
     return n.groupBy(*keys).agg(F.min_by(label, order).alias(label), F.max("n").alias("n"))
 
 
+#: Curve labels that fit a growing and a shrinking class: fixed values.
+CONSTANT = "Constant change"
+SHAPES = {1: (CONSTANT, "Instant growth", "Delayed growth"), -1: (CONSTANT, "Instant decline", "Delayed decline")}
+
+
+def curve_shape(rows: DataFrame, areas: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """keys, label and direction for each row of areas (keys, initial, final): the most frequent label among those
+    that fit the class's growth or decline; constant change where none fits or the area stays."""
+    way = areas.select(*keys, F.signum(F.col("final") - F.col("initial")).cast("int").alias("direction"))
+    fits = F.lit(False)
+    for d, labels in SHAPES.items():
+        fits = fits | ((F.col("direction") == d) & F.col(label).isin(*labels))
+    picked = pick_shape(rows.join(way, keys).filter(fits), keys, label).drop("n")
+    return way.join(picked, keys, "left").withColumn(label, F.coalesce(label, F.lit(CONSTANT)))
+
+
 def share(value: str, by: list[str]) -> Column:
     """A value's share of its group's sum; NULL where that is 0."""
     return F.try_divide(F.col(value), F.sum(value).over(Window.partitionBy(*by)))

@@ -47,21 +47,24 @@ def flows_to_rates(flows: DataFrame, areas: DataFrame, keys: list[str]) -> DataF
     return out.select(*keys, "from_v", "to_v", (F.col("flow") / F.greatest("area", F.lit(1e-12))).alias("rate"))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A small table computed once: a checkpoint where the session has a folder for them, else cached."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.cache()
+
+
 def project_areas(areas: DataFrame, rates: DataFrame, steps: list[int], keys: list[str]) -> DataFrame:
     """(keys, lulc, step, area): area + gains - losses, step after step; all keys at once.
 
-    rates may carry a column step, else they hold for all. Areas are a row for each class and key, so the
-    plan stays small; where a checkpoint folder is set up it is cut every fourth step.
+    rates may carry a column step, else they hold for all. Rates are written once, and so is each step's small
+    table (a row for each class and key) where a checkpoint folder is set up, so that no step repeats another.
     """
-    own = areas.select(*keys, "lulc", F.col("area").cast("double").alias("area"))
+    rates, own = _kept(rates), _kept(areas.select(*keys, "lulc", F.col("area").cast("double").alias("area")).coalesce(1))
     out = own.withColumn("step", F.lit(steps[0]))
-    for n, step in enumerate(steps[1:], 1):
+    for step in steps[1:]:
         now = rates.filter(F.col("step") == step).drop("step") if "step" in rates.columns else rates
         flow = now.join(own.withColumnRenamed("lulc", "from_v"), [*keys, "from_v"]).withColumn("flow", F.col("rate") * F.col("area"))
         net = flow.select(*keys, F.explode(F.array(F.struct(F.col("to_v").alias("lulc"), F.col("flow").alias("d")), F.struct(F.col("from_v").alias("lulc"), (-F.col("flow")).alias("d")))).alias("x")).groupBy(*keys, F.col("x.lulc").alias("lulc")).agg(F.sum("x.d").alias("d"))
-        own = own.join(net, [*keys, "lulc"], "left").select(*keys, "lulc", (F.col("area") + F.coalesce("d", F.lit(0.0))).alias("area"))
-        if n % 4 == 0 and own.sparkSession.sparkContext.getCheckpointDir():
-            own = own.checkpoint()
+        own = _kept(own.join(net, [*keys, "lulc"], "left").select(*keys, "lulc", (F.col("area") + F.coalesce("d", F.lit(0.0))).alias("area")))
         out = out.unionByName(own.withColumn("step", F.lit(step)))
     return out
 
@@ -118,21 +121,49 @@ def target_transitions(trans: DataFrame, mismatch: DataFrame, keys: list[str], t
     return out.filter(over | under).select(*keys, "from_v", "to_v", "amount", (F.col("amount") == 0).alias("zero"), (over & under).alias("synergistic"))
 
 
-def improve_round(trans: DataFrame, areas: DataFrame, keys: list[str], threshold: float, share: float = 0.5) -> DataFrame:
-    """One round: synergistic transitions grow by share of the lesser mismatch if that lowers the total; then what each class still
-    misses is spread over its inflows by their amounts (equally where all are 0). All classes at once, from the round's old values."""
-    m = area_mismatch(trans, areas, keys)
-    hit = target_transitions(trans, m, keys, threshold)
-    side = lambda c, f: m.select(*keys, F.col("lulc").alias(c), F.greatest(F.lit(0.0), f(F.col("mismatch"))).alias(f"r_{c}"))
-    syn = hit.filter("synergistic").join(side("from_v", lambda x: x), [*keys, "from_v"]).join(side("to_v", lambda x: -x), [*keys, "to_v"])
-    n = lambda c: F.count("*").over(Window.partitionBy(*keys, c))
-    syn = syn.withColumn("step", share * F.least(F.col("r_from_v") / n("from_v"), F.col("r_to_v") / n("to_v"))).select(*keys, "from_v", "to_v", "step")
-    grown = trans.join(syn, [*keys, "from_v", "to_v"], "left").withColumn("amount", F.col("amount") + F.coalesce("step", F.lit(0.0))).drop("step")
-    rest = area_mismatch(grown, areas, keys).select(*keys, F.col("lulc").alias("to_v"), F.when(F.abs("mismatch_perc") > threshold, -F.col("mismatch") / 2).otherwise(0.0).alias("add"))
-    into = Window.partitionBy(*keys, "to_v")
-    part = F.coalesce(F.try_divide(F.col("amount"), F.sum("amount").over(into)), 1 / F.count("*").over(into))
-    out = grown.join(rest, [*keys, "to_v"], "left").withColumn("amount", F.greatest(F.lit(0.0), F.col("amount") + F.coalesce("add", F.lit(0.0)) * part))
-    return out.select(*trans.columns)
+def total_mismatch(mismatch: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of the sizes of mismatches, and of what is too small and too large in percent."""
+    q = F.col("mismatch_perc")
+    return mismatch.groupBy(*keys).agg(F.sum(F.abs("mismatch")).alias("total_area"), F.sum(F.abs(q)).alias("total_perc"), F.sum(F.when(q < 0, -q).otherwise(0.0)).alias("undersized"), F.sum(F.when(q > 0, q).otherwise(0.0)).alias("oversized"))
+
+
+def synergistic_step(trans: DataFrame, areas: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """Synergistic transitions grow by the mismatch of whichever of their classes has the lesser percentage, in
+    those keys whose total mismatch falls by it; elsewhere trans stays."""
+    m = _kept(area_mismatch(trans, areas, keys))
+    side = lambda c: m.select(*keys, F.col("lulc").alias(c), F.abs("mismatch").alias(f"a_{c}"), F.abs("mismatch_perc").alias(f"q_{c}"))
+    hit = target_transitions(trans, m, keys, threshold).filter("synergistic").join(side("from_v"), [*keys, "from_v"]).join(side("to_v"), [*keys, "to_v"])
+    hit = hit.select(*keys, "from_v", "to_v", F.when(F.col("q_from_v") >= F.col("q_to_v"), F.col("a_to_v")).otherwise(F.col("a_from_v")).alias("step"))
+    grown = _kept(trans.join(hit, [*keys, "from_v", "to_v"], "left").withColumn("grown", F.col("amount") + F.coalesce("step", F.lit(0.0))))
+    after = total_mismatch(area_mismatch(grown.select(*keys, "from_v", "to_v", F.col("grown").alias("amount")), areas, keys), keys)
+    better = total_mismatch(m, keys).select(*keys, F.col("total_perc").alias("before")).join(after, keys).select(*keys, (F.round("total_perc", 9) < F.round("before", 9)).alias("better"))
+    out = grown.join(better, keys, "left")
+    return out.withColumn("amount", F.when(F.col("better"), F.col("grown")).otherwise(F.col("amount"))).select(*trans.columns)
+
+
+def improve_round(trans: DataFrame, areas: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """One round: synergistic transitions first (synergistic_step); then each class's mismatch goes to its target
+    transitions by the inverse of the opposing classes' percentages (0 where that isn't finite; equally where all are 0).
+
+    All classes at once, from the values after the first step; where two classes touch one transition, the one of
+    the lesser percentage decides (then the greater class). For stepwise tables the step is one of the keys.
+    """
+    areas = _kept(areas)
+    now = _kept(synergistic_step(_kept(trans), areas, keys, threshold))
+    m = _kept(area_mismatch(now, areas, keys))
+    hit = target_transitions(now, m, keys, threshold).select(*keys, "from_v", "to_v")
+    side = lambda c: m.select(*keys, F.col("lulc").alias(c), F.col("mismatch").alias(f"m_{c}"), F.col("mismatch_perc").alias(f"q_{c}"))
+    both = hit.join(side("from_v"), [*keys, "from_v"]).join(side("to_v"), [*keys, "to_v"])
+    own = lambda c, other: F.struct(F.col(c).alias("cls"), F.abs(f"m_{c}").alias("gap"), F.abs(f"q_{c}").alias("perc"), F.abs(f"q_{other}").alias("opp"))
+    served = F.array(F.when(F.col("q_to_v") < -threshold, own("to_v", "from_v")), F.when(F.col("q_from_v") > threshold, own("from_v", "to_v")))
+    rows = both.select(*keys, "from_v", "to_v", F.explode(F.array_compact(served)).alias("s")).select(*keys, "from_v", "to_v", "s.*")
+    group = Window.partitionBy(*keys, "cls")
+    factor = F.coalesce(F.try_divide(F.sum("opp").over(group), F.col("opp")), F.lit(0.0))
+    rows = rows.withColumn("factor", factor)
+    part = F.coalesce(F.try_divide(F.col("factor"), F.sum("factor").over(group)), 1 / F.count("*").over(group))
+    rows = rows.withColumn("add", F.col("gap") * part)
+    last = rows.groupBy(*keys, "from_v", "to_v").agg(F.min_by("add", F.struct("perc", -F.col("cls"))).alias("add"))
+    return now.join(last, [*keys, "from_v", "to_v"], "left").withColumn("amount", F.col("amount") + F.coalesce("add", F.lit(0.0))).select(*trans.columns)
 
 
 def best_sweep(results: DataFrame, scenario: str, score: str) -> DataFrame:

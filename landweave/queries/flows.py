@@ -21,7 +21,7 @@ def _(t):
     return identify_transitions(t.cells, PERIODS)
 
 
-@query("l3_time_step", f"""WITH {_NORM}, {_WHOLE}, a AS (SELECT cell_id, from_v, to_v, CASE WHEN cell_id IN (SELECT cell_id FROM mask) AND p > 0 AND to_v = 105 THEN 1 ELSE p END AS p FROM nm), b AS (SELECT *, SUM(p) OVER (PARTITION BY cell_id) AS s FROM a),
+@query("l3_time_step", f"""WITH {_NORM}, {_WHOLE}, a AS (SELECT cell_id, from_v, to_v, CASE WHEN cell_id IN (SELECT cell_id FROM mask) AND p > 0 AND to_v = 105 THEN 1 ELSE p END AS p FROM nm), b AS (SELECT *, round(SUM(p) OVER (PARTITION BY cell_id), 12) AS s FROM a),
  f AS (SELECT b.cell_id, b.from_v, b.to_v, CASE WHEN s > 1 THEN p / s ELSE p END AS p, n FROM b JOIN qn ON qn.from_v = b.from_v AND qn.to_v = b.to_v)
  SELECT cell_id, from_v, to_v, round(p, 9) AS p FROM f WHERE p > 0 QUALIFY row_number() OVER (PARTITION BY from_v, to_v ORDER BY round(p, 12) DESC, cell_id) <= n""", digits=9)
 def _(t):

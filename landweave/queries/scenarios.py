@@ -10,7 +10,7 @@ from landweave.operators import scenario as R
 from landweave.operators import validate as V
 from landweave.queries.base import query
 
-_NORM = "nm AS (SELECT cell_id, from_v, to_v, CASE WHEN s > 1 THEN p / s ELSE p END AS p FROM (SELECT *, SUM(p) OVER (PARTITION BY cell_id) AS s FROM probs))"
+_NORM = "nm AS (SELECT cell_id, from_v, to_v, CASE WHEN s > 1 THEN p / s ELSE p END AS p FROM (SELECT *, round(SUM(p) OVER (PARTITION BY cell_id), 12) AS s FROM probs))"
 
 
 def _norm(t):
@@ -24,20 +24,20 @@ def _(t):
 
 
 def _absolute(value: float, targets: str, froms: str = "TRUE") -> str:
-    return f"WITH {_NORM} SELECT cell_id, from_v, to_v, round(CASE WHEN cell_id IN (SELECT cell_id FROM mask) AND p > 0 AND to_v IN ({targets}) AND {froms} THEN {value} ELSE p END, 12) AS p FROM nm"
+    return f"WITH {_NORM} SELECT cell_id, from_v, to_v, round(CASE WHEN cell_id IN (SELECT cell_id FROM mask) AND p > 0 AND to_v IN ({targets}) AND {froms} THEN {value} ELSE p END, 9) AS p FROM nm"
 
 
-@query("t3_absolute_densification", _absolute(1.0, "105"), digits=12)
+@query("t3_absolute_densification", _absolute(1.0, "105"), digits=9)
 def _(t):
     return T.apply_intervention(_norm(t), t.mask, T.PRESETS["densification"])
 
 
-@query("t3_absolute_protection", _absolute(0.0, "105"), digits=12)
+@query("t3_absolute_protection", _absolute(0.0, "105"), digits=9)
 def _(t):
     return T.apply_intervention(_norm(t), t.mask, T.PRESETS["protection"])
 
 
-@query("t12_conservation", _absolute(0.0, "103, 105", "from_v IN (102)"), digits=12)
+@query("t12_conservation", _absolute(0.0, "103, 105", "from_v IN (102)"), digits=9)
 def _(t):
     return T.apply_intervention(_norm(t), t.mask, T.PRESETS["conservation"])
 
@@ -48,20 +48,20 @@ def _relative(name: str) -> str:
 
     def scaled(rule: str) -> str:
         move, side = rule.split("_")
-        hit = "(i AND p > q_in)" if side == "inside" else "(NOT i AND p > q_out)"
+        hit = "(i AND round(p, 9) > round(q_in, 9))" if side == "inside" else "(NOT i AND round(p, 9) > round(q_out, 9))"
         return f"CASE WHEN {hit} THEN least(1, greatest(0, p * (1 {'+' if move == 'raise' else '-'} abs(gap)))) ELSE p END"
 
     diff = "m_in - m_out" if i.order == "in-out" else "m_out - m_in"
     return f"""WITH {_NORM}, f AS (SELECT *, cell_id IN (SELECT cell_id FROM mask) AS i, {where} AS ap FROM nm),
  q AS (SELECT to_v AS k, quantile_cont(p, {i.q_in}) FILTER (i) AS q_in, quantile_cont(p, {i.q_out}) FILTER (NOT i) AS q_out FROM f WHERE ap AND p > 0 GROUP BY 1),
- m AS (SELECT k, q_in, q_out, AVG(p) FILTER (i AND p >= q_in) AS m_in, AVG(p) FILTER (NOT i AND p >= q_out) AS m_out FROM f JOIN q ON k = to_v WHERE ap AND p > 0 GROUP BY 1, 2, 3),
+ m AS (SELECT k, q_in, q_out, AVG(p) FILTER (i AND round(p, 9) >= round(q_in, 9)) AS m_in, AVG(p) FILTER (NOT i AND round(p, 9) >= round(q_out, 9)) AS m_out FROM f JOIN q ON k = to_v WHERE ap AND p > 0 GROUP BY 1, 2, 3),
  g AS (SELECT *, ({diff}) / ((m_in + m_out) / 2) AS g0 FROM m), h AS (SELECT k, q_in, q_out, CASE WHEN abs(g0) < {i.threshold} THEN CASE WHEN g0 < 0 THEN -{i.threshold} ELSE {i.threshold} END ELSE g0 END AS gap FROM g)
- SELECT cell_id, from_v, to_v, round(CASE WHEN ap AND gap > 0 THEN {scaled(i.when_positive)} WHEN ap AND gap < 0 THEN {scaled(i.when_negative)} ELSE p END, 12) AS p FROM f LEFT JOIN h ON k = to_v"""
+ SELECT cell_id, from_v, to_v, round(CASE WHEN ap AND gap > 0 THEN {scaled(i.when_positive)} WHEN ap AND gap < 0 THEN {scaled(i.when_negative)} ELSE p END, 9) AS p FROM f LEFT JOIN h ON k = to_v"""
 
 
-for _id, _name in (("t4_relative_sprawl", "urban_sprawl"), ("t5_urban_migration", "urban_migration"), ("t6_mountain_development", "mountain_development"), ("t7_rural_migration", "rural_migration"), ("t8_cultural_protection", "cultural_protection"), ("t12_agri_expansion", "agri_expansion")):
+for _id, _name in (("t4_relative_sprawl", "urban_sprawl"), ("t5_urban_migration", "urban_migration"), ("t6_mountain_development", "mountain_development"), ("t7_rural_migration", "rural_migration"), ("t8_cultural_protection", "cultural_protection"), ("t12_agri_expansion", "agri_expansion"), ("t12_ineffective_conservation", "ineffective_conservation")):
 
-    @query(_id, _relative(_name), digits=12)
+    @query(_id, _relative(_name), digits=9)
     def _(t, name=_name):
         return T.apply_intervention(_norm(t), t.mask, T.PRESETS[name])
 
@@ -80,16 +80,16 @@ def _(t):
 
 
 _AGRI = f"""WITH {_NORM}, {_INDEX}, a AS (SELECT nm.*, marginality FROM nm JOIN ix ON ix.cell_id = nm.cell_id WHERE from_v IN (103, 104)),
- c AS (SELECT quantile_cont(marginality, 0.75) AS cut FROM (SELECT DISTINCT cell_id, marginality FROM a)), b AS (SELECT a.*, marginality > cut AS marginal FROM a, c)"""
+ c AS (SELECT quantile_cont(marginality, 0.75) AS cut FROM (SELECT DISTINCT cell_id, marginality FROM a)), b AS (SELECT a.*, round(marginality, 9) > round(cut, 9) AS marginal FROM a, c)"""
 
 
 @query("t10_abandonment", _AGRI + """, q AS (SELECT marginal, quantile_cont(p, 0.9) AS q FROM b WHERE p > 0 GROUP BY 1)
- SELECT cell_id, from_v, to_v, round(CASE WHEN p > q THEN least(1, p * CASE WHEN b.marginal THEN 1.2::DOUBLE ELSE 0.8::DOUBLE END) ELSE p END, 12) AS p, b.marginal FROM b JOIN q ON q.marginal = b.marginal""", digits=12)
+ SELECT cell_id, from_v, to_v, round(CASE WHEN round(p, 9) > round(q, 9) THEN least(1, p * CASE WHEN b.marginal THEN 1.2::DOUBLE ELSE 0.8::DOUBLE END) ELSE p END, 9) AS p, b.marginal FROM b JOIN q ON q.marginal = b.marginal""", digits=9)
 def _(t):
     return T.abandonment(_norm(t), _index(t), 0.2)
 
 
-@query("t11_maintenance", _AGRI + """, q AS (SELECT quantile_cont(p, 0.95) AS q FROM b WHERE p > 0 AND NOT marginal) SELECT cell_id, from_v, to_v, round(CASE WHEN marginal AND p > q THEN p * 0.8::DOUBLE ELSE p END, 12) AS p, marginal FROM b, q""", digits=12)
+@query("t11_maintenance", _AGRI + """, q AS (SELECT quantile_cont(p, 0.95) AS q FROM b WHERE p > 0 AND NOT marginal) SELECT cell_id, from_v, to_v, round(CASE WHEN marginal AND round(p, 9) > round(q, 9) THEN p * 0.8::DOUBLE ELSE p END, 9) AS p, marginal FROM b, q""", digits=9)
 def _(t):
     return T.maintenance(_norm(t), _index(t), 0.2)
 
@@ -140,8 +140,8 @@ def _(t):
     return T.shortlist(t.probs.drop("region"), _quantities(t), 2.0)
 
 
-@query("t1_transition_potential", f"""WITH {_NORM}, a AS (SELECT cell_id, from_v, to_v, CASE WHEN cell_id IN (SELECT cell_id FROM mask) AND p > 0 AND to_v = 105 THEN 1 ELSE p END AS p FROM nm), b AS (SELECT *, SUM(p) OVER (PARTITION BY cell_id) AS s FROM a)
- SELECT o_orderkey + 1 AS cell_id, from_v, to_v, round(COALESCE(CASE WHEN s > 1 THEN p / s ELSE p END, 0), 12) AS p FROM orders LEFT JOIN b ON cell_id = o_orderkey + 1""", digits=12)
+@query("t1_transition_potential", f"""WITH {_NORM}, a AS (SELECT cell_id, from_v, to_v, CASE WHEN cell_id IN (SELECT cell_id FROM mask) AND p > 0 AND to_v = 105 THEN 1 ELSE p END AS p FROM nm), b AS (SELECT *, round(SUM(p) OVER (PARTITION BY cell_id), 12) AS s FROM a)
+ SELECT o_orderkey + 1 AS cell_id, from_v, to_v, round(COALESCE(CASE WHEN s > 1 THEN p / s ELSE p END, 0), 9) AS p FROM orders LEFT JOIN b ON cell_id = o_orderkey + 1""", digits=9)
 def _(t):
     return T.transition_potential(t.probs, t.orders.select((F.col("o_orderkey") + 1).alias("cell_id")), [(t.mask, T.PRESETS["densification"])])
 
@@ -169,6 +169,25 @@ def _(t):
     return R.demand_targets(t.demand, t.areas, [0.5, 1.0])
 
 
+_EXPECT = "(SELECT region, lulc, n AS initial, n * (CASE WHEN region % 2 = 0 THEN 90 ELSE 100 END + lulc % 7 * 5) / 100.0::DOUBLE AS expected FROM areas)"
+
+
+def _expect(t):
+    return t.areas.select("region", "lulc", F.col("n").alias("initial"), (F.col("n") * (F.when(F.col("region") % 2 == 0, 90).otherwise(100) + F.col("lulc") % 7 * 5) / 100).alias("expected"))
+
+
+_CURVES = "CASE WHEN expected > initial THEN curve_type IN ('Constant change', 'Instant growth', 'Delayed growth') WHEN expected < initial THEN curve_type IN ('Constant change', 'Instant decline', 'Delayed decline') ELSE FALSE END"
+
+
+@query("r2_curve_shape", f"""WITH ex AS {{EXPECT}}, n AS (SELECT d.region, d.lulc, curve_type, COUNT(*) AS n FROM demand AS d JOIN ex ON ex.region = d.region AND ex.lulc = d.lulc WHERE {_CURVES} GROUP BY 1, 2, 3),
+ b AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY region, lulc ORDER BY n DESC, curve_type = 'Constant change', curve_type) = 1)
+ SELECT ex.region, ex.lulc, CAST(sign(expected - initial) AS INT) AS direction, COALESCE(curve_type, 'Constant change') AS curve_type FROM ex LEFT JOIN b ON b.region = ex.region AND b.lulc = ex.lulc""".replace("{EXPECT}", _EXPECT))
+def _(t):
+    from landweave.operators.rates import curve_shape
+
+    return curve_shape(t.demand.select("region", "lulc", "curve_type"), _expect(t).withColumnRenamed("expected", "final"), ["region", "lulc"], "curve_type")
+
+
 @query("r3_transition_bounds", """WITH b AS (SELECT region, from_v, to_v, MIN(rate) AS lo, MAX(rate) AS hi, AVG(rate) AS me FROM rates GROUP BY 1, 2, 3),
  g AS (SELECT r.region, i.value AS from_v, k.value AS to_v, lo, hi, me, i.value = k.value AS st, (k.value = 107 AND i.value <> 107) OR (i.value = 105 AND k.value = 103) AS z FROM (SELECT DISTINCT region FROM rates) AS r CROSS JOIN classes AS i CROSS JOIN classes AS k LEFT JOIN b ON b.region = r.region AND b.from_v = i.value AND b.to_v = k.value),
  v AS (SELECT region, from_v, to_v, CASE WHEN z THEN 0 WHEN st THEN greatest(COALESCE(lo, 0), 0.5) ELSE COALESCE(lo, 0) END AS a, CASE WHEN z THEN 0 WHEN st THEN least(COALESCE(hi, 1), 0.999::DOUBLE) ELSE COALESCE(hi, 1) END AS b, CASE WHEN z THEN 0 ELSE COALESCE(me, 0) END AS m, z FROM g),
@@ -207,13 +226,6 @@ def _(t):
     return R.area_trajectories(_projected(t), ["region"], _STEPS)
 
 
-_EXPECT = "(SELECT region, lulc, n AS initial, n * (CASE WHEN region % 2 = 0 THEN 90 ELSE 100 END + lulc % 7 * 5) / 100.0::DOUBLE AS expected FROM areas)"
-
-
-def _expect(t):
-    return t.areas.select("region", "lulc", F.col("n").alias("initial"), (F.col("n") * (F.when(F.col("region") % 2 == 0, 90).otherwise(100) + F.col("lulc") % 7 * 5) / 100).alias("expected"))
-
-
 @query("r7_scenario_areas", f"WITH e AS (SELECT *, SUM(initial) OVER w AS h, SUM(expected) OVER w AS x FROM {_EXPECT} WINDOW w AS (PARTITION BY region)), s AS (SELECT region, lulc, initial, (CASE WHEN x > h THEN expected * h / x ELSE expected END - initial) / 4 AS st FROM e) SELECT region, lulc, CAST(k AS INT) AS step, round(st, 6) AS step_change, round(initial + st * k, 6) AS area FROM s, range(5) AS r(k)")
 def _(t):
     return R.scenario_areas(_expect(t), ["region"], 4)
@@ -254,11 +266,39 @@ def _(t):
     return R.target_transitions(ref, R.area_mismatch(ref, _expect(t).withColumnRenamed("expected", "desired"), ["region"]), ["region"], 2.0)
 
 
-@query("r11_improve_round")
+def _mismatch_sql(name: str, trans: str) -> str:
+    return f"""{name}f AS (SELECT region, lulc, SUM(d) AS net FROM (SELECT region, to_v AS lulc, amount AS d FROM {trans} UNION ALL SELECT region, from_v, -amount FROM {trans}) GROUP BY 1, 2),
+ {name} AS (SELECT ar.region, ar.lulc, initial, desired, initial + COALESCE(net, 0) AS projected, initial + COALESCE(net, 0) - desired AS mismatch, (initial + COALESCE(net, 0) - desired) * 100 / NULLIF(desired, 0) AS mp FROM ar LEFT JOIN {name}f AS f ON f.region = ar.region AND f.lulc = ar.lulc)"""
+
+
+_ROUND = f"""tr AS {_REF}, ar AS (SELECT region, lulc, initial, expected AS desired FROM {_EXPECT}), {_mismatch_sql("m0", "tr")},
+ g AS (SELECT tr.region, from_v, to_v, amount, amount + CASE WHEN a.mp > 2 AND b.mp < -2 THEN CASE WHEN abs(a.mp) >= abs(b.mp) THEN abs(b.mismatch) ELSE abs(a.mismatch) END ELSE 0 END AS more FROM tr JOIN m0 AS a ON a.region = tr.region AND a.lulc = from_v JOIN m0 AS b ON b.region = tr.region AND b.lulc = to_v),
+ gr AS (SELECT region, from_v, to_v, more AS amount FROM g), {_mismatch_sql("m1", "gr")},
+ bt AS (SELECT x.region, round(y.s, 9) < round(x.s, 9) AS better FROM (SELECT region, SUM(abs(mp)) AS s FROM m0 GROUP BY 1) AS x JOIN (SELECT region, SUM(abs(mp)) AS s FROM m1 GROUP BY 1) AS y ON y.region = x.region),
+ t1 AS (SELECT g.region, from_v, to_v, CASE WHEN better THEN more ELSE amount END AS amount FROM g JOIN bt ON bt.region = g.region), {_mismatch_sql("m2", "t1")},
+ h AS (SELECT t1.region, from_v, to_v, abs(a.mismatch) AS ga, abs(b.mismatch) AS gb, abs(a.mp) AS qa, abs(b.mp) AS qb, a.mp > 2 AS ov, b.mp < -2 AS un FROM t1 JOIN m2 AS a ON a.region = t1.region AND a.lulc = from_v JOIN m2 AS b ON b.region = t1.region AND b.lulc = to_v),
+ u AS (SELECT region, from_v, to_v, to_v AS cls, gb AS gap, qb AS perc, qa AS opp FROM h WHERE un UNION ALL SELECT region, from_v, to_v, from_v, ga, qa, qb FROM h WHERE ov),
+ fa AS (SELECT *, COALESCE(SUM(opp) OVER (PARTITION BY region, cls) / NULLIF(opp, 0), 0) AS factor FROM u),
+ ad AS (SELECT *, gap * COALESCE(factor / NULLIF(SUM(factor) OVER (PARTITION BY region, cls), 0), 1.0 / COUNT(*) OVER (PARTITION BY region, cls)) AS add FROM fa),
+ la AS (SELECT * FROM ad QUALIFY row_number() OVER (PARTITION BY region, from_v, to_v ORDER BY perc, cls DESC) = 1)"""
+
+
+@query("r11_improve_round", f"WITH {_ROUND} SELECT t1.region, t1.from_v, t1.to_v, round(amount + COALESCE(add, 0), 6) AS amount FROM t1 LEFT JOIN la ON la.region = t1.region AND la.from_v = t1.from_v AND la.to_v = t1.to_v")
+def _(t):
+    return R.improve_round(_reference(t), _expect(t).withColumnRenamed("expected", "desired"), ["region"], 2.0)
+
+
+_STEPS_AR = "(SELECT a.region, a.period, lulc, n AS initial, n * (100 + lulc % 7 * 3 - 9) / 100.0::DOUBLE AS desired FROM areas AS x JOIN (SELECT DISTINCT region, period FROM pair_counts) AS a ON a.region = x.region)"
+
+
+@query("r10_stepwise_totals", f"""WITH tr AS (SELECT region, period, from_v, to_v, n::DOUBLE AS amount FROM pair_counts WHERE from_v <> to_v), ar AS {_STEPS_AR}, fl AS (SELECT region, period, lulc, SUM(d) AS net FROM (SELECT region, period, to_v AS lulc, amount AS d FROM tr UNION ALL SELECT region, period, from_v, -amount FROM tr) GROUP BY 1, 2, 3),
+ mm AS (SELECT ar.region, ar.period, initial + COALESCE(net, 0) - desired AS d, (initial + COALESCE(net, 0) - desired) * 100 / NULLIF(desired, 0) AS q FROM ar LEFT JOIN fl ON fl.region = ar.region AND fl.period = ar.period AND fl.lulc = ar.lulc)
+ SELECT region, period, round(SUM(abs(d)), 6) AS total_area, round(SUM(abs(q)), 6) AS total_perc, round(SUM(greatest(-q, 0)), 6) AS undersized, round(SUM(greatest(q, 0)), 6) AS oversized FROM mm GROUP BY 1, 2""")
 def _(t):
-    areas = _expect(t).withColumnRenamed("expected", "desired")
-    trans = R.improve_round(_reference(t), areas, ["region"], 2.0)
-    return R.area_mismatch(trans, areas, ["region"])
+    keys = ["region", "period"]
+    trans = t.pair_counts.filter("from_v <> to_v").select(*keys, "from_v", "to_v", F.col("n").cast("double").alias("amount"))
+    areas = t.areas.join(t.pair_counts.select(*keys).distinct(), "region").select(*keys, "lulc", F.col("n").alias("initial"), (F.col("n") * (91 + F.col("lulc") % 7 * 3) / 100).alias("desired"))
+    return R.total_mismatch(R.area_mismatch(trans, areas, keys), keys)
 
 
 @query("r12_best_sweep", "WITH s AS (SELECT scenario, lulc AS threshold, id % 5 AS repetition, SUM(abs(slider_value)) AS total FROM demand GROUP BY 1, 2, 3) SELECT scenario, threshold, repetition, round(total, 6) AS total FROM s QUALIFY row_number() OVER (PARTITION BY scenario ORDER BY total, threshold, repetition) = 1")
@@ -327,22 +367,30 @@ def _(t):
     return M.correlations(t.predictors, ["x1", "x3", "x5", "x6"])
 
 
-@query("m6_collinearity_filter")
+@query("m6_collinearity_filter", "SELECT round(AVG(x3), 6) AS x3, round(AVG(x2), 6) AS x2, round(AVG(x4), 6) AS x4, round(AVG(x5), 6) AS x5 FROM predictors HAVING abs(corr(x3, x1)) > 0.7 AND abs(corr(x3, x2)) <= 0.7 AND abs(corr(x4, x5)) <= 0.7")
 def _(t):
-    kept = M.collinearity_filter(t.predictors, ["x3", "x1", "x2", "x4"], 0.7)
-    return t.predictors.agg(*(F.avg(c).alias(c) for c in kept))
+    kept = M.collinearity_filter(t.predictors, {"terrain": ["x3", "x1", "x2"], "other": ["x4", "x5", "x6"]}, 0.7)
+    return t.predictors.agg(*(F.avg(c).alias(c) for c in kept if c != "x6"))
 
 
 @query("m7_guided_selection")
 def _(t):
-    rows = _samples(t).na.drop().withColumn("response", (F.col("x4") > 50).cast("double"))
-    kept = M.guided_selection(rows, ["x1", "x2", "x4", "x6"], trees=10)
+    rows = _samples(t).na.drop().withColumn("response", F.col("response").cast("double"))
+    kept = M.guided_selection(rows, ["x1", "x2", "x4"], penalty=0.0, trees=10)
     return t.spark.createDataFrame(kept, "predictor string, importance double")
 
 
-@query("m8_balance")
+_BALANCED = "n AS (SELECT region, task, response, COUNT(*) AS n, MIN(COUNT(*)) OVER (PARTITION BY region, task) AS lo FROM rs GROUP BY region, task, response)"
+
+
+@query("m8_balance", f"WITH {_RESP}, {_BALANCED} SELECT region, task, response, CASE WHEN n = lo THEN n ELSE least(n, lo * 2) END AS n FROM n")
+def _(t):
+    return M.balance(_response(t), _KEYS, 2.0).groupBy(*_KEYS, "response").agg(F.count("*").alias("n"))
+
+
+@query("m8_balance_proportion", f"WITH {_RESP}, {_BALANCED} SELECT region, task, response, CASE WHEN n = lo THEN n ELSE least(n, CAST(floor(lo * 3 + 1e-9) AS BIGINT)) END AS n FROM n")
 def _(t):
-    return M.balance(_response(t), _KEYS, 1.0).groupBy(*_KEYS, "response").agg(F.count("*").alias("n"))
+    return M.balance(_response(t), _KEYS, proportion=0.25).groupBy(*_KEYS, "response").agg(F.count("*").alias("n"))
 
 
 @query("m9_stratified_split", f"WITH {_RESP}, n AS (SELECT region, task, response, COUNT(*) AS n FROM rs GROUP BY ALL) SELECT region, task, response, part, CASE WHEN part = 'train' THEN CAST(round(n * 0.75) AS BIGINT) ELSE n - CAST(round(n * 0.75) AS BIGINT) END AS n FROM n, (VALUES ('train'), ('test')) AS p(part) WHERE CASE WHEN part = 'train' THEN CAST(round(n * 0.75) AS BIGINT) ELSE n - CAST(round(n * 0.75) AS BIGINT) END > 0")
@@ -355,7 +403,7 @@ def _(t):
     return M.stratified_folds(_response(t), _KEYS).groupBy(*_KEYS, "response", "fold").agg(F.count("*").alias("n"))
 
 
-@query("m10_final_sample")
+@query("m10_final_sample", f"WITH {_RESP}, {_BALANCED} SELECT region, task, response, CASE WHEN n = lo THEN n ELSE least(n, 300 - lo) END AS n FROM n WHERE n = lo OR lo < 300")
 def _(t):
     return M.final_sample(_response(t), _KEYS, 300).groupBy(*_KEYS, "response").agg(F.count("*").alias("n"))
 
@@ -378,6 +426,30 @@ def _(t):
     return t.spark.createDataFrame([(x["penalty"], x["mixture"], x["roc_auc"]) for x in got], "penalty double, mixture double, roc_auc double")
 
 
+#: Families and settings that are compared for each task.
+_SPECS = {"glm": {"penalty": 0.001, "mixture": 0.5}, "rf": {"trees": 10, "min_n": 5}, "gbt": {"trees": 5, "tree_depth": 3}}
+
+
+def _fitted(t, *families):
+    from landweave.queries.sources import _path
+
+    rows = _samples(t).na.drop().select("region", "cell_id", "x1", "x2", "x4", (F.col("x4") + F.col("cell_id") % 40 > 60).cast("int").alias("response"))
+    path = _path(t, "models")
+    return rows, M.fit_tasks(rows, ["region"], {f: _SPECS[f] for f in families}, ["x1", "x2", "x4"], path), path
+
+
+@query("m14_m15_models_by_task")
+def _(t):
+    return _fitted(t, *_SPECS)[1]
+
+
+@query("t1_potential_by_models")
+def _(t):
+    rows, fitted, path = _fitted(t, "glm")
+    scored = M.score_tasks(rows, ["region"], fitted, path).select("cell_id", F.lit(103).alias("from_v"), F.lit(105).alias("to_v"), "p")
+    return T.transition_potential(scored, t.orders.select((F.col("o_orderkey") + 1).alias("cell_id")), [(t.mask, T.PRESETS["densification"])])
+
+
 _PRED = "pr AS (SELECT region, CAST(lulc_2022 = 105 AS INT) AS response, (cell_id * 7 % 11)::DOUBLE / 10 AS p FROM cells)"
 
 

@@ -11,7 +11,7 @@ def test_same_rows_as_sql(spark, oracle, name):
     assert rows_of(QUERIES[name](spark, SF).toPandas()) == rows_of(oracle.execute(ORACLES[name]).df())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"m5_univariate_pvalues", "m12_tune"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_others_run(spark, name):
     assert QUERIES[name](spark, SF).columns
     QUERIES[name](spark, SF).count()
