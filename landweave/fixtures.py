@@ -29,9 +29,9 @@ SQL = {
        FROM cells AS g JOIN orders AS o ON o.o_orderkey = g.cell_id - 1 JOIN customer AS c ON c.c_custkey = o.o_custkey""",
     "probs": """SELECT g.cell_id, g.region, g.lulc_2022 AS from_v, k.to_v, CAST((g.cell_id * 31 + k.to_v * 17) % 997 AS DOUBLE) / 997 AS p
        FROM cells AS g CROSS JOIN (SELECT DISTINCT lulc_2022 AS to_v FROM cells) AS k WHERE k.to_v <> g.lulc_2022""",
-    "climate": """SELECT CAST(l_partkey % 50 AS INT) + 1 AS cell_id, concat('gcm', CAST(l_suppkey % 5 AS VARCHAR(4))) AS gcm, l_returnflag AS ssp,
+    "climate": """SELECT CAST(l_partkey % n_cells AS INT) + 1 AS cell_id, concat('gcm', CAST(l_suppkey % 5 AS VARCHAR(4))) AS gcm, l_returnflag AS ssp,
        CAST(EXTRACT(MONTH FROM l_shipdate) AS INT) AS month, AVG(l_quantity) - 10 AS tasmin, AVG(l_quantity) + 5 AS tasmax,
-       AVG(l_extendedprice) / 10000 AS pr, 100 + AVG(l_tax) * 1000 AS rsds FROM lineitem GROUP BY 1, 2, 3, 4""",
+       AVG(l_extendedprice) / 10000 AS pr, 100 + AVG(l_tax) * 1000 AS rsds FROM lineitem CROSS JOIN (SELECT GREATEST(1, FLOOR(COUNT(*) / 40.0)) AS n_cells FROM part) AS k GROUP BY 1, 2, 3, 4""",
     "demand": """SELECT user_id AS id, CAST(user_id % 4 AS INT) + 1 AS region, CASE event_id % 3 WHEN 0 THEN 'BAU' WHEN 1 THEN 'NAT' ELSE 'SOC' END AS scenario,
        CAST(101 + event_id % 7 AS INT) AS lulc, value - 10 AS slider_value, CAST(1 + event_id % 9 AS DOUBLE) / 10 AS confidence_factor,
        CAST((event_id % 21) - 10 AS DOUBLE) / 10 AS initial_rate,

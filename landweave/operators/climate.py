@@ -34,15 +34,35 @@ def ensemble_monthly(df: DataFrame, gcms: list[str], year: int = 2001) -> DataFr
     return out.join(full, ["cell_id", "ssp"], "left_semi")
 
 
+def monthly_precipitation(df: DataFrame, gcms: list[str], first_year: int = 2001) -> DataFrame:
+    """(cell_id, ssp, month, pr): 360 bands are days' rates of 30 years, times the days of each month (leap years
+    too) and averaged over years and models; 12 bands are months' sums, averaged over models.
+
+    df: cell_id, ssp, gcm, band (from 1), pr. Series of other lengths don't count, nor do months without all models.
+    """
+    n = df.groupBy("cell_id", "ssp", "gcm").agg(F.countDistinct("band").alias("bands")).filter("bands IN (12, 360)")
+    month, year = (F.col("band") - 1) % 12 + 1, F.lit(first_year) + F.floor((F.col("band") - 1) / 12)
+    rows = df.join(n, ["cell_id", "ssp", "gcm"]).withColumns({"month": month.cast("int"), "days": days_in_month(year.cast("int"), month.cast("int"))})
+    per = rows.groupBy("cell_id", "ssp", "gcm", "month").agg(F.avg(F.when(F.col("bands") == 360, F.col("pr") * F.col("days")).otherwise(F.col("pr"))).alias("pr"))
+    return full_ensembles(per, ["cell_id", "ssp", "month"], gcms).groupBy("cell_id", "ssp", "month").agg(F.avg("pr").alias("pr"))
+
+
 def historic_layers(df: DataFrame) -> DataFrame:
-    """Long (cell_id, variable, value): temperatures as mean, precipitation as sum, others as they are averaged over twelve bands."""
-    long = df.unpivot(["cell_id", "month"], ["tasmin", "tasmax", "pr", "rsds"], "variable", "value")
-    return long.groupBy("cell_id", "variable").agg(F.when(F.col("variable") == "pr", F.sum("value")).otherwise(F.avg("value")).alias("value"))
+    """Long (cell_id, variable, value): twelve bands as mean (temperatures) or sum (precipitation); a single band passes through.
+
+    Other numbers of bands are no layer.
+    """
+    long = df.unpivot(["cell_id", "month"], ["tasmin", "tasmax", "pr", "rsds"], "variable", "value").filter("value IS NOT NULL")
+    n = long.groupBy("cell_id", "variable").agg(F.countDistinct("month").alias("bands"), F.when(F.col("variable") == "pr", F.sum("value")).otherwise(F.avg("value")).alias("value"))
+    return n.filter("bands IN (1, 12)").drop("bands")
 
 
-def monthly_climatology(df: DataFrame, value: str, least: int = 2) -> DataFrame:
-    """Mean over files of each cell and month; fewer than least of them are no climatology."""
-    return df.groupBy("cell_id", "month").agg(F.avg(value).alias(value), F.count(value).alias("n_files")).filter(F.col("n_files") >= least)
+def monthly_climatology(df: DataFrame, value: str, file: str, least: int = 2) -> DataFrame:
+    """Mean over files of each cell and month. All files must have the same cells; fewer than least of them are no climatology."""
+    shapes = df.groupBy(file).agg(F.countDistinct("cell_id").alias("n"), F.sum_distinct("cell_id").alias("sum"), F.min("cell_id").alias("low"), F.max("cell_id").alias("high"))
+    if shapes.select("n", "sum", "low", "high").distinct().count() > 1:
+        raise ValueError("files differ in their cells")
+    return df.groupBy("cell_id", "month").agg(F.avg(value).alias(value), F.countDistinct(file).alias("n_files")).filter(F.col("n_files") >= least)
 
 
 def et0_turc(df: DataFrame) -> DataFrame:

@@ -16,7 +16,11 @@ from landweave.sources import io
 
 def _path(t: Tables, name: str) -> str:
     """A new path in the folder that all machines share."""
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="landweave-")
+    base = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not t.spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="landweave-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
@@ -68,5 +72,13 @@ def _(t):
 def _(t):
     path = _path(t, "static")
     io.write_static(t.predictors.select("cell_id", "region", "x1"), path)
-    files = io.list_files(t.spark, path)
-    return files.select((F.col("file") == "total").alias("total"), (F.col("bytes") > 0).alias("filled")).distinct()
+    return io.list_files(t.spark, path)
+
+
+@query("s12_total_is_sum", "SELECT COUNT(DISTINCT region) AS n_folders, TRUE AS adds_up FROM predictors")
+def _(t):
+    path = _path(t, "static")
+    io.write_static(t.predictors.select("cell_id", "region", "x1"), path)
+    own = F.col("file") != "total"
+    found = io.list_files(t.spark, path).agg(F.countDistinct(F.when(own, F.regexp_extract("file", "region=([^/]*)", 1))).alias("n_folders"), F.sum(F.when(own, F.col("bytes"))).alias("bytes"), F.sum(F.when(~own, F.col("bytes"))).alias("total"))
+    return found.select("n_folders", (F.col("bytes") == F.col("total")).alias("adds_up"))

@@ -224,9 +224,20 @@ def _(t):
     return C.ensemble_monthly(t.climate, GCMS)
 
 
-@query("c3_historic_layers", "SELECT cell_id, variable, round(CASE WHEN variable = 'pr' THEN SUM(value) ELSE AVG(value) END, 9) AS value FROM (SELECT cell_id, month, unnest(['tasmin', 'tasmax', 'pr', 'rsds']) AS variable, unnest([tasmin, tasmax, pr, rsds]) AS value FROM climate WHERE gcm = 'gcm1' AND ssp = 'R') GROUP BY 1, 2", digits=9)
+_DAILY = "(SELECT CAST(l_partkey % n AS INT) + 1 AS cell_id, 'R' AS ssp, concat('gcm', CAST(l_suppkey % 2 AS VARCHAR(4))) AS gcm, CAST((l_orderkey * 7 + l_linenumber * 3) % 360 + 1 AS INT) AS band, AVG(l_extendedprice) / 10000 AS pr FROM lineitem CROSS JOIN (SELECT GREATEST(1, FLOOR(COUNT(*) / 400.0)) AS n FROM part) AS k GROUP BY 1, 2, 3, 4)"
+
+
+@query("c2_monthly_precipitation", f"""WITH d AS {_DAILY}, n AS (SELECT cell_id, gcm FROM d GROUP BY 1, 2 HAVING COUNT(*) = 360), m AS (SELECT d.cell_id, d.gcm, (band - 1) % 12 + 1 AS month, AVG(pr * day(last_day(make_date(2001 + (band - 1) // 12, (band - 1) % 12 + 1, 1)))) AS pr FROM d JOIN n ON n.cell_id = d.cell_id AND n.gcm = d.gcm GROUP BY 1, 2, 3)
+ SELECT cell_id, 'R' AS ssp, CAST(month AS INT) AS month, round(AVG(pr), 9) AS pr FROM m GROUP BY 1, 3 HAVING COUNT(*) = 2""", digits=9)
+def _(t):
+    rows = t.lineitem.sparkSession.sql("SELECT * FROM " + _DAILY.replace("FROM lineitem", "FROM {lineitem}").replace("FROM part", "FROM {part}"), lineitem=t.lineitem, part=t.part)
+    return C.monthly_precipitation(rows, ["gcm0", "gcm1"])
+
+
+@query("c3_historic_layers", "WITH x AS (SELECT cell_id, month, unnest(['tasmin', 'tasmax', 'pr', 'rsds']) AS variable, unnest([tasmin, tasmax, pr, CASE WHEN month = 1 THEN rsds END]) AS value FROM climate WHERE gcm = 'gcm1' AND ssp = 'R') SELECT cell_id, variable, round(CASE WHEN variable = 'pr' THEN SUM(value) ELSE AVG(value) END, 9) AS value FROM x WHERE value IS NOT NULL GROUP BY 1, 2 HAVING COUNT(*) IN (1, 12)", digits=9)
 def _(t):
-    return C.historic_layers(t.climate.filter("gcm = 'gcm1' AND ssp = 'R'"))
+    rows = t.climate.filter("gcm = 'gcm1' AND ssp = 'R'")
+    return C.historic_layers(rows.withColumn("rsds", F.when(F.col("month") == 1, F.col("rsds"))))
 
 
 @query("c4_missing_gcms", """WITH g AS (SELECT cell_id, ssp, month, list(DISTINCT gcm) AS m FROM climate WHERE tasmax > 28 GROUP BY ALL)
@@ -235,9 +246,9 @@ def _(t):
     return C.missing_gcms(t.climate.filter("tasmax > 28"), ["cell_id", "ssp", "month"], GCMS)
 
 
-@query("c5_monthly_climatology", "SELECT cell_id, month, round(AVG(rsds), 9) AS rsds, COUNT(rsds) AS n_files FROM climate GROUP BY 1, 2 HAVING COUNT(rsds) >= 2", digits=9)
+@query("c5_monthly_climatology", "SELECT cell_id, month, round(AVG(rsds), 9) AS rsds, COUNT(DISTINCT gcm) AS n_files FROM climate GROUP BY 1, 2 HAVING COUNT(DISTINCT gcm) >= 2", digits=9)
 def _(t):
-    return C.monthly_climatology(t.climate, "rsds")
+    return C.monthly_climatology(t.climate, "rsds", "gcm")
 
 
 @query("c6_et0_turc", """WITH m AS (SELECT cell_id, month, AVG(tasmin) AS a, AVG(tasmax) AS b, AVG(rsds) AS r FROM climate GROUP BY 1, 2), e AS (SELECT cell_id, month, CASE WHEN (a + b) / 2 > 0 THEN ((a + b) / 2) / ((a + b) / 2 + 15) ELSE 0 END * (0.3107::DOUBLE * r + 0.65::DOUBLE) * day(last_day(make_date(2001, month, 1))) AS e FROM m)
@@ -273,7 +284,12 @@ def _(t):
 def _(t):
     allowed = t.rates.filter("period = '2010_2014'").select(F.col("from_v").alias("a_from"), F.col("to_v").alias("a_to"), F.lit(2016).alias("year_from"), F.lit(2022).alias("year_to")).distinct()
     rows = t.rates.select(F.lit("BAU").alias("scenario"), F.concat(F.lit("r"), "region").alias("region_name"), F.split_part("period", F.lit("_"), F.lit(2)).cast("int").alias("year"), "from_v", "to_v", "rate")
-    return S.write_rates(rows, allowed, None)
+    from landweave.queries.sources import _path
+
+    path = _path(t, "rates")
+    S.write_rates(rows, allowed, path)
+    schema = "\"From\" int, \"To\" int, \"Rate\" double, scenario string, region_name string, year int".replace('"', "`")
+    return t.spark.read.schema(schema).option("header", True).csv(path)
 
 
 _CAT = """SELECT CASE WHEN p_partkey % 9 = 0 THEN 'soil_ph_' || (CASE WHEN p_partkey % 2 = 0 THEN '100_200_' ELSE '0_5_' END) || p_partkey WHEN p_partkey % 4 = 0 THEN 'nhood_urban_' || p_partkey ELSE 'k' || p_partkey END AS key,

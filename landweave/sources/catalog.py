@@ -104,7 +104,7 @@ def categorize(catalog: DataFrame, classes: DataFrame) -> DataFrame:
 def write_rates(df: DataFrame, allowed: DataFrame | None, path: str | None) -> DataFrame:
     """(scenario, region_name, year, From, To, Rate), one CSV folder for each of the first three; allowed: transitions by period (year_from, year_to]."""
     if allowed is not None:
-        a = F.broadcast(allowed)
+        a = allowed
         df = df.join(a, (df["from_v"] == a["a_from"]) & (df["to_v"] == a["a_to"]) & (df["year"] > a["year_from"]) & (df["year"] <= a["year_to"]), "left_semi")
     out = df.select("scenario", "region_name", "year", F.col("from_v").alias("From"), F.col("to_v").alias("To"), F.col("rate").alias("Rate"))
     if path:
