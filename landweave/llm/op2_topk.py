@@ -148,10 +148,14 @@ def topk(vectors: DataFrame, queries: Column, k: int = 10, scale: float = 1024.0
     asked_blocks = saved(blocks(asked.coalesce(max(1, asked_size // query_bytes)), query_bytes), "query-blocks")
     own = lambda df, x: df.select(F.col("block").alias(x), "dim", *(F.col(c).alias(f"{x}_{c}") for c in ("wide", "ids", "vectors")))
     pair = asked_blocks.select(F.col("block").alias("q"), "dim").join(all_blocks.select(F.col("block").alias("x"), "dim"), "dim")
-    pair = saved(pair.withColumn("chain", F.pmod(F.xxhash64("x"), F.lit(max(1, all_blocks.count() // CHAIN)))), "block-pairs")
+    # chains of several blocks, but never fewer tasks than cores while there are blocks for them
+    n_all, n_asked = all_blocks.count(), asked_blocks.count()
+    chains = min(n_all, max(n_all // CHAIN, -(-spark.sparkContext.defaultParallelism // max(1, n_asked)), 1))
+    place = F.row_number().over(Window.orderBy("block"))
+    dealt = all_blocks.select("block").withColumn("chain", place % max(1, chains)).withColumnRenamed("block", "x")
+    pair = saved(pair.join(dealt, "x"), "block-pairs")
     both = pair.join(own(asked_blocks, "q").drop("dim"), "q").join(own(all_blocks, "x").drop("dim"), "x")
-    chains = max(1, pair.select("q", "chain").distinct().count())
-    both = both.repartition(chains, "q", "chain").sortWithinPartitions("q", "chain")
+    both = both.repartition(max(1, chains * n_asked), "q", "chain").sortWithinPartitions("q", "chain")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, q, best = None, None, []
