@@ -88,7 +88,7 @@ def select_to_budget(patches: DataFrame, target: int, prefer: str = "priority")
             rank += len(pdf)
 
     schema = f"patch {patches.schema['patch'].dataType.simpleString()}, n long, priority double, rank int, chosen boolean"
-    return rows.orderBy(*keys, "patch").coalesce(1).sortWithinPartitions(*keys, "patch").mapInPandas(choose, schema)
+    return rows.repartition(1).sortWithinPartitions(*keys, "patch").mapInPandas(choose, schema)
 
 
 def phase_in(chosen: DataFrame, years: list[int], pace: str = "Steady", end: int | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landweave.operators.ranks import percentiles, unit_bin
+from landweave.operators.ranks import kept, percentiles, unit_bin
 
 
 def at_digits(c: str | Column) -> Column:
@@ -80,13 +80,13 @@ def adjust_relative(probs: DataFrame, zone: DataFrame, i: Intervention) -> DataF
     difference over their average, at least threshold in size; values above their side's percentile times
     1 + gap, held in [0, 1]. Four numbers for each target class meet the cells by broadcast.
     """
-    rows = _flag(probs, zone)
+    rows = kept(_flag(probs, zone))
     own = rows.filter(_applies(i) & (F.col("p") > 0))
     side = lambda inside, x: F.when(F.col("__in") == inside, x)
     differ = lambda inside: F.coalesce(F.min(side(inside, F.col("p"))) < F.max(side(inside, F.col("p"))), F.lit(False))
     q = own.groupBy("to_v").agg(differ(True).alias("d_in"), differ(False).alias("d_out"))
-    for inside, share, name in ((True, i.q_in, "q_in"), (False, i.q_out, "q_out")):
-        q = q.join(percentiles(own.filter(F.col("__in") == inside), ["to_v"], "p", share).withColumnRenamed("q", name), "to_v", "left")
+    both = percentiles(own, ["to_v", "__in"], "p", F.when(F.col("__in"), i.q_in).otherwise(i.q_out))
+    q = q.join(both.groupBy("to_v").agg(F.max(side(True, F.col("q"))).alias("q_in"), F.max(side(False, F.col("q"))).alias("q_out")), "to_v")
     means = own.join(F.broadcast(q), "to_v").groupBy("to_v", "q_in", "q_out", "d_in", "d_out").agg(F.avg(side(True, F.when(at_digits("p") >= at_digits("q_in"), F.col("p")))).alias("m_in"), F.avg(side(False, F.when(at_digits("p") >= at_digits("q_out"), F.col("p")))).alias("m_out"))
     gap = F.try_divide(F.col("m_in") - F.col("m_out") if i.order == "in-out" else F.col("m_out") - F.col("m_in"), (F.col("m_in") + F.col("m_out")) / 2)
     gap = F.when(F.abs(gap) < i.threshold, F.when(gap < 0, -i.threshold).otherwise(i.threshold)).otherwise(gap)
@@ -125,7 +125,7 @@ def marginality(df: DataFrame) -> DataFrame:
 
 def abandonment(probs: DataFrame, index: DataFrame, threshold: float, agri: tuple[int, ...] = (103, 104)) -> DataFrame:
     """Agricultural cells: raise the upper tenth where marginal (index above its 75th percentile), lower it elsewhere, by threshold."""
-    rows = probs.filter(F.col("from_v").isin(*agri)).join(index, "cell_id")
+    rows = kept(probs.filter(F.col("from_v").isin(*agri)).join(index, "cell_id"))
     cut = percentiles(rows.select("cell_id", "marginality").distinct(), [], "marginality", 0.75).withColumnRenamed("q", "cut")
     rows = rows.crossJoin(F.broadcast(cut)).withColumn("marginal", at_digits("marginality") > at_digits("cut"))
     q = percentiles(rows.filter("p > 0"), ["marginal"], "p", 0.9)
@@ -136,7 +136,7 @@ def abandonment(probs: DataFrame, index: DataFrame, threshold: float, agri: tupl
 
 def maintenance(probs: DataFrame, index: DataFrame, threshold: float, agri: tuple[int, ...] = (103, 104)) -> DataFrame:
     """Marginal agricultural probabilities above the 95th percentile of the non-marginal positive ones, lowered by threshold."""
-    rows = probs.filter(F.col("from_v").isin(*agri)).join(index, "cell_id")
+    rows = kept(probs.filter(F.col("from_v").isin(*agri)).join(index, "cell_id"))
     cut = percentiles(rows.select("cell_id", "marginality").distinct(), [], "marginality", 0.75).withColumnRenamed("q", "cut")
     rows = rows.crossJoin(F.broadcast(cut)).withColumn("marginal", at_digits("marginality") > at_digits("cut"))
     q = percentiles(rows.filter("p > 0 AND NOT marginal"), [], "p", 0.95)

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 BINS = 4096
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """df computed once: a checkpoint where the session has a folder for them, else cached."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.cache()
+
+
 def hash_bin(h: Column) -> Column:
     """Bin of a 64-bit hash, in the order of hashes."""
     return F.shiftright(h, 52).cast("long")
@@ -36,15 +41,17 @@ def ranked(df: DataFrame, keys: list[str], bin_of: Column, order: list[Column],
     return out.withColumn(name, rank).select(*df.columns, name, "__n")
 
 
-def percentiles(df: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:
+def percentiles(df: DataFrame, keys: list[str], value: str, share: float | Column) -> DataFrame:
     """keys and q: the exact percentile (linear between neighbours) of values from 0 to 1; null values don't count.
 
+    share: a number, or a column of the keys. df is read twice, so it should be a table or kept.
+
     Of the histogram's bins only those that hold the two neighbours are looked into.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"), unit_bin(F.col(value)).alias("__bin"))
     own = Window.partitionBy(*keys)
     h = rows.groupBy(*keys, "__bin").agg(F.count("*").alias("__c"))
-    h = h.withColumns({"__to": F.sum("__c").over(own.orderBy("__bin")), "__at": F.lit(share) * (F.sum("__c").over(own) - 1)})
+    h = h.withColumns({"__to": F.sum("__c").over(own.orderBy("__bin")), "__at": (share if isinstance(share, Column) else F.lit(share)) * (F.sum("__c").over(own) - 1)})
     low = F.floor("__at")
     hit = h.withColumn("__from", F.col("__to") - F.col("__c")).filter((F.col("__from") <= low + 1) & (F.col("__to") > low))
     near = rows.join(F.broadcast(hit.drop("__c", "__to")), [*keys, "__bin"]).withColumn("__i", F.col("__from") + F.row_number().over(Window.partitionBy(*keys, "__bin").orderBy("__v")) - 1)
