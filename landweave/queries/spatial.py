@@ -260,7 +260,7 @@ def _(t):
 
 def _pick(order: str = "priority DESC, n DESC, patch", target: int = 60) -> str:
     """First fit, a patch after the other."""
-    return f"""rk AS (SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM pt),
+    return f"""rk AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY {order}) AS rank FROM pt),
  ff(rank, patch, n, priority, chosen, room) AS (SELECT 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::DOUBLE, FALSE, {target}::BIGINT UNION ALL SELECT rk.rank, rk.patch, rk.n, rk.priority, rk.n <= room, room - CASE WHEN rk.n <= room THEN rk.n ELSE 0 END FROM ff JOIN rk ON rk.rank = ff.rank + 1),
  ch AS (SELECT patch, n, priority, CAST(rank AS INT) AS rank, chosen FROM ff WHERE rank > 0)"""
 
