@@ -97,8 +97,10 @@ def units_of(text: Column) -> Column:
 
 def hashed(spark: SparkSession, templates: tuple[Template, ...]) -> dict[str, list[int]]:
     """The hashes of each template's bigrams."""
-    rows = spark.createDataFrame([(t.name, a, b) for t in templates for a, b in t.pairs], "name string, a string, b string")
-    return {r[0]: r[1] for r in rows.groupBy("name").agg(F.collect_set(F.xxhash64("a", "b"))).collect()}
+    # words are letters and digits alone, so they stand in the text as they are
+    rows = ", ".join(f"({i}, '{a}', '{b}')" for i, t in enumerate(templates) for a, b in t.pairs)
+    found = spark.sql(f"SELECT i, collect_set(xxhash64(a, b)) AS h FROM VALUES {rows} AS t(i, a, b) GROUP BY i").collect()
+    return {templates[r["i"]].name: r["h"] for r in found}
 
 
 def longs(values: list[int]) -> Column:
