@@ -1,95 +1,227 @@
-"""Distance to the nearest feature cell, exactly, by two one-dimensional passes."""
+"""Exact distances to the nearest feature cell, with its label, by two one-dimensional passes (G14-G16, A24 enn).
+
+Down the columns each cell learns the nearest feature above and below it; along the rows a cell takes the least of
+(c - c') ** 2 + g(c') ** 2 over the columns c'. The best column never moves left as c moves right, so the rows are solved
+by halving: cells in the middle first, then those between two solved cells among the columns between their answers. That
+takes width * log(width) steps a row, whatever the distances, in numpy over all rows of a band.
+
+Labels ride along in the low digits of the costs, so ties go to the smaller label. The nearest feature of another
+label than a cell's own differs from it in some bit of the label's number: one pass over the features with that bit set and
+one over those without, for each bit, and the least of them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Map rows that a task handles together.
-BAND = 64
-
-
-def _rows_to_feature(own: pd.DataFrame, first: int, cols: np.ndarray, low: int, width: int) -> np.ndarray:
-    """For each row of a band and each map column, how many rows the nearest feature of that column is away (inf: none)."""
-    above, below = np.full((BAND + 2, width), -np.inf), np.full((BAND + 2, width), np.inf)
-    c = cols - low
-    for side, name, put in ((above, "above", 0), (below, "below", BAND + 1)):
-        has = own[name].notna().to_numpy()
-        side[put, c[has]] = own[name].to_numpy()[has]
-    inside = own["rows"].notna().to_numpy()
-    if inside.any():
-        rows = own["rows"].to_numpy()[inside]
-        r, k = np.concatenate(rows).astype(np.int64), np.repeat(c[inside], [len(x) for x in rows])
-        above[r - first + 1, k] = r
-        below[r - first + 1, k] = r
-    at = np.arange(first, first + BAND)[:, None]
-    return np.minimum(at - np.maximum.accumulate(above)[1:-1], np.minimum.accumulate(below[::-1])[::-1][1:-1] - at)
-
-
-def _squared(g: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
-    """Least (col - c) ** 2 + g(c) ** 2 of each cell, columns one by one outwards, for as long as a cell can gain."""
-    sq = g * g
-    best = sq[row, col]
-    left, k = np.flatnonzero(best > 1), 1
-    while len(left):
-        for to in (col[left] - k, col[left] + k):
-            ok = (to >= 0) & (to < g.shape[1])
-            best[left[ok]] = np.minimum(best[left[ok]], sq[row[left[ok]], to[ok]] + k * k)
-        k += 1
-        left = left[best[left] > k * k] if k < g.shape[1] else left[:0]
-    return best
-
-
-def distance_to(cells: DataFrame, features: DataFrame, res: float = 1.0, by: list[str] | None = None) -> DataFrame:
-    """(by, cell_id, distance) to the nearest feature cell of each layer (keys by), times the cell size.
+#: Map rows of a band at most, cells of a band (rows times width) at most unless a row has more, and costs looked at at once.
+BAND, BAND_CELLS, AT_ONCE = 64, 1 << 22, 1 << 22
+NONE = 1 << 61
+
+
+def least_costs(h: np.ndarray, cand: np.ndarray, row: np.ndarray, col: np.ndarray, unit: int) -> np.ndarray:
+    """For each cell (row, col) the least of (col - cand[k]) ** 2 * unit + h[row, k] over k; cand ascending."""
+    out = np.empty(len(row), np.int64)
+    order = np.lexsort((col, row))
+    row, col = row[order], col[order]
+    starts = np.flatnonzero(np.r_[True, np.diff(row) != 0]) if len(row) else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[starts, len(row)])
+    each = max(1, AT_ONCE // (len(cand) + int(sizes.max(initial=1))))
+    for k in range(0, len(starts), each):
+        a, b = int(starts[k]), int(starts[k : k + each][-1] + sizes[k : k + each][-1])
+        n, at = np.repeat(sizes[k : k + each], sizes[k : k + each]), np.arange(a, b) - np.repeat(starts[k : k + each], sizes[k : k + each])
+        r, c, best = row[a:b], col[a:b], np.zeros(b - a, np.int64)
+        stride = 1 << int(n.max() - 1).bit_length()
+        todo = at == 0
+        while stride:
+            q = np.flatnonzero(todo)
+            if len(q):
+                low = np.where(at[q] >= stride, best[np.maximum(q - stride, 0)], 0)
+                high = np.where(at[q] + stride < n[q], best[np.minimum(q + stride, b - a - 1)], len(cand) - 1)
+                lens = high - low + 1
+                ends = np.cumsum(lens)
+                pos = np.arange(ends[-1]) - np.repeat(ends - lens - low, lens)
+                cost = (cand[pos] - np.repeat(c[q], lens)) ** 2 * unit + h[np.repeat(r[q], lens), pos]
+                least = np.minimum.reduceat(cost, ends - lens)
+                hit = np.flatnonzero(cost == np.repeat(least, lens))
+                seg = np.searchsorted(ends, hit, "right")
+                best[q] = pos[hit[np.r_[True, np.diff(seg) > 0]]]
+                out[order[a + q]] = least
+            stride //= 2
+            todo = at % (2 * stride) == stride if stride else todo
+    return out
+
+
+@dataclass
+class Columns:
+    """What a layer's features look like from each row of a band, column by column: candidates with their rows and labels' numbers."""
+
+    cols: np.ndarray
+    seen: list[tuple[np.ndarray, np.ndarray]]  # (distance along the column or -1, label's number) of shape (rows, columns)
+
+    @classmethod
+    def of(cls, part: pd.DataFrame, first: int, height: int, number: dict, two: bool) -> Columns:
+        cols = np.sort(part["col"].unique())
+        at = np.searchsorted(cols, part["col"].to_numpy())
+        rows, labels = np.full((height, len(cols)), -1, np.int64), np.full((height, len(cols)), -1, np.int64)
+        inside = part["rows"].notna().to_numpy()
+        if inside.any():
+            lens = [len(x) for x in part["rows"][inside]]
+            r, k = np.concatenate(part["rows"][inside].to_list()).astype(np.int64) - first, np.repeat(at[inside], lens)
+            n = np.array([number[x] for xs in part["labels"][inside] for x in xs], np.int64)
+            order = np.argsort(-n, kind="stable")  # of several labels on a cell the smallest is written last
+            rows[r[order], k[order]], labels[r[order], k[order]] = r[order], n[order]
+        seen = []
+        for side, step in (("above", range(height)), ("below", range(height - 1, -1, -1))):
+            r1, l1, r2, l2 = (np.full(len(cols), -1, np.int64) for _ in range(4))
+            has1, has2 = np.zeros(len(cols), bool), np.zeros(len(cols), bool)
+            for r, n, has, name in ((r1, l1, has1, side), (r2, l2, has2, side + "2")):
+                own = part[f"{name}_row"].notna().to_numpy()
+                r[at[own]] = part[f"{name}_row"].to_numpy()[own].astype(np.int64) - first
+                n[at[own]] = [number[x] for x in part[f"{name}_label"][own]]
+                has[at[own]] = True
+            g1, g2 = np.full((height, len(cols)), -1, np.int64), np.full((height, len(cols)), -1, np.int64)
+            n1, n2 = np.full((height, len(cols)), -1, np.int64), np.full((height, len(cols)), -1, np.int64)
+            for i in step:
+                here = labels[i] >= 0
+                if two:
+                    other = here & has1 & (l1 != labels[i])
+                    r2, l2, has2 = np.where(other, r1, r2), np.where(other, l1, l2), has2 | other
+                r1, l1, has1 = np.where(here, i, r1), np.where(here, labels[i], l1), has1 | here
+                g1[i], n1[i] = np.where(has1, np.abs(r1 - i), -1), l1
+                g2[i], n2[i] = np.where(has2, np.abs(r2 - i), -1), l2
+            seen += [(g1, n1), (g2, n2)] if two else [(g1, n1)]
+        return cls(cols, seen)
+
+    def nearest(self, row: np.ndarray, col: np.ndarray, n_labels: int) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distance (-1: none) and label's number for cells."""
+        span = max(int(np.abs(self.cols).max(initial=0)), int(np.abs(col).max(initial=0))) * 2
+        most = max(int(g.max(initial=0)) for g, _ in self.seen)
+        if (span * span + most * most) * n_labels >= NONE:
+            raise OverflowError("distances times labels don't fit in 64 bits")
+        h = np.minimum.reduce([np.where(g >= 0, g * g * n_labels + n, NONE) for g, n in self.seen])
+        cost = least_costs(h, self.cols, row, col, n_labels)
+        return np.where(cost < NONE, cost // n_labels, -1), cost % n_labels
+
+    def nearest_other(self, row: np.ndarray, col: np.ndarray, own: np.ndarray, n_labels: int) -> np.ndarray:
+        """Squared distance (-1: none) to the nearest feature whose label's number isn't own."""
+        best = np.full(len(row), NONE, np.int64)
+        for bit in range(max(1, (n_labels - 1).bit_length())):
+            for value in (0, 1):
+                ask = np.flatnonzero(own >> bit & 1 != value)
+                use = [np.where((g >= 0) & (n >> bit & 1 == value), g * g, NONE) for g, n in self.seen]
+                if len(ask):
+                    best[ask] = np.minimum(best[ask], least_costs(np.minimum.reduce(use), self.cols, row[ask], col[ask], 1))
+        return np.where(best < NONE, best, -1)
+
+
+def _solved(cells: DataFrame, features: DataFrame, by: list[str], label: Column, other: Column | None = None) -> DataFrame:
+    """(by, cell_id, sq, label): for each cell and layer (keys by) the nearest feature; with other, cells belong to layers
+    themselves and only features of another label than other (their own) count, and label is NULL.
 
     Bands of map rows are solved apart. A band needs the feature rows inside it and, for each column, the
-    nearest one above and below it: columns hand these on over the bands between two features. Down the
-    columns and then along the rows both passes are numpy over a whole band, so a task is bounded by the
-    map's width. Cells of a layer without features don't appear.
+    nearest one above and below it (two of different labels, with other): columns hand these on over the
+    bands between two features.
     """
-    by = by or []
-    band = F.floor(F.col("row") / BAND).cast("long")
-    want = cells.select("cell_id", F.col("row").cast("long").alias("at_row"), F.col("col").cast("long").alias("at_col"), band.alias("at_band"))
-    low, high = want.agg(F.min("at_band"), F.max("at_band")).first()
-    low, high = (0, -1) if low is None else (low, high)
-    own = features.select(*by, F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), band.alias("band"))
-    own = own.groupBy(*by, "col", "band").agg(F.min("row").alias("top"), F.max("row").alias("end"), F.collect_set("row").alias("rows"))
+    size = cells.agg(F.min("row"), F.max("row"), F.min("col"), F.max("col")).crossJoin(features.agg(F.min("col"), F.max("col"))).first()
+    width = max([1, *(size[k + 1] - size[k] + 1 for k in (2, 4) if size[k] is not None)])
+    height = max(1, min(BAND, BAND_CELLS // width))
+    band = F.floor(F.col("row") / height).cast("long")
+    low, high = (size[0] // height, size[1] // height) if size[0] is not None else (0, -1)
+    given = {"at_row": F.col("row").cast("long"), "at_col": F.col("col").cast("long"), "at_band": band}
+    want = cells.select("cell_id", *([*(F.col(c).alias(f"at_{c}") for c in by), other.alias("own")] if other is not None else []), *(c.alias(n) for n, c in given.items()))
+    spot = features.select(*by, F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), label.alias("label"))
+    kind = spot.schema["label"].dataType.simpleString()
+    blank = F.lit(None).cast(f"struct<row: bigint, label: {kind}>")
+    if other is not None:
+        here, before = F.struct("row", "label"), Window.partitionBy(*by, "col")
+
+        def beside(w):
+            near = F.lag(here).over(w)
+            return F.when(near["label"] != F.col("label"), near), w.rowsBetween(Window.unboundedPreceding, 0)
+
+        (up, w_up), (down, w_down) = beside(before.orderBy("row", "label")), beside(before.orderBy(F.col("row").desc(), F.col("label").desc()))
+        spot = spot.withColumns({"up": up, "down": down})
+        spot = spot.withColumns({"up": F.last("up", True).over(w_up), "down": F.last("down", True).over(w_down)})
+    else:
+        spot = spot.withColumns({"up": blank, "down": blank})
+    own = spot.groupBy(*by, "col", band.alias("band")).agg(F.collect_list(F.struct("row", "label", "up", "down")).alias("all"))
+    end = F.array_min(F.transform("all", lambda x: F.struct((-x["row"]).alias("k"), x["label"].alias("label"), x["up"].alias("more"))))
+    top = F.array_min(F.transform("all", lambda x: F.struct(x["row"].alias("k"), x["label"].alias("label"), x["down"].alias("more"))))
     w = Window.partitionBy(*by, "col").orderBy("band")
-    own = own.withColumns({"prev": F.lag("band").over(w), "next": F.lead("band").over(w)})
-    none = F.lit(None).cast("long")
+    own = own.withColumns({"end": end, "top": top, "prev": F.lag("band").over(w), "next": F.lead("band").over(w)})
+    own = own.withColumn("end", F.struct((-F.col("end.k")).alias("k"), "end.label", "end.more"))
+    names = [f"{s}_{x}" for s in ("above", "above2", "below", "below2") for x in ("row", "label")]
+    kinds = dict(zip(names, ["bigint", kind] * 4, strict=True))
+    none = {n: F.lit(None).cast(k) for n, k in kinds.items()}
 
-    def handed(first, last, above, below) -> DataFrame:
+    def handed(first, last, side: str, from_: str) -> DataFrame:
         ends = own.withColumns({"a": F.greatest(first, F.lit(low)), "b": F.least(last, F.lit(high))}).filter("a <= b")
-        return ends.select(*by, "col", F.explode(F.sequence("a", "b")).alias("band"), above.alias("above"), below.alias("below"), F.lit(None).cast("array<bigint>").alias("rows"))
-
-    inside = own.filter(F.col("band").between(low, high)).select(*by, "col", "band", none.alias("above"), none.alias("below"), "rows")
-    down = handed(F.col("band") + 1, F.coalesce("next", F.lit(high)), F.col("end"), none)
-    up = handed(F.coalesce("prev", F.lit(low)), F.col("band") - 1, none, F.col("top"))
-    schema = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in by), "cell_id long, sq double"])
+        held = none | {f"{side}_row": F.col(f"{from_}.k"), f"{side}_label": F.col(f"{from_}.label"), f"{side}2_row": F.col(f"{from_}.more.row"), f"{side}2_label": F.col(f"{from_}.more.label")}
+        return ends.select(*by, "col", F.explode(F.sequence("a", "b")).alias("band"), *(c.alias(n) for n, c in held.items()), F.lit(None).cast("array<bigint>").alias("rows"), F.lit(None).cast(f"array<{kind}>").alias("labels"))
+
+    inside = own.filter(F.col("band").between(low, high)).select(*by, "col", "band", *(c.alias(n) for n, c in none.items()), F.col("all.row").alias("rows"), F.col("all.label").alias("labels"))
+    down = handed(F.col("band") + 1, F.coalesce("next", F.lit(high)), "above", "end")
+    up = handed(F.coalesce("prev", F.lit(low)), F.col("band") - 1, "below", "top")
+    schema = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in by), f"cell_id long, sq long, label {kind}"])
+    names_out, two = [*by, "cell_id", "sq", "label"], other is not None
+
+    def layers(key: int, left: pd.DataFrame, right: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        asked = dict(iter(right.groupby([f"at_{c}" for c in by]))) if two and by else {(): right}
+        for k, part in left.groupby(by) if by else [((), left)]:
+            cells = asked.get(k) if two and by else right
+            if cells is None or not len(cells):
+                continue
+            found = [x for n in names if n.endswith("label") for x in part[n].dropna()] + [x for xs in part["labels"].dropna() for x in xs]
+            known = sorted(set(found) | (set(cells["own"]) if two else set()))
+            number = {x: i for i, x in enumerate(known)}
+            columns = Columns.of(part, key * height, height, number, two)
+            row, col = cells["at_row"].to_numpy() - key * height, cells["at_col"].to_numpy()
+            if two:
+                sq, to = columns.nearest_other(row, col, np.array([number[x] for x in cells["own"]], np.int64), len(known)), None
+            else:
+                sq, n = columns.nearest(row, col, len(known))
+                to = np.array(known, object)[n]
+            got = pd.DataFrame({**dict(zip(by, k, strict=True)), "cell_id": cells["cell_id"].to_numpy(), "sq": sq, "label": to})
+            yield got[got["sq"] >= 0]
 
     def solve(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            row, col = right["at_row"].to_numpy() - key[0] * BAND, right["at_col"].to_numpy()
-            start = min(left["col"].min(), col.min())
-            width = int(max(left["col"].max(), col.max()) - start + 1)
-            for k, part in left.groupby(by) if by else [((), left)]:
-                g = _rows_to_feature(part, key[0] * BAND, part["col"].to_numpy(), start, width)
-                out.append(pd.DataFrame({**dict(zip(by, k, strict=True)), "cell_id": right["cell_id"].to_numpy(), "sq": _squared(g, row, col - start)}))
-        cols = [*by, "cell_id", "sq"]
-        return pd.concat(out)[cols] if out else pd.DataFrame(columns=cols)
+        out = [x for x in layers(key[0], left, right) if len(x)] if len(left) and len(right) else []
+        return pd.concat(out)[names_out] if out else pd.DataFrame(columns=names_out)
+
+    return inside.unionByName(down).unionByName(up).groupBy("band").cogroup(want.groupBy("at_band")).applyInPandas(solve, schema)
 
-    done = inside.unionByName(down).unionByName(up).groupBy("band").cogroup(want.groupBy("at_band")).applyInPandas(solve, schema)
-    return done.select(*by, "cell_id", (F.sqrt("sq") * res).alias("distance"))
+
+def distance_to(cells: DataFrame, features: DataFrame, res: float = 1.0, by: list[str] | None = None) -> DataFrame:
+    """(by, cell_id, distance) to the nearest feature cell of each layer (keys by), times the cell size; all layers in one
+    pass over the bands. Cells of a layer without features don't appear."""
+    by = by or []
+    return _solved(cells, features, by, F.lit(0)).select(*by, "cell_id", (F.sqrt(F.col("sq").cast("double")) * res).alias("distance"))
+
+
+def nearest_feature(cells: DataFrame, features: DataFrame, label: str, res: float = 1.0, by: list[str] | None = None) -> DataFrame:
+    """(by, cell_id, label, distance): the label of the nearest feature cell of each layer; a tie goes to the smaller label."""
+    by = by or []
+    found = _solved(cells, features, by, F.col(label))
+    return found.select(*by, "cell_id", F.col("label").alias(label), (F.sqrt(F.col("sq").cast("double")) * res).alias("distance"))
+
+
+def nearest_other(cells: DataFrame, label: str, res: float = 1.0, by: list[str] | None = None) -> DataFrame:
+    """(by, cell_id, distance) of each cell to the nearest cell of its layer with another label; cells without one don't appear."""
+    by = by or []
+    found = _solved(cells, cells, by, F.col(label), F.col(label))
+    return found.select(*by, "cell_id", (F.sqrt(F.col("sq").cast("double")) * res).alias("distance"))
 
 
 def fill_nearest(gaps: DataFrame, zones: DataFrame, zone: str) -> DataFrame:
-    """Gap cells with their nearest zone; a tie goes to the smaller zone."""
-    d = distance_to(gaps, zones, by=[zone])
-    return d.groupBy("cell_id").agg(F.min_by(zone, F.struct(F.round("distance", 9), F.col(zone))).alias(zone), F.min("distance").alias("distance"))
+    """Gap cells with their nearest zone; a tie goes to the smaller zone. One pass for all zones."""
+    return nearest_feature(gaps, zones, zone)
 
 
 def within_buffer(cells: DataFrame, zone: DataFrame, d: float, res: float = 1.0) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from landweave.operators.distance import nearest_other
+
 TILE = 256
 
 
@@ -201,40 +203,16 @@ def landscape_level(labelled: DataFrame, res: float = 1.0) -> DataFrame:
     return total.crossJoin(F.broadcast(con)).crossJoin(F.broadcast(rim)).select((F.col("ai") * 100).alias("ai"), _cohesion(t).alias("cohesion"), F.when(F.col("m") > 1, (1 + F.col("h") / (2 * F.ln(m))) * 100).alias("contag"), (1 - F.col("sq") / (t * t.cast("double"))).alias("division"), iji.alias("iji"), (edge / least_perimeter(t)).alias("lsi"), (F.col("sq") / t * res * res / HECTARE).alias("mesh"), "np", (F.col("np") / (t * res * res) * HECTARE * PER).alias("pd"), (F.col("like") * 100.0 / (4 * t)).alias("pladj"), (t * t.cast("double") / F.col("sq")).alias("split"))
 
 
-def enn_metrics(labelled: DataFrame, res: float = 1.0, radius: int = 12, level: str = "class") -> DataFrame:
+def enn_metrics(labelled: DataFrame, res: float = 1.0, level: str = "class") -> DataFrame:
     """Mean, SD and CV of the distance (times res) between the nearest cells of patches of a class, by class or over all patches.
 
-    Neighbours are looked for up to radius cells away first; patches that found none, of classes with two or
-    more, look again up to twice as far until all have one.
+    One two-label transform finds for each rim cell the nearest cell of another patch, however far it is.
     """
-    k = float(radius)
     four = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(c).alias("dc")) for a, c in ((0, 1), (1, 0), (0, -1), (-1, 0))))
     around = labelled.select("class", "patch", (F.col("row")).alias("r"), F.col("col").alias("c"), F.explode(four).alias("o")).select("patch", (F.col("r") + F.col("o.dr")).alias("row"), (F.col("c") + F.col("o.dc")).alias("col"))
     inside = labelled.join(around, ["patch", "row", "col"]).groupBy("cell_id").agg(F.count("*").alias("n")).filter("n = 4")
-    rim = _kept(labelled.join(inside, "cell_id", "left_anti"))
-    nine = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    ids = rim.select("class", "patch").distinct()
-    left = _kept(ids.join(ids.groupBy("class").count().filter("count > 1").select("class"), "class", "left_semi"))
-    near = None
-    while not left.isEmpty():
-        more = _kept(_near_blocks(rim, left, k, nine))
-        near = more if near is None else near.unionByName(more)
-        left = _kept(left.join(more, ["class", "patch"], "left_anti"))
-        k *= 2
-    near = left.withColumn("enn", F.lit(0.0)) if near is None else near.withColumn("enn", F.col("enn") * res)
+    rim = labelled.join(inside, "cell_id", "left_anti")
+    near = nearest_other(rim, "patch", res, ["class"]).join(rim.select("cell_id", "patch"), "cell_id")
+    near = near.groupBy("class", "patch").agg(F.min("distance").alias("enn"))
     stats = [F.count("*").alias("n"), F.avg("enn").alias("enn_mn"), F.stddev_pop("enn").alias("enn_sd"), (F.stddev_pop("enn") / F.avg("enn") * 100).alias("enn_cv")]
     return near.groupBy("class").agg(*stats) if level == "class" else near.agg(*stats)
-
-
-def _near_blocks(rim: DataFrame, left: DataFrame, k: float, nine) -> DataFrame:
-    """(class, patch, enn) of the patches of left that have another within k; cells meet only where blocks of two patches do, so a patch's cells never meet their own."""
-    cells = rim.withColumns({"br": F.floor(F.col("row") / k), "bc": F.floor(F.col("col") / k)})
-    mine = cells.join(left, ["class", "patch"], "left_semi")
-    blocks = cells.select("class", F.col("patch").alias("p2"), F.col("br").alias("b1"), F.col("bc").alias("b2")).distinct()
-    asks = mine.select("class", "patch", "br", "bc").distinct().select("*", F.explode(nine).alias("o")).select("class", "patch", "br", "bc", (F.col("br") + F.col("o.i")).alias("b1"), (F.col("bc") + F.col("o.j")).alias("b2"))
-    pairs = asks.join(blocks, ["class", "b1", "b2"]).filter(F.col("patch") != F.col("p2"))
-    own = mine.select("patch", "br", "bc", F.col("row").alias("r1"), F.col("col").alias("c1"))
-    other = cells.select(F.col("patch").alias("p2"), F.col("br").alias("b1"), F.col("bc").alias("b2"), F.col("row").alias("r2"), F.col("col").alias("c2"))
-    sq = (F.col("r1") - F.col("r2")) ** 2 + (F.col("c1") - F.col("c2")) ** 2
-    met = pairs.join(own, ["patch", "br", "bc"]).join(other, ["p2", "b1", "b2"])
-    return met.filter(sq <= k * k).groupBy("class", "patch").agg(F.sqrt(F.min(sq)).alias("enn"))

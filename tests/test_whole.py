@@ -104,5 +104,5 @@ def test_nearest_patches_at_any_distance(spark):
         if near:
             want.append((v, len(near), np.mean(near), np.std(near), np.std(near) / np.mean(near) * 100))
     assert {w[0] for w in want} == {1, 2, 4}
-    got = patches.enn_metrics(labelled, 1.0, 12).toPandas()
+    got = patches.enn_metrics(labelled, 1.0).toPandas()
     assert rows_of(got.round(6)) == rows_of(pd.DataFrame(want, columns=got.columns).round(6))
