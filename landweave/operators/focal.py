@@ -3,35 +3,34 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def stencil(df: DataFrame, value: str) -> DataFrame:
-    """(row, col, z11 ... z33) of cells: neighbours' values, NULL where one is missing. One shuffle of nine small rows a cell."""
-    nine = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
-    offsets = F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in nine))
-    sent = df.select("row", "col", F.col(value).alias("z"), F.explode(offsets).alias("o")).select((F.col("row") - F.col("o.dr")).alias("row"), (F.col("col") - F.col("o.dc")).alias("col"), "o.dr", "o.dc", "z")
-    pick = [F.max(F.when((F.col("dr") == dr) & (F.col("dc") == dc), F.col("z"))).alias(f"z{dr + 2}{dc + 2}") for dr, dc in nine]
-    there = F.max(((F.col("dr") == 0) & (F.col("dc") == 0)).cast("int"))
-    return sent.groupBy("row", "col").agg(*pick, there.alias("__there")).filter("__there = 1").drop("__there")
+from landweave.operators.tiles import Patch, on_tiles
 
 
 def terrain(df: DataFrame, value: str, res: float) -> DataFrame:
     """Slope and aspect in degrees (Horn's differences), position index, ruggedness and roughness of 3 x 3 windows; edges NULL."""
-    z = {f"{r}{c}": F.col(f"z{r}{c}") for r in (1, 2, 3) for c in (1, 2, 3)}
-    full = stencil(df, value)
-    dx = ((z["13"] + 2 * z["23"] + z["33"]) - (z["11"] + 2 * z["21"] + z["31"])) / (8 * res)
-    dy = ((z["31"] + 2 * z["32"] + z["33"]) - (z["11"] + 2 * z["12"] + z["13"])) / (8 * res)
-    around = [v for k, v in z.items() if k != "22"]
-    known = sum(((v.isNotNull()).cast("int") for v in z.values()), F.lit(0)) == 9
-    total = sum(around[1:], around[0])
-    # degrees clockwise from north; rows run south, so dy is already downhill to the north
-    turn = F.degrees(F.atan2(dy, -dx))
-    aspect = F.when(turn < 0, 90 - turn).when(turn > 90, 450 - turn).otherwise(90 - turn)
-    out = {"slope": F.degrees(F.atan(F.sqrt(dx * dx + dy * dy))), "aspect": F.when((dx == 0) & (dy == 0), F.lit(None)).otherwise(aspect), "tpi": z["22"] - total / 8, "tri": sum((F.abs(v - z["22"]) for v in around[1:]), F.abs(around[0] - z["22"])) / 8, "roughness": F.greatest(*z.values()) - F.least(*z.values())}
-    return full.select("row", "col", *(F.when(known, v).alias(k) for k, v in out.items()))
+
+    def work(p: Patch) -> list[pd.DataFrame]:
+        g = p.grid(p.rows["z"].to_numpy(np.float64), np.nan)
+        z = {(dr, dc): p.shifted(g, dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)}
+        dx = ((z[-1, 1] + 2 * z[0, 1] + z[1, 1]) - (z[-1, -1] + 2 * z[0, -1] + z[1, -1])) / (8 * res)
+        dy = ((z[1, -1] + 2 * z[1, 0] + z[1, 1]) - (z[-1, -1] + 2 * z[-1, 0] + z[-1, 1])) / (8 * res)
+        mid, rim = z[0, 0], [v for k, v in z.items() if k != (0, 0)]
+        # degrees clockwise from north; rows run south, so dy is already downhill to the north
+        turn = np.degrees(np.arctan2(dy, -dx))
+        aspect = np.where((dx == 0) & (dy == 0), np.nan, np.where(turn > 90, 450 - turn, 90 - turn))
+        known = ~np.isnan(np.sum(list(z.values()), axis=0))
+        out = {"slope": np.degrees(np.arctan(np.hypot(dx, dy))), "aspect": aspect, "tpi": mid - np.mean(rim, axis=0), "tri": np.mean([np.abs(v - mid) for v in rim], axis=0), "roughness": np.max(list(z.values()), axis=0) - np.min(list(z.values()), axis=0)}
+        return [pd.DataFrame({"row": p.own["row"], "col": p.own["col"], **{k: np.where(known, v, np.nan) for k, v in out.items()}})]
+
+    cells = df.select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.col(value).cast("double").alias("z"))
+    return on_tiles(cells, 1, work, "row int, col int, slope double, aspect double, tpi double, tri double, roughness double")
 
 
 def kernel(spark: SparkSession, size: int, mid: float, drop: float, interp: bool = False, matrix_id: str = "k") -> DataFrame:
@@ -70,21 +69,43 @@ def decay_profile(spark: SparkSession, mid: float, drop: float, interp: bool = F
 def focal_sum(df: DataFrame, col: str, classes: list[int], kernels: DataFrame) -> DataFrame:
     """(cell_id, row, col, class, matrix_id, value): weighted sum of cells of each class around each cell; outside counts 0.
 
-    Only class cells send weights, for all classes and kernels in one pass; kernels are a table of code-fixed size.
+    Kernels are a table of code-fixed size; their reach is the tiles' halo. All classes and kernels in one pass.
     """
-    own = df.filter(F.col(col).isin(*classes)).select("row", "col", F.col(col).alias("class"))
-    sent = own.crossJoin(F.broadcast(kernels)).select((F.col("row") - F.col("dr")).alias("row"), (F.col("col") - F.col("dc")).alias("col"), "class", "matrix_id", "w")
-    sums = sent.groupBy("row", "col", "class", "matrix_id").agg(F.sum("w").alias("value"))
-    k = kernels.select("matrix_id").distinct()
-    want = df.select("cell_id", "row", "col", F.explode(F.array(*map(F.lit, classes))).alias("class")).crossJoin(F.broadcast(k))
-    return want.join(sums, ["row", "col", "class", "matrix_id"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    by_matrix: dict[str, list[tuple[int, int, float]]] = {}
+    for k in kernels.collect():
+        by_matrix.setdefault(k["matrix_id"], []).append((k["dr"], k["dc"], k["w"]))
+    halo = max((max(abs(dr), abs(dc)) for own in by_matrix.values() for dr, dc, _ in own), default=0)
+
+    def work(p: Patch) -> Iterator[pd.DataFrame]:
+        values = p.rows["v"].to_numpy(np.float64)
+        for c in classes:
+            g = p.grid(values == c, 0.0)
+            for m, own in by_matrix.items():
+                total = np.zeros((p.side, p.side))
+                for dr, dc, w in own:
+                    total += w * p.moved(g, dr, dc)
+                yield pd.DataFrame({"cell_id": p.own["cell_id"], "row": p.own["row"], "col": p.own["col"], "class": c, "matrix_id": m, "value": p.middle(total)})
+
+    cells = df.select("cell_id", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.col(col).cast("int").alias("v"))
+    return on_tiles(cells, halo, work, "cell_id long, row int, col int, class int, matrix_id string, value double")
 
 
 def neighbour_count(df: DataFrame, col: str) -> DataFrame:
     """(cell_id, class, n): the other cells of the class in the 3 x 3 window of each cell, for classes that occur there."""
-    eight = F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr in (-1, 0, 1) for dc in (-1, 0, 1) if dr or dc))
-    sent = df.select(F.col(col).alias("class"), "row", "col", F.explode(eight).alias("o")).groupBy((F.col("row") - F.col("o.dr")).alias("row"), (F.col("col") - F.col("o.dc")).alias("col"), "class").agg(F.count("*").alias("n"))
-    return df.select("cell_id", "row", "col").join(sent, ["row", "col"]).select("cell_id", "class", "n")
+
+    def work(p: Patch) -> list[pd.DataFrame]:
+        known = p.rows["v"].notna().to_numpy()
+        kinds, number = np.unique(p.rows["v"].to_numpy()[known], return_inverse=True)
+        given = np.full(len(p.rows), -1)
+        given[known] = number
+        g = p.grid(given, -1, np.int64)
+        near = np.stack([p.shifted(g, dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1) if dr or dc], axis=1)
+        at, _ = np.nonzero(near >= 0)
+        met, n = np.unique(at * max(len(kinds), 1) + near[near >= 0], return_counts=True)
+        return [pd.DataFrame({"cell_id": p.own["cell_id"].to_numpy()[met // len(kinds)], "class": kinds[met % len(kinds)], "n": n})] if len(met) else []
+
+    cells = df.select("cell_id", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.col(col).alias("v"))
+    return on_tiles(cells, 1, work, f"cell_id long, class {cells.schema['v'].dataType.simpleString()}, n long")
 
 
 def neighbours_within(points: DataFrame, d: float) -> DataFrame:
