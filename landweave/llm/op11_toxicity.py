@@ -171,7 +171,8 @@ def score_toxicity(
     prior = (n_toxic + 0.5) / (n_known + 2)
 
     chosen = sampled(known.filter("toxic = 1"), n_toxic, max_positives).select("doc_id")
-    held = texts.join(chosen, "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("words"))
+    # about max_positives ids at most, so that texts stay where they are
+    held = texts.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("words"))
     sig = signature(F.col("words"))
     one = held.select("doc_id", "words", *sig).groupBy("sig0", "sig1", "sig2").agg(F.min_by("words", F.struct("doc_id", F.xxhash64("words"))).alias("words"))
     positives = work.saved(one.select("words"), "positives")
