@@ -33,7 +33,7 @@ from landweave.llm.sha256 import absorb, finish, hex_text, start
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 FAN = 3
 #: Levels of a storey: a block has FAN ** LEVELS nodes.
-LEVELS = 9
+LEVELS = 7
 #: Nodes that a task climbs at once, more by a block at most; rows of a part of the range shuffle.
 AT_ONCE, PART_ROWS = 20_000, 1_000_000
 #: One level of a node's way up: its slot among so many siblings, the parent's state before it, the siblings' digests.
