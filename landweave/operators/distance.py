@@ -191,7 +191,7 @@ def _solved(cells: DataFrame, features: DataFrame, by: list[str], label: Column,
             got = pd.DataFrame({**dict(zip(by, k, strict=True)), "cell_id": cells["cell_id"].to_numpy(), "sq": sq, "label": to})
             yield got[got["sq"] >= 0]
 
-    def solve(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def solve(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [x for x in layers(key[0], left, right) if len(x)] if len(left) and len(right) else []
         return pd.concat(out)[names_out] if out else pd.DataFrame(columns=names_out)
 

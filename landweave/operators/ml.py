@@ -6,14 +6,14 @@ import itertools
 from multiprocessing.pool import ThreadPool
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landweave.operators.ranks import BINS, hash_bin, ranked, unit_bin
+from landweave.operators.ranks import BINS, hash_bin, kept, ranked, unit_bin
 
 MODELS = {"glm": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
 #: Settings by their names in a model specification and in MLlib.
@@ -55,58 +55,25 @@ def needs_downsampling(df: DataFrame, keys: list[str], low: float = 0.05, high:
     return n.withColumns({"ratio": r, "downsample": F.coalesce((r <= low) | (r >= high), F.lit(False))})
 
 
-def univariate_pvalues(long: DataFrame, rounds: int = 12, least: int = 10) -> DataFrame:
-    """(task, predictor, n, p_value): weighted logistic fits of y on x (and x^2 with more than five values), all at once.
+def univariate_pvalues(long: DataFrame, rounds: int = 15, least: int = 10) -> DataFrame:
+    """(task, predictor, n, p_value, converged): weighted logistic fits of y on x (and x^2 with more than five values), all at once.
 
-    long: task, predictor, x, y, w. Every Newton round is one grouped sum of eight moments; the 3 x 3 systems
-    are solved on the sums. p is the least favourable (greatest) two-sided one of the slopes.
+    long: task, predictor, x, y, w. p is the least favourable (greatest) two-sided one of the slopes. Fits go on until no
+    coefficient moves; converged is false for a predictor that separates the classes, which never ends, and p is NULL
+    where y has one class only.
     """
-    stats = long.filter("x IS NOT NULL").groupBy("task", "predictor").agg(F.count("*").alias("n"), F.countDistinct("x").alias("d"), F.avg("x").alias("m"), F.stddev_pop("x").alias("s"))
-    stats = stats.filter((F.col("n") >= least) & (F.col("d") >= 3) & (F.col("s") > 0))
-    beta = stats.select("task", "predictor", "n", "m", "s", (F.col("d") > 5).alias("quad"), F.array(*[F.lit(0.0)] * 3).alias("b"))
-    rows = long.filter("x IS NOT NULL")
-    # a row for each task and predictor: broadcast while these are few, else merged by them
-    small = F.broadcast if stats.count() <= 100_000 else (lambda df: df)
-    moments = [f"h{k}" for k in range(5)] + [f"g{k}" for k in range(3)]
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        out = []
-        for r in pdf.itertuples(index=False):
-            k = 3 if r.quad else 2
-            h = np.array([[getattr(r, f"h{i + j}") for j in range(k)] for i in range(k)]) + 1e-10 * np.eye(k)
-            g = np.array([getattr(r, f"g{i}") for i in range(k)])
-            b = np.zeros(3)
-            b[:k] = np.array(r.b)[:k] + np.clip(np.linalg.solve(h, g), -5, 5)
-            se = np.zeros(3)
-            se[:k] = np.sqrt(np.maximum(np.diag(np.linalg.inv(h)), 0))
-            out.append((r.task, r.predictor, r.n, r.m, r.s, r.quad, b.tolist(), se.tolist()))
-        return pd.DataFrame(out, columns=["task", "predictor", "n", "m", "s", "quad", "b", "se"])
-
-    schema = "task string, predictor string, n long, m double, s double, quad boolean, b array<double>, se array<double>"
-    for _ in range(rounds):
-        z = (F.col("x") - F.col("m")) / F.col("s")
-        both = rows.join(small(beta.select("task", "predictor", "m", "s", "b")), ["task", "predictor"]).withColumn("z", z)
-        eta = F.col("b")[0] + F.col("b")[1] * F.col("z") + F.col("b")[2] * F.col("z") * F.col("z")
-        both = both.withColumn("mu", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), eta)))))
-        v, d = F.col("w") * F.col("mu") * (1 - F.col("mu")), F.col("w") * (F.col("y") - F.col("mu"))
-        sums = both.groupBy("task", "predictor").agg(*(F.sum(v * F.pow("z", F.lit(k))).alias(f"h{k}") for k in range(5)), *(F.sum(d * F.pow("z", F.lit(k))).alias(f"g{k}") for k in range(3)))
-        step = beta.select("task", "predictor", "n", "m", "s", "quad", "b").join(sums, ["task", "predictor"])
-        beta = step.select("task", "predictor", "n", "m", "s", "quad", "b", *moments).mapInPandas(lambda it: map(solve, it), schema)
-        beta = _kept(beta)
-    t = lambda k: F.abs(F.try_divide(F.col("b")[k], F.col("se")[k]))
+    from landweave.operators.models import slope_tests
+
+    rows = kept(long.filter("x IS NOT NULL"))
+    stats = rows.groupBy("task", "predictor").agg(F.count("*").alias("n"), F.countDistinct("x").alias("d"), F.avg("x").alias("m"), F.stddev_pop("x").alias("s"))
+    stats = kept(stats.filter((F.col("n") >= least) & (F.col("d") >= 3) & (F.col("s") > 0)))
+    z = (F.col("x") - F.col("m")) / F.col("s")
+    quad = F.col("d") > 5
+    both = rows.join(stats, ["task", "predictor"]).select("task", "predictor", F.col("y").alias("response"), "w", z.alias("z"), F.when(quad, z * z).otherwise(0.0).alias("z2"))
+    tests = slope_tests(both, ["task", "predictor"], ["z", "z2"], "w", rounds)
     p = lambda x: F.least(F.lit(1.0), 2 / (1 + F.exp(F.least(F.lit(700.0), 1.5976 * x + 0.07056 * x * x * x))))
-    return beta.select("task", "predictor", "n", F.when(F.col("quad"), F.greatest(p(t(1)), p(t(2)))).otherwise(p(t(1))).alias("p_value"), "b")
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    """A round's result computed once, so that plans don't grow: a checkpoint where a folder is set up, else cached."""
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    df = df.cache()
-    df.count()
-    return df
+    t = F.when(quad, F.least(F.col("t")[0], F.col("t")[1])).otherwise(F.col("t")[0])
+    return stats.join(tests, ["task", "predictor"], "left").select("task", "predictor", "n", p(t).alias("p_value"), F.coalesce("converged", F.lit(False)).alias("converged"))
 
 
 def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -231,54 +198,10 @@ def tune(df: DataFrame, name: str, cols: list[str], grid: dict[str, list], folds
     return sorted(out, key=lambda x: -(x["roc_auc"] or 0))
 
 
-def fit_tasks(rows: DataFrame, keys: list[str], specs: dict[str, dict], cols: list[str], path: str, at_once: int = 4) -> DataFrame:
-    """(keys, model, roc_auc): every family of specs fitted on the train part of each task, scored on the test part, the
-    best one (ties by name) fitted again on all rows and saved under path, a folder for each task.
-
-    Tasks come from configuration (transition and region), so the driver lists them; MLlib fits one at a time, so
-    several run side by side. A task with one class only has no model.
-    """
-    data = stratified_split(rows, keys).cache()
-    tasks = data.groupBy(*keys).agg(F.countDistinct("response").alias("n")).filter("n = 2").orderBy(*keys).collect()
-
-    def own(t) -> DataFrame:
-        out = data
-        for k in keys:
-            out = out.filter(F.col(k) == t[k])
-        return out
-
-    def one(t) -> tuple:
-        found = []
-        for name in sorted(specs):
-            fit = model_spec(name, cols, **specs[name]).fit(own(t).filter("part = 'train'"))
-            found.append((classification_metrics(score(own(t).filter("part = 'test'"), fit), []).first()["roc_auc"], name))
-        auc, name = min(found, key=lambda x: (-(x[0] if x[0] is not None else -1), x[1]))
-        model_spec(name, cols, **specs[name]).fit(own(t)).write().overwrite().save(f"{path}/{task_folder([t[k] for k in keys])}")
-        return (*(t[k] for k in keys), name, auc)
-
-    with ThreadPool(at_once) as pool:
-        got = pool.map(one, tasks, 1)
-    data.unpersist()
-    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
-    return rows.sparkSession.createDataFrame(got, f"{schema}, model string, roc_auc double")
-
-
 def task_folder(values: list) -> str:
     return ".".join(str(v) for v in values)
 
 
-def score_tasks(rows: DataFrame, keys: list[str], fitted: DataFrame, path: str) -> DataFrame:
-    """rows of the tasks in fitted with p and predicted by each task's saved model; tasks are a table of configuration's size."""
-    out = None
-    for t in fitted.select(*keys).collect():
-        own = rows
-        for k in keys:
-            own = own.filter(F.col(k) == t[k])
-        one = score(own, PipelineModel.load(f"{path}/{task_folder(list(t))}"))
-        out = one if out is None else out.unionByName(one)
-    return out if out is not None else rows.limit(0).withColumns({"p": F.lit(None).cast("double"), "predicted": F.lit(None).cast("int")})
-
-
 def classification_metrics(pred: DataFrame, keys: list[str]) -> DataFrame:
     """AUC by rank sums (ties half), accuracy, precision, recall, F, kappa, MCC, specificity; positive class 1.
 

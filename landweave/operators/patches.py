@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landweave.operators.distance import nearest_other
+from landweave.operators.ranks import kept
 
 TILE = 256
 
@@ -49,30 +50,24 @@ def patches(df: DataFrame, col: str, directions: int = 8, tile: int = TILE, max_
     rows = df.select("cell_id", "row", "col", F.col(col).alias("k")).filter("k IS NOT NULL")
     t = lambda c: F.floor((F.col(c) - 1) / tile)
     parts = rows.groupBy(t("row").alias("tr"), t("col").alias("tc")).applyInPandas(_tile_labels(directions, tile), "cell_id long, row int, col int, k int, part long")
-    parts = _kept(parts)
+    parts = kept(parts)
     edge = parts.filter(((F.col("row") - 1) % tile).isin(0, tile - 1) | ((F.col("col") - 1) % tile).isin(0, tile - 1))
     ways = [(0, 1), (1, 0), *([(1, 1), (1, -1)] if directions == 8 else [])]
     sent = edge.select("k", "part", F.explode(F.array(*(F.struct((F.col("row") + dr).alias("row"), (F.col("col") + dc).alias("col")) for dr, dc in ways))).alias("o")).select("k", "o.row", "o.col", F.col("part").alias("b"))
     links = edge.select("k", "row", "col", F.col("part").alias("a")).join(sent, ["k", "row", "col"]).filter("a <> b").select("a", "b").distinct()
-    links = _kept(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = _kept(links.groupBy(F.col("a").alias("part")).agg(F.least(F.min("b"), F.col("a")).alias("patch")))
+    links = kept(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = kept(links.groupBy(F.col("a").alias("part")).agg(F.least(F.min("b"), F.col("a")).alias("patch")))
     for _ in range(max_rounds):
         near = links.join(label, links["b"] == label["part"]).groupBy(F.col("a").alias("part")).agg(F.min("patch").alias("near"))
         step = label.join(near, "part").select("part", F.col("patch").alias("old"), F.least("patch", "near").alias("to"))
         up = label.select(F.col("part").alias("to"), F.col("patch").alias("up"))
-        step = _kept(step.join(up, "to", "left").select("part", "old", F.least("to", "up").alias("patch")))
+        step = kept(step.join(up, "to", "left").select("part", "old", F.least("to", "up").alias("patch")))
         label = step.select("part", "patch")
         if step.filter("patch <> old").isEmpty():
             break
     return parts.join(label, "part", "left").select("cell_id", "row", "col", F.col("k").alias("class"), F.coalesce("patch", "part").alias("patch"))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """df computed once: a checkpoint where the session has a folder for them, else a cached table."""
-    sc = df.sparkSession.sparkContext
-    return df.checkpoint() if sc.getCheckpointDir() else df.cache()
-
-
 def like_edges(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
     """(by, class, other, n): sides that cells of class share with cells of other; both directions, so like sides count twice."""
     four = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0))))

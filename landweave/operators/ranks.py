@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +11,20 @@ BINS = 4096
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """df computed once: a checkpoint where the session has a folder for them, else cached."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.cache()
+    """df computed once: a table in the session's checkpoint folder; in local mode without one, cached.
+
+    On a cluster that folder must be set: what only executors cache is lost with them.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir():
+        path = f"{sc.getCheckpointDir()}/kept-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    df = df.cache()
+    df.count()
+    return df
 
 
 def hash_bin(h: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landweave.operators.ranks import kept
+
 
 def demand_targets(demand: DataFrame, areas: DataFrame, scalars: list[float], per_scenario: bool = True) -> DataFrame:
     """Target areas by region, scenario, class and scalar from respondents' sliders.
@@ -47,24 +49,19 @@ def flows_to_rates(flows: DataFrame, areas: DataFrame, keys: list[str]) -> DataF
     return out.select(*keys, "from_v", "to_v", (F.col("flow") / F.greatest("area", F.lit(1e-12))).alias("rate"))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """A small table computed once: a checkpoint where the session has a folder for them, else cached."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.cache()
-
-
 def project_areas(areas: DataFrame, rates: DataFrame, steps: list[int], keys: list[str]) -> DataFrame:
     """(keys, lulc, step, area): area + gains - losses, step after step; all keys at once.
 
     rates may carry a column step, else they hold for all. Rates are written once, and so is each step's small
     table (a row for each class and key) where a checkpoint folder is set up, so that no step repeats another.
     """
-    rates, own = _kept(rates), _kept(areas.select(*keys, "lulc", F.col("area").cast("double").alias("area")).coalesce(1))
+    rates, own = kept(rates), kept(areas.select(*keys, "lulc", F.col("area").cast("double").alias("area")).coalesce(1))
     out = own.withColumn("step", F.lit(steps[0]))
     for step in steps[1:]:
         now = rates.filter(F.col("step") == step).drop("step") if "step" in rates.columns else rates
         flow = now.join(own.withColumnRenamed("lulc", "from_v"), [*keys, "from_v"]).withColumn("flow", F.col("rate") * F.col("area"))
         net = flow.select(*keys, F.explode(F.array(F.struct(F.col("to_v").alias("lulc"), F.col("flow").alias("d")), F.struct(F.col("from_v").alias("lulc"), (-F.col("flow")).alias("d")))).alias("x")).groupBy(*keys, F.col("x.lulc").alias("lulc")).agg(F.sum("x.d").alias("d"))
-        own = _kept(own.join(net, [*keys, "lulc"], "left").select(*keys, "lulc", (F.col("area") + F.coalesce("d", F.lit(0.0))).alias("area")))
+        own = kept(own.join(net, [*keys, "lulc"], "left").select(*keys, "lulc", (F.col("area") + F.coalesce("d", F.lit(0.0))).alias("area")))
         out = out.unionByName(own.withColumn("step", F.lit(step)))
     return out
 
@@ -130,11 +127,11 @@ def total_mismatch(mismatch: DataFrame, keys: list[str]) -> DataFrame:
 def synergistic_step(trans: DataFrame, areas: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     """Synergistic transitions grow by the mismatch of whichever of their classes has the lesser percentage, in
     those keys whose total mismatch falls by it; elsewhere trans stays."""
-    m = _kept(area_mismatch(trans, areas, keys))
+    m = kept(area_mismatch(trans, areas, keys))
     side = lambda c: m.select(*keys, F.col("lulc").alias(c), F.abs("mismatch").alias(f"a_{c}"), F.abs("mismatch_perc").alias(f"q_{c}"))
     hit = target_transitions(trans, m, keys, threshold).filter("synergistic").join(side("from_v"), [*keys, "from_v"]).join(side("to_v"), [*keys, "to_v"])
     hit = hit.select(*keys, "from_v", "to_v", F.when(F.col("q_from_v") >= F.col("q_to_v"), F.col("a_to_v")).otherwise(F.col("a_from_v")).alias("step"))
-    grown = _kept(trans.join(hit, [*keys, "from_v", "to_v"], "left").withColumn("grown", F.col("amount") + F.coalesce("step", F.lit(0.0))))
+    grown = kept(trans.join(hit, [*keys, "from_v", "to_v"], "left").withColumn("grown", F.col("amount") + F.coalesce("step", F.lit(0.0))))
     after = total_mismatch(area_mismatch(grown.select(*keys, "from_v", "to_v", F.col("grown").alias("amount")), areas, keys), keys)
     better = total_mismatch(m, keys).select(*keys, F.col("total_perc").alias("before")).join(after, keys).select(*keys, (F.round("total_perc", 9) < F.round("before", 9)).alias("better"))
     out = grown.join(better, keys, "left")
@@ -148,9 +145,9 @@ def improve_round(trans: DataFrame, areas: DataFrame, keys: list[str], threshold
     All classes at once, from the values after the first step; where two classes touch one transition, the one of
     the lesser percentage decides (then the greater class). For stepwise tables the step is one of the keys.
     """
-    areas = _kept(areas)
-    now = _kept(synergistic_step(_kept(trans), areas, keys, threshold))
-    m = _kept(area_mismatch(now, areas, keys))
+    areas = kept(areas)
+    now = kept(synergistic_step(kept(trans), areas, keys, threshold))
+    m = kept(area_mismatch(now, areas, keys))
     hit = target_transitions(now, m, keys, threshold).select(*keys, "from_v", "to_v")
     side = lambda c: m.select(*keys, F.col("lulc").alias(c), F.col("mismatch").alias(f"m_{c}"), F.col("mismatch_perc").alias(f"q_{c}"))
     both = hit.join(side("from_v"), [*keys, "from_v"]).join(side("to_v"), [*keys, "to_v"])

@@ -61,7 +61,7 @@ def on_tiles(cells: DataFrame, halo: int, work: Callable[[Patch], Iterator[pd.Da
     sent = cells.withColumn("__tr", F.explode(reach(row))).withColumn("__tc", F.explode(reach(col)))
     names = [p.strip().split(" ")[0].strip("`") for p in schema.split(",")]
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         patch = Patch(rows, side, halo, int(key[0]), int(key[1]))
         out = [x for x in work(patch) if len(x)] if len(patch.own) else []
         return pd.concat(out)[names] if out else pd.DataFrame(columns=names)

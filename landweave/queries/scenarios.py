@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from landweave.operators import ml as M
+from landweave.operators import models as B
 from landweave.operators import potential as T
 from landweave.operators import scenario as R
 from landweave.operators import validate as V
@@ -359,7 +360,7 @@ def _samples(t):
 def _(t):
     rows = _samples(t).withColumns({"task": F.concat_ws(":", "region", "task")})
     long = rows.unpivot(["task", "response"], ["x1", "x2", "x4", "x5"], "predictor", "x").select("task", "predictor", "x", F.col("response").cast("double").alias("y"), F.lit(1.0).alias("w"))
-    return M.univariate_pvalues(long).drop("b")
+    return M.univariate_pvalues(long)
 
 
 @query("m6_correlations", "SELECT a, b, round(r, 6) AS r FROM (SELECT unnest(['x1', 'x1', 'x1', 'x3', 'x3', 'x5']) AS a, unnest(['x3', 'x5', 'x6', 'x5', 'x6', 'x6']) AS b, unnest([corr(x1, x3), corr(x1, x5), NULL, corr(x3, x5), NULL, NULL]) AS r FROM predictors)")
@@ -408,45 +409,63 @@ def _(t):
     return M.final_sample(_response(t), _KEYS, 300).groupBy(*_KEYS, "response").agg(F.count("*").alias("n"))
 
 
-def _fit_rows(t):
-    rows = _samples(t).na.drop().select("cell_id", "x1", "x2", "x4", (F.col("x4") + F.col("cell_id") % 40 > 60).cast("int").alias("response"))
-    return M.stratified_split(rows, [])
+#: Settings that are compared for each task, by family.
+_GRID = [{"penalty": p, "mixture": m} for p in (0.001, 0.1) for m in (0.0, 1.0)]
+_SPECS = {"glm": _GRID[:2], "rf": [{"trees": 5, "min_n": 5}]}
+_X = ["x1", "x2", "x4"]
 
 
-@query("m11_m15_fit_and_score")
-def _(t):
-    rows = _fit_rows(t)
-    model = M.model_spec("glm", ["x1", "x2", "x4"], penalty=0.001, mixture=0.5).fit(rows.filter("part = 'train'"))
-    return M.classification_metrics(M.score(rows.filter("part = 'test'"), model), [])
+def _moves(t):
+    """Moves of 2018 to 2022 as responses of transitions: each cell of a class for every class that cells of it in its region went to."""
+    cells = t.cells.select("cell_id", "region", F.col("lulc_2018").alias("from_v"), F.col("lulc_2022").alias("now"))
+    pairs = cells.filter("from_v <> now").select("region", "from_v", F.col("now").alias("to_v")).distinct()
+    both = cells.join(pairs, ["region", "from_v"]).withColumn("response", (F.col("now") == F.col("to_v")).cast("int"))
+    return both.join(t.predictors.select("cell_id", *_X), "cell_id").select("region", "from_v", "to_v", "cell_id", "response", *_X)
 
 
-@query("m12_tune")
-def _(t):
-    got = M.tune(_fit_rows(t), "glm", ["x1", "x4"], {"penalty": [0.0, 0.1], "mixture": [0.0, 1.0]}, folds=2)
-    return t.spark.createDataFrame([(x["penalty"], x["mixture"], x["roc_auc"]) for x in got], "penalty double, mixture double, roc_auc double")
+_MOVES = """c AS (SELECT region, lulc_2018 AS from_v, lulc_2022 AS now FROM cells), pr AS (SELECT DISTINCT region, from_v, now AS to_v FROM c WHERE from_v <> now),
+ mv AS (SELECT c.region, c.from_v, to_v, CAST(now = to_v AS INT) AS response FROM c JOIN pr ON pr.region = c.region AND pr.from_v = c.from_v)"""
 
 
-#: Families and settings that are compared for each task.
-_SPECS = {"glm": {"penalty": 0.001, "mixture": 0.5}, "rf": {"trees": 10, "min_n": 5}, "gbt": {"trees": 5, "tree_depth": 3}}
+@query("m11_m15_fit_and_score")
+def _(t):
+    rows = _moves(t)
+    keys = ["region", "from_v", "to_v"]
+    parts = M.stratified_split(rows, keys)
+    table = B.fit_glm(parts.filter("part = 'train'"), keys, _X, [{"penalty": 0.001, "mixture": 0.5}])
+    pred = B.score_glm(parts.filter("part = 'test'"), keys, table.select(*keys, "intercept", "coefficients"), _X)
+    return M.classification_metrics(pred.withColumn("predicted", (F.col("p") >= 0.5).cast("int")), keys)
 
 
-def _fitted(t, *families):
-    from landweave.queries.sources import _path
+# the intercept is free, so a fit that has converged gives each task as many moves as were seen
+@query("m11_fitted_totals", f"WITH {_MOVES} SELECT region, from_v, to_v, COUNT(*) AS n, SUM(response) AS moved, SUM(response)::DOUBLE AS fitted, TRUE AS converged FROM mv GROUP BY 1, 2, 3 HAVING SUM(response) < COUNT(*)", digits=3)
+def _(t):
+    rows, keys = _moves(t), ["region", "from_v", "to_v"]
+    table = B.fit_glm(rows, keys, _X, [{"penalty": 0.01, "mixture": 0.5}])
+    pred = B.score_glm(rows, keys, table.select(*keys, "intercept", "coefficients", "converged"), _X)
+    return pred.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("response").alias("moved"), F.sum("p").alias("fitted"), F.bool_and("converged").alias("converged"))
+
 
-    rows = _samples(t).na.drop().select("region", "cell_id", "x1", "x2", "x4", (F.col("x4") + F.col("cell_id") % 40 > 60).cast("int").alias("response"))
-    path = _path(t, "models")
-    return rows, M.fit_tasks(rows, ["region"], {f: _SPECS[f] for f in families}, ["x1", "x2", "x4"], path), path
+@query("m12_tune")
+def _(t):
+    tuned = B.tune_glm(_moves(t), ["region", "from_v", "to_v"], _X, _GRID)
+    return tuned.groupBy("region", "from_v", "to_v", "penalty", "mixture").agg(F.avg("roc_auc").alias("roc_auc"), F.count("*").alias("n_fits"))
 
 
 @query("m14_m15_models_by_task")
 def _(t):
-    return _fitted(t, *_SPECS)[1]
+    from landweave.queries.sources import _path
+
+    rows = _response(t).join(t.predictors.drop("region"), "cell_id")
+    return B.choose_models(rows, ["region"], _X, _SPECS, _path(t, "models"))
 
 
 @query("t1_potential_by_models")
 def _(t):
-    rows, fitted, path = _fitted(t, "glm")
-    scored = M.score_tasks(rows, ["region"], fitted, path).select("cell_id", F.lit(103).alias("from_v"), F.lit(105).alias("to_v"), "p")
+    keys = ["region", "from_v", "to_v"]
+    table = B.fit_glm(_moves(t), keys, _X, _GRID[:1]).select(*keys, "intercept", "coefficients")
+    cells = t.cells.select("cell_id", "region", F.col("lulc_2022").alias("from_v")).join(t.predictors.select("cell_id", *_X), "cell_id")
+    scored = B.score_glm(cells, ["region", "from_v"], table, _X).select("cell_id", "from_v", "to_v", "p")
     return T.transition_potential(scored, t.orders.select((F.col("o_orderkey") + 1).alias("cell_id")), [(t.mask, T.PRESETS["densification"])])
 
 

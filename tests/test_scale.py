@@ -106,19 +106,6 @@ def tasks(spark):
     return spark.createDataFrame(pdf)
 
 
-def test_models_by_task_are_saved_and_score(spark, tasks, tmp_path):
-    from landweave.operators import ml as M
-
-    specs = {"glm": {"penalty": 0.001}, "rf": {"trees": 8, "min_n": 2}, "gbt": {"trees": 5, "tree_depth": 3}}
-    path = f"file://{tmp_path}/models"
-    fitted = M.fit_tasks(tasks, ["region"], specs, ["a", "b"], path)
-    found = {r["region"]: (r["model"], r["roc_auc"]) for r in fitted.collect()}
-    assert set(found) == {1, 2} and all(m in specs and auc > 0.9 for m, auc in found.values())
-    scored = M.score_tasks(tasks, ["region"], fitted, path)
-    assert scored.count() == 600 and M.classification_metrics(scored, []).first()["roc_auc"] > 0.95
-    assert M.score_tasks(tasks, ["region"], fitted.limit(0), path).count() == 0
-
-
 @pytest.mark.parametrize("name", ["glm", "rf", "gbt"])
 def test_families_tune(tasks, name):
     from landweave.operators import ml as M
