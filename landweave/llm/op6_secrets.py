@@ -73,9 +73,27 @@ def spans_of(text: Column, pattern: str, kind: str) -> Column:
     return bound(sums_before(size), lambda start: F.zip_with(F.slice(start, 1, F.size(found)), F.arrays_zip(found.alias("m"), value.alias("v")), lambda a, m: F.struct(a.alias("start"), F.lit(order).alias("kind"), (a + F.char_length(m["m"])).alias("end"), m["v"].alias("value"))))
 
 
-def outside(c: Column, spans: Column) -> Column:
-    """The parts of span c that no span of spans (by start) covers."""
-    met = F.filter(spans, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
+def in_blocks(spans: Column) -> Column:
+    """spans (by start) in about as many blocks as each has spans, with the least start and greatest end of each.
+
+    So a look-up costs the root of their number twice, not their number.
+    """
+    size = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(spans).cast("double"))).cast("int"))
+    cut = bound(size, lambda k: F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / k).cast("int")), lambda i: F.slice(spans, i * k + 1, k)))
+    cut = F.when(F.size(spans) > 0, cut).otherwise(F.array().cast(f"array<{SPANS}>"))
+    return F.transform(cut, lambda b: F.struct(F.get(b, 0)["start"].alias("lo"), F.array_max(F.transform(b, lambda s: s["end"])).alias("hi"), b.alias("spans")))
+
+
+def inside(c: Column, blocks: Column) -> Column:
+    """Whether one span covers c whole."""
+    own = lambda s: (s["start"] <= c["start"]) & (c["end"] <= s["end"])
+    return F.exists(blocks, lambda b: (b["lo"] <= c["start"]) & (c["end"] <= b["hi"]) & F.exists(b["spans"], own))
+
+
+def outside(c: Column, blocks: Column) -> Column:
+    """The parts of span c that no span of blocks covers."""
+    near = F.filter(blocks, lambda b: (b["lo"] < c["end"]) & (c["start"] < b["hi"]))
+    met = F.flatten(F.transform(near, lambda b: F.filter(b["spans"], lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))))
     piece = lambda a, b: F.struct(a.alias("start"), c["kind"].alias("kind"), b.alias("end"), F.substring(c["value"], a - c["start"] + 1, b - a).alias("value"))
     none = F.array().cast(SPANS)
 
@@ -83,9 +101,12 @@ def outside(c: Column, spans: Column) -> Column:
         more = F.when(x["start"] > s["at"], F.array(piece(s["at"], x["start"]))).otherwise(none)
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], more).alias("out"))
 
-    done = F.aggregate(met, F.struct(c["start"].alias("at"), none.alias("out")), step)
-    rest = bound(done, lambda d: F.concat(d["out"], F.when(d["at"] < c["end"], F.array(piece(d["at"], c["end"]))).otherwise(none)))
-    return F.when(F.size(met) == 0, F.array(c)).otherwise(rest)
+    def cut(met: Column) -> Column:
+        done = F.aggregate(met, F.struct(c["start"].alias("at"), none.alias("out")), step)
+        rest = bound(done, lambda d: F.concat(d["out"], F.when(d["at"] < c["end"], F.array(piece(d["at"], c["end"]))).otherwise(none)))
+        return F.when(F.size(met) == 0, F.array(c)).otherwise(rest)
+
+    return bound(met, cut)
 
 
 def or_none(cond: Column, spans: Column) -> Column:
@@ -165,7 +186,7 @@ def scored(docs: DataFrame, text_col: str = "text") -> DataFrame:
     spans = F.array_sort(F.concat(*base.values()))
     classes = lambda v: sum((v.rlike(p).cast("int") for p in ("[a-z]", "[A-Z]")), v.rlike("[0-9]").cast("int"))
     raw = or_none(text.rlike(CANDIDATE), F.filter(spans_of(text, CANDIDATE, "random"), lambda s: classes(s["value"]) >= 2))
-    open_ = F.filter("__raw", lambda c: ~F.exists("__spans", lambda s: (s["start"] <= c["start"]) & (c["end"] <= s["end"])))
+    open_ = bound(in_blocks(F.col("__spans")), lambda blocks: F.filter("__raw", lambda c: ~inside(c, blocks)))
     judged = F.transform("__open", lambda c: bound(battery(c["value"]), lambda b: F.struct(c.alias("span"), b["encoding"].alias("encoding"), length_class(c["end"] - c["start"]).alias("size"), level(b["p"]).alias("level"))))
     return docs.withColumns({"__spans": spans, "__raw": raw}).withColumn("__open", open_).withColumn("__candidates", judged).drop("__raw", "__open")
 
@@ -196,7 +217,7 @@ def find_secrets(docs: DataFrame, q: float = 0.05, text_col: str = "text", keep:
             out = out & ~((c["encoding"] == e) & (c["size"] == size) & (c["level"] >= least))
         return out
 
-    more = F.flatten(F.transform(F.filter("__candidates", random), lambda c: outside(c["span"], F.col("__spans"))))
+    more = bound(in_blocks(F.col("__spans")), lambda blocks: F.flatten(F.transform(F.filter("__candidates", random), lambda c: outside(c["span"], blocks))))
     return rows.withColumn("spans", F.array_sort(F.concat("__spans", more))).drop("__spans", "__candidates", "__no")
 
 
@@ -213,12 +234,20 @@ def redacted(text: Column, spans: Column) -> Column:
     none = F.array().cast("array<struct<a:int,b:int>>")
 
     def step(s: Column, x: Column) -> Column:
-        gap = F.when((x["start"] > s["at"]) | (F.size(s["out"]) == 0), F.array(F.struct(s["at"].alias("a"), x["start"].alias("b")))).otherwise(none)
+        gap = F.when(x["start"] > s["at"], F.array(F.struct(s["at"].alias("a"), x["start"].alias("b")))).otherwise(none)
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], gap).alias("out"))
 
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), none.alias("out")), step)
+    def block(s: Column, b: Column) -> Column:
+        # gaps are added up within a block before they join the rest, so that few long arrays are copied
+        own = F.aggregate(b["spans"], F.struct(s["at"].alias("at"), none.alias("out")), step)
+        return bound(own, lambda o: F.struct(o["at"].alias("at"), F.concat(s["out"], o["out"]).alias("out")))
+
+    first = F.get(spans, 0)["start"]
+    done = F.aggregate(in_blocks(spans), F.struct(first.alias("at"), F.array(F.struct(F.lit(0).alias("a"), first.alias("b"))).alias("out")), block)
     kept = bound(done, lambda d: F.concat(d["out"], F.array(F.struct(d["at"].alias("a"), F.char_length(text).alias("b")))))
-    return F.when(F.size(spans) == 0, text).otherwise(F.array_join(F.transform(kept, lambda p: F.substring(text, p["a"] + 1, p["b"] - p["a"])), "<secret>"))
+    # one walk over the text's characters; a substring would look for its place from the start each time
+    marked = bound(F.regexp_extract_all(text, F.lit("(?s)."), 0), lambda chars: F.array_join(F.transform(kept, lambda p: F.array_join(F.slice(chars, p["a"] + 1, p["b"] - p["a"]), "")), "<secret>"))
+    return F.when(F.size(spans) == 0, text).otherwise(marked)
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

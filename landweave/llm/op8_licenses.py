@@ -19,13 +19,13 @@ hashes.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landweave.llm.common import lower_ascii, table
+from landweave.llm.common import LOWER, UPPER, lower_ascii, table
 from landweave.llm.op4_quality import bound, steps
 
 _GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
@@ -64,6 +64,9 @@ TEMPLATES = {
 }
 
 
+WORDS = r"[\p{L}\p{N}]+"
+
+
 @dataclass(frozen=True)
 class Template:
     name: str
@@ -76,11 +79,12 @@ class Template:
 
     @property
     def words(self) -> list[str]:
-        return re.findall("[a-z0-9]+", self.text.lower())
+        """As words_of: runs of letters and digits of any script, A-Z in lower case."""
+        return regex.findall(WORDS, self.text.translate(str.maketrans(UPPER, LOWER)))
 
 
 def words_of(unit: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(unit), F.lit(r"[\p{L}\p{N}]+"), 0)
+    return F.regexp_extract_all(lower_ascii(unit), F.lit(WORDS), 0)
 
 
 def bigrams(words: Column) -> Column:
