@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landweave.operators.distance import distance_to
+from landweave.operators.ranks import kept, percentiles, ranked, running
 
 
 def steps_by_rank(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
     """step 1 to k by rank: groups of ceil(n / k) rows, so the last may be smaller."""
-    own = Window.partitionBy(*by)
-    rank = F.row_number().over(own.orderBy(*order))
-    return df.withColumn("step", (F.floor((rank - 1) / F.ceil(F.count("*").over(own) / F.lit(k))) + 1).cast("int"))
+    rows = ranked(df, by, order, "__rank")
+    return rows.withColumn("step", (F.floor((F.col("__rank") - 1) / F.ceil(F.col("__n") / F.lit(k))) + 1).cast("int")).drop("__rank", "__n")
 
 
 def polygon_areas(vertices: DataFrame) -> DataFrame:
@@ -55,7 +55,9 @@ def top_bins_for_target(df: DataFrame, value: str, width: float, target: int) ->
 
 def candidate_patches(cells: DataFrame, labels: DataFrame, value: str, least: int = 3) -> DataFrame:
     """Patches (patch) of labelled cells: size and median priority, small ones dropped."""
-    return labels.join(cells.select("cell_id", value), "cell_id").groupBy("patch").agg(F.count("*").alias("n"), F.median(value).alias("priority")).filter(F.col("n") >= least)
+    rows = kept(labels.join(cells.select("cell_id", F.col(value).cast("double").alias("__value")), "cell_id").select("patch", "__value"))
+    sizes = rows.groupBy("patch").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    return sizes.join(percentiles(rows, ["patch"], "__value", 0.5).withColumnRenamed("q", "priority"), "patch", "left")
 
 
 #: Orders for choosing patches: fixed values. Connectivity takes patches by their gap to what is protected already.
@@ -68,27 +70,44 @@ def patch_gaps(labels: DataFrame, existing: DataFrame) -> DataFrame:
     return labels.join(near, "cell_id", "left").groupBy("patch").agg(F.min("distance").alias("gap"))
 
 
-def select_to_budget(patches: DataFrame, target: int, prefer: str = "priority") -> DataFrame:
-    """First fit: patches in order of preference, each chosen if its cells fit what is left of target.
+#: So many undecided patches are chosen from in one task, in order; with more a round of sums comes first.
+FEW = 200_000
 
-    A choice depends on all choices before it, so the patches pass one task in order; they stream through it
-    with one number as the state, whatever their count. Ties go to the smaller patch.
+
+def select_to_budget(patches: DataFrame, target: int, prefer: str = "priority", few: int = FEW) -> DataFrame:
+    """(patch, n, priority, rank, chosen) by first fit: patches in order of preference, each chosen if its cells fit what is left of target.
+
+    In rounds: of the undecided patches the longest run that fits is chosen by running sums, the next one is
+    out, and so is every later one larger than the room that is left. Each round drops what can no longer fit, so few are soon
+    left; those pass one task in order, with one number as its state. Ties go to the smaller patch.
     """
-    keys = [F.col(c.lstrip("-")).asc_nulls_last() if c[0] == "-" else F.col(c).desc() for c in PREFERENCES[prefer]]
-    rows = patches.select("patch", "n", F.col("priority").cast("double").alias("priority"), *(["gap"] if prefer == "connectivity" else []))
+    order = [F.col(c.lstrip("-")).asc_nulls_last() if c[0] == "-" else F.col(c).desc() for c in PREFERENCES[prefer]]
+    rows = patches.select("patch", F.col("n").cast("long").alias("n"), F.col("priority").cast("double").alias("priority"), *(["gap"] if prefer == "connectivity" else []))
+    rows = kept(ranked(rows, [], [*order, F.col("patch")], "rank").select("patch", "n", "priority", F.col("rank").cast("int").alias("rank")))
+    left, room = rows.select("rank", "n").filter(F.col("n") <= target), target
+    taken = rows.select("rank").limit(0)
+    while left.count() > few:
+        sums = kept(running(left, [], [F.col("rank")], {"before": F.col("n")}).withColumn("fits", F.col("before") + F.col("n") <= room))
+        end = sums.filter("NOT fits").agg(F.min("rank")).first()[0]
+        run = sums.filter("fits") if end is None else sums.filter(F.col("fits") & (F.col("rank") < end))
+        taken, room = taken.unionByName(run.select("rank")), room - (run.agg(F.sum("n")).first()[0] or 0)
+        if end is None:
+            left = rows.select("rank", "n").limit(0)
+            break
+        left = kept(sums.filter((F.col("rank") > end) & (F.col("n") <= room)).select("rank", "n"))
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        room, rank = target, 0
+        free = room
         for pdf in batches:
             chosen = []
             for n in pdf["n"].tolist():
-                chosen.append(n <= room)
-                room -= n * chosen[-1]
-            yield pdf[["patch", "n", "priority"]].assign(rank=range(rank + 1, rank + len(pdf) + 1), chosen=chosen)
-            rank += len(pdf)
+                chosen.append(n <= free)
+                free -= n * chosen[-1]
+            yield pdf.loc[chosen, ["rank"]]
 
-    schema = f"patch {patches.schema['patch'].dataType.simpleString()}, n long, priority double, rank int, chosen boolean"
-    return rows.repartition(1).sortWithinPartitions(*keys, "patch").mapInPandas(choose, schema)
+    last = left.repartition(1).sortWithinPartitions("rank").mapInPandas(choose, "rank int")
+    taken = taken.unionByName(last).withColumn("chosen", F.lit(True))
+    return rows.join(taken, "rank", "left").select("patch", "n", "priority", "rank", F.coalesce("chosen", F.lit(False)).alias("chosen"))
 
 
 def phase_in(chosen: DataFrame, years: list[int], pace: str = "Steady", end: int | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landweave.operators.ranks import BINS, ranked
+from landweave.operators.ranks import ranked
 
 #: Spans that are broadcast.
 FEW = 10_000
@@ -49,7 +49,5 @@ def carry_forward(df: DataFrame, by: list[str], order: str, value: str) -> DataF
 
 def thin_evenly(df: DataFrame, by: list[str], order: str, target: Column) -> DataFrame:
     """Every k-th row in order (of a number), k = ceil(n / target), so rather fewer than target."""
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    place = F.floor((F.col(order) - F.lit(low)) / F.lit(max((high or 0) - (low or 0), 1)) * BINS).cast("long")
-    rows = ranked(df, by, place, [F.col(order)])
+    rows = ranked(df, by, [F.col(order)])
     return rows.filter((F.col("__rn") - 1) % F.ceil(F.col("__n") / target) == 0).drop("__rn", "__n")

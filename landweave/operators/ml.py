@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landweave.operators.ranks import BINS, hash_bin, kept, ranked, unit_bin
+from landweave.operators.ranks import kept, ranked, running
 
 MODELS = {"glm": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
 #: Settings by their names in a model specification and in MLlib.
@@ -28,10 +28,7 @@ def load_response(long: DataFrame, keys: list[str]) -> DataFrame:
 def thin_majority(df: DataFrame, keys: list[str], ratio: float = 1.5) -> DataFrame:
     """Where zeros exceed ratio times the ones, every k-th zero in cell order stays, k = ceil(zeros / ceil(ratio * ones))."""
     n = df.groupBy(*keys).agg(F.sum(F.col("response").cast("long")).alias("__n1"), F.sum((1 - F.col("response")).cast("long")).alias("__n0"))
-    ends = df.agg(F.min("cell_id").alias("a"), F.max("cell_id").alias("b")).first()
-    first, wide = ends["a"] or 0, ((ends["b"] or 0) - (ends["a"] or 0)) // BINS + 1
-    place = F.floor((F.col("cell_id") - first) / wide).cast("long")
-    rows = ranked(df, [*keys, "response"], place, [F.col("cell_id")]).drop("__n").join(n, keys)
+    rows = ranked(df, [*keys, "response"], [F.col("cell_id")]).drop("__n").join(n, keys)
     k = F.ceil(F.col("__n0") / F.greatest(F.ceil(F.col("__n1") * ratio), F.lit(1)))
     keep = (F.col("response") == 1) | (F.col("__n0") <= F.col("__n1") * ratio) | ((F.col("__rn") - 1) % k == 0)
     return rows.filter(keep).select(*df.columns)
@@ -125,7 +122,7 @@ def _order(seed: int) -> Column:
 
 def _shuffled(df: DataFrame, keys: list[str], seed: int) -> DataFrame:
     """df with __rn and __n: the place among the rows of its task and class in seeded order, and their number."""
-    return ranked(df, [*keys, "response"], hash_bin(_order(seed)), [_order(seed), F.col("cell_id")])
+    return ranked(df, [*keys, "response"], [_order(seed), F.col("cell_id")])
 
 
 def balance(df: DataFrame, keys: list[str], multiplier: float = 1.0, seed: int = 1, most: int | None = None, proportion: float | None = None) -> DataFrame:
@@ -205,14 +202,11 @@ def task_folder(values: list) -> str:
 def classification_metrics(pred: DataFrame, keys: list[str]) -> DataFrame:
     """AUC by rank sums (ties half), accuracy, precision, recall, F, kappa, MCC, specificity; positive class 1.
 
-    Ranks come from counts by probability, and by bins of it: only different values of one bin are ordered together.
+    Ranks come from counts by probability, added up in order over ranges of it.
     """
     n = pred.groupBy(*keys, "p").agg(F.sum(F.col("response").cast("double")).alias("one"), F.sum(1.0 - F.col("response")).alias("zero"))
-    n = n.withColumn("bin", unit_bin(F.col("p")))
-    bins = n.groupBy(*keys, "bin").agg(F.sum("zero").alias("z"))
-    bins = bins.select(*keys, "bin", (F.sum("z").over(Window.partitionBy(*keys).orderBy("bin")) - F.col("z")).alias("before"))
-    n = n.join(bins, [*keys, "bin"])
-    below = F.col("before") + F.sum("zero").over(Window.partitionBy(*keys, "bin").orderBy("p")) - F.col("zero") / 2
+    n = running(n, keys, [F.col("p")], {"before": F.col("zero")})
+    below = F.col("before") + F.col("zero") / 2
     auc = n.withColumn("won", F.col("one") * below).groupBy(*keys).agg(F.try_divide(F.sum("won"), F.sum("one") * F.sum("zero")).alias("roc_auc"))
     c = lambda y, q: F.sum(((F.col("response") == y) & (F.col("predicted") == q)).cast("double"))
     m = pred.groupBy(*keys).agg(c(1, 1).alias("tp"), c(0, 0).alias("tn"), c(0, 1).alias("fp"), c(1, 0).alias("fn"))

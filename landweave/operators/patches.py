@@ -41,11 +41,10 @@ def _tile_labels(directions: int, tile: int):
     return run
 
 
-def patches(df: DataFrame, col: str, directions: int = 8, tile: int = TILE, max_rounds: int = 1000) -> DataFrame:
+def patches(df: DataFrame, col: str, directions: int = 8, tile: int = TILE, max_rounds: int = 60) -> DataFrame:
     """(cell_id, row, col, class, patch): cells of one class that touch (4 or 8 ways) share patch, their least cell_id.
 
-    Tiles are labelled on their own; then only the links across tile borders are followed, between tile
-    labels, each round cut off by a checkpoint where one is set up.
+    Tiles are labelled on their own; then only the links across tile borders are contracted, between tile labels.
     """
     rows = df.select("cell_id", "row", "col", F.col(col).alias("k")).filter("k IS NOT NULL")
     t = lambda c: F.floor((F.col(c) - 1) / tile)
@@ -55,19 +54,35 @@ def patches(df: DataFrame, col: str, directions: int = 8, tile: int = TILE, max_
     ways = [(0, 1), (1, 0), *([(1, 1), (1, -1)] if directions == 8 else [])]
     sent = edge.select("k", "part", F.explode(F.array(*(F.struct((F.col("row") + dr).alias("row"), (F.col("col") + dc).alias("col")) for dr, dc in ways))).alias("o")).select("k", "o.row", "o.col", F.col("part").alias("b"))
     links = edge.select("k", "row", "col", F.col("part").alias("a")).join(sent, ["k", "row", "col"]).filter("a <> b").select("a", "b").distinct()
-    links = kept(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = kept(links.groupBy(F.col("a").alias("part")).agg(F.least(F.min("b"), F.col("a")).alias("patch")))
-    for _ in range(max_rounds):
-        near = links.join(label, links["b"] == label["part"]).groupBy(F.col("a").alias("part")).agg(F.min("patch").alias("near"))
-        step = label.join(near, "part").select("part", F.col("patch").alias("old"), F.least("patch", "near").alias("to"))
-        up = label.select(F.col("part").alias("to"), F.col("patch").alias("up"))
-        step = kept(step.join(up, "to", "left").select("part", "old", F.least("to", "up").alias("patch")))
-        label = step.select("part", "patch")
-        if step.filter("patch <> old").isEmpty():
-            break
+    label = stars(links, max_rounds).select(F.col("node").alias("part"), F.col("root").alias("patch"))
     return parts.join(label, "part", "left").select("cell_id", "row", "col", F.col("k").alias("class"), F.coalesce("patch", "part").alias("patch"))
 
 
+def stars(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """(node, root) of the nodes of links (a, b) that aren't their component's least, by alternating contractions.
+
+    Large stars link a node's greater neighbours to its least one, small stars its lesser neighbours and itself; depths
+    shrink by a factor each round, so that rounds grow with the logarithm of the longest path. Edges never outnumber the
+    links. An error tells if max_rounds were too few.
+    """
+    state = lambda e: e.agg(F.count("*"), F.coalesce(F.sum(F.pmod(F.xxhash64("hi", "lo"), F.lit(1 << 31))), F.lit(0))).first()[:]
+    edges = kept(links.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
+    before = state(edges)
+    for _ in range(max_rounds):
+        both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = kept(both.filter("v > u").join(least, "u").filter("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        own = large.join(least, "hi").select("hi", "lo", "m")
+        small = own.filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(least.select("hi", F.col("m").alias("lo")))
+        edges = kept(small.distinct())
+        now = state(edges)
+        if now == before:
+            return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
+        before = now
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
 def like_edges(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
     """(by, class, other, n): sides that cells of class share with cells of other; both directions, so like sides count twice."""
     four = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc")) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0))))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landweave.operators.ranks import kept, percentiles, unit_bin
+from landweave.operators.ranks import kept, percentiles, ranked
 
 
 def at_digits(c: str | Column) -> Column:
@@ -85,7 +85,7 @@ def adjust_relative(probs: DataFrame, zone: DataFrame, i: Intervention) -> DataF
     side = lambda inside, x: F.when(F.col("__in") == inside, x)
     differ = lambda inside: F.coalesce(F.min(side(inside, F.col("p"))) < F.max(side(inside, F.col("p"))), F.lit(False))
     q = own.groupBy("to_v").agg(differ(True).alias("d_in"), differ(False).alias("d_out"))
-    both = percentiles(own, ["to_v", "__in"], "p", F.when(F.col("__in"), i.q_in).otherwise(i.q_out))
+    both = percentiles(own, ["to_v", "__in"], "p", F.when(F.col("__in"), i.q_in).otherwise(i.q_out), [i.q_in, i.q_out])
     q = q.join(both.groupBy("to_v").agg(F.max(side(True, F.col("q"))).alias("q_in"), F.max(side(False, F.col("q"))).alias("q_out")), "to_v")
     means = own.join(F.broadcast(q), "to_v").groupBy("to_v", "q_in", "q_out", "d_in", "d_out").agg(F.avg(side(True, F.when(at_digits("p") >= at_digits("q_in"), F.col("p")))).alias("m_in"), F.avg(side(False, F.when(at_digits("p") >= at_digits("q_out"), F.col("p")))).alias("m_out"))
     gap = F.try_divide(F.col("m_in") - F.col("m_out") if i.order == "in-out" else F.col("m_out") - F.col("m_in"), (F.col("m_in") + F.col("m_out")) / 2)
@@ -178,16 +178,9 @@ def change_quantities(cells: DataFrame, col: str, rates: DataFrame, pct: DataFra
 
 
 def shortlist(probs: DataFrame, quantities: DataFrame, prune: float = 10.0) -> DataFrame:
-    """The best prune * n cells of each transition, by probability (to twelve digits) and then cell.
-
-    Counts by bins of probability tell which bins the cut can't reach; those rows go before anything is ordered.
-    """
-    rows = probs.filter("p > 0").join(F.broadcast(quantities.select("from_v", "to_v", "n")), ["from_v", "to_v"]).withColumn("__bin", unit_bin(F.round("p", 12)))
-    own = Window.partitionBy("from_v", "to_v").orderBy(F.col("__bin").desc())
-    above = rows.groupBy("from_v", "to_v", "__bin").agg(F.count("*").alias("__c"), F.max("n").alias("__n")).withColumn("__above", F.sum("__c").over(own) - F.col("__c"))
-    above = above.filter(F.col("__above") < F.col("__n") * prune).select("from_v", "to_v", "__bin", "__above")
-    best = F.col("__above") + F.row_number().over(Window.partitionBy("from_v", "to_v", "__bin").orderBy(F.round("p", 12).desc(), "cell_id"))
-    out = rows.join(above, ["from_v", "to_v", "__bin"]).withColumn("rank", best.cast("int"))
+    """The best prune * n cells of each transition, by probability (to twelve digits) and then cell."""
+    rows = probs.filter("p > 0").join(F.broadcast(quantities.select("from_v", "to_v", "n")), ["from_v", "to_v"])
+    out = ranked(rows, ["from_v", "to_v"], [F.round("p", 12).desc(), F.col("cell_id")], "rank").withColumn("rank", F.col("rank").cast("int"))
     return out.filter(F.col("rank") <= F.col("n") * prune).select(*probs.columns, "rank")
 
 

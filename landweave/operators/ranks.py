@@ -1,15 +1,19 @@
-"""Ranks and exact percentiles of large groups, by counts in bins: no group is ordered in one task."""
+"""Ranks, running sums and exact percentiles of large groups, whatever their values: no group is ordered in one task.
+
+Rows are ranged by key and order, with splitters that Spark draws from a sample, so crowded values get parts of their own
+and a group may be many parts. Sums within a part are added to the sums of the parts before it.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
-
-
 def kept(df: DataFrame) -> DataFrame:
     """df computed once: a table in the session's checkpoint folder; in local mode without one, cached.
 
@@ -27,48 +31,91 @@ def kept(df: DataFrame) -> DataFrame:
     return df
 
 
-def hash_bin(h: Column) -> Column:
-    """Bin of a 64-bit hash, in the order of hashes."""
-    return F.shiftright(h, 52).cast("long")
-
-
-def unit_bin(value: Column) -> Column:
-    """Bin of a value from 0 to 1, in the order of values (others go to the ends)."""
-    return F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.floor(value * BINS))).cast("long")
-
-
-def ranked(df: DataFrame, keys: list[str], bin_of: Column, order: list[Column], name: str = "__rn", descending: bool = False) -> DataFrame:
-    """df with its rank (from 1) among the rows of keys, and with __n of them; order must follow the bins.
+def running(df: DataFrame, keys: list[str], order: list[Column], values: dict[str, Column]) -> DataFrame:
+    """df with, for each name of values, the sum over the rows of the same keys before the row (in order), and name + "_all", the keys' total.
 
-    Counts by bin give what lies before each bin; only rows of one bin are ordered together.
+    order should tell rows apart, or rows that it doesn't may come in any order. Values are whole numbers or doubles.
     """
-    rows = df.withColumn("__bin", bin_of)
-    n = rows.groupBy(*keys, "__bin").agg(F.count("*").alias("__c"))
-    own = Window.partitionBy(*keys)
-    before = F.sum("__c").over(own.orderBy(F.col("__bin").desc() if descending else F.col("__bin"))) - F.col("__c")
-    n = n.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__bin").alias("__b"), before.alias("__before"), F.sum("__c").over(own).alias("__n"))
-    same = F.col("__bin") == F.col("__b")
+    spark = df.sparkSession
+    key = F.to_json(F.struct(*(F.col(k) for k in keys)), {"ignoreNullFields": "false"}) if keys else F.lit("")
+    rows = df.withColumns({"__key": key, **{f"__{v}": c for v, c in values.items()}})
+    rows = rows.withColumns({f"__{v}": F.col(f"__{v}").cast("double" if rows.schema[f"__{v}"].dataType.typeName() in ("double", "float", "decimal") else "long") for v in values})
+    by = [*(F.col(k) for k in keys), *order]
+    ranged = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by)
+    names, added = ranged.columns, [f"__{v}" for v in values]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, last = TaskContext.get().partitionId(), None
+        seen = dict.fromkeys(added, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column("__key").to_numpy(zero_copy_only=False)
+            first = np.r_[own[0] != last, own[1:] != own[:-1]]
+            start = np.maximum.accumulate(np.where(first, np.arange(len(own)), -1))
+            out = []
+            for c in added:
+                v = batch.column(c).fill_null(0).to_numpy(zero_copy_only=False)
+                upto = np.r_[v[:0], np.cumsum(v)]
+                before = upto - v
+                sums = np.where(start < 0, seen[c] + before, before - before[np.maximum(start, 0)])
+                seen[c] = sums[-1] + v[-1]
+                out.append(pa.array(sums))
+            last = own[-1]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(np.full(len(own), part)), *out], names=[*names, "__part", *(f"{c}_before" for c in added)])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema)
+    more = ", ".join(f"`{c}_before` {ranged.schema[c].dataType.simpleString()}" for c in added)
+    numbered = kept(ranged.mapInArrow(run, f"{fields}, __part long, {more}"))
+    sizes = numbered.groupBy("__key", "__part").agg(*(F.sum(c).alias(c) for c in added))
+    own = Window.partitionBy("__key")
+    upto = own.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("__key", "__part", *(F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(f"{c}_base") for c in added), *(F.sum(c).over(own).alias(f"{c}_all") for c in added))
+    out = numbered.join(bases, ["__key", "__part"])
+    return out.select(*df.columns, *(x for v in values for x in ((F.col(f"__{v}_base") + F.col(f"__{v}_before")).alias(v), F.col(f"__{v}_all").alias(f"{v}_all"))))
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str = "__rn") -> DataFrame:
+    """df with its rank (from 1) among the rows of keys, and with __n of them."""
+    out = running(df, keys, order, {name: F.lit(1).cast("long")})
+    return out.withColumn(name, F.col(name) + 1).withColumnRenamed(f"{name}_all", "__n")
+
+
+#: Rank error of the percentile sketch is at most a group's size over this.
+ACCURACY = 10_000
+
+
+def percentiles(df: DataFrame, keys: list[str], value: str, share: float | Column, among: list[float] | None = None) -> DataFrame:
+    """keys and q: the exact percentile (linear between neighbours); null values don't count.
+
+    share: a number, or a column of the keys whose values are those of among. A sketch brackets each group's percentile;
+    values in the bracket are counted by value and put in order, those below it only counted. df is read twice,
+    so it should be a table or kept.
+    """
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"), (share if isinstance(share, Column) else F.lit(float(share))).alias("__share"))
+    shares = sorted(set(among or [share]))
+    near = [min(1.0, max(0.0, s + d * 3 / ACCURACY)) for s in shares for d in (-1, 1)]
+    sketch = F.percentile_approx("__v", near, ACCURACY)
+    n = rows.groupBy(*keys).agg(F.count("*").alias("__n"), F.max("__share").alias("__s"), sketch.alias("__near"))
+    pick = lambda d: F.coalesce(*(F.when(F.col("__s") == F.lit(float(s)), F.get("__near", 2 * i + d)) for i, s in enumerate(shares)))
+    n = n.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), "__n", (F.col("__s") * (F.col("__n") - 1)).alias("__at"), pick(0).alias("__lo"), pick(1).alias("__hi"))
+    same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    out = rows.join(n, same)
-    rank = F.col("__before") + F.row_number().over(Window.partitionBy(*(f"__k{i}" for i in range(len(keys))), "__b").orderBy(*order))
-    return out.withColumn(name, rank).select(*df.columns, name, "__n")
-
-
-def percentiles(df: DataFrame, keys: list[str], value: str, share: float | Column) -> DataFrame:
-    """keys and q: the exact percentile (linear between neighbours) of values from 0 to 1; null values don't count.
-
-    share: a number, or a column of the keys. df is read twice, so it should be a table or kept.
-
-    Of the histogram's bins only those that hold the two neighbours are looked into.
-    """
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"), unit_bin(F.col(value)).alias("__bin"))
-    own = Window.partitionBy(*keys)
-    h = rows.groupBy(*keys, "__bin").agg(F.count("*").alias("__c"))
-    h = h.withColumns({"__to": F.sum("__c").over(own.orderBy("__bin")), "__at": (share if isinstance(share, Column) else F.lit(share)) * (F.sum("__c").over(own) - 1)})
+    met = (rows.join(n, same) if keys else rows.crossJoin(F.broadcast(n))).drop("__share", *(f"__k{i}" for i in range(len(keys))))
+    # what lies below or above a bracket is one row, with a count and the value next to the bracket; the rest a row for each value
+    side = F.when(F.col("__v") < F.col("__lo"), -1).when(F.col("__v") > F.col("__hi"), 1).otherwise(0)
+    met = met.withColumn("__side", side).groupBy(*keys, "__side", F.when(side == 0, F.col("__v")).alias("__own"))
+    met = met.agg(F.max("__v").alias("__max"), F.min("__v").alias("__min"), F.count("*").alias("__c"), F.first("__at").alias("__at"), F.first("__n").alias("__n"))
+    met = met.withColumn("__to", F.sum("__c").over(Window.partitionBy(*keys).orderBy("__side", "__own")))
+    met = met.withColumn("__v", F.when(F.col("__side") < 0, F.col("__max")).otherwise(F.col("__min")))
     low = F.floor("__at")
-    hit = h.withColumn("__from", F.col("__to") - F.col("__c")).filter((F.col("__from") <= low + 1) & (F.col("__to") > low))
-    near = rows.join(F.broadcast(hit.drop("__c", "__to")), [*keys, "__bin"]).withColumn("__i", F.col("__from") + F.row_number().over(Window.partitionBy(*keys, "__bin").orderBy("__v")) - 1)
-    part = F.max("__at") - F.floor(F.max("__at"))
-    a, b = F.max(F.when(F.col("__i") == low, F.col("__v"))), F.max(F.when(F.col("__i") == low + 1, F.col("__v")))
-    return near.groupBy(*keys).agg((a + (F.coalesce(b, a) - a) * part).alias("q"))
+    first = F.when(F.col("__side") < 0, F.col("__to") - 1).otherwise(F.col("__to") - F.col("__c"))
+    last = F.when(F.col("__side") > 0, F.col("__to") - F.col("__c")).otherwise(F.col("__to") - 1)
+    holds = lambda k: F.max(F.when((first <= k) & (last >= k), F.col("__v")))
+    a, b, part = holds(low), holds(F.least(low + 1, F.col("__n") - 1)), F.max("__at") - F.floor(F.max("__at"))
+    q = a + (F.coalesce(b, a) - a) * part
+    missed = a.isNull() | (b.isNull() & (part > 0))
+    return met.groupBy(*keys).agg(F.when(F.count("*") > 0, F.when(missed, F.raise_error(F.lit("the percentile lies outside its bracket"))).otherwise(q)).alias("q")).filter("q IS NOT NULL")

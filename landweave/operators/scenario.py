@@ -52,18 +52,34 @@ def flows_to_rates(flows: DataFrame, areas: DataFrame, keys: list[str]) -> DataF
 def project_areas(areas: DataFrame, rates: DataFrame, steps: list[int], keys: list[str]) -> DataFrame:
     """(keys, lulc, step, area): area + gains - losses, step after step; all keys at once.
 
-    rates may carry a column step, else they hold for all. Rates are written once, and so is each step's small
-    table (a row for each class and key) where a checkpoint folder is set up, so that no step repeats another.
+    rates may carry a column step, else they hold for all. Each key is one row, with its classes' areas as an array and its
+    rates by step as a map, and one fold over the steps takes it from the first to the last: one job, however many steps.
     """
-    rates, own = kept(rates), kept(areas.select(*keys, "lulc", F.col("area").cast("double").alias("area")).coalesce(1))
-    out = own.withColumn("step", F.lit(steps[0]))
-    for step in steps[1:]:
-        now = rates.filter(F.col("step") == step).drop("step") if "step" in rates.columns else rates
-        flow = now.join(own.withColumnRenamed("lulc", "from_v"), [*keys, "from_v"]).withColumn("flow", F.col("rate") * F.col("area"))
-        net = flow.select(*keys, F.explode(F.array(F.struct(F.col("to_v").alias("lulc"), F.col("flow").alias("d")), F.struct(F.col("from_v").alias("lulc"), (-F.col("flow")).alias("d")))).alias("x")).groupBy(*keys, F.col("x.lulc").alias("lulc")).agg(F.sum("x.d").alias("d"))
-        own = kept(own.join(net, [*keys, "lulc"], "left").select(*keys, "lulc", (F.col("area") + F.coalesce("d", F.lit(0.0))).alias("area")))
-        out = out.unionByName(own.withColumn("step", F.lit(step)))
-    return out
+    one = F.struct("lulc", F.col("area").cast("double").alias("area"))
+    own = areas.groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("__areas")) if keys else areas.agg(F.sort_array(F.collect_list(one)).alias("__areas"))
+    rate = F.struct("from_v", "to_v", F.col("rate").cast("double").alias("rate"))
+    by_step = "step" in rates.columns
+    lists = rates.filter(F.col("step").isin(*steps[1:])) if by_step else rates
+    lists = lists.groupBy(*keys, F.col("step").cast("int").alias("step") if by_step else F.lit(0).alias("step")).agg(F.sort_array(F.collect_list(rate)).alias("list"))
+    lists = lists.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("step", "list"))).alias("__rates"))
+    both = own.join(lists, keys, "left") if keys else own.crossJoin(F.broadcast(lists))
+
+    def moved(now: Column, step: Column) -> Column:
+        own_rates = F.try_element_at("__rates", step if by_step else F.lit(0))
+        area = lambda c: F.aggregate(F.filter(now, lambda x: x["lulc"] == c), F.lit(0.0), lambda s, x: s + x["area"])
+        flows = F.transform(own_rates, lambda r: F.struct(r["from_v"].alias("from_v"), r["to_v"].alias("to_v"), (r["rate"] * area(r["from_v"])).alias("flow")))
+        total = lambda f, side, c: F.aggregate(F.filter(f, lambda r: r[side] == c), F.lit(0.0), lambda s, r: s + r["flow"])
+        # flows once a step: a list of one, looked through
+        new = F.transform(F.array(flows), lambda f: F.transform(now, lambda x: F.struct(x["lulc"].alias("lulc"), (x["area"] + total(f, "to_v", x["lulc"]) - total(f, "from_v", x["lulc"])).alias("area"))))
+        return F.when(own_rates.isNull(), now).otherwise(F.get(new, 0))
+
+    start = F.array(F.struct(F.lit(steps[0]).alias("step"), F.col("__areas").alias("areas")))
+
+    def on(done: Column, step: Column) -> Column:
+        return F.concat(done, F.array(F.struct(step.alias("step"), moved(F.element_at(done, -1)["areas"], step).alias("areas"))))
+
+    out = both.select(*keys, F.explode(F.aggregate(F.array(*map(F.lit, steps[1:])).cast("array<int>"), start, on)).alias("x")) if len(steps) > 1 else both.select(*keys, F.explode(start).alias("x"))
+    return out.select(*keys, F.explode("x.areas").alias("a"), F.col("x.step").alias("step")).select(*keys, "a.lulc", "a.area", "step")
 
 
 def area_trajectories(projected: DataFrame, keys: list[str], steps: list[int]) -> DataFrame:

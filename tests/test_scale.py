@@ -15,17 +15,47 @@ def values(spark):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-def test_ranks_by_bins(values, descending):
-    from landweave.operators.ranks import ranked, unit_bin
+def test_ranks_over_ranges(values, descending):
+    from landweave.operators.ranks import ranked
 
     pdf, df = values
     order = F.col("v").desc() if descending else F.col("v")
-    got = ranked(df, ["k"], unit_bin(F.col("v")), [order, F.col("cell_id")], descending=descending).toPandas()
+    got = ranked(df.repartition(5), ["k"], [order, F.col("cell_id")]).toPandas()
     want = pdf.sort_values(["v", "cell_id"], ascending=[not descending, True]).groupby("k").cumcount() + 1
     assert dict(zip(got["cell_id"], got["__rn"], strict=True)) == dict(zip(pdf.loc[want.index, "cell_id"], want, strict=True))
     assert dict(zip(got["k"], got["__n"], strict=True)) == pdf.groupby("k").size().to_dict()
 
 
+def test_running_sums(values):
+    from landweave.operators.ranks import running
+
+    pdf, df = values
+    df = df.withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    got = running(df, ["k"], [F.col("cell_id")], {"s": F.col("v"), "c": F.lit(2)}).toPandas().set_index("cell_id").sort_index()
+    own = pdf.groupby("k")["v"]
+    assert np.allclose(got["s"], own.cumsum() - pdf["v"]) and np.allclose(got["s_all"], own.transform("sum")) and (got["c"] == own.cumcount() * 2).all()
+    assert running(df.limit(0), [], [F.col("cell_id")], {"s": F.col("v")}).count() == 0
+
+
+def test_crowded_values_spread_over_tasks(spark):
+    """A million values below 1e-4 and one value repeated a million times: no part of the order holds more than a few shares of them."""
+    from landweave.operators import ranks
+
+    df = spark.range(2_000_000).select(F.col("id").alias("cell_id"), F.when(F.col("id") % 2 == 0, F.lit(0.5)).otherwise((F.xxhash64("id") / F.lit(2.0**64) + 0.5) * 1e-4).alias("p"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        ranged = df.repartitionByRange(16, F.col("p"), F.col("cell_id"))
+        assert ranged.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 2_000_000 / 16 * 2
+        got = ranks.ranked(df, [], [F.col("p"), F.col("cell_id")])
+        assert got.agg(F.min("__rn"), F.max("__rn"), F.countDistinct("__rn")).first()[:] == (1, 2_000_000, 2_000_000)
+        cached = df.cache()
+        for share in (0.25, 0.5, 0.75):
+            assert abs(ranks.percentiles(cached, [], "p", share).first()["q"] - cached.agg(F.percentile("p", share)).first()[0]) < 1e-15
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 @pytest.mark.parametrize("share", [0.0, 0.5, 0.8, 0.95, 1.0])
 def test_percentiles_by_bins(values, share):
     from landweave.operators.ranks import percentiles
@@ -62,13 +92,61 @@ def test_snake_is_one_patch(spark, directions):
     assert sorted(map(tuple, got)) == [(1001, len(path)), (900_000, 1)]
 
 
-def test_first_fit_takes_what_still_fits(spark):
+def test_long_snake_over_many_tiles(spark):
+    """A path of a million cells that turns back and forth over 1,000 x 2,000 cells; too few rounds are an error."""
+    from landweave.operators import patches as P
+
+    rows = spark.range(0, 1000, 2).select((F.col("id") + 1).alias("row")).crossJoin(spark.range(1, 2001).select(F.col("id").alias("col")))
+    turns = spark.range(1, 999, 2).select((F.col("id") + 1).alias("row"), F.when(F.col("id") % 4 == 1, 2000).otherwise(1).cast("long").alias("col"))
+    df = rows.union(turns).select((F.col("row") * 10_000 + F.col("col")).alias("cell_id"), F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.lit(1).alias("v"))
+    assert df.count() == 1_000_499
+    got = P.patches(df, "v", 4, tile=128).groupBy("patch").count().collect()
+    assert [tuple(r) for r in got] == [(10_001, 1_000_499)]
+    with pytest.raises(RuntimeError):
+        P.stars(spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")), 2)
+
+
+def test_stars_of_random_graphs(spark):
+    from landweave.operators.patches import stars
+
+    rnd = np.random.default_rng(7)
+    for n, m in ((200, 120), (50, 200), (300, 280)):
+        e = rnd.integers(0, n, (m, 2))
+        label = list(range(n))
+        for _ in range(n):
+            for a, b in e:
+                label[a] = label[b] = min(label[a], label[b])
+        got = {r["node"]: r["root"] for r in stars(spark.createDataFrame(e.tolist(), "a long, b long")).collect()}
+        assert got == {k: v for k, v in enumerate(label) if k != v}
+
+
+def test_areas_fold_over_steps(spark):
+    from landweave.operators.scenario import project_areas
+
+    areas = spark.createDataFrame([(1, 1, 100.0), (1, 2, 50.0), (2, 1, 10.0), (3, 5, 7.0)], "k int, lulc int, area double")
+    rates = spark.createDataFrame([(1, 1, 2, 0.1, 2001), (1, 2, 1, 0.5, 2001), (1, 1, 2, 0.2, 2002), (2, 1, 9, 0.3, 2001), (2, 8, 1, 0.3, 2002)], "k int, from_v int, to_v int, rate double, step int")
+    got = {(r["k"], r["lulc"], r["step"]): r["area"] for r in project_areas(areas, rates, [2000, 2001, 2002], ["k"]).collect()}
+    want = {(1, 1, 2000): 100, (1, 2, 2000): 50, (1, 1, 2001): 115, (1, 2, 2001): 35, (1, 1, 2002): 92, (1, 2, 2002): 58, (2, 1, 2000): 10, (2, 1, 2001): 7, (2, 1, 2002): 7, (3, 5, 2000): 7, (3, 5, 2001): 7, (3, 5, 2002): 7}
+    assert set(got) == set(want) and all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+
+
+@pytest.mark.parametrize("few", [200_000, 3, 0])
+def test_first_fit_takes_what_still_fits(spark, few):
     from landweave.operators.conserve import select_to_budget
 
     df = spark.createDataFrame([(k, n, 1.0 - k / 10) for k, n in enumerate((50, 20, 8, 5, 2))], "patch long, n long, priority double")
-    got = [r["n"] for r in select_to_budget(df, 60).orderBy("rank").collect() if r["chosen"]]
+    got = [r["n"] for r in select_to_budget(df, 60, few=few).orderBy("rank").collect() if r["chosen"]]
     assert got == [50, 8, 2]
-    assert [r["n"] for r in select_to_budget(df, 60, "small").orderBy("rank").collect() if r["chosen"]] == [2, 5, 8, 20]
+    assert [r["n"] for r in select_to_budget(df, 60, "small", few).orderBy("rank").collect() if r["chosen"]] == [2, 5, 8, 20]
+    rnd = np.random.default_rng(4)
+    sizes = rnd.integers(1, 90, 400)
+    many = spark.createDataFrame([(k, int(n), float(p)) for k, (n, p) in enumerate(zip(sizes, rnd.random(400), strict=True))], "patch long, n long, priority double")
+    rows = select_to_budget(many, 2000, few=few).orderBy("rank").collect()
+    room = 2000
+    for r in rows:
+        assert r["chosen"] == (r["n"] <= room)
+        room -= r["n"] * r["chosen"]
+    assert [r["rank"] for r in rows] == list(range(1, 401)) and [r["priority"] for r in rows] == sorted((r["priority"] for r in rows), reverse=True)
 
 
 def test_univariate_pvalues_of_both_forms(spark):
