@@ -24,7 +24,7 @@ def normalize_long(probs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Intervention:
-    """kind absolute sets value, relative scales by the gap of the upper tails (see adjust_relative)."""
+    """kind absolute sets value, relative scales by the gap of the upper tails (see adjust_relative); zone: which side of the mask is meant."""
 
     kind: str
     zone: str = "inside"
@@ -40,6 +40,25 @@ class Intervention:
     guard: bool = False
     note: str = field(default="", compare=False)
 
+    @classmethod
+    def configured(cls, row: dict, classes: dict[str, int]) -> Intervention:
+        """From a configured row (lower-case names; numbers in percent), with class values by name."""
+        number = lambda c, default: default if row.get(c) is None else float(row[c]) / 100
+        values = lambda c: tuple(classes[x] for x in row.get(c) or () if x)
+        zone, kind = (row.get("prob_adjust_zone") or "inside").lower(), row["prob_adjust_type"].lower()
+        valency = (row.get("prob_adjust_valency") or "increase").lower()
+        if zone not in ("inside", "outside") or kind not in ("absolute", "relative") or (kind == "relative" and valency not in VALENCIES):
+            raise ValueError(f"unknown type, zone or valency of {row.get('intervention_id')}: {kind}, {zone}, {valency}")
+        positive, negative = VALENCIES.get(valency, VALENCIES["increase"])
+        return cls(
+            kind, zone, number("prob_adjust_value", 0.0), number("prob_adjust_intervention_percentile", 0.9), number("prob_adjust_non_intervention_percentile", 0.9),
+            number("prob_adjust_threshold", 0.05), "in-out", positive, negative, values("target_classes"), values("from_lulc_filter"),
+        )
+
+
+#: What a configured valency does to the zone's upper tail where the gap is positive, and where it is negative: fixed values.
+VALENCIES = {"increase": ("raise_inside", "raise_inside"), "decrease": ("lower_inside", "lower_inside"), "increase_inside_decrease_outside": ("raise_inside", "lower_outside")}
+
 
 #: Presets by name: zone percentiles and reactions are fixed values.
 PRESETS = {
@@ -78,9 +97,11 @@ def adjust_relative(probs: DataFrame, zone: DataFrame, i: Intervention) -> DataF
 
     Percentiles of positive values inside and outside; means of the values at or above them; gap = their
     difference over their average, at least threshold in size; values above their side's percentile times
-    1 + gap, held in [0, 1]. Four numbers for each target class meet the cells by broadcast.
+    1 + gap, held in [0, 1]. Four numbers for each target class meet the cells by broadcast. With zone outside
+    the cells beyond the mask are the inside.
     """
-    rows = kept(_flag(probs, zone))
+    flagged = _flag(probs, zone)
+    rows = kept(flagged if i.zone == "inside" else flagged.withColumn("__in", ~F.col("__in")))
     own = rows.filter(_applies(i) & (F.col("p") > 0))
     side = lambda inside, x: F.when(F.col("__in") == inside, x)
     differ = lambda inside: F.coalesce(F.min(side(inside, F.col("p"))) < F.max(side(inside, F.col("p"))), F.lit(False))
@@ -109,6 +130,13 @@ def apply_intervention(probs: DataFrame, zone: DataFrame, i: Intervention) -> Da
     return (adjust_absolute if i.kind == "absolute" else adjust_relative)(probs, zone, i)
 
 
+def apply_configured(probs: DataFrame, active: DataFrame, zones: dict[str, DataFrame], classes: dict[str, int]) -> DataFrame:
+    """All active interventions (a table of configuration's size) one after another in rank order; zones: cells of each id's mask."""
+    for row in active.orderBy("rank", "intervention_id").collect():
+        probs = apply_intervention(probs, zones[row["intervention_id"]], Intervention.configured(row.asDict(), classes))
+    return probs
+
+
 def active_interventions(ints: DataFrame, scenario: str, year: int) -> DataFrame:
     """Interventions of a scenario that list the year itself, in rank order."""
     return ints.filter((F.col("scenario_id") == scenario) & F.array_contains("time_step", year)).orderBy("rank", "intervention_id")

@@ -212,11 +212,7 @@ def _(t):
 
 @query("g4_resample_stats", f"""SELECT r AS row, c AS col, round(AVG(elevation), 6) AS average, MIN(elevation) AS min, MAX(elevation) AS max, round(quantile_cont(elevation, 0.5), 6) AS med, round(quantile_cont(elevation, 0.25), 6) AS q1, round(quantile_cont(elevation, 0.75), 6) AS q3 FROM {_UP} GROUP BY ALL""")
 def _(t):
-    out = None
-    for m in ("average", "min", "max", "med", "q1", "q3"):
-        one = G.coarser(t.cells, 3, "elevation", m).withColumnRenamed("value", m)
-        out = one if out is None else out.join(one, ["row", "col"])
-    return out
+    return G.coarser_stats(t.cells, 3, "elevation", ["average", "min", "max", "med", "q1", "q3"])
 
 
 @query("g4_resample_near", f"SELECT r AS row, c AS col, lulc_2022 AS value FROM {_UP} WHERE (row - 1) % 3 = 1 AND (col - 1) % 3 = 1")

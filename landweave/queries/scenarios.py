@@ -43,21 +43,64 @@ def _(t):
     return T.apply_intervention(_norm(t), t.mask, T.PRESETS["conservation"])
 
 
-def _relative(name: str) -> str:
-    i = T.PRESETS[name]
+def _step(i: T.Intervention, source: str, k: int) -> str:
+    """Oracle: the CTE s{k}, source after one intervention within the mask (or beyond it)."""
     where = f"to_v IN ({', '.join(map(str, i.targets))})" + (f" AND from_v IN ({', '.join(map(str, i.from_filter))})" if i.from_filter else "")
+    side = f"cell_id {'NOT ' if i.zone == 'outside' else ''}IN (SELECT cell_id FROM mask)"
+    if i.kind == "absolute":
+        return f"s{k} AS (SELECT cell_id, from_v, to_v, CASE WHEN {side} AND p > 0 AND {where} THEN {i.value} ELSE p END AS p FROM {source})"
 
     def scaled(rule: str) -> str:
-        move, side = rule.split("_")
-        hit = "(i AND round(p, 9) > round(q_in, 9))" if side == "inside" else "(NOT i AND round(p, 9) > round(q_out, 9))"
+        move, which = rule.split("_")
+        hit = "(i AND round(p, 9) > round(q_in, 9))" if which == "inside" else "(NOT i AND round(p, 9) > round(q_out, 9))"
         return f"CASE WHEN {hit} THEN least(1, greatest(0, p * (1 {'+' if move == 'raise' else '-'} abs(gap)))) ELSE p END"
 
     diff = "m_in - m_out" if i.order == "in-out" else "m_out - m_in"
-    return f"""WITH {_NORM}, f AS (SELECT *, cell_id IN (SELECT cell_id FROM mask) AS i, {where} AS ap FROM nm),
- q AS (SELECT to_v AS k, quantile_cont(p, {i.q_in}) FILTER (i) AS q_in, quantile_cont(p, {i.q_out}) FILTER (NOT i) AS q_out FROM f WHERE ap AND p > 0 GROUP BY 1),
- m AS (SELECT k, q_in, q_out, AVG(p) FILTER (i AND round(p, 9) >= round(q_in, 9)) AS m_in, AVG(p) FILTER (NOT i AND round(p, 9) >= round(q_out, 9)) AS m_out FROM f JOIN q ON k = to_v WHERE ap AND p > 0 GROUP BY 1, 2, 3),
- g AS (SELECT *, ({diff}) / ((m_in + m_out) / 2) AS g0 FROM m), h AS (SELECT k, q_in, q_out, CASE WHEN abs(g0) < {i.threshold} THEN CASE WHEN g0 < 0 THEN -{i.threshold} ELSE {i.threshold} END ELSE g0 END AS gap FROM g)
- SELECT cell_id, from_v, to_v, round(CASE WHEN ap AND gap > 0 THEN {scaled(i.when_positive)} WHEN ap AND gap < 0 THEN {scaled(i.when_negative)} ELSE p END, 9) AS p FROM f LEFT JOIN h ON k = to_v"""
+    return f"""f{k} AS (SELECT *, {side} AS i, {where} AS ap FROM {source}),
+ q{k} AS (SELECT to_v AS k, quantile_cont(p, {i.q_in}) FILTER (i) AS q_in, quantile_cont(p, {i.q_out}) FILTER (NOT i) AS q_out FROM f{k} WHERE ap AND p > 0 GROUP BY 1),
+ m{k} AS (SELECT k, q_in, q_out, AVG(p) FILTER (i AND round(p, 9) >= round(q_in, 9)) AS m_in, AVG(p) FILTER (NOT i AND round(p, 9) >= round(q_out, 9)) AS m_out FROM f{k} JOIN q{k} ON k = to_v WHERE ap AND p > 0 GROUP BY 1, 2, 3),
+ g{k} AS (SELECT *, ({diff}) / ((m_in + m_out) / 2) AS g0 FROM m{k}), h{k} AS (SELECT k, q_in, q_out, CASE WHEN abs(g0) < {i.threshold} THEN CASE WHEN g0 < 0 THEN -{i.threshold} ELSE {i.threshold} END ELSE g0 END AS gap FROM g{k}),
+ s{k} AS (SELECT cell_id, from_v, to_v, CASE WHEN ap AND gap > 0 THEN {scaled(i.when_positive)} WHEN ap AND gap < 0 THEN {scaled(i.when_negative)} ELSE p END AS p FROM f{k} LEFT JOIN h{k} ON k = to_v)"""
+
+
+def _in_order(*steps: T.Intervention) -> str:
+    """Oracle: normalised potentials after interventions in order."""
+    ctes = [_step(i, "nm" if k == 0 else f"s{k - 1}", k) for k, i in enumerate(steps)]
+    return f"WITH {_NORM}, {', '.join(ctes)} SELECT cell_id, from_v, to_v, round(p, 9) AS p FROM s{len(steps) - 1}"
+
+
+def _relative(name: str) -> str:
+    return _in_order(T.PRESETS[name])
+
+
+#: Interventions as they are configured: identifier, rank, years, targets, type, value, valency, percentiles, threshold, zone, from-classes.
+_CONFIGURED = (
+    ("agri_expansion", 2, "2020, 2030 ,2040", "cropland,grassland", "Relative", None, "Increase", 90.0, 80.0, 5.0, "Outside", "forest"),
+    ("urban_densification", 1, "2020,2030", "urban", "Absolute", 100.0, None, None, None, None, "Inside", None),
+    ("rural_decline", 3, "2030, 2050", "urban, cropland", "Relative", None, "decrease", 85.0, 90.0, 5.0, "Inside", None),
+    ("protected_areas", 4, "2030", "urban", "Absolute", 0.0, None, None, None, None, "Outside", "grassland, bare"),
+    ("not_in_2030", 0, "2020,20301", "urban", "Absolute", 0.0, None, None, None, None, "Inside", None),
+)
+_CONFIGURED_COLS = "intervention_id string, rank int, time_step string, target_classes string, prob_adjust_type string, prob_adjust_value double, prob_adjust_valency string, prob_adjust_intervention_percentile double, prob_adjust_non_intervention_percentile double, prob_adjust_threshold double, prob_adjust_zone string, from_lulc_filter string"
+
+
+@query(
+    "t12_configured_in_rank_order",
+    _in_order(
+        T.Intervention("absolute", "inside", 1.0, targets=(105,)),
+        T.Intervention("relative", "outside", q_in=0.9, q_out=0.8, when_positive="raise_inside", when_negative="raise_inside", targets=(103, 104), from_filter=(102,)),
+        T.Intervention("relative", "inside", q_in=0.85, q_out=0.9, when_positive="lower_inside", when_negative="lower_inside", targets=(105, 103)),
+        T.Intervention("absolute", "outside", 0.0, targets=(105,), from_filter=(104, 106)),
+    ),
+    digits=9,
+)
+def _(t):
+    from landweave.sources.catalog import read_interventions
+
+    table = t.spark.createDataFrame(_CONFIGURED, _CONFIGURED_COLS).withColumn("scenario_id", F.lit("SSP3"))
+    active = T.active_interventions(read_interventions(table), "SSP3", 2030)
+    classes = {r["class_name"]: r["value"] for r in t.classes.collect()}
+    return T.apply_configured(_norm(t), active, {r[0]: t.mask for r in _CONFIGURED}, classes)
 
 
 for _id, _name in (("t4_relative_sprawl", "urban_sprawl"), ("t5_urban_migration", "urban_migration"), ("t6_mountain_development", "mountain_development"), ("t7_rural_migration", "rural_migration"), ("t8_cultural_protection", "cultural_protection"), ("t12_agri_expansion", "agri_expansion"), ("t12_ineffective_conservation", "ineffective_conservation")):

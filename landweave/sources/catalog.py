@@ -35,9 +35,10 @@ def timesteps(ctrl: DataFrame) -> DataFrame:
 
 
 def read_interventions(df: DataFrame) -> DataFrame:
-    """Comma lists of years and target classes as arrays, blanks gone."""
+    """Comma lists of years, target classes and from-classes (where there is such a column) as arrays, blanks gone."""
     items = lambda c: F.split(F.regexp_replace(c, " ", ""), ",")
-    return df.withColumns({"time_step": F.transform(items("time_step"), lambda x: x.try_cast("int")), "target_classes": items("target_classes")})
+    lists = {c: items(c) for c in ("target_classes", "from_lulc_filter") if c in df.columns}
+    return df.withColumns({"time_step": F.transform(items("time_step"), lambda x: x.try_cast("int")), **lists})
 
 
 def ingest_year_table(df: DataFrame, keys: list[str], years: list[int]) -> DataFrame:

@@ -13,8 +13,8 @@ def test_same_rows_as_sql(spark, oracle, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_others_run(spark, name):
-    assert QUERIES[name](spark, SF).columns
-    QUERIES[name](spark, SF).count()
+    found = QUERIES[name](spark, SF)
+    assert found.columns and found.count() > 0
 
 
 def test_entry(spark):
