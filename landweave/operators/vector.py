@@ -13,11 +13,14 @@ def edges(vertices: DataFrame) -> DataFrame:
     return vertices.select("poly_id", F.col("x").alias("x1"), F.col("y").alias("y1"), nxt("x").alias("x2"), nxt("y").alias("y2"))
 
 
-def rasterize(vertices: DataFrame, cells: DataFrame, touches: bool = False) -> DataFrame:
-    """(poly_id, cell_id): cells whose centre (col - 0.5, row - 0.5) lies inside; touches adds those an edge runs through.
+#: Columns that a run is cut at, so that runs and cells meet by row and stretch of columns.
+STRETCH = 256
+
+
+def runs_of(vertices: DataFrame) -> DataFrame:
+    """(poly_id, row, a, b): the columns a to b of a row whose cells' centres (col - 0.5, row - 0.5) lie inside.
 
-    Scanlines: each edge meets the centre rows it spans, crossings of a row pair up by x, and pairs become
-    runs of columns. Edges are cut where they cross lines of the grid; each piece lies in the cell of its middle.
+    Scanlines: each edge meets the centre rows it spans, and crossings of a row pair up by x. A polygon's runs don't overlap.
     """
     e = edges(vertices)
     low, high = F.ceil(F.least("y1", "y2") + 0.5), F.ceil(F.greatest("y1", "y2") + 0.5) - 1
@@ -26,18 +29,49 @@ def rasterize(vertices: DataFrame, cells: DataFrame, touches: bool = False) -> D
     own = Window.partitionBy("poly_id", "row").orderBy("x")
     pairs = crossing.select("poly_id", "row", x.alias("x")).withColumns({"k": F.row_number().over(own), "x_to": F.lead("x").over(own)}).filter("k % 2 = 1 AND x_to IS NOT NULL")
     first, last = F.ceil(F.col("x") + 0.5), F.ceil(F.col("x_to") + 0.5) - 1
-    runs = pairs.withColumns({"a": first, "b": last}).filter("b >= a").select("poly_id", F.col("row").cast("int").alias("row"), F.explode(F.sequence(F.col("a").cast("int"), F.col("b").cast("int"))).alias("col"))
+    return pairs.select("poly_id", F.col("row").cast("int").alias("row"), first.cast("int").alias("a"), last.cast("int").alias("b")).filter("b >= a")
+
+
+def cells_of(runs: DataFrame, cells: DataFrame, key: str = "poly_id") -> DataFrame:
+    """(key, cell_id) of the cells on runs. A run is a row for each stretch of columns it touches, never one for each cell."""
+    at = lambda c: F.floor(c / STRETCH).cast("int")
+    cut = runs.select(key, "row", "a", "b", F.explode(F.sequence(at(F.col("a")), at(F.col("b")))).alias("stretch"))
+    own = cells.select("cell_id", "row", "col", at(F.col("col")).alias("stretch"))
+    return own.join(cut, ["row", "stretch"]).filter("col BETWEEN a AND b").select(key, "cell_id")
+
+
+def touched(vertices: DataFrame) -> DataFrame:
+    """(poly_id, row, a, b) of the cells that edges run through, one a run: edges are cut where they cross lines of the
+    grid, and each piece lies in the cell of its middle."""
+    def cuts(c: str):
+        a, b = F.col(f"{c}1"), F.col(f"{c}2")
+        low, high = F.ceil(F.least(a, b)).cast("int"), F.floor(F.greatest(a, b)).cast("int")
+        return F.when((a != b) & (low <= high), F.transform(F.sequence(low, high), lambda v: (v - a) / (b - a))).otherwise(F.array().cast("array<double>"))
+
+    t = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts("x"), cuts("y")))
+    pieces = edges(vertices).withColumn("t", t).withColumn("piece", F.explode(F.zip_with(F.slice("t", 1, F.size("t") - 1), F.slice("t", 2, F.size("t") - 1), lambda a, b: F.struct(((a + b) / 2).alias("mid"), (b - a).alias("size")))))
+    at = lambda c: (F.floor(F.col(f"{c}1") + F.col("piece.mid") * (F.col(f"{c}2") - F.col(f"{c}1"))) + 1).cast("int")
+    return pieces.filter("piece.size > 1e-9").select("poly_id", at("y").alias("row"), at("x").alias("a")).distinct().withColumn("b", F.col("a"))
+
+
+def rasterize(vertices: DataFrame, cells: DataFrame, touches: bool = False) -> DataFrame:
+    """(poly_id, cell_id): cells whose centre lies inside; touches adds those an edge runs through."""
+    runs = runs_of(vertices)
     if touches:
-        def cuts(c: str):
-            a, b = F.col(f"{c}1"), F.col(f"{c}2")
-            low, high = F.ceil(F.least(a, b)).cast("int"), F.floor(F.greatest(a, b)).cast("int")
-            return F.when((a != b) & (low <= high), F.transform(F.sequence(low, high), lambda v: (v - a) / (b - a))).otherwise(F.array().cast("array<double>"))
+        inside = runs.select("poly_id", "row", F.col("a").alias("__a"), F.col("b").alias("__b"))
+        rim = touched(vertices)
+        more = rim.join(inside, (rim["poly_id"] == inside["poly_id"]) & (rim["row"] == inside["row"]) & rim["a"].between(inside["__a"], inside["__b"]), "left_anti")
+        runs = runs.unionByName(more)
+    return cells_of(runs, cells)
+
 
-        t = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts("x"), cuts("y")))
-        pieces = e.withColumn("t", t).withColumn("piece", F.explode(F.zip_with(F.slice("t", 1, F.size("t") - 1), F.slice("t", 2, F.size("t") - 1), lambda a, b: F.struct(((a + b) / 2).alias("mid"), (b - a).alias("size")))))
-        at = lambda c: (F.floor(F.col(f"{c}1") + F.col("piece.mid") * (F.col(f"{c}2") - F.col(f"{c}1"))) + 1).cast("int")
-        runs = runs.unionByName(pieces.filter("piece.size > 1e-9").select("poly_id", at("y").alias("row"), at("x").alias("col"))).distinct()
-    return runs.join(cells.select("cell_id", "row", "col"), ["row", "col"]).select("poly_id", "cell_id")
+def merged_runs(runs: DataFrame, attributes: DataFrame, group: str) -> DataFrame:
+    """(group, row, a, b) of the cells on any run of a group's polygons: a sweep along each row joins runs that overlap or touch."""
+    own = Window.partitionBy(group, "row").orderBy("a", "b")
+    far = F.max("b").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    rows = runs.join(attributes.select("poly_id", group), "poly_id").withColumn("opens", F.coalesce(F.col("a") > far + 1, F.lit(True)).cast("int"))
+    rows = rows.withColumn("no", F.sum("opens").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy(group, "row", "no").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("no")
 
 
 def field_of(covered: DataFrame, attributes: DataFrame, field: str) -> DataFrame:
@@ -45,9 +79,9 @@ def field_of(covered: DataFrame, attributes: DataFrame, field: str) -> DataFrame
     return covered.join(attributes.select("poly_id", field), "poly_id").groupBy("cell_id").agg(F.max_by(field, "poly_id").alias(field))
 
 
-def dissolve(covered: DataFrame, attributes: DataFrame, group: str) -> DataFrame:
-    """Cells covered by each group of polygons, once each."""
-    return covered.join(attributes.select("poly_id", group), "poly_id").select(group, "cell_id").distinct()
+def dissolve(vertices: DataFrame, cells: DataFrame, attributes: DataFrame, group: str) -> DataFrame:
+    """(group, cell_id): cells covered by each group of polygons, once each; polygons are joined as runs, before any cell."""
+    return cells_of(merged_runs(runs_of(vertices), attributes, group), cells, group)
 
 
 def union_features(*layers: DataFrame) -> DataFrame:

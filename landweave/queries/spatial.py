@@ -113,7 +113,7 @@ def _(t):
 
 @query("g18_dissolve", f"WITH {_RAST} SELECT DISTINCT p.parent_id, cell_id FROM cov JOIN polygons AS p ON p.poly_id = cov.poly_id")
 def _(t):
-    return V.dissolve(V.rasterize(t.polygons, t.cells), t.polygons.select("poly_id", "parent_id").distinct(), "parent_id")
+    return V.dissolve(t.polygons, t.cells, t.polygons.select("poly_id", "parent_id").distinct(), "parent_id")
 
 
 @query("g19_union_features", "SELECT poly_id, x, y, 0 AS layer FROM polygons UNION ALL SELECT CAST(id_coord AS INT), lon, lat, 1 FROM points")
