@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +55,31 @@ def zonal(df: DataFrame, zone: list[str], aggs: dict[str, Column]) -> DataFrame:
     return df.groupBy(*zone).agg(*(c.alias(n) for n, c in aggs.items()))
 
 
+def zonal_fold(df: DataFrame, zone: list[str], value: str, partial: Callable[[np.ndarray], Sequence[float]], finish: Callable[[np.ndarray], float], name: str = "value") -> DataFrame:
+    """(zone, name): a statistic of the user's own. partial: numbers that add up (always as many) from an array of values
+    of one zone; finish: the statistic from their sums.
+
+    partial sees what a batch holds of a zone; only its sums leave the task, and they are added up by zone and place, so no
+    zone meets in one task. Nulls don't count.
+    """
+    key = F.to_json(F.struct(*(F.col(c) for c in zone)), {"ignoreNullFields": "false"})
+    rows = df.filter(F.col(value).isNotNull()).select(key.alias("key"), F.col(value).cast("double").alias("v"))
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [(k, place, float(x)) for k, v in pdf.groupby("key")["v"] for place, x in enumerate(partial(v.to_numpy()))]
+            yield pd.DataFrame(found, columns=["key", "place", "x"])
+
+    def end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"key": pdf["key"], "x": [float(finish(np.array([p["x"] for p in sorted(own, key=lambda p: p["place"])]))) for own in pdf["all"]]})
+
+    sums = rows.mapInPandas(add, "key string, place int, x double").groupBy("key", "place").agg(F.sum("x").alias("x"))
+    whole = sums.groupBy("key").agg(F.collect_list(F.struct("place", "x")).alias("all"))
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in zone)
+    return whole.mapInPandas(end, "key string, x double").withColumn("k", F.from_json("key", schema)).select(*(F.col(f"k.`{c}`").alias(c) for c in zone), F.col("x").alias(name))
+
+
 def share_of_parent(df: DataFrame, unit: str, parent: str, value: str) -> DataFrame:
     """A unit's value as percent of its parent's; 0 where the parent has none."""
     from pyspark.sql import Window

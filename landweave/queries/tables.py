@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
+import numpy as np
 from pyspark.sql import functions as F
 
 from landweave import functions as fn
@@ -22,6 +23,11 @@ def _(t):
     return Q.zonal(t.cells.withColumnRenamed("lulc_2022", "lulc"), ["region", "lulc"], {"total": F.round(F.sum("elevation"), 3), "mid": F.median("elevation"), "n": F.count("*")})
 
 
+@query("a9_zonal_fold", "SELECT region, lulc_2022 AS lulc, round(exp(AVG(ln(1 + elevation))) - 1, 6) AS value FROM cells GROUP BY 1, 2")
+def _(t):
+    return Q.zonal_fold(t.cells.withColumnRenamed("lulc_2022", "lulc"), ["region", "lulc"], "elevation", lambda v: (np.log1p(v).sum(), len(v)), lambda s: np.expm1(s[0] / s[1]))
+
+
 @query("a10_share_of_parent", "WITH n AS (SELECT CAST(region AS BIGINT) AS region, row, CAST(SUM(CAST(lulc_2022 = 105 AS INT)) AS BIGINT) AS value FROM cells GROUP BY 1, 2) SELECT CAST(region AS INT) AS region, row, value, round(COALESCE(value * 100.0::DOUBLE / NULLIF(SUM(value) OVER (PARTITION BY region), 0), 0), 6) AS perc FROM n")
 def _(t):
     return Q.share_of_parent(t.cells.withColumn("urban", (F.col("lulc_2022") == 105).cast("long")), "row", "region", "urban")

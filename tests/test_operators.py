@@ -123,3 +123,19 @@ def test_csv_schema_errors(spark):
 
     with pytest.raises(ValueError, match="missing"):
         ingest_year_table(spark.createDataFrame([("a", 1)], "k string, X2010 int"), ["k"], [2011])
+
+
+def test_own_zonal_statistic(spark):
+    """A spread over its mean, from sums that come in many parts; a zone without a name and one of nulls only."""
+    import numpy as np
+
+    from landweave.operators.quality import zonal_fold
+
+    rnd = np.random.default_rng(2)
+    rows = [(int(k) if k < 3 else None, float(v)) for k, v in zip(rnd.integers(0, 4, 3000), rnd.gamma(2, 3, 3000), strict=True)] + [(9, None)]
+    df = spark.createDataFrame(rows, "zone int, v double").repartition(5)
+    got = {r["zone"]: r["cv"] for r in zonal_fold(df, ["zone"], "v", lambda v: (v.sum(), (v * v).sum(), len(v)), lambda s: np.sqrt(s[1] / s[2] - (s[0] / s[2]) ** 2) / (s[0] / s[2]), "cv").collect()}
+    assert set(got) == {0, 1, 2, None}
+    for k, cv in got.items():
+        own = np.array([v for z, v in rows if z == k and v is not None])
+        assert abs(cv - own.std() / own.mean()) < 1e-9
