@@ -5,7 +5,6 @@ from __future__ import annotations
 import itertools
 from multiprocessing.pool import ThreadPool
 
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
