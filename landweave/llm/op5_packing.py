@@ -5,6 +5,12 @@ of each size. The driver packs the histogram (never the items): its work and mem
 capacity alone. First, sets of up to three items that provably dominate every other set holding the
 largest item are fixed for good; the rest is packed by best-fit decreasing, many equal bins at once. Spark
 then gives every item its rank among the items of its size and so its place in a bin.
+
+Defined results: a null or empty text is its end id alone, one piece; a very long text is cut into pieces of the capacity,
+the first of them maybe shorter; equal documents, repeated rows and rows of one or no doc_id are packed each; items
+of one size are alike, so a tie gives any of them either place, by their partition and their order in it; an empty table
+gives no rows. Other columns pass through pack; those named sequence_id and offset are replaced, and __part, __at and
+__size are the operator's own and not kept.
 """
 
 from __future__ import annotations
