@@ -6,12 +6,14 @@ norms known, the inner product at most the sum of m * (a * b + s * t). Within a
 of candidates this bound is taken coarse to fine (4, then 16 segments); exact integer products are
 made only for pairs whose bounds reach the query's k-th best score so far.
 
-Blocks of queries meet blocks of candidates in pairs. Blocks are bounded in bytes, whatever the vectors'
-length, and hold the narrowest integers that fit; candidates are also dealt finely enough for all cores. A
-task takes several blocks of candidates for one block of queries and hands the k best scores from one to the
-next, so later blocks are pruned more; it gives at most k rows for each query, and the last step keeps the k
-best of these. A block of candidates is moved once for each block of queries: with a set of queries that
-grows with the table that grows as its square over QUERY_BYTES, as the work of an exact search does anyway.
+Blocks of queries and of candidates are bounded in bytes, whatever the vectors' length, and hold the
+narrowest integers that fit. They meet in a grid of cells: some blocks of queries (a row) by some of
+candidates (a chain). Which cells a block goes to is arithmetic on its number, so no table of pairs is made, and
+a vector length shared by all rows is no hot key. A task reads its cell's queries, then takes one block of
+candidates after the other for all of them, and hands the k best scores on, so later blocks are pruned more; it
+gives at most k rows for each query, and the last step keeps the k best of these. A block of candidates is
+moved once for each row of the grid: with a set of queries that grows with the table, rows grow as it does, and
+the work as its square, as that of an exact search does anyway.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no part; vectors
 of another length than the query's are no candidates; ties go to the smaller id; a row of the query's own
@@ -33,9 +35,11 @@ from pyspark.sql import functions as F
 from landweave.llm.common import saved, table
 
 LEVELS = (4, 16)
-#: Bytes of a block of candidates and of queries, blocks of candidates that a task takes for one of queries, and queries at once.
+#: Bytes of a block of candidates and of queries, blocks of queries in a row of the grid, blocks of candidates in a chain, and queries at once.
 BLOCK_BYTES, QUERY_BYTES = 16 << 20, 4 << 20
-CHAIN = 8
+ROW, CHAIN = 4, 8
+#: Cells at most: chains get longer, not tasks more, where there would be more of them.
+CELLS = 20_000
 AT_ONCE = 128
 
 
@@ -146,43 +150,38 @@ def topk(vectors: DataFrame, queries: Column, k: int = 10, scale: float = 1024.0
     all_blocks = saved(blocks(made.select("id", "v"), block_bytes, max(1024, n // spark.sparkContext.defaultParallelism)), "vector-blocks")
     asked = made.filter("asked").select("id", "v")
     asked_blocks = saved(blocks(asked.coalesce(max(1, asked_size // query_bytes)), query_bytes), "query-blocks")
-    own = lambda df, x: df.select(F.col("block").alias(x), "dim", *(F.col(c).alias(f"{x}_{c}") for c in ("wide", "ids", "vectors")))
-    pair = asked_blocks.select(F.col("block").alias("q"), "dim").join(all_blocks.select(F.col("block").alias("x"), "dim"), "dim")
     # chains of several blocks, but never fewer tasks than cores while there are blocks for them
     n_all, n_asked = all_blocks.count(), asked_blocks.count()
-    chains = min(n_all, max(n_all // CHAIN, -(-spark.sparkContext.defaultParallelism // max(1, n_asked)), 1))
-    place = F.row_number().over(Window.orderBy("block"))
-    dealt = all_blocks.select("block").withColumn("chain", place % max(1, chains)).withColumnRenamed("block", "x")
-    pair = saved(pair.join(dealt, "x"), "block-pairs")
-    both = pair.join(own(asked_blocks, "q").drop("dim"), "q").join(own(all_blocks, "x").drop("dim"), "x")
-    both = both.repartition(max(1, chains * n_asked), "q", "chain").sortWithinPartitions("q", "chain")
+    rows = max(1, -(-n_asked // ROW))
+    chains = max(1, min(n_all, max(-(-spark.sparkContext.defaultParallelism // rows), min(n_all // CHAIN, CELLS // rows))))
+    dealt = lambda parts: F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")
+    each = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    sides = asked_blocks.select("*", F.lit(0).alias("side"), dealt(rows).alias("row"), each(chains).alias("chain"))
+    sides = sides.unionByName(all_blocks.select("*", F.lit(1).alias("side"), dealt(chains).alias("chain"), each(rows).alias("row")))
+    cell = F.col("row") * chains + F.col("chain")
+    both = sides.select("block", "dim", "wide", "ids", "vectors", "side", cell.alias("cell")).repartitionById(rows * chains, "cell").sortWithinPartitions("side", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, q, best = None, None, []
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if best:
-                size = [len(i) for i, _ in best]
-                yield pa.RecordBatch.from_pydict({"query_id": np.repeat(q.ids, size), "vec_id": np.concatenate([i for i, _ in best]), "score": np.concatenate([s for _, s in best])})
-
-        def block(r: dict, x: str) -> Block:
-            return Block(np.frombuffer(r[f"{x}_ids"], np.int64), np.frombuffer(r[f"{x}_vectors"], f"i{r[f'{x}_wide']}").reshape(-1, r["dim"]).astype(np.int64))
+        asked: dict[int, list[tuple[Block, list[tuple[np.ndarray, np.ndarray]]]]] = {}
 
         for batch in batches:
             for i in range(batch.num_rows):
                 r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                if now != (r["q"], r["chain"]):
-                    yield from out()
-                    now, q = (r["q"], r["chain"]), block(r, "q")
-                    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q.ids)
-                c = block(r, "x")
-                known = np.array([s[-1] if len(s) >= k else np.iinfo(np.int64).min for _, s in best])
-                for a in range(0, len(q.ids), AT_ONCE):
-                    for j, (at, scores) in enumerate(block_topk(q, slice(a, a + AT_ONCE), c, k, known), a):
-                        ids, s = np.concatenate([best[j][0], c.ids[at]]), np.concatenate([best[j][1], scores])
-                        top = np.lexsort((ids, -s))[:k]
-                        best[j] = ids[top], s[top]
-        yield from out()
+                if r["side"] and r["dim"] not in asked:
+                    continue
+                c = Block(np.frombuffer(r["ids"], np.int64), np.frombuffer(r["vectors"], f"i{r['wide']}").reshape(-1, r["dim"]).astype(np.int64))
+                if not r["side"]:
+                    asked.setdefault(r["dim"], []).append((c, [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(c.ids)))
+                    continue
+                for q, best in asked[r["dim"]]:
+                    known = np.array([s[-1] if len(s) >= k else np.iinfo(np.int64).min for _, s in best])
+                    for a in range(0, len(q.ids), AT_ONCE):
+                        for j, (at, scores) in enumerate(block_topk(q, slice(a, a + AT_ONCE), c, k, known), a):
+                            ids, s = np.concatenate([best[j][0], c.ids[at]]), np.concatenate([best[j][1], scores])
+                            top = np.lexsort((ids, -s))[:k]
+                            best[j] = ids[top], s[top]
+        for q, best in (x for own in asked.values() for x in own):
+            yield pa.RecordBatch.from_pydict({"query_id": np.repeat(q.ids, [len(i) for i, _ in best]), "vec_id": np.concatenate([i for i, _ in best]), "score": np.concatenate([s for _, s in best])})
 
     found = both.mapInArrow(run, "query_id long, vec_id long, score long")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
