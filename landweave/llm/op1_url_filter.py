@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from landweave.llm.common import lower_ascii, saved, table
 
-#: Some public suffixes of two labels, below which names are registered; others are the last label. A whole table can be given.
+#: Some public suffixes of two labels, below which names are registered; others are the last label. A whole table can be given, see public_suffixes.
 SUFFIXES = ("ac.uk", "co.jp", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
 
 
@@ -53,21 +53,39 @@ def bare_host(host: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
 
 
+def public_suffixes(spark: SparkSession, path: str, private: bool = True) -> DataFrame:
+    """suffix of each rule in a file of the public suffix list's published format, wildcards (`*.`) and exceptions (`!`) as they stand.
+
+    A rule ends at the first blank; comments and empty lines give none. private=False leaves out the list's section of
+    private names. The file is a published list of fixed size, so it is one row before it is split. Names of other
+    scripts stay as written: hosts in punycode meet only rules in punycode.
+    """
+    text = F.col("value") if private else F.substring_index("value", "===BEGIN PRIVATE DOMAINS===", 1)
+    lines = spark.read.text(path, wholetext=True).select(F.explode(F.split(text, r"\r?\n")).alias("line"))
+    rule = F.regexp_extract("line", r"^\s*\.?(\S+)", 1)
+    return lines.filter(~F.col("line").rlike(r"^\s*(//|$)")).select(lower_ascii(rule).alias("suffix")).distinct()
+
+
 def with_levels(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """hosts (host) with suffix and domain: the suffix and one label more; an IPv4 address is its own domain.
 
-    suffixes: a table of public suffixes (suffix) of several labels; of those that fit a host the longest counts.
+    suffixes: a table of public suffixes (suffix). `*.x` stands for every name one label below x; `!y.x` says that y.x is
+    no suffix but a domain, and goes before all others; of the rest that fit the longest counts, else the last label.
     """
     labels = F.split(F.col("__name"), r"\.")
-    tail = lambda k: F.array_join(F.slice(labels, F.greatest(F.size(labels) - k + 1, F.lit(1)), k), ".")
+    tail = lambda k: F.array_join(F.slice(labels, F.greatest(F.size(labels) - k + 1, F.lit(1)), F.greatest(k, F.lit(1))), ".")
     rows = hosts.withColumn("__name", bare_host(F.col("host")))
     if suffixes is None:
         rows = rows.withColumn("suffix", F.when(tail(F.lit(2)).isin(*SUFFIXES), tail(F.lit(2))).otherwise(tail(F.lit(1))))
     else:
-        known = suffixes.select(F.col("suffix").alias("__suffix")).distinct()
-        tails = rows.select("host", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), tail)).alias("__suffix"))
-        best = tails.join(known, "__suffix").groupBy("host").agg(F.max_by("__suffix", F.char_length("__suffix")).alias("__best"))
-        rows = rows.join(best, "host", "left").withColumn("suffix", F.coalesce("__best", tail(F.lit(1)))).drop("__best")
+        known = suffixes.select(F.col("suffix").alias("__rule")).distinct()
+        # a rule that would fit, the labels of the suffix it gives, and whether it is an exception
+        fits = lambda rule, size, over: F.struct(rule.alias("rule"), size.alias("size"), F.lit(over).alias("over"))
+        each = lambda k: F.array(fits(tail(k), k, 0), fits(F.concat(F.lit("*."), tail(k)), k + 1, 0), fits(F.concat(F.lit("!"), tail(k)), k - 1, 1))
+        tails = rows.select("host", F.size(labels).alias("__most"), F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.size(labels)), each))).alias("__fit"))
+        tails = tails.filter("__fit.size BETWEEN 1 AND __most").withColumn("__rule", F.col("__fit.rule"))
+        best = tails.join(known, "__rule").groupBy("host").agg(F.max_by("__fit.size", F.struct("__fit.over", "__fit.size")).alias("__best"))
+        rows = rows.join(best, "host", "left").withColumn("suffix", tail(F.coalesce("__best", F.lit(1)))).drop("__best")
     domain = F.when(F.col("__name").rlike(r"^[0-9.]+$"), F.col("__name")).otherwise(tail(F.size(F.split("suffix", r"\.")) + 1))
     return rows.withColumn("domain", domain).drop("__name")
 

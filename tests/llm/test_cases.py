@@ -84,6 +84,21 @@ def test_host_reputation_against_brute_force(spark):
     assert op1.host_reputation(spark.createDataFrame([], "host string, good int")).count() == 0
 
 
+def test_public_suffixes_with_wildcards_and_exceptions(spark, tmp_path):
+    (tmp_path / "list.dat").write_text("// a comment\n\ncom\nuk  // not part of the rule\nco.uk\n*.ck\n!www.ck\njp\n*.kobe.jp\n!city.kobe.jp\r\n// ===BEGIN PRIVATE DOMAINS===\npages.example\n")
+    known = op1.public_suffixes(spark, f"file://{tmp_path}/list.dat")
+    rules = ["!city.kobe.jp", "!www.ck", "*.ck", "*.kobe.jp", "co.uk", "com", "jp", "uk"]
+    assert sorted(r["suffix"] for r in known.collect()) == sorted([*rules, "pages.example"])
+    assert sorted(r["suffix"] for r in op1.public_suffixes(spark, f"file://{tmp_path}/list.dat", private=False).collect()) == rules
+    want = {
+        "a.b.co.uk:80": ("co.uk", "b.co.uk"), "b.uk": ("uk", "b.uk"), "co.uk": ("co.uk", "co.uk"), "www.ck": ("ck", "www.ck"), "a.www.ck": ("ck", "www.ck"),
+        "x.y.test.ck": ("test.ck", "y.test.ck"), "ck": ("ck", "ck"), "a.b.c.kobe.jp": ("c.kobe.jp", "b.c.kobe.jp"), "z.city.kobe.jp": ("kobe.jp", "city.kobe.jp"),
+        "kobe.jp": ("jp", "kobe.jp"), "u.pages.example": ("pages.example", "u.pages.example"), "un.known.zz": ("zz", "known.zz"), "1.2.3.4": ("4", "1.2.3.4"), "": ("", ""),
+    }
+    hosts = spark.createDataFrame([(h, 1) for h in want], "host string, v int")
+    assert {r["host"]: (r["suffix"], r["domain"]) for r in op1.with_levels(hosts, known).collect()} == want
+
+
 def test_url_filter_keeps_every_page(spark):
     long = "https://x.example.org/" + "p/" * 20_000
     urls = [long, long, "https://EXAMPLE.com:80/de/", "no url", "", "a://b@c.net/z"] + [f"https://hot.io/{k}" for k in range(3000)]
@@ -132,6 +147,21 @@ def test_quality_rules_of_lines_and_letters(spark):
     assert sorted(judged.columns) == sorted(["doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"])
 
 
+def test_quality_estimates_in_one_pass(spark):
+    rows = [(k, None if k % 50 == 0 else " ".join(f"word{j}" for j in range(80)) if k % 2 else "one two three " * 40) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rules = op4.BASE + op4.MILD
+    got = {rule.name: (cost, share) for cost, share, rule in op4.rule_estimates(docs, rules, sample_rows=4000)}
+    assert got["few_words"][1] == 8 / 400 and got["repeats"][1] == 192 / 400 and got["symbols"][1] == 0
+    assert got["repeats"][0] > got["few_words"][0] >= 1
+    ready = {rule.name: cost for cost, _, rule in op4.rule_estimates(docs, rules, ready=tuple(op4.measures(F.col("text"))))}
+    assert ready["few_words"] == ready["repeats"] == ready["symbols"] == 1 < ready["letters"]
+    order = [rule.name for rule in op4.cascade_order(docs, rules, ready=("n_words", "n_repeat_words"))]
+    assert order[:2] == ["repeats", "few_words"] and sorted(order) == sorted(r.name for r in rules)
+    assert op4.cascade_order(docs.filter("doc_id < 0"), rules) == list(rules)
+    assert op4.asked(rules[1], op4.all_measures(F.col("text"))) == {"n_words", "n_repeat_words"}
+
+
 def planted(rnd):
     """Random strings as keys have them, and structured ones as clean text has them."""
     draw = lambda alphabet, low, high: "".join(rnd.choice(alphabet) for _ in range(rnd.randint(low, high)))
