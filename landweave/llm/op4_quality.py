@@ -14,15 +14,13 @@ documents are asked for, but for those that judge names itself (measures, base_f
 
 from __future__ import annotations
 
-import time
-from statistics import median
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landweave.llm.common import WORD, saved, table
+from landweave.llm.common import WORD, table
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -100,33 +98,55 @@ def measures(text: Column) -> dict[str, Column]:
     }
 
 
-def cascade_order(docs: DataFrame, rules: tuple[Rule, ...], sample_rows: int = 1000, seed: int = 5, runs: int = 3) -> list[Rule]:
-    """rules by rejections per second, measured on about sample_rows documents (and at most twice as many).
+def clock() -> Column:
+    """The executor's clock in nanoseconds, read anew for each row wherever it stands."""
+    return F.reflect(F.lit("java.lang.System"), F.lit("nanoTime")).cast("long")
 
-    The sample serves this estimate alone. A rule's cost is the median of some runs after one that warms up,
-    less what a run without a rule takes. Rules that reject none of it go last, cheapest first.
+
+def asked(rule: Rule, by: dict[str, Column]) -> set[str]:
+    """Names of the measures that a rule looks at."""
+    seen: set[str] = set()
+
+    class Noting(dict):
+        def __getitem__(self, name: str) -> Column:
+            seen.add(name)
+            return super().__getitem__(name)
+
+    rule.fails(Noting(by))
+    return seen
+
+
+def rule_estimates(docs: DataFrame, rules: tuple[Rule, ...], ready: tuple[str, ...] = (), sample_rows: int = 1000, seed: int = 5, runs: int = 2) -> list[tuple[float, float, Rule]]:
+    """(nanoseconds, share rejected, rule) a document, from one pass over about sample_rows documents (at most twice as many).
+
+    Every sampled row takes the clock before and after each measure, so all measures are timed side by side in
+    the same tasks and what else runs slows all alike. A rule costs what the measures it asks for cost, but for
+    those that are ready at hand; of some runs over the sample the cheapest counts. The sample serves these
+    estimates alone. An empty table gives no estimates.
     """
     n = docs.count()
     if not n:
-        return list(rules)
-    sample = saved(docs.select("text").sample(min(1.0, sample_rows / n), seed).limit(2 * sample_rows).coalesce(2), "quality-sample")
-
-    def run(fails: Column) -> tuple[float, int]:
-        query, took, got = sample.agg(F.coalesce(F.sum(fails.cast("long")), F.lit(0))), [], 0
-        for _ in range(runs + 1):
-            began = time.perf_counter()
-            got = query.first()[0]
-            took.append(time.perf_counter() - began)
-        return median(took[1:]), got
-
+        return []
     by = all_measures(F.col("text"))
-    floor = run(F.char_length("text") < 0)[0]
-    scored = []
-    for rule in rules:
-        took, rejected = run(failing(rule, by))
-        cost = max(took - floor, 1e-3)
-        scored.append((-rejected / cost, cost, rule.name, rule))
-    return [x[-1] for x in sorted(scored, key=lambda x: x[:3])]
+    place = {name: 2 * i + 3 for i, name in enumerate(by)}
+    sample = docs.select("text").sample(min(1.0, 1.2 * sample_rows / n), seed).limit(2 * sample_rows).repartition(docs.sparkSession.sparkContext.defaultParallelism)
+    # an array keeps clock and measures in this order; the first interval holds the clock alone
+    timed = F.array(clock(), F.lit(0).cast("long"), clock(), *(x for c in by.values() for x in (c, clock())))
+    rows = sample.select("text", F.explode(F.sequence(F.lit(1), F.lit(runs))).alias("run")).select("run", timed.alias("m"))
+    took = lambda at: F.sum(F.col("m")[at + 1] - F.col("m")[at - 1])
+    got = {name: F.col("m")[at] for name, at in place.items()}
+    rejected = [F.sum(failing(rule, got).cast("long")).alias(f"r{i}") for i, rule in enumerate(rules)]
+    seen = rows.groupBy("run").agg(F.count("*").alias("n"), took(1).alias("none"), *(took(at).alias(f"t_{name}") for name, at in place.items()), *rejected).collect()
+    if not seen:
+        return [(1.0, 0.0, rule) for rule in rules]
+    cost = {name: max(min((r[f"t_{name}"] - r["none"]) / r["n"] for r in seen), 1.0) for name in by}
+    return [(sum((cost[x] for x in asked(rule, by) - set(ready)), 1.0), seen[0][f"r{i}"] / seen[0]["n"], rule) for i, rule in enumerate(rules)]
+
+
+def cascade_order(docs: DataFrame, rules: tuple[Rule, ...], ready: tuple[str, ...] = ()) -> list[Rule]:
+    """rules by rejections per nanosecond, estimated on a sample; those that reject none of it go last, cheapest first."""
+    scored = sorted(rule_estimates(docs, rules, ready), key=lambda x: (-x[1] / x[0], x[0], x[2].name))
+    return [rule for *_, rule in scored] or list(rules)
 
 
 def all_measures(text: Column) -> dict[str, Column]:
@@ -149,7 +169,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MILD) -> DataFrame:
     """docs with the five base measures, base_failed and kept; docs needs a text column."""
     made = measures(F.col("text"))
     by = {**{k: F.col(k) for k in made}, **rule_measures(F.col("text"))}
-    order = cascade_order(docs, rules)
+    order = cascade_order(docs, rules, ready=tuple(made))
     base = failing(BASE[0], by) | failing(BASE[1], by)
     clash = [c for c in (*made, "base_failed", "kept") if c in docs.columns]
     return docs.drop(*clash).withColumns(made).withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & verdict(order, by))
@@ -157,7 +177,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MILD) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MILD) -> DataFrame:
     """The documents that pass all rules, with the columns they had; each leaves at its first failing rule."""
-    order, by = cascade_order(docs, rules), all_measures(F.col("text"))
+    order, by = cascade_order(docs, rules, ready=("n_words",)), all_measures(F.col("text"))
     # nearly all rules compare with the number of words: it is counted once
     return docs.filter(bound(by["n_words"], lambda n: verdict(order, {**by, "n_words": n})))
 
