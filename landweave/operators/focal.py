@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 
@@ -10,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landweave.operators.ranks import kept
 from landweave.operators.tiles import Patch, on_tiles
 
 
@@ -108,13 +110,32 @@ def neighbour_count(df: DataFrame, col: str) -> DataFrame:
     return on_tiles(cells, 1, work, f"cell_id long, class {cells.schema['v'].dataType.simpleString()}, n long")
 
 
+#: Points of a square that one group holds, and pairs of points that a task looks at.
+GROUP, PAIRS = 2_000, 20_000_000
+
+
 def neighbours_within(points: DataFrame, d: float) -> DataFrame:
-    """All pairs of points at most d apart, both ways, no point with itself. Points meet in squares of side d."""
-    b = lambda c: F.floor(F.col(c) / d)
-    here = points.select(F.col("id_coord").alias("id_coord_origin"), F.col("lon").alias("x1"), F.col("lat").alias("y1"), b("lon").alias("bx"), b("lat").alias("by"))
+    """All pairs of points at most d apart, both ways, no point with itself. Points meet in squares of side d.
+
+    The pairs to look at are counted first, since they and not the points are the work: tasks are as many as these pairs
+    need, and a crowded square's points are dealt to groups that meet its neighbours apart.
+    """
+    at = lambda c: F.floor(F.col(c) / d)
+    here = points.select(F.col("id_coord").alias("id_coord_origin"), F.col("lon").alias("x1"), F.col("lat").alias("y1"), at("lon").alias("bx"), at("lat").alias("by"))
     nine = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    there = points.select(F.col("id_coord").alias("id_coord_neighbor"), F.col("lon").alias("x2"), F.col("lat").alias("y2"), F.explode(nine).alias("o"), b("lon").alias("bx0"), b("lat").alias("by0"))
-    there = there.select("id_coord_neighbor", "x2", "y2", (F.col("bx0") + F.col("o.i")).alias("bx"), (F.col("by0") + F.col("o.j")).alias("by"))
-    sq = (F.col("x1") - F.col("x2")) ** 2 + (F.col("y1") - F.col("y2")) ** 2
-    both = here.join(there, ["bx", "by"]).filter((F.col("id_coord_origin") != F.col("id_coord_neighbor")) & (sq <= d * d))
+    reach = lambda df, *more: df.withColumn("o", F.explode(nine)).select(*more, (F.col("bx") + F.col("o.i")).alias("bx"), (F.col("by") + F.col("o.j")).alias("by"))
+    own = here.groupBy("bx", "by").agg(F.count("*").alias("n"))
+    met = reach(own, "n").groupBy("bx", "by").agg(F.sum("n").alias("near"))
+    squares = kept(own.join(met, ["bx", "by"]).select("bx", "by", "near", "n", F.ceil(F.col("n") / GROUP).alias("groups")))
+    pairs = squares.agg(F.sum(F.col("n").cast("double") * F.col("near"))).first()[0] or 0.0
+    tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(pairs / PAIRS))
+    groups = squares.select("bx", "by", "groups")
+    here = here.join(groups, ["bx", "by"]).withColumn("g", F.pmod(F.xxhash64("id_coord_origin", "x1", "y1"), "groups")).drop("groups")
+    there = reach(points.select(F.col("id_coord").alias("id_coord_neighbor"), F.col("lon").alias("x2"), F.col("lat").alias("y2"), at("lon").alias("bx"), at("lat").alias("by")), "id_coord_neighbor", "x2", "y2")
+    there = there.join(groups, ["bx", "by"]).withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
+    # a number of tasks that is asked for stays, while what Spark would choose goes by bytes read
+    dealt = lambda df: df.repartition(tasks, "bx", "by", "g")
+    dx, dy = F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2")
+    sq = dx * dx + dy * dy
+    both = dealt(here).join(dealt(there).hint("merge"), ["bx", "by", "g"]).filter((F.col("id_coord_origin") != F.col("id_coord_neighbor")) & (sq <= d * d))
     return both.select("id_coord_origin", "id_coord_neighbor", F.sqrt(sq).alias("distance"))
