@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landweave.operators.ranks import kept
+
 #: Map rows of a band at most, cells of a band (rows times width) at most unless a row has more, and costs looked at at once.
 BAND, BAND_CELLS, AT_ONCE = 64, 1 << 22, 1 << 22
 NONE = 1 << 61
@@ -123,7 +125,7 @@ class Columns:
 
 def _solved(cells: DataFrame, features: DataFrame, by: list[str], label: Column, other: Column | None = None) -> DataFrame:
     """(by, cell_id, sq, label): for each cell and layer (keys by) the nearest feature; with other, cells belong to layers
-    themselves and only features of another label than other (their own) count, and label is NULL.
+    themselves and only features of another label than other (their own) count, and label is their own.
 
     Bands of map rows are solved apart. A band needs the feature rows inside it and, for each column, the
     nearest one above and below it (two of different labels, with other): columns hand these on over the
@@ -138,37 +140,43 @@ def _solved(cells: DataFrame, features: DataFrame, by: list[str], label: Column,
     want = cells.select("cell_id", *([*(F.col(c).alias(f"at_{c}") for c in by), other.alias("own")] if other is not None else []), *(c.alias(n) for n, c in given.items()))
     spot = features.select(*by, F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), label.alias("label"))
     kind = spot.schema["label"].dataType.simpleString()
-    blank = F.lit(None).cast(f"struct<row: bigint, label: {kind}>")
+    spots = spot.groupBy(*by, "col", band.alias("band")).agg(F.collect_list(F.struct("row", "label")).alias("all"))
+    # of each column and band the last feature and the first one, and the last and first of another label than these
+    last = lambda xs: F.array_min(F.transform(xs, lambda x: F.struct((-x["row"]).alias("k"), x["label"].alias("label"))))
+    spots = spots.withColumns({"end": last("all"), "top": F.array_min("all")})
+    spots = spots.withColumn("end", F.when(F.col("end").isNotNull(), F.struct((-F.col("end.k")).alias("row"), F.col("end.label").alias("label"))))
+    w = Window.partitionBy(*by, "col").orderBy("band")
+    beside = {"prev": F.lag("band").over(w), "next": F.lead("band").over(w)}
     if other is not None:
-        here, before = F.struct("row", "label"), Window.partitionBy(*by, "col")
-
-        def beside(w):
-            near = F.lag(here).over(w)
-            return F.when(near["label"] != F.col("label"), near), w.rowsBetween(Window.unboundedPreceding, 0)
-
-        (up, w_up), (down, w_down) = beside(before.orderBy("row", "label")), beside(before.orderBy(F.col("row").desc(), F.col("label").desc()))
-        spot = spot.withColumns({"up": up, "down": down})
-        spot = spot.withColumns({"up": F.last("up", True).over(w_up), "down": F.last("down", True).over(w_down)})
+        end2 = last(F.filter("all", lambda x: x["label"] != F.col("end.label")))
+        end2 = F.when(end2.isNotNull(), F.struct((-end2["k"]).alias("row"), end2["label"].alias("label")))
+        # the features are read once more than their summaries, over which the windows run
+        spots = kept(spots.withColumns({"end2": end2, "top2": F.array_min(F.filter("all", lambda x: x["label"] != F.col("top.label")))}))
+        back = Window.partitionBy(*by, "col").orderBy(F.col("band").desc())
+
+        def another(first: str, second: str, over):
+            """second; without it the first of the band before, if its label is another one; else what that band has."""
+            near = F.lag(first).over(over)
+            return F.coalesce(second, F.when(near["label"] != F.col(f"{first}.label"), near)), over.rowsBetween(Window.unboundedPreceding, 0)
+
+        (up, w_up), (down, w_down) = another("end", "end2", w), another("top", "top2", back)
+        own = spots.drop("all").withColumns({**beside, "up": up}).withColumn("up", F.last("up", True).over(w_up))
+        own = own.withColumn("down", down).withColumn("down", F.last("down", True).over(w_down))
     else:
-        spot = spot.withColumns({"up": blank, "down": blank})
-    own = spot.groupBy(*by, "col", band.alias("band")).agg(F.collect_list(F.struct("row", "label", "up", "down")).alias("all"))
-    end = F.array_min(F.transform("all", lambda x: F.struct((-x["row"]).alias("k"), x["label"].alias("label"), x["up"].alias("more"))))
-    top = F.array_min(F.transform("all", lambda x: F.struct(x["row"].alias("k"), x["label"].alias("label"), x["down"].alias("more"))))
-    w = Window.partitionBy(*by, "col").orderBy("band")
-    own = own.withColumns({"end": end, "top": top, "prev": F.lag("band").over(w), "next": F.lead("band").over(w)})
-    own = own.withColumn("end", F.struct((-F.col("end.k")).alias("k"), "end.label", "end.more"))
+        blank = F.lit(None).cast(f"struct<row: bigint, label: {kind}>")
+        own = spots.withColumns({**beside, "up": blank, "down": blank})
     names = [f"{s}_{x}" for s in ("above", "above2", "below", "below2") for x in ("row", "label")]
     kinds = dict(zip(names, ["bigint", kind] * 4, strict=True))
     none = {n: F.lit(None).cast(k) for n, k in kinds.items()}
 
-    def handed(first, last, side: str, from_: str) -> DataFrame:
+    def handed(first, last, side: str, from_: str, more: str) -> DataFrame:
         ends = own.withColumns({"a": F.greatest(first, F.lit(low)), "b": F.least(last, F.lit(high))}).filter("a <= b")
-        held = none | {f"{side}_row": F.col(f"{from_}.k"), f"{side}_label": F.col(f"{from_}.label"), f"{side}2_row": F.col(f"{from_}.more.row"), f"{side}2_label": F.col(f"{from_}.more.label")}
+        held = none | {f"{side}_row": F.col(f"{from_}.row"), f"{side}_label": F.col(f"{from_}.label"), f"{side}2_row": F.col(f"{more}.row"), f"{side}2_label": F.col(f"{more}.label")}
         return ends.select(*by, "col", F.explode(F.sequence("a", "b")).alias("band"), *(c.alias(n) for n, c in held.items()), F.lit(None).cast("array<bigint>").alias("rows"), F.lit(None).cast(f"array<{kind}>").alias("labels"))
 
-    inside = own.filter(F.col("band").between(low, high)).select(*by, "col", "band", *(c.alias(n) for n, c in none.items()), F.col("all.row").alias("rows"), F.col("all.label").alias("labels"))
-    down = handed(F.col("band") + 1, F.coalesce("next", F.lit(high)), "above", "end")
-    up = handed(F.coalesce("prev", F.lit(low)), F.col("band") - 1, "below", "top")
+    inside = spots.filter(F.col("band").between(low, high)).select(*by, "col", "band", *(c.alias(n) for n, c in none.items()), F.col("all.row").alias("rows"), F.col("all.label").alias("labels"))
+    down = handed(F.col("band") + 1, F.coalesce("next", F.lit(high)), "above", "end", "up")
+    up = handed(F.coalesce("prev", F.lit(low)), F.col("band") - 1, "below", "top", "down")
     schema = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in by), f"cell_id long, sq long, label {kind}"])
     names_out, two = [*by, "cell_id", "sq", "label"], other is not None
 
@@ -184,7 +192,7 @@ def _solved(cells: DataFrame, features: DataFrame, by: list[str], label: Column,
             columns = Columns.of(part, key * height, height, number, two)
             row, col = cells["at_row"].to_numpy() - key * height, cells["at_col"].to_numpy()
             if two:
-                sq, to = columns.nearest_other(row, col, np.array([number[x] for x in cells["own"]], np.int64), len(known)), None
+                sq, to = columns.nearest_other(row, col, np.array([number[x] for x in cells["own"]], np.int64), len(known)), cells["own"].to_numpy()
             else:
                 sq, n = columns.nearest(row, col, len(known))
                 to = np.array(known, object)[n]
@@ -213,10 +221,10 @@ def nearest_feature(cells: DataFrame, features: DataFrame, label: str, res: floa
 
 
 def nearest_other(cells: DataFrame, label: str, res: float = 1.0, by: list[str] | None = None) -> DataFrame:
-    """(by, cell_id, distance) of each cell to the nearest cell of its layer with another label; cells without one don't appear."""
+    """(by, cell_id, label, distance) of each cell with its own label to the nearest cell of its layer with another one; cells without don't appear."""
     by = by or []
     found = _solved(cells, cells, by, F.col(label), F.col(label))
-    return found.select(*by, "cell_id", (F.sqrt(F.col("sq").cast("double")) * res).alias("distance"))
+    return found.select(*by, "cell_id", F.col("label").alias(label), (F.sqrt(F.col("sq").cast("double")) * res).alias("distance"))
 
 
 def fill_nearest(gaps: DataFrame, zones: DataFrame, zone: str) -> DataFrame:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landweave.operators.distance import nearest_other
 from landweave.operators.ranks import kept
+from landweave.operators.tiles import Patch, on_tiles
 
 TILE = 256
 
 
 def _tile_labels(directions: int, tile: int):
     def run(pdf):
-        import numpy as np
-
         pdf = pdf.sort_values("cell_id")
         r, c, k = pdf["row"].to_numpy(), pdf["col"].to_numpy(), pdf["k"].to_numpy()
         grid = np.full((tile + 2, tile + 2), -1, np.int64)
@@ -218,11 +219,17 @@ def enn_metrics(labelled: DataFrame, res: float = 1.0, level: str = "class") ->
 
     One two-label transform finds for each rim cell the nearest cell of another patch, however far it is.
     """
-    four = F.array(*(F.struct(F.lit(a).alias("dr"), F.lit(c).alias("dc")) for a, c in ((0, 1), (1, 0), (0, -1), (-1, 0))))
-    around = labelled.select("class", "patch", (F.col("row")).alias("r"), F.col("col").alias("c"), F.explode(four).alias("o")).select("patch", (F.col("r") + F.col("o.dr")).alias("row"), (F.col("c") + F.col("o.dc")).alias("col"))
-    inside = labelled.join(around, ["patch", "row", "col"]).groupBy("cell_id").agg(F.count("*").alias("n")).filter("n = 4")
-    rim = labelled.join(inside, "cell_id", "left_anti")
-    near = nearest_other(rim, "patch", res, ["class"]).join(rim.select("cell_id", "patch"), "cell_id")
+
+    def outer(p: Patch) -> list[pd.DataFrame]:
+        kinds, number = np.unique(p.rows["patch"].to_numpy(), return_inverse=True)
+        g = p.grid(number, -1, np.int64)
+        own = g[p.at]
+        inside = np.logical_and.reduce([p.shifted(g, dr, dc) == own for dr, dc in ((0, 1), (1, 0), (0, -1), (-1, 0))])
+        return [p.own[["cell_id", "row", "col", "class", "patch"]][~inside]]
+
+    cells = labelled.select("cell_id", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), "class", "patch")
+    rim = kept(on_tiles(cells, 1, outer, f"cell_id long, row int, col int, class {cells.schema['class'].dataType.simpleString()}, patch long"))
+    near = nearest_other(rim, "patch", res, ["class"])
     near = near.groupBy("class", "patch").agg(F.min("distance").alias("enn"))
     stats = [F.count("*").alias("n"), F.avg("enn").alias("enn_mn"), F.stddev_pop("enn").alias("enn_sd"), (F.stddev_pop("enn") / F.avg("enn") * 100).alias("enn_cv")]
     return near.groupBy("class").agg(*stats) if level == "class" else near.agg(*stats)

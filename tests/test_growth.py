@@ -19,3 +19,22 @@ def test_pairs_of_a_crowded_square_are_many_tasks(spark, monkeypatch):
     want = {(a, b) for a, b in zip(*np.nonzero(sq <= 2.25), strict=True) if a != b}
     assert len(got) == len(want) and set(zip(got["id_coord_origin"], got["id_coord_neighbor"], strict=True)) == want
     assert got["task"].nunique() >= 4 and got["task"].value_counts().iloc[0] < 0.6 * len(got)
+
+
+def test_nearest_other_runs_its_windows_over_bands(spark, monkeypatch):
+    """Before, windows over whole columns held every cell of the rim; now they hold a row a column and band."""
+    from landweave.operators import distance as D
+
+    rnd = np.random.default_rng(8)
+    pdf = pd.DataFrame({"row": rnd.integers(1, 600, 900), "col": rnd.integers(1, 6, 900), "label": rnd.choice([3, 3, 3, 3, 7, 9], 900)}).drop_duplicates(["row", "col"])
+    pdf.loc[pdf["row"] < 400, "label"] = 3
+    pdf = pdf.assign(cell_id=range(len(pdf)))
+    held = []
+    keep = D.kept if hasattr(D, "kept") else None
+    monkeypatch.setattr(D, "kept", lambda df: held.append(keep(df)) or held[-1], raising=False)
+    got = D.nearest_other(spark.createDataFrame(pdf), "label").toPandas().set_index("cell_id")
+    sq = ((pdf[["row", "col"]].to_numpy()[:, None] - pdf[["row", "col"]].to_numpy()[None]) ** 2).sum(2).astype(float)
+    sq[pdf["label"].to_numpy()[:, None] == pdf["label"].to_numpy()] = np.inf
+    assert len(got) == len(pdf) and np.allclose(got["distance"].loc[pdf["cell_id"]], np.sqrt(sq.min(1)))
+    assert (got["label"].loc[pdf["cell_id"]].to_numpy() == pdf["label"].to_numpy()).all()
+    assert held[0].count() <= 5 * (600 // D.BAND + 1) < len(pdf)
