@@ -114,16 +114,23 @@ def allocation_params(cells: DataFrame, a: str, b: str, region: str = "region",
 
     Regions are maps of their own. A new cell is an expander if another cell of its class is next to it afterwards.
     """
-    from landweave.operators.focal import neighbour_count
-
     keys = cells.select(region, F.col(a).alias("from_v"), F.col(b).alias("to_v")).distinct()
     # one number for each region and transition, and each region and class: tables of the classes' size
     keys = keys.withColumns({"t": F.dense_rank().over(Window.orderBy(region, "from_v", "to_v")), "c": F.dense_rank().over(Window.orderBy(region, "to_v"))})
     own = cells.select("cell_id", "row", "col", region, F.col(a).alias("from_v"), F.col(b).alias("to_v")).join(F.broadcast(keys), [region, "from_v", "to_v"])
     new = own.filter("from_v <> to_v")
     stats = class_stats(patches(new, "t", directions)).withColumnRenamed("class", "t")
-    near = neighbour_count(own, "c").select("cell_id", F.col("class").alias("c"), "n")
-    grown = new.select("cell_id", "t", "c").join(near, ["cell_id", "c"], "left").groupBy("t").agg(F.avg(F.when(F.col("n") >= 1, 100.0).otherwise(0.0)).alias("perc_expander"))
+
+    def grows(p: Patch) -> list[pd.DataFrame]:
+        g = p.grid(p.rows["c"].to_numpy(), -1, np.int64)
+        beside = np.logical_or.reduce([p.shifted(g, dr, dc) == g[p.at] for dr in (-1, 0, 1) for dc in (-1, 0, 1) if dr or dc])
+        moved = p.own["t"].notna().to_numpy()
+        t, place = np.unique(p.own["t"].to_numpy()[moved], return_inverse=True)
+        return [pd.DataFrame({"t": t.astype(np.int64), "n": np.bincount(place, minlength=len(t)), "grown": np.bincount(place[beside[moved]], minlength=len(t))})] if len(t) else []
+
+    # a tile counts its own new cells and expanders, so that no row a cell and class near it is joined
+    marked = own.select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), "c", F.when(F.col("from_v") != F.col("to_v"), F.col("t")).alias("t"))
+    grown = on_tiles(marked, 1, grows, "t int, n long, grown long").groupBy("t").agg((F.sum("grown") * 100.0 / F.sum("n")).alias("perc_expander"))
     out = stats.join(grown, "t").join(keys.drop("c"), "t")
     return out.select(region, "from_v", "to_v", "mean_patch_area", "sd_patch_area", (F.col("aggregation_index") / 70).alias("isometry"), "perc_expander", (100 - F.col("perc_expander")).alias("perc_patcher"))
 

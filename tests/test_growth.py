@@ -38,3 +38,25 @@ def test_nearest_other_runs_its_windows_over_bands(spark, monkeypatch):
     assert len(got) == len(pdf) and np.allclose(got["distance"].loc[pdf["cell_id"]], np.sqrt(sq.min(1)))
     assert (got["label"].loc[pdf["cell_id"]].to_numpy() == pdf["label"].to_numpy()).all()
     assert held[0].count() <= 5 * (600 // D.BAND + 1) < len(pdf)
+
+
+def test_expanders_are_counted_in_tiles(spark):
+    """Before, a row for each cell and class near it was sorted and joined; now tiles give a row a transition."""
+    from landweave.operators import patches as P
+
+    rnd = np.random.default_rng(9)
+    pdf = pd.DataFrame([(r * 1000 + c, r, c, 1 + c // 200) for r in range(1, 31) for c in range(250, 281)], columns=["cell_id", "row", "col", "region"])
+    pdf["region"] = 1 + (pdf["col"] > 262)
+    pdf["a"], pdf["b"] = rnd.integers(1, 4, len(pdf)), rnd.integers(1, 6, len(pdf))
+    cells = spark.createDataFrame(pdf.astype({"row": "int32", "col": "int32", "region": "int32", "a": "int32", "b": "int32"}))
+    out = P.allocation_params(cells, "a", "b")
+    got = {(r["region"], r["from_v"], r["to_v"]): r["perc_expander"] for r in out.collect()}
+    at = {(r, c): (g, b) for r, c, g, b in pdf[["row", "col", "region", "b"]].itertuples(index=False)}
+    hits: dict = {}
+    for r, c, g, a, b in pdf[["row", "col", "region", "a", "b"]].itertuples(index=False):
+        if a != b:
+            near = any(at.get((r + i, c + j)) == (g, b) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j)
+            hits.setdefault((g, a, b), []).append(100.0 * near)
+    assert got.keys() == hits.keys() and all(abs(got[k] - np.mean(v)) < 1e-9 for k, v in hits.items())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Join" in x and "cell_id" in x for x in plan.splitlines())
