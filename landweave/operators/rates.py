@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landweave.operators.ranks import kept
+
 
 def class_area(long_cells: DataFrame, years: list[int], require_all: bool = False) -> DataFrame:
     """Cells of each class by year, one column a year; require_all drops classes that are absent in a year."""
@@ -64,9 +66,11 @@ def region_class_area(cells: DataFrame, col: str, regions: DataFrame, classes: D
 
 def class_counts_filled(long_cells: DataFrame, mapping: DataFrame, years: list[int]) -> DataFrame:
     """Counts of target classes for the whole area and each region, zero where a class is absent in a year, one column a year."""
-    rows = long_cells.join(mapping, long_cells["lulc"] == mapping["old"]).select(F.col("region").cast("string").alias("area"), "year", F.col("new").alias("lulc"))
+    # cells are counted before they meet the mapping, so that no class's cells go to one task
+    few = kept(long_cells.groupBy("region", "year", F.col("lulc").alias("old")).agg(F.count("*").alias("n")))
+    rows = few.join(mapping, "old").select(F.col("region").cast("string").alias("area"), "year", F.col("new").alias("lulc"), "n")
     rows = rows.unionByName(rows.withColumn("area", F.lit("all")))
-    n = rows.groupBy("area", "lulc", "year").agg(F.count("*").alias("n"))
+    n = rows.groupBy("area", "lulc", "year").agg(F.sum("n").alias("n"))
     grid = rows.select("area").distinct().crossJoin(mapping.filter("new IS NOT NULL").select(F.col("new").alias("lulc")).distinct())
     wide = n.groupBy("area", "lulc").pivot("year", years).agg(F.first("n"))
     return grid.join(wide, ["area", "lulc"], "left").select("area", "lulc", *(F.coalesce(F.col(str(y)), F.lit(0)).alias(f"n_{y}") for y in years))

@@ -60,3 +60,17 @@ def test_expanders_are_counted_in_tiles(spark):
     assert got.keys() == hits.keys() and all(abs(got[k] - np.mean(v)) < 1e-9 for k, v in hits.items())
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert not any("Join" in x and "cell_id" in x for x in plan.splitlines())
+
+
+def test_classes_are_counted_before_they_are_mapped(spark, monkeypatch):
+    """Before, every cell met the mapping, and the cells of a class lay in one task."""
+    from landweave.operators import rates as R
+
+    held = []
+    keep = getattr(R, "kept", None)
+    monkeypatch.setattr(R, "kept", lambda df: held.append(keep(df)) or held[-1], raising=False)
+    long = spark.range(8000).select((F.col("id") % 2).cast("int").alias("region"), F.when(F.col("id") % 4 < 2, 2010).otherwise(2014).alias("year"), (F.col("id") % 5).cast("int").alias("lulc"))
+    mapping = spark.createDataFrame([(0, 10), (1, 10), (1, 11), (2, 12), (9, 13)], "old int, new int")
+    got = {(r["area"], r["lulc"]): (r["n_2010"], r["n_2014"]) for r in R.class_counts_filled(long, mapping, [2010, 2014]).collect()}
+    assert held[0].count() == 20
+    assert got["all", 10] == (1600, 1600) and got["all", 11] == (800, 800) and got["0", 12] == (400, 400) and got["1", 13] == (0, 0) and len(got) == 12
