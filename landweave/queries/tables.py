@@ -101,7 +101,7 @@ def _(t):
 
 @query("j6_semi", "SELECT region, period, from_v, to_v, n FROM pair_counts AS p WHERE EXISTS (SELECT 1 FROM probs AS q WHERE q.from_v = p.from_v AND q.to_v = p.to_v)")
 def _(t):
-    return t.pair_counts.join(t.probs.select("from_v", "to_v"), ["from_v", "to_v"], "left_semi").select("region", "period", "from_v", "to_v", "n")
+    return t.pair_counts.join(t.probs.select("from_v", "to_v").distinct(), ["from_v", "to_v"], "left_semi").select("region", "period", "from_v", "to_v", "n")
 
 
 @query("j7_task_grid", "SELECT r.region, s.scenario, k.lulc FROM (SELECT DISTINCT region FROM cells) AS r, (SELECT DISTINCT scenario FROM demand) AS s, (SELECT DISTINCT lulc FROM long_cells) AS k")

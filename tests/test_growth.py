@@ -74,3 +74,13 @@ def test_classes_are_counted_before_they_are_mapped(spark, monkeypatch):
     got = {(r["area"], r["lulc"]): (r["n_2010"], r["n_2014"]) for r in R.class_counts_filled(long, mapping, [2010, 2014]).collect()}
     assert held[0].count() == 20
     assert got["all", 10] == (1600, 1600) and got["all", 11] == (800, 800) and got["0", 12] == (400, 400) and got["1", 13] == (0, 0) and len(got) == 12
+
+
+def test_semi_join_meets_different_pairs_only(spark):
+    """Before, the right side was every cell and class, whose rows of a pair lay in one task."""
+    from helpers import SF
+
+    from landweave.queries import QUERIES
+
+    plan = QUERIES["j6_semi"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("LeftSemi" in x for x in plan) and any(x.lstrip(" :+-").startswith("Aggregate [from_v") for x in plan)
