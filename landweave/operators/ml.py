@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from landweave.operators.ranks import kept, ranked, running
+from landweave.operators.ranks import kept, ranked
 
 MODELS = {"glm": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
 #: Settings by their names in a model specification and in MLlib.
@@ -182,7 +187,7 @@ def tune(df: DataFrame, name: str, cols: list[str], grid: dict[str, list], folds
     def one(job: tuple[dict, int]) -> float | None:
         params, k = job
         model = model_spec(name, cols, **params).fit(rows.filter(F.col("fold") != k))
-        return classification_metrics(score(rows.filter(F.col("fold") == k), model), []).first()["roc_auc"]
+        return roc_auc(score(rows.filter(F.col("fold") == k), model), []).first()["roc_auc"]
 
     with ThreadPool(at_once) as pool:
         got = pool.map(one, [(p, k) for p in grid_of for k in range(folds)], 1)
@@ -198,15 +203,83 @@ def task_folder(values: list) -> str:
     return ".".join(str(v) for v in values)
 
 
-def classification_metrics(pred: DataFrame, keys: list[str]) -> DataFrame:
-    """AUC by rank sums (ties half), accuracy, precision, recall, F, kappa, MCC, specificity; positive class 1.
+def roc_auc(pred: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, roc_auc): AUC by rank sums (ties half), NULL with one class only; exact, and rows move once.
 
-    Ranks come from counts by probability, added up in order over ranges of it.
+    A batch counts its rows by probability first, so that a crowded probability is a row a batch. Then counts lie in ranges of
+    keys and probability, equal ones in one range; a range gives a row for each of its keys: its ones, zeros and pairs won
+    within it. The ranges below a range win against all its ones.
     """
-    n = pred.groupBy(*keys, "p").agg(F.sum(F.col("response").cast("double")).alias("one"), F.sum(1.0 - F.col("response")).alias("zero"))
-    n = running(n, keys, [F.col("p")], {"before": F.col("zero")})
-    below = F.col("before") + F.col("zero") / 2
-    auc = n.withColumn("won", F.col("one") * below).groupBy(*keys).agg(F.try_divide(F.sum("won"), F.sum("one") * F.sum("zero")).alias("roc_auc"))
+    spark = pred.sparkSession
+    named = [f"k{i}" for i in range(len(keys))]
+    rows = pred.select(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), F.col("p").cast("double").alias("p"), F.col("response").cast("double").alias("one"))
+    rows = rows.filter("p IS NOT NULL AND one IS NOT NULL")
+    kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in named)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t.append_column("zero", pc.subtract(1.0, t["one"])).group_by([*named, "p"]).aggregate([("one", "sum"), ("zero", "sum")])
+            yield from t.select([*named, "p", "one_sum", "zero_sum"]).rename_columns([*named, "p", "one", "zero"]).combine_chunks().to_batches()
+
+    # the ranges are drawn from a sample, a pass of its own, so that the counts are kept
+    counts = kept(rows.mapInArrow(counted, ", ".join(x for x in (kinds, "p double, one double, zero double") if x)))
+    ranged = counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *named, "p").sortWithinPartitions(*named, "p")
+
+    def won(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, tie = None, None
+        total = np.zeros(3)  # ones, zeros and pairs won by what lies before the open tie
+
+        def closed(total, tie):
+            return total + np.array([tie[1], tie[2], tie[1] * (total[1] + tie[2] / 2)])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            p, one, zero = (batch.column(c).to_numpy() for c in ("p", "one", "zero"))
+            new = np.zeros(len(p), bool)
+            for n in named:
+                c = batch.column(n)
+                new[1:] |= pc.fill_null(pc.not_equal(c[1:], c[:-1]), False).to_numpy(zero_copy_only=False) | (c[1:].is_null().to_numpy(zero_copy_only=False) != c[:-1].is_null().to_numpy(zero_copy_only=False))
+            starts = np.r_[0, np.flatnonzero(new)]
+            out = []
+            for a, b in zip(starts, np.r_[starts[1:], len(p)], strict=True):
+                key = tuple(batch.column(n)[int(a)].as_py() for n in named)
+                if now is not None and key != now:
+                    out.append((now, closed(total, tie)))
+                    total, tie = np.zeros(3), None
+                now = key
+                at = np.r_[a, a + 1 + np.flatnonzero(p[a + 1 : b] != p[a : b - 1])]
+                ones, zeros = np.add.reduceat(one[a:b], at - a), np.add.reduceat(zero[a:b], at - a)
+                if tie is not None and tie[0] == p[a]:
+                    ones[0], zeros[0] = ones[0] + tie[1], zeros[0] + tie[2]
+                elif tie is not None:
+                    total = closed(total, tie)
+                below = total[1] + np.cumsum(zeros) - zeros
+                total = total + np.array([ones[:-1].sum(), zeros[:-1].sum(), (ones * (below + zeros / 2))[:-1].sum()])
+                tie = (p[b - 1], ones[-1], zeros[-1])
+            if out:
+                yield sums(out)
+        if now is not None:
+            yield sums([(now, closed(total, tie))])
+
+    def sums(found: list[tuple]) -> pa.RecordBatch:
+        from pyspark import TaskContext
+
+        cols = {n: pa.array([k[i] for k, _ in found], rows_kinds[n]) for i, n in enumerate(named)}
+        part = TaskContext.get().partitionId()
+        return pa.RecordBatch.from_pydict({**cols, "part": pa.array([part] * len(found), pa.int32()), **{c: [float(v[i]) for _, v in found] for i, c in enumerate(("one", "zero", "won"))}})
+
+    rows_kinds = {n: to_arrow_type(rows.schema[n].dataType) for n in named}
+    parts = ranged.mapInArrow(won, ", ".join(x for x in (kinds, "part int, one double, zero double, won double") if x))
+    below = F.coalesce(F.sum("zero").over(Window.partitionBy(*named).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    out = parts.withColumn("won", F.col("won") + F.col("one") * below).groupBy(*named).agg(F.try_divide(F.sum("won"), F.sum("one") * F.sum("zero")).alias("roc_auc"))
+    return out.select(*(F.col(n).alias(k) for k, n in zip(keys, named, strict=True)), "roc_auc")
+
+
+def classification_metrics(pred: DataFrame, keys: list[str]) -> DataFrame:
+    """AUC by rank sums (ties half), accuracy, precision, recall, F, kappa, MCC, specificity; positive class 1."""
+    auc = roc_auc(pred, keys)
     c = lambda y, q: F.sum(((F.col("response") == y) & (F.col("predicted") == q)).cast("double"))
     m = pred.groupBy(*keys).agg(c(1, 1).alias("tp"), c(0, 0).alias("tn"), c(0, 1).alias("fp"), c(1, 0).alias("fn"))
     tp, tn, fp, fn = (F.col(x) for x in ("tp", "tn", "fp", "fn"))

@@ -270,24 +270,32 @@ def with_folds(rows: DataFrame, keys: list[str], folds: int, replicates: int, se
 
 def tune_glm(rows: DataFrame, keys: list[str], cols: list[str], settings: list[dict], folds: int = 3, replicates: int = 2, seed: int = 1, weight: str | None = None) -> DataFrame:
     """(keys, setting, penalty, mixture, replicate, fold, roc_auc, rounds, converged): every setting of every task on every fold of every replicate."""
-    from landweave.operators.ml import classification_metrics
+    from landweave.operators.ml import roc_auc
 
     parted, names = with_folds(rows, keys, folds, replicates, seed)
     data, d = by_task(parted, keys, cols, weight, names), len(cols)
     models = _fit(data, d, _asked(_moments(data, d, replicates), settings, None, True), replicates)
     linear = {t: [(i, m["replicate"], m["fold"], m["beta"][0], m["beta"][1:] * m["live"][1:] / m["sd1"], m["mean"]) for i, m in enumerate(own)] for t, own in models.items()}
 
+    # a fit is one number, since names of tasks would be moved and ordered with every prediction
+    first, n_fits = {}, 0
+    for t, own in models.items():
+        first[t], n_fits = n_fits, n_fits + len(own)
+
     def held_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for task, y, _, x, held in _runs(batches, d, replicates):
+            fit, ys, ps = [], [], []
             for i, r, f, b, c, mean in linear.get(task, ()):
                 at = held[:, r] == f
-                p = 1 / (1 + np.exp(-np.clip(b + (x[at] - mean) @ c, -500, 500)))
-                yield pa.RecordBatch.from_pydict({"task": [task] * len(p), "model": pa.array(np.full(len(p), i), pa.int32()), "response": y[at], "p": p})
-
-    pred = kept(data.mapInArrow(held_out, "task string, model int, response double, p double").withColumn("predicted", (F.col("p") >= 0.5).cast("int")))
-    auc = classification_metrics(pred, ["task", "model"]).select("task", "model", "roc_auc")
-    spec = data.sparkSession.createDataFrame([(t, i, m["setting"], float(m["penalty"]), float(m["mixture"]), m["replicate"], m["fold"], m["rounds"], m["converged"]) for t, own in models.items() for i, m in enumerate(own)], "task string, model int, setting int, penalty double, mixture double, replicate int, fold int, rounds int, converged boolean")
-    out = spec.join(auc, ["task", "model"], "left").select("task", "setting", "penalty", "mixture", "replicate", "fold", "roc_auc", "rounds", "converged")
+                ps.append(1 / (1 + np.exp(-np.clip(b + (x[at] - mean) @ c, -500, 500))))
+                ys.append(y[at])
+                fit.append(np.full(len(ps[-1]), first[task] + i, np.int32))
+            if fit:
+                yield pa.RecordBatch.from_pydict({"fit": np.concatenate(fit), "response": np.concatenate(ys), "p": np.concatenate(ps)})
+
+    auc = roc_auc(data.mapInArrow(held_out, "fit int, response double, p double"), ["fit"])
+    spec = data.sparkSession.createDataFrame([(t, first[t] + i, m["setting"], float(m["penalty"]), float(m["mixture"]), m["replicate"], m["fold"], m["rounds"], m["converged"]) for t, own in models.items() for i, m in enumerate(own)], "task string, fit int, setting int, penalty double, mixture double, replicate int, fold int, rounds int, converged boolean")
+    out = spec.join(auc, ["fit"], "left").select("task", "setting", "penalty", "mixture", "replicate", "fold", "roc_auc", "rounds", "converged")
     return _with_keys(out, rows, keys)
 
 
@@ -395,7 +403,7 @@ def choose_models(rows: DataFrame, keys: list[str], cols: list[str], specs: dict
     """
     from multiprocessing.pool import ThreadPool
 
-    from landweave.operators.ml import classification_metrics, model_spec, score, task_folder
+    from landweave.operators.ml import model_spec, roc_auc, score, task_folder
 
     spark = rows.sparkSession
     tried = []
@@ -417,7 +425,7 @@ def choose_models(rows: DataFrame, keys: list[str], cols: list[str], specs: dict
         def one(job: tuple) -> float | None:
             task, family, k, r, f = job
             fit = model_spec(family, cols, **specs[family][k]).fit(own(task).filter(F.col(names[r]) != f))
-            return classification_metrics(score(own(task).filter(F.col(names[r]) == f), fit), []).first()["roc_auc"]
+            return roc_auc(score(own(task).filter(F.col(names[r]) == f), fit), []).first()["roc_auc"]
 
         jobs = [(t, family, k, r, f) for t in tasks for family in trees for k in range(len(specs[family])) for r in range(replicates) for f in range(folds)]
         with ThreadPool(at_once) as pool:

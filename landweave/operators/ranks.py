@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,8 +53,8 @@ def running(df: DataFrame, keys: list[str], order: list[Column], values: dict[st
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own = batch.column("__key").to_numpy(zero_copy_only=False)
-            first = np.r_[own[0] != last, own[1:] != own[:-1]]
+            own = batch.column("__key")
+            first = np.r_[own[0].as_py() != last, pc.not_equal(own[1:], own[:-1]).to_numpy(zero_copy_only=False)]
             start = np.maximum.accumulate(np.where(first, np.arange(len(own)), -1))
             out = []
             for c in added:
@@ -63,7 +64,7 @@ def running(df: DataFrame, keys: list[str], order: list[Column], values: dict[st
                 sums = np.where(start < 0, seen[c] + before, before - before[np.maximum(start, 0)])
                 seen[c] = sums[-1] + v[-1]
                 out.append(pa.array(sums))
-            last = own[-1]
+            last = own[-1].as_py()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(np.full(len(own), part)), *out], names=[*names, "__part", *(f"{c}_before" for c in added)])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema)

@@ -84,3 +84,32 @@ def test_semi_join_meets_different_pairs_only(spark):
 
     plan = QUERIES["j6_semi"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert any("LeftSemi" in x for x in plan) and any(x.lstrip(" :+-").startswith("Aggregate [from_v") for x in plan)
+
+
+def test_auc_counts_crowded_probabilities_before_they_move(spark, monkeypatch):
+    """Before, predictions were moved three times; now they move once, a crowded probability as a row a batch."""
+    from landweave.operators import ml
+
+    rnd = np.random.default_rng(6)
+    pdf = pd.DataFrame({"a": rnd.integers(0, 3, 6000), "b": rnd.choice(["x", "y"], 6000), "p": np.r_[np.full(3000, 0.25), rnd.random(2000), rnd.integers(0, 5, 1000) / 4], "response": rnd.integers(0, 2, 6000)})
+    pdf = pd.concat([pdf, pd.DataFrame({"a": [7, 7], "b": ["x", "x"], "p": [0.1, 0.2], "response": [1, 1]})])
+    held = []
+    keep = ml.kept
+    monkeypatch.setattr(ml, "kept", lambda df: held.append(keep(df)) or held[-1])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        df = spark.createDataFrame(pdf)
+        got = {(r["a"], r["b"]): r["roc_auc"] for r in ml.classification_metrics(df.withColumn("predicted", F.lit(1)), ["a", "b"]).collect()}
+        whole = ml.classification_metrics(df.withColumn("predicted", F.lit(1)), []).first()["roc_auc"]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+    def auc(own):
+        one, zero = own["p"][own["response"] == 1].to_numpy(), own["p"][own["response"] == 0].to_numpy()
+        return ((one[:, None] > zero).mean() + (one[:, None] == zero).mean() / 2) if len(one) and len(zero) else None
+
+    want = {k: auc(own) for k, own in pdf.groupby(["a", "b"])}
+    assert got.keys() == want.keys() and got[7, "x"] is None
+    assert all(abs(got[k] - v) < 1e-9 for k, v in want.items() if v is not None) and abs(whole - auc(pdf)) < 1e-9
+    assert held and held[0].filter("p = 0.25").count() < 400
