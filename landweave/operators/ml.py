@@ -108,8 +108,10 @@ def assemble(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def guided_selection(df: DataFrame, cols: list[str], gamma: float = 0.5, penalty: float = 0.01, trees: int = 100, seed: int = 7) -> list[tuple[str, float]]:
     """Forest importances guide a lasso: column j counts (1 - gamma) + gamma * imp_j / max(imp); kept are non-zero coefficients, most important first."""
-    data = assemble(df, cols)
     weight = {"weightCol": "weight"} if "weight" in df.columns else {}
+    # forest, moments and lasso go over the rows many times: the table is made once
+    df = kept(df.select("response", *weight.values(), *cols))
+    data = assemble(df, cols)
     forest = RandomForestClassifier(labelCol="response", numTrees=trees, minInstancesPerNode=10, featureSubsetStrategy="sqrt", seed=seed, **weight).fit(data)
     imp = forest.featureImportances.toArray()
     guide = (1 - gamma) + gamma * imp / (imp.max() or 1.0)

@@ -113,3 +113,22 @@ def test_auc_counts_crowded_probabilities_before_they_move(spark, monkeypatch):
     assert got.keys() == want.keys() and got[7, "x"] is None
     assert all(abs(got[k] - v) < 1e-9 for k, v in want.items() if v is not None) and abs(whole - auc(pdf)) < 1e-9
     assert held and held[0].filter("p = 0.25").count() < 400
+
+
+def test_guided_selection_makes_its_rows_once(spark):
+    """Before, each pass of the forest, the moments and the lasso made the joined rows again."""
+    from landweave.operators import ml
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(600, 2))
+    pdf = pd.DataFrame({"x": x[:, 0], "z": x[:, 1], "response": (x[:, 0] + rnd.normal(size=600) > 0).astype(float)})
+    rows = spark.createDataFrame(pdf).mapInArrow(count, "x double, z double, response double")
+    assert ml.guided_selection(rows, ["x", "z"], penalty=0.01, trees=5)[0][0] == "x"
+    assert made.value == 600
