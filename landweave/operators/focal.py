@@ -8,6 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,32 +112,98 @@ def neighbour_count(df: DataFrame, col: str) -> DataFrame:
     return on_tiles(cells, 1, work, f"cell_id long, class {cells.schema['v'].dataType.simpleString()}, n long")
 
 
-#: Points of a square that one group holds, and pairs of points that a task looks at.
-GROUP, PAIRS = 2_000, 20_000_000
+#: Points of a square that one group holds (its neighbours are dealt to groups of FAR times as many), and pairs of points that a task looks at.
+GROUP, FAR, PAIRS = 2_000, 16, 20_000_000
+#: Distances that numpy works out at once, neighbours in a stretch, and neighbours of a batch.
+AT_ONCE, STRETCH, BATCH = 1_000_000, 256, 50_000
 
 
 def neighbours_within(points: DataFrame, d: float) -> DataFrame:
     """All pairs of points at most d apart, both ways, no point with itself. Points meet in squares of side d.
 
     The pairs to look at are counted first, since they and not the points are the work: tasks are as many as these pairs
-    need, and a crowded square's points are dealt to groups that meet its neighbours apart.
+    need, and the points of a crowded square and those around it are dealt to groups that meet apart. A place's points share
+    their neighbours, which are found once and written in stretches, each for all points of the place: columns of neighbours
+    and distances repeat themselves then, and one of origins is runs, so that files of pairs grow less than the pairs.
     """
-    at = lambda c: F.floor(F.col(c) / d)
-    here = points.select(F.col("id_coord").alias("id_coord_origin"), F.col("lon").alias("x1"), F.col("lat").alias("y1"), at("lon").alias("bx"), at("lat").alias("by"))
+    spark, kind = points.sparkSession, points.schema["id_coord"].dataType.simpleString()
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    at = points.select(F.col("id_coord").alias("id"), F.col("lon").cast("double").alias("x"), F.col("lat").cast("double").alias("y"))
+    at = at.filter(F.col("id").isNotNull() & finite("x") & finite("y")).withColumns({"bx": F.floor(F.col("x") / d), "by": F.floor(F.col("y") / d)})
     nine = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     reach = lambda df, *more: df.withColumn("o", F.explode(nine)).select(*more, (F.col("bx") + F.col("o.i")).alias("bx"), (F.col("by") + F.col("o.j")).alias("by"))
-    own = here.groupBy("bx", "by").agg(F.count("*").alias("n"))
-    met = reach(own, "n").groupBy("bx", "by").agg(F.sum("n").alias("near"))
-    squares = kept(own.join(met, ["bx", "by"]).select("bx", "by", "near", "n", F.ceil(F.col("n") / GROUP).alias("groups")))
+    own = at.groupBy("bx", "by", "x", "y").agg(F.count("*").alias("n")).groupBy("bx", "by").agg(F.sum("n").alias("n"), F.max("n").alias("place"))
+    met = reach(own, "n", "place").groupBy("bx", "by").agg(F.sum("n").alias("near"), F.max("place").alias("place"))
+    parts = lambda c, size: F.ceil(F.col(c) / size)
+    squares = kept(own.drop("place").join(met, ["bx", "by"]).select("bx", "by", "near", "n", parts("n", GROUP).alias("groups"), parts("near", FAR * GROUP).alias("others"), parts("place", GROUP).alias("shares")))
     pairs = squares.agg(F.sum(F.col("n").cast("double") * F.col("near"))).first()[0] or 0.0
-    tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(pairs / PAIRS))
-    groups = squares.select("bx", "by", "groups")
-    here = here.join(groups, ["bx", "by"]).withColumn("g", F.pmod(F.xxhash64("id_coord_origin", "x1", "y1"), "groups")).drop("groups")
-    there = reach(points.select(F.col("id_coord").alias("id_coord_neighbor"), F.col("lon").alias("x2"), F.col("lat").alias("y2"), at("lon").alias("bx"), at("lat").alias("by")), "id_coord_neighbor", "x2", "y2")
-    there = there.join(groups, ["bx", "by"]).withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(pairs / PAIRS))
+    groups = squares.select("bx", "by", "groups", "others", "shares")
+    # a place stays in one group, unless its points alone are more than one group holds
+    dealt = F.xxhash64("x", "y", F.pmod(F.xxhash64("id"), "shares"))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    names = ["bx", "by", "g", "h", "far", "x", "y", "id"]
+    here = at.join(groups, ["bx", "by"]).withColumns({"g": F.pmod(dealt, "groups"), "far": F.lit(False)}).withColumn("h", every("others"))
+    there = reach(at, "id", "x", "y").join(groups, ["bx", "by"]).withColumns({"h": F.pmod(dealt, "others"), "far": F.lit(True)}).withColumn("g", every("groups"))
     # a number of tasks that is asked for stays, while what Spark would choose goes by bytes read
-    dealt = lambda df: df.repartition(tasks, "bx", "by", "g")
-    dx, dy = F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2")
-    sq = dx * dx + dy * dy
-    both = dealt(here).join(dealt(there).hint("merge"), ["bx", "by", "g"]).filter((F.col("id_coord_origin") != F.col("id_coord_neighbor")) & (sq <= d * d))
-    return both.select("id_coord_origin", "id_coord_neighbor", F.sqrt(sq).alias("distance"))
+    both = here.select(names).unionByName(there.select(names)).repartition(tasks, *names[:4]).sortWithinPartitions(*names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _with_equal(batches, names[:4]):
+            n = pc.sum(pc.invert(rows["far"])).as_py()
+            if 0 < n < len(rows):
+                yield from _stretches(rows["x"].to_numpy(), rows["y"].to_numpy(), rows["id"].combine_chunks(), n, d)
+
+    found = both.mapInArrow(work, f"origins array<{kind}>, neighbours array<{kind}>, distances array<double>")
+    found = found.select(F.explode("origins").alias("id_coord_origin"), "neighbours", "distances").select("id_coord_origin", "distances", F.posexplode("neighbours").alias("k", "id_coord_neighbor"))
+    return found.filter(F.col("id_coord_origin") != F.col("id_coord_neighbor")).select("id_coord_origin", "id_coord_neighbor", F.get("distances", F.col("k")).alias("distance"))
+
+
+def _with_equal(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, out of batches in order of whole-numbered keys."""
+    held, last = [], None
+    for batch in (b for b in batches if b.num_rows):
+        k = np.stack([batch.column(c).to_numpy() for c in keys], axis=1)
+        cuts = np.r_[0, np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1, len(k)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and (k[a] != last).any():
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = k[a]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[k], first[k] + 1, ... of each k, n[k] numbers."""
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
+def _stretches(x: np.ndarray, y: np.ndarray, ids: pa.Array, n: int, d: float) -> Iterator[pa.RecordBatch]:
+    """For each place of the first n rows its points, and those of the rest at most d away in stretches; both in order of places."""
+    new = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
+    new[n] = True
+    place = np.flatnonzero(new)
+    size = np.diff(np.r_[place, len(x)])
+    own = np.searchsorted(place, n)
+    there, many = place[own:], size[own:]
+    lists = lambda ends, values: pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), values)
+    step = max(1, AT_ONCE // (len(x) - n))
+    for a in range(0, own, step):
+        here, points = place[a : min(a + step, own)], size[a : min(a + step, own)]
+        sq = np.square(x[here][:, None] - x[there]) + np.square(y[here][:, None] - y[there])
+        i, j = np.nonzero(sq <= d * d)
+        neighbour, distance = _spread(there[j], many[j]), np.repeat(np.sqrt(sq[i, j]), many[j])
+        each = np.bincount(i, many[j], len(here)).astype(int)
+        cut = -(-each // STRETCH)
+        of = np.repeat(np.arange(len(here)), cut)
+        length = np.minimum(STRETCH, each[of] - _spread(np.zeros(len(here), int), cut) * STRETCH)
+        ends, first = np.cumsum(length), 0
+        while first < len(of):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + BATCH, "right")))
+            k, start = of[first:last], ends[first] - length[first]
+            origins = lists(np.cumsum(points[k]), ids.take(pa.array(_spread(here[k], points[k]))))
+            upto, own_ends = slice(start, ends[last - 1]), ends[first:last] - start
+            yield pa.RecordBatch.from_arrays([origins, lists(own_ends, ids.take(pa.array(neighbour[upto]))), lists(own_ends, pa.array(distance[upto]))], ["origins", "neighbours", "distances"])
+            first = last

@@ -18,11 +18,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*(F.round(f"`{c}`", digits).alias(c) if t in ("double", "float") else F.col(f"`{c}`") for c, t in df.dtypes))
 
 
-def query(name: str, sql: str | None = None, digits: int = 6):
-    """Register f(tables) -> DataFrame as name; sql: the oracle's text over tables and fixtures."""
+def query(name: str, sql: str | None = None, digits: int | None = 6):
+    """Register f(tables) -> DataFrame as name; sql: the oracle's text over tables and fixtures; digits None: f rounds."""
 
     def register(f: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: rounded(f(Tables(spark, sf_dir)), digits)
+        QUERIES[name] = lambda spark, sf_dir: f(Tables(spark, sf_dir)) if digits is None else rounded(f(Tables(spark, sf_dir)), digits)
         if sql:
             ORACLES[name] = with_fixtures(sql)
         return f

@@ -66,9 +66,10 @@ def _(t):
     return N.neighbour_count(t.cells, "lulc_2018")
 
 
-@query("g13_neighbours_within", "SELECT a.id_coord AS id_coord_origin, b.id_coord AS id_coord_neighbor, round(sqrt(pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2)), 6) AS distance FROM points AS a JOIN points AS b ON a.id_coord <> b.id_coord AND pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2) <= 4")
+@query("g13_neighbours_within", "SELECT a.id_coord AS id_coord_origin, b.id_coord AS id_coord_neighbor, round(sqrt(pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2)), 6) AS distance FROM points AS a JOIN points AS b ON a.id_coord <> b.id_coord AND pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2) <= 4", digits=None)
 def _(t):
-    return N.neighbours_within(t.points, 2.0)
+    # rounded as the SQL does it; Spark's round makes a decimal of each of the many rows
+    return N.neighbours_within(t.points, 2.0).withColumn("distance", F.floor(F.col("distance") * 1e6 + 0.5) / 1e6)
 
 
 @query("g14_distance", f"SELECT c.cell_id, round(sqrt(MIN(pow(c.row - f.row, 2) + pow(c.col - f.col, 2))) * 30, 6) AS distance FROM cells AS c, {_FEAT} AS f GROUP BY 1")
