@@ -107,19 +107,12 @@ def assemble(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def guided_selection(df: DataFrame, cols: list[str], gamma: float = 0.5, penalty: float = 0.01, trees: int = 100, seed: int = 7) -> list[tuple[str, float]]:
-    """Forest importances guide a lasso: column j counts (1 - gamma) + gamma * imp_j / max(imp); kept are non-zero coefficients, most important first."""
-    weight = {"weightCol": "weight"} if "weight" in df.columns else {}
-    # forest, moments and lasso go over the rows many times: the table is made once
-    df = kept(df.select("response", *weight.values(), *cols))
-    data = assemble(df, cols)
-    forest = RandomForestClassifier(labelCol="response", numTrees=trees, minInstancesPerNode=10, featureSubsetStrategy="sqrt", seed=seed, **weight).fit(data)
-    imp = forest.featureImportances.toArray()
-    guide = (1 - gamma) + gamma * imp / (imp.max() or 1.0)
-    ends = df.agg(*(f(c).alias(f"{n}{k}") for k, c in enumerate(cols) for n, f in (("m", F.avg), ("s", F.stddev_samp)))).first()
-    scaled = df.select("response", *weight.values(), *(((F.col(c) - ends[f"m{k}"]) / (ends[f"s{k}"] or 1.0) * float(guide[k])).alias(c) for k, c in enumerate(cols)))
-    lasso = LogisticRegression(labelCol="response", elasticNetParam=1.0, regParam=penalty, standardization=False, **weight).fit(assemble(scaled, cols))
-    found = [(c, float(imp[k])) for k, c in enumerate(cols) if lasso.coefficients[k] != 0]
-    return sorted(found, key=lambda x: (-x[1], x[0]))
+    """(predictor, importance) of one task's rows: those that models.guided_selections keeps, most important first; weights come from a column weight, if any."""
+    from landweave.operators.models import guided_selections
+
+    weight = "weight" if "weight" in df.columns else None
+    found = guided_selections(df.withColumn("__task", F.lit(1)), ["__task"], cols, weight, False, gamma, penalty, trees, seed)
+    return [(r["predictor"], r["importance"]) for r in found.filter("kept").orderBy(F.desc("importance"), "predictor").collect()]
 
 
 def _order(seed: int) -> Column:

@@ -17,15 +17,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landweave.operators.ranks import kept
 
 TOL, ROUNDS = 1e-8, 60
-#: Rows of a task that one part holds.
-PART_ROWS = 500_000
+#: Rows of a task that one part holds, and rows of one in a forest's fit.
+PART_ROWS, FOREST_ROWS = 500_000, 200_000
 
 
 def _task(keys: list[str]):
@@ -139,11 +140,12 @@ def _moments(data: DataFrame, d: int, replicates: int) -> dict[str, dict[tuple[i
     return out
 
 
-def newton_step(beta: np.ndarray, h: np.ndarray, g: np.ndarray, penalty: float, mixture: float, live: np.ndarray) -> np.ndarray:
-    """The minimum of the loss's quadratic model at beta plus the penalty; live: coefficients that aren't held at 0 (the first is free)."""
+def newton_step(beta: np.ndarray, h: np.ndarray, g: np.ndarray, penalty: float, mixture: float, live: np.ndarray, factor: np.ndarray | float = 1.0) -> np.ndarray:
+    """The minimum of the loss's quadratic model at beta plus the penalty (times factor); live: coefficients that aren't held at 0 (the first is free)."""
     at = np.flatnonzero(live)
     h, target = h[np.ix_(at, at)], (h @ beta + g)[at]
-    l1, l2 = penalty * mixture * (at > 0), penalty * (1 - mixture) * (at > 0)
+    own = penalty * np.r_[0.0, np.broadcast_to(factor, len(beta) - 1)][at]
+    l1, l2 = own * mixture, own * (1 - mixture)
     out = np.zeros_like(beta)
     if not l1.any():
         out[at] = np.linalg.solve(h + np.diag(l2) + 1e-12 * np.eye(len(at)), target)
@@ -162,7 +164,7 @@ def newton_step(beta: np.ndarray, h: np.ndarray, g: np.ndarray, penalty: float,
 
 
 def _fit(data: DataFrame, d: int, models: dict[str, list[dict]], replicates: int, rounds: int = ROUNDS) -> dict[str, list[dict]]:
-    """models: by task dicts of w, mean, sd, penalty, mixture, replicate, fold; each gets beta, h (of the mean loss at beta), rounds and converged."""
+    """models: by task dicts of w, mean, sd, penalty, mixture, replicate, fold, and factor (of the penalty, by column) if any; each gets beta, h (of the mean loss at beta), rounds and converged."""
     tri = np.triu_indices(d + 1)
     for own in models.values():
         for m in own:
@@ -196,14 +198,14 @@ def _fit(data: DataFrame, d: int, models: dict[str, list[dict]], replicates: int
             h = np.zeros((d + 1, d + 1))
             h[tri] = s[: len(tri[0])]
             h = h + np.triu(h, 1).T
-            g, b = s[len(tri[0]) : -1], m["beta"]
-            loss = s[-1] + m["penalty"] * (m["mixture"] * np.abs(b[1:]).sum() + (1 - m["mixture"]) / 2 * (b[1:] ** 2).sum())
+            g, b, f = s[len(tri[0]) : -1], m["beta"], m.get("factor", 1.0)
+            loss = s[-1] + m["penalty"] * (m["mixture"] * (f * np.abs(b[1:])).sum() + (1 - m["mixture"]) / 2 * (f * b[1:] ** 2).sum())
             m["rounds"] += 1
             if loss > m["loss"] + 1e-12 * (1 + abs(m["loss"])):
                 m["beta"] = (b + m["best"]) / 2
             else:
                 m["best"], m["loss"], m["h"] = b, loss, h
-                m["beta"] = b + np.clip(newton_step(b, h, g, m["penalty"], m["mixture"], m["live"]) - b, -5, 5)
+                m["beta"] = b + np.clip(newton_step(b, h, g, m["penalty"], m["mixture"], m["live"], f) - b, -5, 5)
             m["converged"] = bool(np.abs(m["beta"] - b).max() < TOL)
     return models
 
@@ -448,6 +450,46 @@ def choose_models(rows: DataFrame, keys: list[str], cols: list[str], specs: dict
     return out
 
 
+def guided_selections(rows: DataFrame, keys: list[str], cols: list[str], weight: str | None = None, balanced: bool = False, gamma: float = 0.5, penalty: float = 0.01, trees: int = 100, seed: int = 7, at_once: int = 4) -> DataFrame:
+    """(keys, predictor, importance, coefficient, kept, converged) of each task with both classes and each of cols.
+
+    Forest importances guide a lasso of z-scores: column j counts (1 - gamma) + gamma * imp_j / max(imp), so its penalty is
+    divided by that; coefficients are of z-scores, and kept are those that aren't 0. Columns that are constant in a task take no part there. balanced: a
+    task's classes weigh the same. MLlib fits forests one at a time, at_once of them side by side; lassos go together.
+    """
+    from multiprocessing.pool import ThreadPool
+
+    from landweave.operators.ml import class_weights
+
+    # the rows are gone over many times: they are made once
+    data = by_task(kept(rows.select(*keys, "response", *([weight] if weight else []), *cols)), keys, cols, weight)
+    if balanced:
+        own = kept(class_weights(data.withColumnRenamed("y", "response"), ["task"]).select("task", F.col("response").alias("y"), F.col("weight").alias("w")))
+        data = data.drop("w").join(F.broadcast(own), ["task", "y"])
+    models = _asked(_moments(data, len(cols), 0), [{"penalty": penalty, "mixture": 1.0}], None, False)
+
+    def importances(task: str) -> np.ndarray:
+        m, out = models[task][0], np.zeros(len(cols))
+        at = np.flatnonzero(m["sd"] > 0)
+        if len(at):
+            mine = data.filter(F.col("task") == task).select("y", "w", array_to_vector(F.array(*(F.col("x")[int(j)] for j in at))).alias("features"))
+            # a forest keeps a number for each row and tree
+            parts = int(m["n"] // FOREST_ROWS)
+            mine = mine.repartition(parts + 1) if parts else mine
+            forest = RandomForestClassifier(labelCol="y", weightCol="w", numTrees=trees, minInstancesPerNode=10, featureSubsetStrategy="sqrt", seed=seed)
+            out[at] = forest.fit(mine).featureImportances.toArray()
+        return out
+
+    names = sorted(models)
+    with ThreadPool(at_once) as pool:
+        found = dict(zip(names, pool.map(importances, names, 1), strict=True))
+    for task, (m,) in models.items():
+        m["factor"] = 1 / np.maximum((1 - gamma) + gamma * found[task] / (found[task].max() or 1.0), 1e-9)
+    _fit(data.withColumn("held", F.array().cast("array<int>")), len(cols), models, 0)
+    out = [(task, c, float(found[task][j]), float(m["beta"][1 + j]), bool(m["beta"][1 + j] != 0), m["converged"]) for task, (m,) in models.items() for j, c in enumerate(cols)]
+    return _with_keys(rows.sparkSession.createDataFrame(out, "task string, predictor string, importance double, coefficient double, kept boolean, converged boolean"), rows, keys)
+
+
 def score_models(rows: DataFrame, keys: list[str], fitted: DataFrame, path: str, cols: list[str], id_col: str = "cell_id") -> DataFrame:
     """(keys of fitted, id_col, p) of rows by the models that choose_models saved: one plan, however many tasks. keys: those of rows, all or some of fitted's."""
     spark = rows.sparkSession

@@ -419,9 +419,7 @@ def _(t):
 
 @query("m7_guided_selection")
 def _(t):
-    rows = _samples(t).na.drop().withColumn("response", F.col("response").cast("double"))
-    kept = M.guided_selection(rows, ["x1", "x2", "x4"], penalty=0.0, trees=10)
-    return t.spark.createDataFrame(kept, "predictor string, importance double")
+    return B.guided_selections(_samples(t), _KEYS, ["x1", "x2", "x3", "x4", "x5", "x6"], balanced=True)
 
 
 _BALANCED = "n AS (SELECT region, task, response, COUNT(*) AS n, MIN(COUNT(*)) OVER (PARTITION BY region, task) AS lo FROM rs GROUP BY region, task, response)"
